@@ -104,6 +104,24 @@ def flat_pairs(
     return level
 
 
+def flat_column(name: str, max_depth: int = 8, unopened: list[str] | None = None) -> Column:
+    """``flat_pairs`` of a column, as one SQL expression: much cheaper to build than nested lambdas.
+
+    Fields whose own name is in ``unopened`` stay whole.
+    """
+    opened = (
+        "coalesce(transform(map_entries(try_cast(e.value AS map<string,variant>)), "
+        "c -> named_struct('key', concat(e.key, '.', c.key), 'value', c.value)), array(e))"
+    )
+    if unopened:
+        listed = ", ".join("'" + u.replace("\\", "\\\\").replace("'", "\\'") + "'" for u in unopened)
+        opened = f"if(substring_index(e.key, '.', -1) IN ({listed}), array(e), {opened})"
+    level = f"map_entries(try_cast(`{name}` AS map<string,variant>))"
+    for _ in range(max_depth - 1):
+        level = f"flatten(transform({level}, e -> {opened}))"
+    return F.expr(level)
+
+
 def text_map(leaf_pairs: Column) -> Column:
     """Pairs -> text map without nulls."""
     cells = F.transform(leaf_pairs, lambda e: F.struct(e["key"].alias("key"), text(e["value"]).alias("value")))

@@ -16,7 +16,10 @@ from pyspark.sql import types as T
 from samplecraft.functions import maps, scalars
 from samplecraft.functions import variants as V
 
-_ELEMENTS = "array<struct<set_name:string,ix:int,attrs:map<string,string>>>"
+# One future row: its set, its place, and either a value to flatten or finished attributes.
+_ELEMENTS = (
+    "array<struct<set_name:string,ix:int,element:variant,id_name:string,id_value:string,attrs:map<string,string>>>"
+)
 
 
 def parse_payloads(df: DataFrame, body: str = "body", payload: str = "payload") -> DataFrame:
@@ -252,7 +255,7 @@ def _lazy_value(key: str, max_depth: int) -> Callable[[Column, Column], Column]:
 
 def flatten_attrs(df: DataFrame, max_depth: int = 8, payload: str = "payload", attrs: str = "attrs") -> DataFrame:
     """Standard flatten of an object into one attribute map; arrays stay as JSON text."""
-    return df.withColumn(attrs, V.text_map(V.flat_pairs(F.col(payload), max_depth))).drop(payload)
+    return df.withColumn(attrs, V.text_map(V.flat_column(payload, max_depth))).drop(payload)
 
 
 def flatten_columns(df: DataFrame, body: str, schema: T.StructType | str, sep: str = ".") -> DataFrame:
@@ -274,24 +277,40 @@ def flatten_columns(df: DataFrame, body: str, schema: T.StructType | str, sep: s
     return parsed.select(*rest, *leaves(F.col("_doc"), schema, ""))
 
 
+# Expressions over a column ``_flat`` of (path, leaf) pairs, kept as SQL text: building the same from nested
+# Python lambdas costs a second of driver time per plan.
+_IS_ARRAY = "try_cast(e.value AS array<variant>) IS NOT NULL"
+_IS_OBJECT = "try_cast(e.value AS map<string,variant>) IS NOT NULL"
+_SET_NAME = "concat(regexp_replace(e.key, 's$', ''), 'Samples')"
+_TEXT = "map_from_entries(filter({}, p -> p.value IS NOT NULL))"
+_ARRAYS = f"filter(_flat, e -> {_IS_ARRAY})"
+_TOP = _TEXT.format(
+    f"transform(filter(_flat, e -> NOT ({_IS_ARRAY}) AND NOT ({_IS_OBJECT}) AND NOT contains(e.key, 'Samples')), "
+    "e -> named_struct('key', e.key, 'value', try_cast(e.value AS string)))"
+)
+_OWN = _TEXT.format(
+    f"transform(_flat, e -> named_struct('key', if({_IS_ARRAY}, {_SET_NAME}, e.key), "
+    "'value', try_cast(e.value AS string)))"
+)
+_ARRAY_ROWS = (
+    "flatten(transform(_arrays, e -> transform(try_cast(e.value AS array<variant>), "
+    f"(x, i) -> named_struct('set_name', {_SET_NAME}, 'ix', i, 'element', x, 'id_name', string(null), "
+    "'id_value', string(null), 'attrs', cast(null AS map<string,string>)))))"
+)
+
+
 def _set_name(path: Column) -> Column:
     """Array path -> sample set: without a final ``s``, plus ``Samples``."""
     return F.concat(F.regexp_replace(path, "s$", ""), F.lit("Samples"))
 
 
-def _element_attrs(x: Column, max_depth: int, scalar_key: str, number_style: str | None = None) -> Column:
-    """Attributes of one array element; arrays inside it stay JSON text under their set name."""
-    flat = V.flat_pairs(x, max_depth)
-    named = F.transform(
-        flat,
-        lambda e: F.struct(
-            F.when(V.is_array(e["value"]), _set_name(e["key"])).otherwise(e["key"]).alias("key"), e["value"]
-        ),
-    )
-    scalar = F.create_map(
-        F.when(V.is_array(x), "Samples").otherwise(F.lit(scalar_key)), F.coalesce(V.text(x), F.lit(""))
+def _row(set_name: Column, ix: Column, **parts: Column) -> Column:
+    fields = {"element": "variant", "id_name": "string", "id_value": "string", "attrs": maps.TEXT_MAP}
+    return F.struct(
+        set_name.alias("set_name"),
+        ix.cast("int").alias("ix"),
+        *[parts.get(f, F.lit(None)).cast(t).alias(f) for f, t in fields.items()],
     )
-    return F.when(V.is_object(x), V.text_map(named)).otherwise(scalar)
 
 
 def to_samples(
@@ -321,133 +340,94 @@ def to_samples(
     - ``time_value_pairs``: ``values: [[t, v], ...]`` and ``value: [t, v]`` inside elements become rows with
       ``timestamp`` and ``value``.
     """
-    strip = list(strip)
-    p = F.col(payload)
+    strip, p = list(strip), F.col(payload)
     opened = dict(v.split(">", 1) for v in (sample_keys or {}).values() if ">" in v)
 
     if split_objects:
         members = F.transform(
             F.filter(V.pairs(p), lambda e: V.is_object(e["value"])),
-            lambda e: F.struct(
-                F.lit("Samples").alias("set_name"),
-                F.lit(0).alias("ix"),
-                F.map_concat(
-                    _element_attrs(e["value"], max_depth, scalar_key), F.create_map(F.lit("split.id"), e["key"])
-                ).alias("attrs"),
+            lambda e: _row(
+                F.lit("Samples"), F.lit(0), element=e["value"], id_name=F.lit("split.id"), id_value=e["key"]
             ),
         )
         df = df.withColumns({"_top": maps.empty(), "_rows": members.cast(_ELEMENTS)})
-        return _emit_rows(df, payload)
+        return _emit_rows(df, payload, max_depth, scalar_key, False)
 
-    last = lambda key: F.regexp_extract(key, r"([^.]*)$", 1)
-    keep = (lambda key: last(key).isin(list(opened))) if opened else None
-    df = df.withColumn("_flat", V.flat_pairs(p, max_depth, keep=keep))
+    df = df.withColumn("_flat", V.flat_column(payload, max_depth, list(opened)))
     flat = F.col("_flat")
-    is_set = lambda e: V.is_array(e["value"]) | V.is_object(e["value"])
-    top = V.text_map(F.filter(flat, lambda e: ~is_set(e) & ~e["key"].contains("Samples")))
-    arrays = F.filter(flat, lambda e: V.is_array(e["value"]))
-
+    df = df.withColumns({"_top": F.expr(_TOP), "_arrays": F.expr(_ARRAYS)})
     if split_array:
-        df = df.withColumn("_top", top)
-        df = _split_arrays(df, arrays, list(set_header), leaf_array, number_style, max_depth, array_depth)
+        df = _split_arrays(df, list(set_header), leaf_array, number_style, max_depth, array_depth)
     else:
-
-        def rows_of(e: Column) -> Column:
-            # lists of scalars in a struct keep the path of the set beside each element
-            return F.transform(
-                V.as_array(e["value"]),
-                lambda x, i: F.struct(
-                    _set_name(e["key"]).alias("set_name"),
-                    i.alias("ix"),
-                    _element_attrs(x, max_depth, scalar_key).alias("attrs"),
-                ),
-            )
-
-        def paired_rows(e: Column) -> Column:
-            return F.flatten(
-                F.transform(V.as_array(e["value"]), lambda x, i: _time_value_rows(e, x, i, max_depth, scalar_key))
-            )
-
-        rows = F.flatten(F.transform(arrays, paired_rows if time_value_pairs else rows_of))
+        rows = F.expr(_ARRAY_ROWS).cast(_ELEMENTS)
         if opened:
-            id_name = F.lit(None).cast("string")
-            keyed = F.filter(flat, lambda e: V.is_object(e["value"]))
-
-            def keyed_rows(e: Column) -> Column:
-                name = id_name
-                for outer, ident in opened.items():
-                    name = F.when(last(e["key"]) == outer, F.lit(ident)).otherwise(name)
-                members = F.filter(V.pairs(e["value"]), lambda m: V.is_object(m["value"]))
-                return F.transform(
-                    members,
-                    lambda m, i: F.struct(
-                        _set_name(e["key"]).alias("set_name"),
-                        i.alias("ix"),
-                        F.map_concat(
-                            _element_attrs(m["value"], max_depth, scalar_key), F.create_map(name, m["key"])
-                        ).alias("attrs"),
-                    ),
-                )
-
-            rows = F.concat(rows, F.flatten(F.transform(keyed, keyed_rows)))
-        df = df.withColumns({"_top": top, "_rows": rows})
-
+            rows = F.concat(rows, _keyed_rows(flat, opened))
+        df = df.withColumn("_rows", rows)
     if strip:
         df = df.withColumns(
             {
                 "_top": F.map_filter("_top", lambda k, _: ~k.isin(strip)),
-                "_rows": F.filter("_rows", lambda r: ~r["set_name"].isin([s + "Samples" for s in strip])),
+                "_rows": F.filter("_rows", lambda r: ~r["set_name"].isin([k + "Samples" for k in strip])),
             }
         )
-    return _emit_rows(df.drop("_flat"), payload)
+    return _emit_rows(df.drop("_flat", "_arrays"), payload, max_depth, scalar_key, time_value_pairs)
 
 
-def _emit_rows(df: DataFrame, payload: str) -> DataFrame:
+def _keyed_rows(flat: Column, opened: Mapping[str, str]) -> Column:
+    """Objects of objects -> rows with the object key as an attribute."""
+    own_name = lambda key: F.substring_index(key, ".", -1)
+
+    def rows(e: Column) -> Column:
+        ident = F.coalesce(*[F.when(own_name(e["key"]) == a, F.lit(i)) for a, i in opened.items()])
+        members = F.filter(V.pairs(e["value"]), lambda m: V.is_object(m["value"]))
+        return F.transform(
+            members,
+            lambda m, i: _row(_set_name(e["key"]), i, element=m["value"], id_name=ident, id_value=m["key"]),
+        )
+
+    return F.flatten(F.transform(F.filter(flat, lambda e: V.is_object(e["value"])), rows))
+
+
+def _emit_rows(df: DataFrame, payload: str, max_depth: int, scalar_key: str, time_value_pairs: bool) -> DataFrame:
     """One row per element, or the scalars alone when there is none."""
-    out = df.withColumn("_row", F.explode_outer("_rows"))
-    row = F.col("_row")
     rest = [c for c in df.columns if c not in (payload, "_top", "_rows", "event_type", "sample_ix", "attrs")]
-    top = F.col("_top")
+    out = df.select(*rest, "_top", F.explode_outer("_rows").alias("_row"))
+    out = out.select(*rest, "_top", "_row", F.col("_row.element").alias("_el"))
+    el = F.col("_el")
+    out = out.withColumn("_flat", V.flat_column("_el", max_depth))
+    scalar = F.create_map(
+        F.when(V.is_array(el), "Samples").otherwise(F.lit(scalar_key)), F.coalesce(V.text(el), F.lit(""))
+    )
+    own = F.when(F.col("_flat").isNotNull(), F.expr(_OWN)).when(el.isNotNull(), scalar)
+    ident = F.when(
+        F.col("_row.id_name").isNotNull(), F.create_map("_row.id_name", F.col("_row.id_value"))
+    )
+    layers = [own, ident, F.col("_row.attrs")]
+    if time_value_pairs:
+        many, one = V.as_array(V.child(el, "values")), V.as_array(V.child(el, "value"))
+        pairs = F.when(F.size(V.as_array(F.get(many, 0))) == 2, F.transform(many, V.as_array)).when(
+            F.size(one) == 2, F.array(one)
+        )
+        out = out.select("*", F.explode_outer(pairs).alias("_pair"))
+        opened = F.create_map(
+            F.lit("timestamp"),
+            V.text(F.col("_pair")[0]).try_cast("double").cast("bigint").cast("string"),
+            F.lit("value"),
+            F.coalesce(V.text(F.col("_pair")[1]), F.lit("")),
+        )
+        is_pair = F.col("_pair").isNotNull()
+        layers[0] = F.when(is_pair, F.map_filter(own, lambda k, _: k != "valueSamples")).otherwise(own)
+        layers.append(F.when(is_pair, opened))
     return out.select(
         *rest,
-        F.coalesce(top["event_type"], row["set_name"]).alias("event_type"),
-        F.coalesce(row["ix"], F.lit(0)).alias("sample_ix"),
-        maps.overlay(row["attrs"], top).alias("attrs"),
+        F.coalesce(F.col("_top")["event_type"], "_row.set_name").alias("event_type"),
+        F.coalesce("_row.ix", F.lit(0)).alias("sample_ix"),
+        maps.overlay(*layers, F.col("_top")).alias("attrs"),
     )
 
 
-def _time_value_rows(e: Column, x: Column, i: Column, max_depth: int, scalar_key: str) -> Column:
-    """Rows of one element, with ``values`` or ``value`` pairs opened."""
-    attrs = _element_attrs(x, max_depth, scalar_key)
-    many, one = V.as_array(V.child(x, "values")), V.as_array(V.child(x, "value"))
-    seconds = F.get(many, 0)
-    is_pairs = F.size(V.as_array(seconds)) == 2
-    pairs = F.when(is_pairs, F.transform(many, V.as_array)).when(F.size(one) == 2, F.array(one))
-
-    def row(with_attrs: Column) -> Column:
-        return F.struct(_set_name(e["key"]).alias("set_name"), i.alias("ix"), with_attrs.alias("attrs"))
-
-    bare = F.map_filter(attrs, lambda k, _: ~k.isin("valueSamples"))
-    opened = F.transform(
-        pairs,
-        lambda pv: row(
-            F.map_concat(
-                bare,
-                F.create_map(
-                    F.lit("timestamp"),
-                    V.text(pv[0]).try_cast("double").cast("bigint").cast("string"),
-                    F.lit("value"),
-                    F.coalesce(V.text(pv[1]), F.lit("")),
-                ),
-            )
-        ),
-    )
-    return F.coalesce(opened, F.array(row(attrs)))
-
-
 def _split_arrays(
     df: DataFrame,
-    arrays: Column,
     header: list[str],
     leaf_array: bool,
     number_style: str,
@@ -480,9 +460,7 @@ def _split_arrays(
             lambda c: is_scalar(c["x"]),
         )
         name = lambda c: F.coalesce(F.get(names, c["i"]), F.concat(a["key"], c["i"].cast("string")))
-        sample = lambda ix, attrs: F.struct(
-            F.concat(a["root"], F.lit("Samples")).alias("set_name"), ix.alias("ix"), attrs.alias("attrs")
-        )
+        sample = lambda ix, attrs: _row(F.concat(a["root"], F.lit("Samples")), ix, attrs=attrs)
         if leaf_array:
             leaf = F.lit(header[0]) if header else None
             return F.transform(
@@ -524,7 +502,7 @@ def _split_arrays(
         )
 
     frontier = F.transform(
-        arrays,
+        "_arrays",
         lambda e: F.struct(
             e["key"].alias("root"), e["key"].alias("key"), e["value"].alias("value"), maps.empty().alias("dims")
         ),
