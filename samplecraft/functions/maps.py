@@ -47,8 +47,14 @@ def has_pair(attrs: Column, test: Callable[[Column, Column], Column]) -> Column:
     return F.exists(F.map_entries(attrs), lambda e: test(e["key"], e["value"]))
 
 
-def set_attrs(df: DataFrame, expr: Column, attrs: str = "attrs") -> DataFrame:
-    return df.withColumn(attrs, expr)
+def bind(df: DataFrame, expr: Column | str, attrs: str = "attrs") -> DataFrame:
+    """Set the map column as the output of a one-element explode.
+
+    A later filter on the map then stays above this point. Pushed below, it would hold a copy of the whole
+    expression for every mention of the map, and a copy of a copy for every step before.
+    """
+    rest = [F.col(f"`{c}`") for c in df.columns if c != attrs]
+    return df.select(*rest, F.explode(F.array(expr)).alias(attrs))
 
 
 def to_wide(df: DataFrame, keys: list[str] | Mapping[str, str], attrs: str = "attrs") -> DataFrame:

@@ -18,6 +18,7 @@ from samplecraft.functions.dialect import (
 
 # The number patterns of the value functions.
 PLUCK = r"[+-]?([0-9]*\.?[0-9]+|[0-9]+\.?[0-9]*)([eE][+-]?[0-9]+)?"
+_MAYBE_HUGE = r"[eE]\+?[0-9]{3}|[0-9]{309}"
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -27,7 +28,7 @@ _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 def as_number(text: Column) -> Column:
     """The text as a double if it is strictly a number, else null (no trimming, no suffixes)."""
     number = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    return F.when(F.abs(number) < float("inf"), number)
+    return F.when(text.rlike(_MAYBE_HUGE), F.when(F.abs(number) < float("inf"), number)).otherwise(number)
 
 
 def metric_value(text: Column, dimensional: bool = False) -> Column:
@@ -48,48 +49,31 @@ def metric_value(text: Column, dimensional: bool = False) -> Column:
 
 def fixed6(number: Column) -> Column:
     """Six decimals, never scientific."""
-    return F.format_string("%.6f", number.cast("double"))
+    return F.when(number.isNotNull(), F.format_string("%.6f", number.cast("double")))
 
 
 def integral(number: Column) -> Column:
     """No decimals, half to even."""
-    return F.format_string("%s", F.bround(number.cast("decimal(38,10)"), 0).cast("decimal(38,0)"))
+    return F.bround(number.try_cast("decimal(38,10)"), 0).cast("decimal(38,0)").cast("string")
 
 
 def shortest(number: Column) -> Column:
     """Shortest text of a double; ``d.ddde+XX`` below 1e-4 and from 1e6 on."""
     x = number.cast("double")
-    text = F.abs(x).cast("string")
-    mantissa = F.regexp_replace(F.split_part(text, F.lit("E"), F.lit(1)), r"\.0$", "")
-    shift = F.coalesce(F.nullif(F.split_part(text, F.lit("E"), F.lit(2)), F.lit("")).cast("int"), F.lit(0))
-    whole = F.split_part(mantissa, F.lit("."), F.lit(1))
-    frac = F.split_part(mantissa, F.lit("."), F.lit(2))
-    leading = F.length(F.regexp_extract(frac, "^0*", 0))
-    exponent = shift + F.when(whole == "0", -leading - 1).otherwise(F.length(whole) - 1)
-    digits = F.regexp_replace(F.concat(whole, frac), "^0+|0+$", "")
-    count = F.length(digits)
-    scientific = F.concat(
-        digits.substr(1, 1),
-        F.when(count > 1, F.concat(F.lit("."), digits.substr(F.lit(2), count))).otherwise(""),
-        F.when(exponent < 0, "e-").otherwise("e+"),
-        F.when(F.abs(exponent) < 10, "0").otherwise(""),
-        F.abs(exponent).cast("string"),
-    )
-    body = (
-        F.when((exponent < -4) | (exponent >= 6), scientific)
-        .when(exponent < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits))
-        .when(
-            count > exponent + 1,
-            F.concat(digits.substr(F.lit(1), exponent + 1), F.lit("."), digits.substr(exponent + 2, count)),
-        )
-        .otherwise(F.rpad(digits, exponent + 1, F.lit("0")))
-    )
+    text, size = x.cast("string"), F.abs(x)
+    shift = F.regexp_replace(F.regexp_replace(text, r"(?:\.0)?E(-?)(\d)$", "e$1+0$2"), r"(?:\.0)?E(-?)(\d\d+)$", "e$1+$2")
+    millions = F.regexp_replace(text, r"^(-?\d)(\d{6})\.(\d+)$", "$1.$2$3")
     return (
         F.when(F.isnan(x), "NaN")
-        .when(x == float("inf"), "+Inf")
-        .when(x == float("-inf"), "-Inf")
         .when(x == 0, "0")
-        .otherwise(F.concat(F.when(x < 0, "-").otherwise(""), body))
+        .when((size >= 1e-3) & (size < 1e6), F.regexp_replace(text, r"\.0$", ""))
+        .when(size == float("inf"), F.when(x > 0, "+Inf").otherwise("-Inf"))
+        .when((size >= 1e6) & (size < 1e7), F.concat(F.regexp_replace(millions, r"\.?0+$", ""), F.lit("e+06")))
+        .when(
+            (size >= 1e-4) & (size < 1e-3),
+            F.regexp_replace(F.regexp_replace(text, r"\.0E", "E"), r"^(-?)(\d)\.?(\d*)E-4$", r"$1\0.000$2$3"),
+        )
+        .when(x.isNotNull(), F.replace(shift, F.lit("-+"), F.lit("-")))
     )
 
 

@@ -66,6 +66,9 @@ def filter_samples(
 ) -> DataFrame:
     """Include first (``match_all`` supersedes it), exclude next."""
     exclude, include, match_all = list(exclude), list(include), list(match_all)
+    if not (exclude or include or match_all):
+        return df
+    df = maps.bind(df, attrs, attrs)
     if match_all:
         df = df.filter(matches_all(match_all, attrs, fixed6, compat))
     elif include:
@@ -105,7 +108,7 @@ def drop_events(df: DataFrame, filters: Iterable[Mapping[str, str]], attrs: str
             F.col(attrs),
             lambda k, v, f=f, m=mode, val=value: scalars.matches(k, f["key"], m) & scalars.matches(v, val, m),
         )
-    return df.filter(~gone)
+    return maps.bind(df, attrs, attrs).filter(~gone)
 
 
 def hold_back(df: DataFrame, ignore: bool | Column = True) -> DataFrame:

@@ -101,13 +101,11 @@ def custom_attributes(df: DataFrame, *levels: Mapping[str, object] | None, attrs
 
 def add_attributes(df: DataFrame, templates: Mapping[str, str], attrs: str = "attrs") -> DataFrame:
     """New attributes from ``${key}`` templates, each set only if a key was filled in."""
-    for name, template in templates.items():
-        value = fill_template(template, lambda k: F.col(attrs)[k])
-        df = df.withColumn(
-            attrs,
-            F.when(value.isNotNull(), F.map_concat(attrs, F.create_map(F.lit(name), value))).otherwise(F.col(attrs)),
-        )
-    return df
+    if not templates:
+        return df
+    made = {f"_t{i}": fill_template(t, lambda k: F.col(attrs)[k]) for i, t in enumerate(templates.values())}
+    added = [F.when(F.col(c).isNotNull(), F.create_map(F.lit(n), F.col(c))) for n, c in zip(templates, made, strict=True)]
+    return maps.bind(df.withColumns(made), maps.overlay(F.col(attrs), *added), attrs).drop(*made)
 
 
 def prefix_keys(df: DataFrame, prefix: str, attrs: str = "attrs") -> DataFrame:
@@ -142,9 +140,7 @@ def name_events(
     automatic = F.coalesce(F.replace(own, F.lit("Samples"), F.lit("Sample")), F.lit(name + "Sample"))
     chosen = F.lit(event_type) if event_type and not merging else automatic
     event = clean_event_name(F.when(own == error_type, own).otherwise(chosen))
-    return df.withColumn("event_type", event).withColumn(
-        attrs, F.map_filter(attrs, lambda k, _: k != "event_type")
-    )
+    return df.withColumns({"event_type": event, attrs: F.map_filter(attrs, lambda k, _: k != "event_type")})
 
 
 def rename_samples(df: DataFrame, rules: Mapping[str, str], attrs: str = "attrs") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -114,31 +115,50 @@ def map_values(
 ) -> DataFrame:
     """``key`` or ``key=>new`` -> ordered ``regex=>template`` rules; the first that matches wins."""
     into = into or attrs
-    for target, options in rules.items():
+    layers: dict[str, list[Column]] = {}
+    made: dict[str, Column] = {}
+    for i, (target, options) in enumerate(rules.items()):
         key, _, new = target.partition("=>")
-        value = scalars.map_value(F.col(attrs)[key], list(options))
-        dest = into if new else attrs
-        df = df.withColumn(
-            dest,
-            F.when(value.isNotNull(), F.map_concat(dest, F.create_map(F.lit(new or key), value))).otherwise(
-                F.col(dest)
-            ),
-        )
-    return df
+        made[f"_m{i}"] = scalars.map_value(F.col(attrs)[key], list(options))
+        layer = F.when(F.col(f"_m{i}").isNotNull(), F.create_map(F.lit(new or key), F.col(f"_m{i}")))
+        layers.setdefault(into if new else attrs, []).append(layer)
+    if not made:
+        return df
+    df = df.withColumns(made)
+    for column, found in layers.items():
+        df = maps.bind(df, maps.overlay(F.col(column), *found), column)
+    return df.drop(*made)
 
 
 def compute(df: DataFrame, formulas: Mapping[str, str], attrs: str = "attrs") -> DataFrame:
     """New attributes from formulas over ``${key}``; not set when a key is missing or no number."""
-    for name, text in formulas.items():
-        result, is_bool = scalars.formula(text, lambda k: scalars.as_number(F.col(attrs)[k]))
-        value = result.cast("string") if is_bool else scalars.number_text(result)
-        df = df.withColumn(
-            attrs,
-            F.when(value.isNotNull(), F.map_concat(attrs, F.create_map(F.lit(name), value))).otherwise(F.col(attrs)),
-        )
+    for stage in _formula_stages(formulas):
+        used = list(dict.fromkeys(k for t in stage.values() for k in _KEYS.findall(t)))
+        numbers = {f"_n{i}": scalars.as_number(F.col(attrs)[k]) for i, k in enumerate(used)}
+        made, added = {}, []
+        for i, (name, text) in enumerate(stage.items()):
+            result, is_bool = scalars.formula(text, lambda k: F.col(f"_n{used.index(k)}"))  # noqa: B023
+            made[f"_f{i}"] = result
+            shown = F.col(f"_f{i}").cast("string") if is_bool else scalars.number_text(F.col(f"_f{i}"))
+            added.append(F.when(F.col(f"_f{i}").isNotNull(), F.create_map(F.lit(name), shown)))
+        df = (df.withColumns(numbers) if numbers else df).withColumns(made)
+        df = maps.bind(df, maps.overlay(F.col(attrs), *added), attrs).drop(*numbers, *made)
     return df
 
 
+_KEYS = re.compile(r"\$\{(.*?)\}")
+
+
+def _formula_stages(formulas: Mapping[str, str]) -> list[dict[str, str]]:
+    """Formulas in declared order, a new stage wherever one reads an earlier result of its stage."""
+    stages: list[dict[str, str]] = [{}]
+    for name, text in formulas.items():
+        if any(k in stages[-1] for k in _KEYS.findall(text)):
+            stages.append({})
+        stages[-1][name] = text
+    return [s for s in stages if s]
+
+
 def render_numbers(df: DataFrame, style: str = "fixed6", attrs: str = "attrs") -> DataFrame:
     """Render numeric values as ``fixed6``, ``shortest`` or ``integral``; other values stay."""
     fn = {"fixed6": scalars.fixed6, "shortest": scalars.shortest, "integral": scalars.integral}[style]

@@ -23,6 +23,7 @@ def _unescape(text: Column) -> Column:
 
 
 def _labels(text: Column) -> Column:
+    """Label map of the text between the braces."""
     names = F.regexp_extract_all(text, F.lit(_LABEL), F.lit(1))
     values = F.regexp_extract_all(text, F.lit(_LABEL), F.lit(2))
     return F.map_from_arrays(names, F.transform(values, _unescape))
@@ -44,22 +45,31 @@ def parse_exposition(df: DataFrame, body: str = "body", go_metrics: bool = True,
     """
     rest = [c for c in df.columns if c != body]
     df = df.select(*rest, F.transform(lines_of(F.col(body)), lambda x: F.rtrim(F.ltrim(x))).alias("_lines"))
-    samples = F.filter(
-        F.transform("_lines", lambda x, i: F.struct(i.alias("line_no"), x.alias("line"))),
-        lambda x: ~x["line"].startswith("#") & x["line"].rlike(_SAMPLE),
+    cells = F.transform(
+        F.filter(
+            F.transform("_lines", lambda x, i: F.struct(i.alias("line_no"), x.alias("line"))),
+            lambda x: (x["line"] != "") & ~x["line"].startswith("#"),
+        ),
+        # one regex pass per line: its groups, separated by a character no line holds
+        lambda x: F.struct(
+            x["line_no"], F.split(F.regexp_replace(x["line"], _SAMPLE, "$1\u0001$2\u0001$3"), "\u0001", -1).alias("c")
+        ),
     )
     df = df.select(
         *rest,
         _declared(F.col("_lines"), "TYPE", _TYPE).alias("_types"),
         _declared(F.col("_lines"), "HELP", _HELP).alias("_helps"),
-        F.explode(samples).alias("_s"),
+        F.explode(F.filter(cells, lambda x: F.size(x["c"]) == 3)).alias("_s"),
     )
-    line, types = F.col("_s.line"), F.col("_types")
-    name = F.regexp_extract(line, _SAMPLE, 1)
+    types = F.col("_types")
     df = df.select(
-        *rest, "_types", "_helps", F.col("_s.line_no").alias("line_no"), name.alias("name"),
-        _labels(F.regexp_extract(line, _SAMPLE, 2)).alias("labels"),
-        F.regexp_extract(line, _SAMPLE, 3).alias("_value"),
+        *rest,
+        "_types",
+        "_helps",
+        F.col("_s.line_no").alias("line_no"),
+        F.col("_s.c")[0].alias("name"),
+        _labels(F.col("_s.c")[1]).alias("labels"),
+        F.lower(F.col("_s.c")[2]).alias("_value"),
     )
     name = F.col("name")
     base = F.regexp_replace(name, "_(bucket|count|sum)$", "")
@@ -68,19 +78,22 @@ def parse_exposition(df: DataFrame, body: str = "body", go_metrics: bool = True,
         (base_type == "histogram") | ((base_type == "summary") & ~name.endswith("_bucket"))
     )
     df = df.withColumn("family", F.when(F.coalesce(is_piece, F.lit(False)), base).otherwise(name))
+    if not go_metrics:
+        own = F.col("family").contains("go_") if compat else F.col("family").startswith("go_")
+        df = df.filter(~own)
     kind = F.upper(F.coalesce(types[F.col("family")], F.lit("untyped")))
     suffix = F.regexp_extract(name, "_(bucket|count|sum)$", 1)
     part = F.when(name != F.col("family"), suffix).when(
         (kind == "SUMMARY") & F.map_contains_key("labels", "quantile"), "quantile"
     )
-    value = F.lower("_value")
+    value = F.col("_value")
     number = (
         F.when(value.isin("inf", "+inf"), F.lit(float("inf")))
         .when(value == "-inf", F.lit(float("-inf")))
         .when(value == "nan", F.lit(float("nan")))
         .otherwise(F.col("_value").try_cast("double"))
     )
-    out = df.select(
+    return df.select(
         *rest,
         "line_no",
         "family",
@@ -91,10 +104,6 @@ def parse_exposition(df: DataFrame, body: str = "body", go_metrics: bool = True,
         number.alias("value"),
         part.alias("part"),
     )
-    if go_metrics:
-        return out
-    own = F.col("family").contains("go_") if compat else F.col("family").startswith("go_")
-    return out.filter(~own)
 
 
 def _label_key(labels: Column) -> Column:

@@ -79,13 +79,14 @@ def select_pages(
     payload_key: str | None = None,
     max_pages: int = 0,
     max_pages_key: str | None = None,
+    increment: int = 1,
     body: str = "body",
 ) -> DataFrame:
     """Pages of each request, in order, up to the stop.
 
     A page outside 2xx ends the sequence without being kept; a page whose ``payload_key`` is an empty list
     or object ends it and is kept, as is the last of ``max_pages`` (or of the number under
-    ``max_pages_key``). The stop is a minimum per request, so no request is ever sorted in one task.
+    ``max_pages_key``); page numbers grow by ``increment``. The stop is a minimum per request, so no request is ever sorted in one task.
     """
     text, number = F.col(body), F.col(page)
     failed = ~F.col(status).between(200, 299)
@@ -101,7 +102,7 @@ def select_pages(
     last = F.least(
         F.col("_before") - 1,
         F.col("_empty") if payload_key else F.lit(None).cast("bigint"),
-        F.col("_first") + limit - 1,
+        F.col("_first") + (limit - 1) * increment,
     )
     stops = stops.select(F.col(request).alias("_request"), last.alias("_last"))
     joined = df.join(stops, F.col(request).eqNullSafe(F.col("_request")))
@@ -187,7 +188,7 @@ def html_table_samples(df: DataFrame, page_id: str = "page_id", html: str = "htm
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = [
-                (pid, t, r, list(cells.items()))
+                (pid, t, r, cells)
                 for pid, text in zip(batch[page_id], batch[html], strict=True)
                 for t, r, cells in _table_rows(text)
             ]
