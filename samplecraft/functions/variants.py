@@ -62,8 +62,21 @@ def pairs(v: Column) -> Column:
     return F.map_entries(as_object(v))
 
 
-def _entry(key: Column, value: Column) -> Column:
-    return F.struct(key.alias("key"), value.alias("value"))
+SCALAR, LIST, FIELDS = 0, 1, 2
+_KIND = (
+    "CASE WHEN try_cast({0} AS map<string,variant>) IS NOT NULL THEN 2 "
+    "WHEN try_cast({0} AS array<variant>) IS NOT NULL THEN 1 ELSE 0 END"
+)
+
+
+def kind_of(v: Column) -> Column:
+    """``FIELDS`` for an object, ``LIST`` for an array, else ``SCALAR``."""
+    return F.when(is_object(v), FIELDS).when(is_array(v), LIST).otherwise(SCALAR)
+
+
+def entry(key: Column, value: Column) -> Column:
+    """(path, value, kind): the kind is worked out once, when an entry is made."""
+    return F.struct(key.alias("key"), value.alias("value"), kind_of(value).alias("kind"))
 
 
 def flat_pairs(
@@ -71,37 +84,44 @@ def flat_pairs(
     max_depth: int = 8,
     sep: str = ".",
     arrays: bool = False,
-    keep: Callable[[Column], Column] | None = None,
     start: Column | None = None,
 ) -> Column:
-    """Nested fields as (dotted path, leaf) pairs; empty objects vanish.
+    """Nested fields as (dotted path, leaf, kind) entries; empty objects vanish.
 
     ``arrays=True`` also walks arrays, with the position as a path segment; otherwise an array is a leaf.
-    ``keep(path)`` true leaves that value unopened. ``start`` is an array of pairs to begin with instead of
-    the fields of ``v``. Below ``max_depth`` levels a value stays whole, as a leaf.
+    ``start`` is an array of entries to begin with instead of the fields of ``v``. Below ``max_depth`` levels
+    a value stays whole, as a leaf.
     """
 
     def open_one(e: Column) -> Column:
         fields = F.transform(
-            pairs(e["value"]), lambda c: _entry(F.concat(e["key"], F.lit(sep), c["key"]), c["value"])
+            pairs(e["value"]), lambda c: entry(F.concat(e["key"], F.lit(sep), c["key"]), c["value"])
         )
-        options = [fields]
+        opened = F.when(e["kind"] == FIELDS, fields)
         if arrays:
-            options.append(
-                F.transform(
-                    as_array(e["value"]),
-                    lambda x, i: _entry(F.concat(e["key"], F.lit(sep), i.cast("string")), x),
-                )
+            elements = F.transform(
+                as_array(e["value"]), lambda x, i: entry(F.concat(e["key"], F.lit(sep), i.cast("string")), x)
             )
-        opened = F.coalesce(*options, F.array(_entry(e["key"], e["value"])))
-        if keep is None:
-            return opened
-        return F.when(keep(e["key"]), F.array(_entry(e["key"], e["value"]))).otherwise(opened)
+            opened = opened.when(e["kind"] == LIST, elements)
+        return opened.otherwise(F.array(e))
+
+    def nested(e: Column) -> Column:
+        return (e["kind"] == FIELDS) | (e["kind"] == LIST) if arrays else e["kind"] == FIELDS
+
+    def open_all(level: Column, left: int) -> Column:
+        if not left:
+            return level
+        # bind the level, so that the check and the opening share one evaluation
+        return F.transform(
+            F.array(level),
+            lambda es: F.when(
+                F.exists(es, nested), open_all(F.flatten(F.transform(es, open_one)), left - 1)
+            ).otherwise(es),
+        )[0]
 
-    level = pairs(v) if start is None else start
-    for _ in range(max_depth - (1 if start is None else 0)):
-        level = F.flatten(F.transform(level, open_one))
-    return level
+    if start is None:
+        return open_all(F.transform(pairs(v), lambda c: entry(c["key"], c["value"])), max_depth - 1)
+    return open_all(start, max_depth)
 
 
 def flat_column(name: str, max_depth: int = 8, unopened: list[str] | None = None) -> Column:
@@ -109,16 +129,22 @@ def flat_column(name: str, max_depth: int = 8, unopened: list[str] | None = None
 
     Fields whose own name is in ``unopened`` stay whole.
     """
-    opened = (
-        "coalesce(transform(map_entries(try_cast(e.value AS map<string,variant>)), "
-        "c -> named_struct('key', concat(e.key, '.', c.key), 'value', c.value)), array(e))"
-    )
+    made = f"named_struct('key', {{}}, 'value', c.value, 'kind', {_KIND.format('c.value')})"
+    fields = "map_entries(try_cast({} AS map<string,variant>))"
+    inner = made.format("concat(e.key, '.', c.key)")
+    skip = ""
     if unopened:
         listed = ", ".join("'" + u.replace("\\", "\\\\").replace("'", "\\'") + "'" for u in unopened)
-        opened = f"if(substring_index(e.key, '.', -1) IN ({listed}), array(e), {opened})"
-    level = f"map_entries(try_cast(`{name}` AS map<string,variant>))"
-    for _ in range(max_depth - 1):
-        level = f"flatten(transform({level}, e -> {opened}))"
+        skip = f" AND NOT substring_index(e.key, '.', -1) IN ({listed})"
+    opened = f"if(e.kind = 2{skip}, transform({fields.format('e.value')}, c -> {inner}), array(e))"
+    nested = f"exists({{}}, e -> e.kind = 2{skip})"
+    # innermost first: each level is bound to a name and opened only if it still holds objects
+    body = f"l{max_depth - 1}"
+    for i in range(max_depth - 1, 0, -1):
+        expand = f"flatten(transform(l{i - 1}, e -> {opened}))"
+        body = f"if({nested.format(f'l{i - 1}')}, transform(array({expand}), l{i} -> {body})[0], l{i - 1})"
+    start = f"transform({fields.format(f'`{name}`')}, c -> {made.format('c.key')})"
+    level = f"transform(array({start}), l0 -> {body})[0]"
     return F.expr(level)
 
 

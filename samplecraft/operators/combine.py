@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samplecraft.functions import maps
+from samplecraft.functions.rows import each
 from samplecraft.functions.scalars import fill_template
 
 
@@ -47,7 +48,7 @@ def merge_samples(sources: Iterable[Source], group: Sequence[str] = (), event_ty
     for no, source in enumerate(sources):
         entries = F.map_entries(source.prefixed())
         place = F.struct(F.lit(no).alias("no"), *[F.col(c).cast("string" if t == "string" else "bigint").alias(f"o{i}") for i, (c, t) in enumerate((c, dict(source.df.dtypes)[c]) for c in source.order)])
-        parts.append(source.df.select(*group, place.alias("_place"), F.explode(entries).alias("_e")))
+        parts.append(each(source.df, [*group, place.alias("_place")], entries, "_e"))
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
@@ -90,8 +91,7 @@ def lookup_values(df: DataFrame, key: str, name: str = "value", attrs: str = "at
     """The distinct values of an attribute as a one-column set; list values are split."""
     value = F.col(attrs)[key]
     listed = F.when(value.startswith("["), F.from_json(value, "array<string>"))
-    rows = df.select(F.explode(F.coalesce(listed, F.array(value))).alias(name))
-    return rows.filter(F.col(name).isNotNull()).distinct()
+    return each(df, [], F.coalesce(listed, F.array(value)), name).distinct()
 
 
 _SLOT = re.compile(r"\$\{lookup:(.*?)\}")
@@ -143,7 +143,7 @@ def lookup_fan_out(targets: DataFrame, template: str, sets: Mapping[str, DataFra
                     F.array_join(F.slice(parts, i + 1, F.size(parts)), after).alias("left"),
                 ),
             )
-            out = out.filter(F.contains("_left", F.lit(after))).withColumn("_cut", F.explode(cuts))
+            out = each(out.filter(F.contains("_left", F.lit(after))), ["*"], cuts, "_cut")
             out = out.withColumns({column: F.col("_cut.part"), "_left": F.col("_cut.left")}).drop("_cut")
         else:
             out = out.withColumn(column, F.col("_left")).withColumn("_left", F.lit(""))

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from samplecraft.functions import maps, scalars
+from samplecraft.functions.rows import each
 
 KINDS = ("RATE", "PRATE", "DELTA", "PDELTA", "ATTRIBUTE")
 
@@ -40,7 +41,8 @@ def metric_rows(
 ) -> DataFrame:
     """Long form: one row per attribute with ``metric, kind, value, text``; no number is an ``ATTRIBUTE``."""
     rest = [c for c in df.columns if c != attrs]
-    cells = df.select(*rest, F.explode(attrs).alias("metric", "text"))
+    cells = each(df, rest, F.map_entries(attrs), "_e")
+    cells = cells.select(*rest, F.col("_e.key").alias("metric"), F.col("_e.value").alias("text"))
     value = scalars.metric_value(F.col("text"))
     kind = F.when(value.isNull(), "ATTRIBUTE").otherwise(metric_kind(F.col("metric"), rules or {}, auto_set, mode))
     out = cells.withColumns({"_value": value, "kind": kind})
@@ -250,7 +252,7 @@ def event_rows(df: DataFrame, rules: Mapping[str, str], attrs: str = "attrs") ->
 
 def _listed(df: DataFrame, rest: list[str], cells: list[Column], needed: str) -> DataFrame:
     present = F.filter(F.array(*cells), lambda c: c[needed].isNotNull())
-    return df.select(*rest, F.explode(present).alias("_cell")).select(*rest, "_cell.*")
+    return each(df, rest, present, "_cell").select(*rest, "_cell.*")
 
 
 def run_counters(df: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from samplecraft.functions import maps, scalars
 from samplecraft.functions import variants as V
+from samplecraft.functions.rows import each
 
 # One future row: its set, its place, and either a value to flatten or finished attributes.
 _ELEMENTS = (
@@ -34,7 +35,12 @@ def payload_objects(df: DataFrame, payload: str = "payload") -> DataFrame:
         F.transform(F.coalesce(V.as_array(p), F.array(p)), lambda x: F.coalesce(V.as_array(x), F.array(x)))
     )
     objects = F.filter(inner, V.is_object)
-    return df.withColumn(payload, F.explode(objects))
+    return _replace_by_each(df, payload, objects)
+
+
+def _replace_by_each(df: DataFrame, payload: str, values: Column) -> DataFrame:
+    rest = [F.col(f"`{c}`") for c in df.columns if c != payload]
+    return each(df, rest, values, "_one").withColumnRenamed("_one", payload)
 
 
 # ---------------------------------------------------------------- path extraction
@@ -93,7 +99,7 @@ def extract(df: DataFrame, query: str, payload: str = "payload") -> DataFrame:
     found = F.concat(*outputs)
     first_array = F.get(F.filter(found, V.is_array), 0)
     chosen = F.coalesce(V.as_array(first_array), F.filter(found, V.is_object))
-    return df.withColumn(payload, F.explode(chosen))
+    return _replace_by_each(df, payload, chosen)
 
 
 # ---------------------------------------------------------------- descent
@@ -225,6 +231,10 @@ def lazy_flatten(df: DataFrame, keys: Iterable[str], max_depth: int = 8, payload
     return df
 
 
+def _value_map(entries: Column) -> Column:
+    return F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"], e["value"])))
+
+
 def _lazy_value(key: str, max_depth: int) -> Callable[[Column, Column], Column]:
     outer, _, inner = key.partition(">")
 
@@ -233,14 +243,14 @@ def _lazy_value(key: str, max_depth: int) -> Callable[[Column, Column], Column]:
 
     def in_element(x: Column) -> Column:
         flat = F.filter(V.flat_pairs(x, max_depth, arrays=True), lambda e: e["key"].contains(inner))
-        return V.edit_object(x, lambda f: F.map_concat(without_inner(f), F.map_from_entries(flat)))
+        return V.edit_object(x, lambda f: F.map_concat(without_inner(f), _value_map(flat)))
 
     def value(name: Column, v: Column) -> Column:
         if not inner:
-            start = F.array(F.struct(F.lit("flat").alias("key"), v.alias("value")))
-            flat = V.rebuild(F.map_from_entries(V.flat_pairs(v, max_depth, arrays=True, start=start)))
+            start = F.array(V.entry(F.lit("flat"), v))
+            flat = V.rebuild(_value_map(V.flat_pairs(v, max_depth, arrays=True, start=start)))
             return F.when(name == outer, flat).otherwise(v)
-        whole = V.rebuild(F.map_from_entries(V.flat_pairs(v, max_depth, arrays=True)))
+        whole = V.rebuild(_value_map(V.flat_pairs(v, max_depth, arrays=True)))
         in_object = V.edit_object(
             v, lambda f: F.map_concat(without_inner(f), F.create_map(F.lit(inner), whole))
         )
@@ -279,17 +289,15 @@ def flatten_columns(df: DataFrame, body: str, schema: T.StructType | str, sep: s
 
 # Expressions over a column ``_flat`` of (path, leaf) pairs, kept as SQL text: building the same from nested
 # Python lambdas costs a second of driver time per plan.
-_IS_ARRAY = "try_cast(e.value AS array<variant>) IS NOT NULL"
-_IS_OBJECT = "try_cast(e.value AS map<string,variant>) IS NOT NULL"
 _SET_NAME = "concat(regexp_replace(e.key, 's$', ''), 'Samples')"
 _TEXT = "map_from_entries(filter({}, p -> p.value IS NOT NULL))"
-_ARRAYS = f"filter(_flat, e -> {_IS_ARRAY})"
+_ARRAYS = "filter(_flat, e -> e.kind = 1)"
 _TOP = _TEXT.format(
-    f"transform(filter(_flat, e -> NOT ({_IS_ARRAY}) AND NOT ({_IS_OBJECT}) AND NOT contains(e.key, 'Samples')), "
+    "transform(filter(_flat, e -> e.kind = 0 AND NOT contains(e.key, 'Samples')), "
     "e -> named_struct('key', e.key, 'value', try_cast(e.value AS string)))"
 )
 _OWN = _TEXT.format(
-    f"transform(_flat, e -> named_struct('key', if({_IS_ARRAY}, {_SET_NAME}, e.key), "
+    f"transform(_flat, e -> named_struct('key', if(e.kind = 1, {_SET_NAME}, e.key), "
     "'value', try_cast(e.value AS string)))"
 )
 _ARRAY_ROWS = (
@@ -385,7 +393,7 @@ def _keyed_rows(flat: Column, opened: Mapping[str, str]) -> Column:
             lambda m, i: _row(_set_name(e["key"]), i, element=m["value"], id_name=ident, id_value=m["key"]),
         )
 
-    return F.flatten(F.transform(F.filter(flat, lambda e: V.is_object(e["value"])), rows))
+    return F.flatten(F.transform(F.filter(flat, lambda e: e["kind"] == V.FIELDS), rows))
 
 
 def _emit_rows(df: DataFrame, payload: str, max_depth: int, scalar_key: str, time_value_pairs: bool) -> DataFrame:
@@ -484,20 +492,18 @@ def _split_arrays(
         def open_one(x: Column) -> Column:
             flat = V.flat_pairs(x, max_depth, sep="-")
             prefixed = F.transform(
-                flat, lambda e: F.struct(F.concat(a["key"], F.lit("-"), e["key"]).alias("key"), e["value"])
+                flat,
+                lambda e: F.struct(F.concat(a["key"], F.lit("-"), e["key"]).alias("key"), e["value"], e["kind"]),
             )
-            dims = V.text_map(F.filter(prefixed, lambda e: is_scalar(e["value"])))
+            dims = V.text_map(F.filter(prefixed, lambda e: e["kind"] == V.SCALAR))
             found = F.transform(
-                F.filter(prefixed, lambda e: V.is_array(e["value"])), lambda e: item(e["key"], e["value"], dims)
-            )
-            return F.coalesce(
-                F.when(V.is_array(x), F.array(item(a["key"], x, a["dims"]))),
-                F.when(V.is_object(x), found),
-                F.array().cast("array<struct<key:string,value:variant,dims:map<string,string>>>"),
+                F.filter(prefixed, lambda e: e["kind"] == V.LIST), lambda e: item(e["key"], e["value"], dims)
             )
+            return F.when(V.is_array(x), F.array(item(a["key"], x, a["dims"]))).otherwise(found)
 
+        nested = F.filter(V.as_array(a["value"]), lambda x: ~is_scalar(x))
         return F.transform(
-            F.flatten(F.transform(V.as_array(a["value"]), open_one)),
+            F.flatten(F.transform(nested, open_one)),
             lambda n: F.struct(a["root"].alias("root"), n["key"], n["value"], n["dims"]),
         )
 

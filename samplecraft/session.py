@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTINGS = {
     # Two keys may become equal after a rename or a merge: the later one wins.
@@ -12,6 +12,19 @@ _SETTINGS = {
 }
 
 
+def spread(df: DataFrame, min_bytes: int = 262_144) -> DataFrame:
+    """Deal the rows of a scan with fewer splits than the cluster has cores out to all cores.
+
+    Parsing a payload costs far more than moving it, and a few unsplittable files would leave most cores
+    idle. Scans with enough splits, which is every large table, and tiny ones are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution()
+    if int(str(plan.optimizedPlan().stats().sizeInBytes())) < min_bytes:
+        return df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Set the runtime options that the operators need; safe to call repeatedly."""
     for key, value in _SETTINGS.items():

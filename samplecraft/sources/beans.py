@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from samplecraft.functions import maps
 from samplecraft.functions import variants as V
+from samplecraft.functions.rows import each
 from samplecraft.sources.text import lines_of
 
 # What stands in for parts that are missing.
@@ -53,7 +54,7 @@ def bean_samples(
     """
     keep = [c for c in df.columns if c not in (payload, earlier)] if keep is None else keep
     carried = [F.col(earlier).alias("_earlier")] if earlier else []
-    rows = df.select(*keep, *carried, F.explode(V.pairs(F.col(payload))).alias("_e"))
+    rows = each(df, [*keep, *carried], V.pairs(F.col(payload)), "_e")
     key, value = F.col("_e.key"), V.text(F.col("_e.value"))
     if group_by:
         group = F.coalesce(

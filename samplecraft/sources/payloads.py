@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from samplecraft.functions import maps
 from samplecraft.functions.dialect import java_regex
+from samplecraft.functions.rows import each
 
 
 # ---------------------------------------------------------------- scans
@@ -57,7 +58,7 @@ def csv_text_samples(df: DataFrame, set_header: Sequence[str] = (), body: str =
     ragged = F.exists("_data", lambda r: F.size(r) != F.size("_head"))
     error = F.when(ragged, F.lit("record with a wrong number of fields"))
     rows = F.when(ragged, F.array(F.lit(None).cast("array<string>"))).otherwise(F.col("_data"))
-    df = df.select(*rest, "_head", error.alias("error_msg"), F.posexplode(rows).alias("sample_ix", "_cells"))
+    df = each(df, [*rest, "_head", error.alias("error_msg")], rows, "_cells", pos="sample_ix")
     attrs = F.map_from_arrays("_head", "_cells")
     return df.select(*rest, "sample_ix", F.coalesce(attrs, maps.empty()).alias("attrs"), "error_msg")
 

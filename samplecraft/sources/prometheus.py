@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samplecraft.functions import maps, scalars
+from samplecraft.functions.rows import each
 from samplecraft.sources.text import lines_of
 
 # The exposition grammar.
@@ -55,12 +56,11 @@ def parse_exposition(df: DataFrame, body: str = "body", go_metrics: bool = True,
             x["line_no"], F.split(F.regexp_replace(x["line"], _SAMPLE, "$1\u0001$2\u0001$3"), "\u0001", -1).alias("c")
         ),
     )
-    df = df.select(
-        *rest,
+    declared = [
         _declared(F.col("_lines"), "TYPE", _TYPE).alias("_types"),
         _declared(F.col("_lines"), "HELP", _HELP).alias("_helps"),
-        F.explode(F.filter(cells, lambda x: F.size(x["c"]) == 3)).alias("_s"),
-    )
+    ]
+    df = each(df, [*rest, *declared], F.filter(cells, lambda x: F.size(x["c"]) == 3), "_s")
     types = F.col("_types")
     df = df.select(
         *rest,

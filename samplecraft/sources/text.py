@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from samplecraft.functions import maps
 from samplecraft.functions.dialect import count_groups, java_regex
+from samplecraft.functions.rows import each
 
 
 def lines_of(body: Column) -> Column:
@@ -92,7 +93,7 @@ def column_samples(
         & (F.lit(line_end == 0) | (x["line_no"] < line_end)),
     )
     carried = [F.col(earlier).alias("_earlier")] if earlier else []
-    df = df.select(*rest, *carried, names.alias("_names"), F.explode(wanted).alias("_line"))
+    df = each(df, [*rest, *carried, names.alias("_names")], wanted, "_line")
     df = df.withColumn("_cells", _cells(F.col("_line.line"), split_by, regex_match))
     width = F.least(F.size("_names"), F.size("_cells"))
     row = F.map_from_arrays(F.slice("_names", 1, width), F.slice("_cells", 1, width))
@@ -147,7 +148,7 @@ def block_samples(
     With ``keys_multi`` the n-th matching line of a block prefixes its keys with ``keys_multi[n]``.
     """
     rest = [c for c in df.columns if c != body]
-    out = split_blocks(df, split_output, body).select(*rest, F.posexplode("blocks").alias("sample_ix", "_block"))
+    out = each(split_blocks(df, split_output, body), rest, "blocks", "_block", pos="sample_ix")
     rules = list(regex_matches)
     if rules:
         pairs = F.concat(*[_fields(F.col("_block"), rule) for rule in rules])

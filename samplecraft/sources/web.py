@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from samplecraft.functions import maps
 from samplecraft.functions import variants as V
+from samplecraft.functions.rows import each
 
 # ---------------------------------------------------------------- responses
 
@@ -41,7 +42,7 @@ def response_payloads(
     whole = F.col("_v")
     listed = F.filter(F.transform(V.as_array(whole), element), lambda m: m.isNotNull())
     fields = F.coalesce(listed, F.when(V.is_object(whole), F.array(V.as_object(whole))))
-    rows = df.select(*rest, "_env", F.posexplode(fields).alias("element_ix", "_fields"))
+    rows = each(df, [*rest, "_env"], fields, "_fields", pos="element_ix")
     return rows.select(*rest, "element_ix", V.rebuild(F.map_concat("_env", "_fields")).alias(payload))
 
 

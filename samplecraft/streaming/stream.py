@@ -16,6 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from samplecraft.functions import maps
+from samplecraft.functions.rows import each
 from samplecraft.plans.sampling import SampleSpec, to_samples
 
 _DIFFERENCE_KINDS = ("RATE", "PRATE", "DELTA", "PDELTA")
@@ -151,9 +152,7 @@ def stream_merge(
     The frame needs a watermark on ``ts``. The winner of each key is aggregated first; the second
     aggregation, chained on the same window, assembles them.
     """
-    entries = df.select(
-        ts, *group, F.struct(*order).alias("_place"), F.explode(F.map_entries(attrs)).alias("_e")
-    )
+    entries = each(df, [ts, *group, F.struct(*order).alias("_place")], F.map_entries(attrs), "_e")
     winners = entries.groupBy(F.window(ts, window), *group, F.col("_e.key").alias("_k")).agg(
         F.max_by("_e.value", "_place").alias("_v")
     )
