@@ -1 +1,121 @@
-"""To be filled."""
+"""Structured Streaming runs over the tables, drained once; results are read back from the sink."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from catalog.registry import attr, attrs_of, doc, query, table, text
+from samplecraft.operators import combine as C
+from samplecraft.plans.sampling import SampleSpec
+from samplecraft.sources import prometheus as P
+from samplecraft.streaming import stream as S
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A fresh folder below the cluster's shared checkpoint folder; a local one only where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return f"{base.rstrip('/')}/samplecraft-{uuid.uuid4().hex}"
+
+
+def events(spark: SparkSession, sf: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
+def drain(spark: SparkSession, df: DataFrame, mode: str = "append") -> DataFrame:
+    """Run a stream over everything that is there and read the sink back."""
+    folder = work_folder(spark)
+    run = (
+        df.writeStream.outputMode(mode)
+        .format("parquet")
+        .option("checkpointLocation", f"{folder}/state")
+        .option("path", f"{folder}/out")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{folder}/out")
+
+
+@query("""
+    SELECT event_type, count(*) AS n, CAST(sum(2 * CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS doubled FROM events
+    WHERE NOT regexp_matches(json_extract_string(props, '$.k'), '^8') GROUP BY event_type
+""")
+def stream_stateless_samples(spark, sf):
+    body = doc(event_type="event_type", detail=F.from_json("props", "k bigint"))
+    spec = SampleSpec(sample_filter=[{"k$": "^8"}], math={"double": "${detail.k} * 2"})
+    out = S.sample_stream(events(spark, sf).select("event_id", body.alias("body")), spec)
+    rows = drain(spark, out.select("event_id", "event_type", attr("double", "bigint").alias("double")))
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("double").alias("doubled"))
+
+
+@query("SELECT event_id, value AS gauge, event_type AS type FROM events")
+def stream_grouped_per_batch(spark, sf):
+    folder = work_folder(spark)
+    body = F.concat(F.lit("# TYPE v gauge\n"), text('v{type="', F.col("event_type"), '"} ', F.col("value")))
+    payloads = events(spark, sf).select("event_id", body.alias("body"))
+    run = (
+        S.per_batch(
+            payloads,
+            lambda batch: P.label_samples(P.parse_exposition(batch), keep=["event_id"]),
+            lambda rows, number: rows.write.mode("overwrite").parquet(f"{folder}/out/batch={number}"),
+        )
+        .option("checkpointLocation", f"{folder}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    out = spark.read.parquet(f"{folder}/out")
+    return out.select("event_id", attr("v.gauge", "double").alias("gauge"), attr("type").alias("type"))
+
+
+@query("""
+    WITH w AS (SELECT event_type, user_id, ts, value AS v, lag(value) OVER s AS pv, epoch_us(ts) AS us, lag(epoch_us(ts)) OVER s AS pus
+               FROM events WINDOW s AS (PARTITION BY event_type, user_id ORDER BY ts))
+    SELECT event_type, user_id, us, CASE WHEN pus IS NULL THEN 0 ELSE round((v - pv) / ((us - pus) / 1000000.0::DOUBLE), 9) END AS rate FROM w
+""")
+def stream_rates(spark, sf):
+    out = S.stream_differences(events(spark, sf), ["event_type", "user_id"], kind=F.lit("RATE"))
+    rows = drain(spark, out)
+    return rows.select("event_type", "user_id", F.unix_micros("ts").alias("us"), F.round("reported", 9).alias("rate"))
+
+
+@query("""
+    SELECT event_id, event_type AS kind, user_id AS "user", n_name AS nation FROM events LEFT JOIN nation ON n_nationkey = user_id
+""")
+def stream_static_join(spark, sf):
+    ev = events(spark, sf).select("event_id", attrs_of(kind="event_type", user="user_id").alias("attrs"))
+    nations = table(spark, sf, "nation").select("n_nationkey", attrs_of(n_nationkey="n_nationkey", nation="n_name").alias("attrs"))
+    static = C.latest_by_key(C.Source(nations, order=["n_nationkey"]), "n_nationkey")
+    rows = drain(spark, S.stream_join(ev, static, "user"))
+    return rows.select(
+        "event_id", attr("kind").alias("kind"), attr("user", "bigint").alias("user"), attr("nation").alias("nation")
+    )
+
+
+@query("SELECT user_id AS \"user\", event_type AS kind, 1 AS n FROM events GROUP BY user_id, event_type")
+def stream_dedupe(spark, sf):
+    ev = S.event_time(events(spark, sf), delay="3650 days").select("ts", attrs_of(user="user_id", kind="event_type").alias("attrs"))
+    rows = drain(spark, S.stream_dedupe(ev, ["user", "kind"]))
+    return rows.groupBy(attr("user").cast("bigint").alias("user"), attr("kind").alias("kind")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+@query("""
+    WITH d AS (SELECT *, date_trunc('day', ts) AS day FROM events),
+         done AS (SELECT max(date_trunc('day', ts)) AS last FROM events)
+    SELECT CAST(epoch(day) AS BIGINT) AS day, event_type AS kind, arg_max(user_id, ts) AS last_user, arg_max(event_id, ts) AS last_event,
+           CAST(count(DISTINCT event_type) + 1 AS INTEGER) AS keys
+    FROM d, done WHERE day < last GROUP BY day, event_type
+""")
+def stream_merge_by_window(spark, sf):
+    ev = S.event_time(events(spark, sf), delay="0 seconds")
+    ev = ev.select("ts", F.col("event_type").alias("kind"), attrs_of(user="user_id", event="event_id").alias("attrs"))
+    rows = drain(spark, S.stream_merge(ev, "1 day", ["kind"]))
+    return rows.select(
+        F.unix_seconds("window.start").alias("day"), "kind", attr("user", "bigint").alias("last_user"),
+        attr("event", "bigint").alias("last_event"), F.size("attrs").alias("keys"),
+    )

@@ -77,17 +77,19 @@ def stream_differences(
     value: str = "value",
     kind: str | Column = "kind",
     ttl_ms: int = 24 * 3600 * 1000,
+    delay: str = "10 minutes",
 ) -> DataFrame:
     """Differences and rates against the last value kept per series.
 
-    State is one (time, value) per series and is dropped after ``ttl_ms`` without a sample. Samples that are
-    not newer than the stored one are late and dropped. Columns: the series, ``ts``, ``value``, ``kind``,
-    ``reported``.
+    State is one (time, value) per series; it is dropped once the watermark (``delay`` behind the newest
+    sample) is ``ttl_ms`` past it. Samples that are not newer than the stored one are late and dropped.
+    Columns: the series, ``ts``, ``value``, ``kind``, ``reported``.
     """
     types = dict(df.dtypes)
     kind = F.col(kind) if isinstance(kind, str) else kind
-    rows = df.select(
+    rows = event_time(df, ts, delay).select(
         *series,
+        ts,
         F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
         F.col(value).cast("double").alias("value"),
         kind.cast("string").alias("kind"),
@@ -115,7 +117,7 @@ def stream_differences(
             before_us, before = us, v
         if before_us is not None:
             state.update((before_us, before))
-            state.setTimeoutDuration(ttl_ms)
+            state.setTimeoutTimestamp(max(before_us // 1000 + ttl_ms, state.getCurrentWatermarkMs() + 1))
         if out:
             yield pd.DataFrame(out, columns=[*[f"c{i}" for i in range(width)], "us", "value", "kind", "reported"])
 
@@ -125,7 +127,7 @@ def stream_differences(
         f"{schema}, us bigint, value double, kind string, reported double",
         "us bigint, value double",
         "append",
-        GroupStateTimeout.ProcessingTimeTimeout,
+        GroupStateTimeout.EventTimeTimeout,
     )
     return reported.select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(series)],
