@@ -30,10 +30,9 @@ def is_array(v: Column) -> Column:
 
 
 def child(v: Column, key: str) -> Column:
-    """A field by its exact name; null if missing or JSON null."""
+    """A field by its exact name; null if missing."""
     quote = '"' if "'" in key else "'"
-    found = F.try_variant_get(v, f"$[{quote}{key}{quote}]", "variant")
-    return F.when(~F.is_variant_null(found), found)
+    return F.try_variant_get(v, f"$[{quote}{key}{quote}]", "variant")
 
 
 def text(v: Column) -> Column:
@@ -48,8 +47,7 @@ def rebuild(fields: Column) -> Column:
 
 def edit_object(v: Column, edit: Callable[[Column], Column]) -> Column:
     """Apply an edit to the fields of an object; other values pass unchanged."""
-    fields = as_object(v)
-    return F.when(fields.isNotNull(), rebuild(edit(fields))).otherwise(v)
+    return F.coalesce(rebuild(edit(as_object(v))), v)
 
 
 def edit_elements(v: Column, edit: Callable[[Column], Column]) -> Column:

@@ -129,18 +129,14 @@ def descend(
     """
     start_keys = list(start_keys)
     current, parents, done = F.col(payload), maps.empty(), F.lit(False)
-    entered = F.lit(False)
     out = df
     for level, key in enumerate(start_keys):
         outer, _, inner = key.partition(">")
-        state = {
-            "_cur": current,
-            "_par": parents,
-            "_done": done,
-        }
-        out = out.withColumns(state)
+        out = out.withColumns({"_cur": current, "_par": parents, "_done": done})
         cur = F.col("_cur")
-        found = V.child(cur, outer)
+        out = out.withColumn("_found", V.child(cur, outer))
+        found = F.col("_found")
+        present = found.isNotNull() & ~F.is_variant_null(found)
         own = _scalar_parents(V.as_object(cur), level, key if not inner else "") if inherit_attributes else maps.empty()
         all_parents = maps.overlay(F.col("_par"), own)
         live = ~F.col("_done")
@@ -149,7 +145,7 @@ def descend(
             hit = live & V.is_array(found)
             current = F.when(hit, V.rebuild(F.create_map(F.lit(inner), V.rebuild(collected)))).otherwise(cur)
             done = F.col("_done") | hit
-            parents = F.when(live & found.isNotNull(), all_parents).otherwise(F.col("_par"))
+            parents = F.when(live & present, all_parents).otherwise(F.col("_par"))
             continue
         to_object, to_array = live & V.is_object(found), live & V.is_array(found)
         element = lambda x: V.edit_object(x, lambda f: F.map_concat(f, _as_variants(all_parents)))
@@ -163,8 +159,8 @@ def descend(
             .otherwise(cur)
         )
         done = F.col("_done") | to_array
-        parents = F.when(live & found.isNotNull(), all_parents).otherwise(F.col("_par"))
-    return out.withColumn(payload, current).drop("_cur", "_par", "_done") if start_keys else df
+        parents = F.when(live & present, all_parents).otherwise(F.col("_par"))
+    return out.withColumn(payload, current).drop("_cur", "_par", "_done", "_found") if start_keys else df
 
 
 def _collect_nested(found: Column, inner: str, level: int, parents: Column, inherit: bool) -> Column:
@@ -513,10 +509,11 @@ def _split_arrays(
             e["key"].alias("root"), e["key"].alias("key"), e["value"].alias("value"), maps.empty().alias("dims")
         ),
     )
-    rows = []
-    for level in range(array_depth):
-        df = df.withColumn(f"_f{level}", frontier)
-        col = F.col(f"_f{level}")
-        rows.append(F.flatten(F.transform(col, rows_of)))
-        frontier = F.flatten(F.transform(col, inside))
-    return df.withColumn("_rows", F.concat(*rows)).drop(*[f"_f{i}" for i in range(array_depth)])
+    # every level is the same pair of expressions over the column of arrays still to open
+    level_rows = F.flatten(F.transform("_open", rows_of))
+    next_open = F.flatten(F.transform("_open", inside))
+    df = df.withColumn("_open", frontier)
+    names_of_levels = [f"_r{i}" for i in range(array_depth)]
+    for column in names_of_levels:
+        df = df.withColumn(column, level_rows).withColumn("_open", next_open)
+    return df.withColumn("_rows", F.concat(*names_of_levels)).drop("_open", *names_of_levels)
