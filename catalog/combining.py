@@ -135,7 +135,7 @@ def row_lookup(spark, sf):
         orders(spark, sf).filter(attr("status") == "F"), customers(spark, sf).select("event_type", "attrs")
     )
     nations = table(spark, sf, "nation")
-    targets = table(spark, sf, "customer").join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey")).select(
+    targets = table(spark, sf, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
         text("cust/", F.col("c_custkey")).alias("payload_id"), "c_custkey", "n_name"
     )
     out = C.row_lookup(both, targets, "cust/${lookup.order:cust}", "order")
@@ -164,7 +164,7 @@ def stored_variables(spark, sf):
     SELECT c_custkey, n_name AS nation, r_name AS region FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
 """)
 def lookup_file_rows(spark, sf):
-    nations = table(spark, sf, "nation").join(F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    nations = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     targets = table(spark, sf, "customer").select("c_custkey", text("nation-", F.col("c_nationkey")).alias("payload_id"))
     out = C.lookup_rows(nations.select("n_nationkey", "n_name", "r_name"), targets, "nation-${lf:n_nationkey}")
     return out.select("c_custkey", F.col("lf_n_name").alias("nation"), F.col("lf_r_name").alias("region"))

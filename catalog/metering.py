@@ -66,7 +66,8 @@ _LAG = """
     SELECT event_id, CASE WHEN pus IS NULL THEN 0 ELSE round(v - pv, 6) END AS delta FROM w
 """)
 def metric_delta(spark, sf):
-    out = M.differences(series_rows(spark, sf, "value", "DELTA"))
+    rows = series_rows(spark, sf, "value", "DELTA")
+    out = M.differences(rows, slice_seconds=M.slice_width(table(spark, sf, "events")))
     return out.select("event_id", F.round("reported", 6).alias("delta"))
 
 
@@ -84,9 +85,9 @@ def metric_positive_rate(spark, sf):
 """)
 def metric_rate_and_positive_delta(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "ts", "event_type", "user_id", "value")
-    series = ["event_type", "user_id"]
-    out = M.differences(ev, series, kind=F.lit("RATE"), into="r", tie=["event_id"])
-    out = M.differences(out, series, kind=F.lit("PDELTA"), into="p", tie=["event_id"])
+    series, width = ["event_type", "user_id"], M.slice_width(ev)
+    out = M.differences(ev, series, kind=F.lit("RATE"), into="r", tie=["event_id"], slice_seconds=width)
+    out = M.differences(out, series, kind=F.lit("PDELTA"), into="p", tie=["event_id"], slice_seconds=width)
     return out.select("event_id", F.round("r", 9).alias("rate"), F.round("p", 6).alias("pdelta"))
 
 

@@ -69,7 +69,7 @@ def labelled_queries(spark, sf):
 
 
 @query("""
-    SELECT event_id, epoch_ms(ts) AS start_ms, user_id * 10 AS took_ms, event_type AS kind FROM events
+    SELECT event_id, epoch_us(ts) // 1000 AS start_ms, user_id * 10 AS took_ms, event_type AS kind FROM events
 """)
 def capture_times(spark, sf):
     ev = table(spark, sf, "events").withColumn("attrs", attrs_of(kind="event_type"))

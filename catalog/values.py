@@ -144,7 +144,7 @@ def timestamp_conversion(spark, sf):
 
 
 @query("""
-    SELECT event_id, epoch_ms(ts) - 5000 AS ms, CAST(floor(epoch(ts)) AS BIGINT) + 3600 AS s,
+    SELECT event_id, epoch_us(ts) // 1000 - 5000 AS ms, CAST(floor(epoch(ts)) AS BIGINT) + 3600 AS s,
            strftime(ts - INTERVAL 2 DAY, '%Y-%m-%d') AS day, strftime(ts + INTERVAL 90 MINUTE, '%Y-%m-%dT%H:%M:%SZ') AS stamp,
            hour(ts - INTERVAL 1 MINUTE) AS hour_, month(ts) AS month_ FROM events
 """)

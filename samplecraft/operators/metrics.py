@@ -92,6 +92,18 @@ def change(kind: Column, value: Column, ts_us: Column, before: Column, before_us
     )
 
 
+def slice_width(df: DataFrame, ts: str = "ts", rows_per_slice: int = 1_000_000) -> int:
+    """Seconds per slice that put about ``rows_per_slice`` rows, of all series together, into a slice.
+
+    Runs one aggregation over the time column.
+    """
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    seen = df.agg(F.count(us).alias("n"), F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+    if not seen["n"]:
+        return 3600
+    return max(1, (seen["hi"] - seen["lo"]) // 1_000_000 * rows_per_slice // seen["n"])
+
+
 def differences(
     df: DataFrame,
     series: Sequence[str] = ("event_type", "namespace", "metric"),
@@ -100,7 +112,7 @@ def differences(
     kind: str | Column = "kind",
     tie: Sequence[str] = (),
     into: str = "reported",
-    slice_seconds: int = 86400,
+    slice_seconds: int = 3600,
 ) -> DataFrame:
     """Differences and rates to the previous sample of the same series.
 

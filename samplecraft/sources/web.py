@@ -177,6 +177,9 @@ def _table_rows(html: str) -> Iterator[tuple[int, int, dict[str, str]]]:
             yield table_ix, row_ix, {**dict(zip(head, row + [""] * (width - len(row)), strict=True)), **shared}
 
 
+_ROWS_OUT = 10_000
+
+
 def html_table_samples(df: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
     """Every row of every table of a page: ``<page_id>, table_ix, row_ix, event_type, attrs``.
 
@@ -186,14 +189,17 @@ def html_table_samples(df: DataFrame, page_id: str = "page_id", html: str = "htm
     pages = df.select(page_id, html).filter(F.col(html).rlike("(?i)<table"))
     id_type = dict(pages.dtypes)[page_id]
 
+    columns = [page_id, "table_ix", "row_ix", "cells"]
+
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[tuple] = []
         for batch in batches:
-            out = [
-                (pid, t, r, cells)
-                for pid, text in zip(batch[page_id], batch[html], strict=True)
-                for t, r, cells in _table_rows(text)
-            ]
-            yield pd.DataFrame(out, columns=[page_id, "table_ix", "row_ix", "cells"])
+            for pid, text in zip(batch[page_id], batch[html], strict=True):
+                out.extend((pid, t, r, cells) for t, r, cells in _table_rows(text))
+                if len(out) >= _ROWS_OUT:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
+        yield pd.DataFrame(out, columns=columns)
 
     schema = f"`{page_id}` {id_type}, table_ix int, row_ix int, cells map<string,string>"
     rows = pages.mapInPandas(extract, schema)

@@ -25,13 +25,13 @@ def connect(sf_dir: str):
 def plain(v):
     if v is None:
         return None
-    if isinstance(v, bool):
+    if isinstance(v, (bool, int)):
         return v
-    if isinstance(v, (int, float, decimal.Decimal)):
+    if isinstance(v, (float, decimal.Decimal)):
         f = float(v)
         if math.isnan(f):
             return "nan"
-        return 0.0 if f == 0 else float(f"{f:.9g}")
+        return 0.0 if f == 0 else float(f"{f:.13g}")
     if isinstance(v, (datetime.datetime, datetime.date)):
         return str(v)
     if isinstance(v, (list, tuple)):
