@@ -124,25 +124,21 @@ def differences(
     kind = F.col(kind) if isinstance(kind, str) else kind
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     slice_no = F.floor(us / F.lit(slice_seconds * 1_000_000)).cast("bigint")
-    rows = df.withColumns({"_us": us, "_slice": slice_no})
-    inside = W.partitionBy(*series, "_slice").orderBy("_us", *tie)
-    seen = F.struct(F.col(value).alias("v"), F.col("_us").alias("us"))
-    rows = rows.withColumn("_prev", F.lag(seen).over(inside))
+    rows = df.withColumns({"_us": us, "_slice": slice_no, "_v": F.col(value), "_kind": kind})
 
+    seen = F.struct("_v", "_us")
     last = rows.groupBy(*series, "_slice").agg(F.max_by(seen, F.struct("_us", *tie)).alias("_last"))
     across = W.partitionBy(*series).orderBy("_slice")
-    carry = last.select(
-        *[F.col(c).alias(f"_s{i}") for i, c in enumerate(series)],
-        F.col("_slice").alias("_n"),
-        F.lag("_last").over(across).alias("_carry"),
-    ).filter(F.col("_carry").isNotNull())
-    on = F.col("_slice") == F.col("_n")
-    for i, c in enumerate(series):
-        on = on & F.col(c).eqNullSafe(F.col(f"_s{i}"))
-    out = rows.join(carry, on, "left")
-    before = F.coalesce("_prev", "_carry")
-    drop = ["_us", "_slice", "_prev", "_carry", "_n", *[f"_s{i}" for i in range(len(series))]]
-    return out.withColumn(into, change(kind, F.col(value), F.col("_us"), before["v"], before["us"])).drop(*drop)
+    carried = last.withColumn("_slice", F.lead("_slice").over(across)).filter(F.col("_slice").isNotNull())
+    carried = carried.select(*series, "_slice", "_last.*", F.lit(True).alias("_carried"))
+
+    # The carried samples join their slice as rows, not through a join: the rows are shuffled once.
+    whole = rows.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    inside = W.partitionBy(*series, "_slice").orderBy("_us", *tie)
+    before = F.col("_before")
+    out = whole.withColumn("_before", F.lag(seen).over(inside)).filter(~F.col("_carried"))
+    reported = change(F.col("_kind"), F.col("_v"), F.col("_us"), before["_v"], before["_us"])
+    return out.withColumn(into, reported).drop("_us", "_slice", "_v", "_kind", "_carried", "_before")
 
 
 # ---------------------------------------------------------------- dimensional payloads

@@ -64,14 +64,9 @@ def _number_sliced(df: DataFrame, slice_of: Column, order: Sequence[str], into:
     keys = [F.col(c) for c in group] or [F.lit(0)]
     before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     # one row per group and slice: small, however large the table is
-    offsets = counts.select(
-        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)],
-        F.col("_slice").alias("_s"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-    )
-    inside = sliced.withColumn("_in", F.row_number().over(W.partitionBy(*group, "_slice").orderBy(*order)))
-    on = F.col("_slice") == F.col("_s")
-    for i, c in enumerate(group):
-        on = on & F.col(c).eqNullSafe(F.col(f"_g{i}"))
-    drop = ["_slice", "_s", "_in", "_before", *[f"_g{i}" for i in range(len(group))]]
-    return inside.join(offsets, on).withColumn(into, F.col("_in") + F.col("_before")).drop(*drop)
+    offsets = counts.select(*group, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    # The offset leads its slice as a row of its own, so that the table is shuffled once and joined with nothing.
+    whole = sliced.unionByName(offsets, allowMissingColumns=True)
+    inside = W.partitionBy(*group, "_slice").orderBy(F.col("_before").isNull(), *order)
+    number = F.first("_before").over(inside) + F.row_number().over(inside) - 1
+    return whole.withColumn(into, number).filter(F.col("_before").isNull()).drop("_slice", "_before")
