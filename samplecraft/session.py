@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTINGS = {
@@ -25,8 +29,26 @@ def spread(df: DataFrame, min_bytes: int = 262_144) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    here = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp()) / f"{here.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(here.rglob("*.py")):
+            out.write(source, source.relative_to(here.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set the runtime options that the operators need; safe to call repeatedly."""
+    """Set the runtime options that the operators need and ship the package; safe to call repeatedly."""
+    ship(spark)
     for key, value in _SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
