@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samplecraft import prepare
-from samplecraft.llm import decontaminate, jaccard, mix, quality, token_files
+from samplecraft.llm import decontaminate, jaccard, mix, nearest, quality, secrets, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +71,29 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode_documents(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
+@query
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.to_arc(table(spark, sf_dir, "pages"))
+    return warc.read_warc(warc.convert(archives)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id")
+
+
+@query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def joined(rows: F.Column) -> F.Column:
+        return F.array_join(F.transform(rows, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind: str) -> F.Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("secrets", lambda s: s["base"])
+    counts = [count(k) for k in secrets.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))

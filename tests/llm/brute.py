@@ -96,3 +96,26 @@ def targets(sizes: dict, weights=(5, 2, 1), share=1.5, most=2.0):
             target[s] = most * sizes[s]
             left -= target[s]
         open_ -= above
+
+
+def warc(pages):
+    rows = [(k, (h or "").encode()) for k, h in pages]
+    first = {}
+    for k, p in rows:
+        if len(p) >= 100 and k is not None:
+            first[p] = min(first.get(p, k), k)
+    return [(k, len(p), hashlib.sha256(p).hexdigest(), "response" if first.get(p, k) == k else "revisit", None if first.get(p, k) == k else first[p]) for k, p in rows]
+
+
+def secrets(docs):
+    assign = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
+    out = []
+    for doc, text in docs:
+        text = text or ""
+        found = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 12]
+        found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+        found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+        names = ("assign", "access", "hex")
+        spans = ",".join(f"{names[k]}:{a}:{b}" for a, k, b in sorted(found))
+        out.append((doc, *[sum(f[1] == k for f in found) for k in range(3)], hashlib.sha256(spans.encode()).hexdigest()))
+    return out
