@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samplecraft import prepare
-from samplecraft.llm import decontaminate, jaccard, mix, nearest, quality, secrets, token_files, warc
+from samplecraft.llm import decontaminate, html_text, jaccard, mix, nearest, quality, secrets, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +97,9 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("secrets", lambda s: s["base"])
     counts = [count(k) for k in secrets.KINDS]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
+
+
+@query
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages, html_text.train(pages)).select("page_id", "url", "text", "n_chars")
