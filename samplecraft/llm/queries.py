@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samplecraft import prepare
-from samplecraft.llm import decontaminate, html_text, jaccard, mix, nearest, quality, secrets, token_files, warc
+from samplecraft.llm import decontaminate, html_text, jaccard, mix, nearest, quality, secrets, suffixes, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +103,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract(pages, html_text.train(pages)).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))

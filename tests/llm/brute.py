@@ -119,3 +119,21 @@ def secrets(docs):
         spans = ",".join(f"{names[k]}:{a}:{b}" for a, k, b in sorted(found))
         out.append((doc, *[sum(f[1] == k for f in found) for k in range(3)], hashlib.sha256(spans.encode()).hexdigest()))
     return out
+
+
+def suffixes(docs, length=200):
+    data = [(t or "").encode() for _, t in docs]
+    seen = defaultdict(int)
+    for d in data:
+        for k in range(len(d) - length + 1):
+            seen[d[k : k + length]] += 1
+    out = []
+    for (doc, _), d in zip(docs, data, strict=True):
+        gone = bytearray(len(d))
+        for k in range(len(d) - length + 1):
+            if seen[d[k : k + length]] > 1:
+                gone[k : k + length] = b"\1" * length
+        spans = len(re.findall(b"\1+", bytes(gone)))
+        kept = bytes(b for b, g in zip(d, gone, strict=True) if not g)
+        out.append((doc, len(d), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
