@@ -15,8 +15,9 @@ documents by themselves: ``ShardReader.ids(k)`` decompresses one frame.
 Documents go in ascending key order (null first, equal keys by a hash of the text) over range partitions; a shard ends
 after ``SHARD_BYTES`` of frames. ``start`` counts the ids of all documents before one.
 
-Ids are those of ``Tokenizer.encode`` on the whole text. The tokenizer cuts text before a single space that stands
-between other characters, so texts are cut there first, and a bounded memory of pieces saves encoding the same again.
+Ids are those of ``Tokenizer.encode`` on the whole text. The tokenizer (byte-level BPE with the usual split pattern) cuts
+text before a single space that stands between other characters, so most texts are cut there first, a bounded memory
+of pieces saves encoding the same again, and new pieces are encoded together.
 
 Edge cases: null and empty texts have the end id only; repeated rows are documents of their own; an empty table gives
 empty shards and an empty reading; extra columns play no part.
@@ -25,6 +26,7 @@ empty shards and an empty reading; extra columns play no part.
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -45,13 +47,17 @@ SAMPLE_CHARS = 20_000
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 #: Pieces of text whose ids a Python worker keeps.
-KEPT_PIECES = 600_000
+KEPT_PIECES = 900_000
 
 MAGIC = b"SCTOK1\0"
 INDEX = np.dtype([("keyed", "u1"), ("key", "<i8"), ("ids", "<u8"), ("offset", "<u8")])
 SHARDS = "part int, shard int, documents long, ids long, part_ids_before long, dictionary string, data binary"
 
 
+#: White space next to a space, or at an end of the text: there the rule above does not say where to cut.
+_ODD = re.compile(r" (?:\s|\Z|(?<=\s ))")
+
+
 class Encoder:
     """Ids of texts as little-endian bytes."""
 
@@ -59,36 +65,57 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
+        vocabulary = self.tokenizer.get_vocab()
+        self.dtype = np.dtype("<u2" if max([end_id, *vocabulary.values()]) < 1 << 16 else "<u4")
+        #: Bytes of text that a token stands for: the vocabulary writes each as one character.
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, k in vocabulary.items():
+            self.lengths[k] = len(token)
         self.end = np.array([end_id], self.dtype).tobytes()
+        #: Ids by piece, the space that goes before it left out.
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        """``text`` cut before each single space between two characters that are not white space."""
-        parts = text.split(" ")
-        out = [parts[0]]
-        for before, part in zip(parts, parts[1:], strict=False):
-            if before and part and not before[-1].isspace() and not part[0].isspace():
-                out.append(" " + part)
-            else:
-                out[-1] += " " + part
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+
+    def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces with a space before each, encoded as one text and cut where their bytes end."""
+        out = {}
+        for k in range(0, len(pieces), 16_384):
+            part = pieces[k : k + 16_384]
+            ids = self._ids(" " + " ".join(part))
+            ends = np.cumsum([len(p.encode()) + 1 for p in part])
+            reached = np.cumsum(self.lengths[ids])
+            cuts = np.searchsorted(reached, ends)
+            if len(ids) and not np.array_equal(reached[cuts], ends):
+                raise ValueError("tokens do not end where pieces do")
+            raw, width = ids.tobytes(), self.dtype.itemsize
+            at = [0, *((cuts + 1) * width).tolist()]
+            out.update((p, raw[x:y]) for p, x, y in zip(part, at, at[1:], strict=False))
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
-        new = list({p for ps in cut for p in ps if p not in self.known})
-        found: dict[str, bytes] = {}
-        for k in range(0, len(new), 4096):
-            found.update(zip(new[k : k + 4096], self._encode(new[k : k + 4096]), strict=True))
+        """A text is encoded whole where white space meets white space, else by its pieces between spaces."""
+        cut = [None if t[:1] == " " or _ODD.search(t) else t.split(" ") for t in texts]
+        wanted: set[str] = set()
+        for parts in cut:
+            if parts:
+                wanted.update(parts[1:])
+        found = self._encode_pieces([p for p in wanted if p not in self.known])
         if len(self.known) + len(found) <= KEPT_PIECES:
             self.known.update(found)
             found = self.known
-            return [b"".join([found[p] for p in ps]) + self.end for ps in cut]
-        return [b"".join([found[p] if p in found else self.known[p] for p in ps]) + self.end for ps in cut]
+        else:
+            found |= {p: self.known[p] for p in wanted if p in self.known}
+        out = []
+        for text, parts in zip(texts, cut, strict=True):
+            if parts is None:
+                ids = self._ids(text).tobytes()
+            else:
+                first = self._ids(parts[0]).tobytes() if parts[0] else b""
+                ids = first + b"".join(map(found.__getitem__, parts[1:]))
+            out.append(ids + self.end)
+        return out
 
 
 @lru_cache(maxsize=2)
