@@ -4,10 +4,13 @@ A document's set holds the distinct shingles of ``size`` words `[^\\x20\\x09-\\x
 fewer words, but not none, is one shingle. Documents link when intersection / union >= ``percent`` / 100. Shingles
 are 64-bit hashes; a set's identity is its size and two 64-bit sums.
 
-1. One pass over the texts counts, by hashed slot, in how many documents shingles occur (``SLOTS`` counters, summed by
-   task first), and gives each document's set identity.
-2. A second pass orders every set rare-first (slot count, then hash) and keeps its prefix: two alike sets share a
-   shingle of their prefixes. Documents with equal sets become one node.
+1. One pass over the texts gives each document's set identity and counts shingles by hashed slot (``SLOTS`` counters,
+   summed by task first), which tells the most frequent ones.
+2. Documents with equal sets become one node. A second pass sends every shingle but the most frequent, shortened to a few
+   bytes, to the task of its hash range, where the exact number of sets that have it is counted; what more than one set
+   has returns to its document. So each set can be ordered rare-first (count, then hash; the most frequent last, by
+   slot), and its prefix taken: two alike sets share a shingle of their prefixes. A set whose prefix is full of shingles
+   that no other set has ends here.
 3. Prefix shingles that two nodes or more have are kept as postings. In each of them every node is held against one
    leader, and in a second round against another, within the length and positional bounds; a suffix filter then bounds
    the intersection by bin counts of the whole sets, and what is left is verified on the sets, once a pair.
@@ -16,8 +19,9 @@ are 64-bit hashes; a set's identity is its size and two 64-bit sums.
    link between components is lost.
 
 Sets needed for verification come from a third pass, restricted by a Bloom filter of fixed size to documents with
-postings. Components are found by repeated large-star and small-star steps on the links. Nothing here is capped or
-sampled, and only the slot counters and the Bloom filter, both of fixed size, go through the driver.
+postings; another tells step 2 which documents may have equals and must be grouped first. Components are found by
+repeated large-star and small-star steps on the links. Nothing here is capped or sampled, and only the slot counters and
+the Bloom filters, all of fixed size, go through the driver.
 
 Edge cases: null, empty and wordless texts have an empty set and link with nothing, not even with each other; repeated
 rows and equal texts are in one component; a null id never is the smallest of a component unless all its ids are null;
@@ -43,6 +47,13 @@ CHUNK = 1 << 12
 BLOOM_BITS = 1 << 26
 BINS = 16
 LEADER_ROUNDS = 2
+#: Shingles whose slot counts more than this, and eight times the mean, are not sent to be counted exactly.
+FREQUENT = 1 << 20
+#: Shingles that a task of one hash range counts.
+RANGE_SHINGLES = 1 << 20
+#: Bits by which shortened hashes outnumber the shingles; a shingle taken for another only adds a candidate.
+SPARE_BITS = 13
+UNIT_BYTES = 4 << 20
 
 
 def shingle_sets(batch: pa.RecordBatch, column: str, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -123,79 +134,211 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - (n * percent + 99) // 100 + 1
 
 
-def _nodes(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
-    """One row a distinct set: ``node, n, s1, s2, least`` (smallest id) and ``prefix`` (hashes, rare first)."""
-    sent = docs.sparkSession.sparkContext.broadcast(counts.astype(np.int32))
+def _bloom(rows: DataFrame) -> np.ndarray:
+    """A Bloom filter of ``BLOOM_BITS`` over column ``s1``; its words are collected, one row each at most."""
+    bit = F.pmod(F.col("s1"), F.lit(BLOOM_BITS))
+    set_bit = F.expr(f"shiftleft(1L, cast(pmod(s1, {BLOOM_BITS}) % 32 as int))")
+    words = rows.groupBy(F.shiftright(bit, 5).cast("int").alias("word")).agg(F.bit_or(set_bit).alias("bits")).toArrow()
+    bloom = np.zeros(BLOOM_BITS // 32, np.uint32)
+    bloom[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
+    return bloom
+
+
+def _maybe_in(bloom: np.ndarray, s1: np.ndarray) -> np.ndarray:
+    at = s1 % BLOOM_BITS
+    return ((bloom[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)).astype(bool)
+
+
+def _chosen(shingles: np.ndarray, bounds: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of some rows."""
+    n = np.diff(bounds)
+    return shingles[np.repeat(rows, n)], np.concatenate([[0], np.cumsum(n[rows])])
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of equal weight together, so that small values compress."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def _unplaned(data: bytes, dtype) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).reshape(-1).view(dtype)
+
+
+#: kind 0: shingles (keys, documents of the unit, counts); 1: frequent shingles, likewise; 2: the unit's sets (sizes and
+#: numbers of omitted shingles, identities).
+_UNITS = "range int, unit long, kind int, x binary, y binary, z binary"
+
+
+def _packed(shingles: np.ndarray, bounds: np.ndarray, counts: np.ndarray, frequent: int, bits: int, range_bits: int, percent: int) -> pa.RecordBatch:
+    """A unit of sets: its shingles by hash range, as differences of shortened hashes."""
+    s1, s2 = identities(shingles, bounds)
+    n = np.diff(bounds)
+    unit = int(mix(s1.view(U64) + s2.view(U64)).sum(dtype=U64).view(np.int64))
+    home = unit % (1 << range_bits)
+    row = np.repeat(np.arange(len(n)), n)
+    key = shingles >> U64(64 - bits)
+    slot_count = counts[_slot(shingles)]
+    often = slot_count > frequent
+    omitted, out = np.zeros(len(n), np.int64), []
+    if often.any():
+        # Frequent ones come last, so they matter only to sets whose prefix may reach them.
+        many = np.bincount(row, often, len(n)).astype(np.int64)
+        reached = many > n - prefix_length(n, percent)
+        omitted, reach = np.where(reached, 0, many), often & reached[row]
+        out.append((home, unit, 1, key[reach].tobytes(), row[reach].astype(np.uint32).tobytes(), slot_count[reach].astype(np.uint32).tobytes()))
+        key, row = key[~often], row[~often]
+    out.append((home, unit, 2, np.concatenate([n, omitted]).tobytes(), s1.tobytes(), s2.tobytes()))
+    order = np.argsort(key, kind="stable")
+    key, row = key[order], row[order].astype(np.uint32)
+    ranges = (key >> U64(bits - range_bits)).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(ranges)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)], strict=True):
+        if b > a:
+            out.append((int(ranges[a]), unit, 0, _planes(np.diff(key[a:b], prepend=U64(0))), _planes(row[a:b]), None))
+    types = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=[x.split()[0] for x in _UNITS.split(", ")])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each hash range, whose rows stand together: shingles that more than one set has, with their counts."""
+    names = [x.split()[0] for x in _UNITS.split(", ")]
+    held: list[tuple] = []
+
+    def answer() -> Iterator[pa.RecordBatch]:
+        keys = [np.cumsum(_unplaned(r[3], U64), dtype=U64) for r in held]
+        if not keys:
+            return
+        every = np.sort(np.concatenate(keys))
+        first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        count = np.diff(np.append(first, len(every)))
+        shared, count = every[first[count > 1]], count[count > 1].astype(np.uint32)
+        rows = []
+        for r, key in zip(held, keys, strict=True):
+            at = np.searchsorted(shared, key)
+            found = (at < len(shared)) & (shared[np.minimum(at, len(shared) - 1)] == key) if len(shared) else np.zeros(len(key), bool)
+            if found.any():
+                rows.append((r[0], r[1], 0, key[found].tobytes(), _unplaned(r[4], np.uint32)[found].tobytes(), count[at[found]].tobytes()))
+        if rows:
+            types = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+    for batch in batches:
+        kind = batch.column(2).to_numpy()
+        yield batch.filter(pa.array(kind > 0))
+        for k in np.flatnonzero(kind == 0).tolist():
+            row = tuple(c[k].as_py() for c in batch.columns)
+            if held and held[0][0] != row[0]:
+                yield from answer()
+                held = []
+            held.append(row)
+    yield from answer()
+
+
+def _prefixes(percent: int):
+    """Of each unit, whose rows stand together, the prefix shingles that other sets have too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rarity = sent.value
-        for batch in slices(batches, "text"):
-            shingles, bounds = shingle_sets(batch, "text", size)
-            s1, s2 = identities(shingles, bounds)
-            n = np.diff(bounds)
-            row = np.repeat(np.arange(len(n)), n)
-            # Hashes ascend within a row already, so a stable sort by count within the row is rare-first.
-            order = np.argsort(row * (1 << 31) + rarity[_slot(shingles)], kind="stable")
-            kept = np.arange(len(row)) - np.repeat(bounds[:-1], n) < np.repeat(prefix_length(n, percent), n)
-            cut = np.concatenate([[0], np.cumsum(np.where(n > 0, prefix_length(n, percent), 0))])
-            prefix = shingles[order][kept]
-            some = pa.array(n > 0)
-            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(s1), pa.array(s2), pack(prefix, cut)], names=["id", "n", "s1", "s2", "prefix"])
-            yield out.filter(some)
-
-    rows = docs.mapInArrow(run, "id long, n long, s1 long, s2 long, prefix binary")
-    sets = rows.groupBy("n", "s1", "s2").agg(F.min("id").alias("least"), F.first("prefix").alias("prefix"))
-    # Ids are given as the table is written, and read from it ever after.
-    return materialise(sets.withColumn("node", F.monotonically_increasing_id()))
-
+        held: list[tuple] = []
+
+        def answer() -> pa.RecordBatch:
+            n, s1, s2 = next([np.frombuffer(x, np.int64) for x in r[2:]] for r in held if r[1] == 2)
+            n, omitted = np.split(n, 2)
+            parts = [[np.frombuffer(r[c], t) for r in held if r[1] < 2] for c, t in ((2, U64), (3, np.uint32), (4, np.uint32))]
+            kind = np.concatenate([np.full(len(np.frombuffer(r[2], U64)), r[1]) for r in held if r[1] < 2] or [np.zeros(0, int)])
+            key, row, count = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in parts)
+            order = np.lexsort((key, count, kind, row))
+            key, row = key[order], row[order].astype(np.int64)
+            shared = np.bincount(row, minlength=len(n))
+            begin = np.cumsum(shared) - shared
+            # What no other set has comes first, then these; omitted ones would come last.
+            absent = n - omitted - shared
+            pos = np.arange(len(key)) - begin[row] + absent[row]
+            kept = pos < prefix_length(n, percent)[row]
+            columns = (key[kept].view(np.int64), pos[kept], n[row[kept]], s1[row[kept]], s2[row[kept]])
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["t", "pos", "n", "s1", "s2"])
 
-def _postings(nodes: DataFrame) -> DataFrame:
-    """``t, node, pos, n``: the prefix shingles that two nodes or more have."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = text_bytes(batch.column(2))
-            t = np.frombuffer(raw.tobytes(), np.int64)
-            bounds = offsets // 8
-            n = np.diff(bounds)
-            pos = np.arange(len(t)) - np.repeat(bounds[:-1], n)
-            node, size = (np.repeat(batch.column(k).to_numpy(), n) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(node), pa.array(pos.astype(np.int32)), pa.array(size.astype(np.int32))], names=["t", "node", "pos", "n"])
+            for row in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+                if held and held[0][0] != row[0]:
+                    yield answer()
+                    held = []
+                held.append(row)
+        if held:
+            yield answer()
+
+    return run
+
+
+def _postings(docs: DataFrame, first: DataFrame, size: int, percent: int, frequent: int) -> DataFrame:
+    """``t, pos, n, s1, s2``: the prefix shingles that more than one set has."""
+    rows = first.where("n > 0")
+    total = rows.agg(F.sum("n")).first()[0] or 1
+    range_bits = max(0, int(total // RANGE_SHINGLES).bit_length())
+    bits = min(63, int(total).bit_length() + SPARE_BITS)
+    counts = _slot_counts(first)
+    limit = max(frequent, 8 * total // SLOTS)
+    copies = _bloom(rows.groupBy("n", "s1", "s2").count().where("count > 1"))
+    sent = docs.sparkSession.sparkContext.broadcast((counts, copies))
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", UNIT_BYTES):
+            shingles, bounds = shingle_sets(batch, "text", size)
+            s1, _ = identities(shingles, bounds)
+            some = (np.diff(bounds) > 0) & ~_maybe_in(sent.value[1], s1)
+            if some.any():
+                yield _packed(*_chosen(shingles, bounds, some), sent.value[0], limit, bits, range_bits, percent)
 
-    rows = nodes.select("node", "n", "prefix").mapInArrow(run, "t long, node long, pos int, n int")
-    shared = rows.groupBy("t").agg(F.count("*").alias("nodes")).where("nodes > 1").select("t")
-    return materialise(rows.join(shared, "t"))
+    def copied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", UNIT_BYTES):
+            shingles, bounds = shingle_sets(batch, "text", size)
+            s1, s2 = identities(shingles, bounds)
+            some = pa.array((np.diff(bounds) > 0) & _maybe_in(sent.value[1], s1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.diff(bounds)), pa.array(s1), pa.array(s2), pack(shingles, bounds)], names=["n", "s1", "s2", "shingles"]).filter(some)
+
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "shingles", UNIT_BYTES):
+            raw, offsets = text_bytes(batch.column(0))
+            yield _packed(np.frombuffer(raw.tobytes(), U64), offsets // 8, sent.value[0], limit, bits, range_bits, percent)
+
+    equal = docs.mapInArrow(copied, "n long, s1 long, s2 long, shingles binary").groupBy("n", "s1", "s2").agg(F.first("shingles").alias("shingles"))
+    units = docs.mapInArrow(alone, _UNITS).unionByName(equal.select("shingles").mapInArrow(grouped, _UNITS))
+    shared = units.repartition(max(1, 1 << range_bits), "range").sortWithinPartitions("range").mapInArrow(_counted, _UNITS)
+    prefixes = shared.repartition("unit").sortWithinPartitions("unit").mapInArrow(_prefixes(percent), "t long, pos long, n long, s1 long, s2 long")
+    return materialise(prefixes)
+
+
+def _numbered(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes: ``node, n, s1, s2``; postings: ``t, node, pos, n``) of shingles that two nodes or more have."""
+    sets = ["n", "s1", "s2"]
+    shared = postings.groupBy("t").agg(F.count("*").alias("sets")).where("sets > 1").select("t")
+    kept = materialise(postings.join(shared, "t"))
+    # Ids are given as the table is written, and read from it ever after.
+    nodes = materialise(kept.select(*sets).distinct().withColumn("node", F.monotonically_increasing_id()))
+    return nodes, materialise(kept.join(nodes, sets).select("t", "node", "pos", "n"))
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, postings: DataFrame, size: int) -> DataFrame:
+def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """``node, n, bins, shingles`` of all nodes with postings."""
-    wanted = nodes.select("node", "n", "s1", "s2").join(postings.select("node").distinct(), "node")
-    wanted = materialise(wanted)
-    bit = F.pmod(F.col("s1"), F.lit(BLOOM_BITS))
-    words = wanted.groupBy(F.shiftright(bit, 5).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(s1, {BLOOM_BITS}) % 32 as int))")).alias("bits")).toArrow()
-    bloom = np.zeros(BLOOM_BITS // 32, np.uint32)  # a word a row at most
-    bloom[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
-    sent = docs.sparkSession.sparkContext.broadcast(bloom)
+    sent = docs.sparkSession.sparkContext.broadcast(_bloom(nodes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = sent.value
         for batch in slices(batches, "text"):
             shingles, bounds = shingle_sets(batch, "text", size)
             s1, s2 = identities(shingles, bounds)
+            some = (np.diff(bounds) > 0) & _maybe_in(sent.value, s1)
+            shingles, bounds = _chosen(shingles, bounds, some)
             n = np.diff(bounds)
-            at = s1 % BLOOM_BITS
-            maybe = (n > 0) & ((bits[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)).astype(bool)
             row = np.repeat(np.arange(len(n)), n)
             bins = np.bincount(row * BINS + (shingles >> U64(60)).astype(np.int64), minlength=len(n) * BINS)
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(n), pa.array(s1), pa.array(s2), ragged(bins.astype(np.int32), np.arange(len(n) + 1) * BINS), pack(shingles, bounds)],
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(n), pa.array(s1[some]), pa.array(s2[some]), ragged(bins.astype(np.int32), np.arange(len(n) + 1) * BINS), pack(shingles, bounds)],
                 names=["n", "s1", "s2", "bins", "shingles"],
             )
-            yield out.filter(pa.array(maybe))
 
     rows = docs.mapInArrow(run, "n long, s1 long, s2 long, bins array<int>, shingles binary")
     rows = rows.groupBy("n", "s1", "s2").agg(F.first("bins").alias("bins"), F.first("shingles").alias("shingles"))
-    return materialise(rows.join(wanted, ["n", "s1", "s2"]).select("node", "n", "bins", "shingles"))
+    return materialise(rows.join(nodes, ["n", "s1", "s2"]).select("node", "n", "bins", "shingles"))
 
 
 def _least_common(n: F.Column, m: F.Column, percent: int) -> F.Column:
@@ -256,22 +399,24 @@ def _rest(postings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
 
 
-def classes(docs: DataFrame, column: str = "text", key: str = "doc_id", size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(documents: ``id, n, s1, s2``; distinct sets: ``n, s1, s2, least, comp, component_id, component_least``).
+def classes(docs: DataFrame, column: str = "text", key: str = "doc_id", size: int = SIZE, percent: int = PERCENT, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
+    """(documents: ``id, n, s1, s2``; distinct sets: ``n, s1, s2, least, comp, component_id, chosen``).
 
-    ``component_id`` is the smallest id of the component, ``comp`` its node."""
+    ``component_id`` is the smallest id of the component."""
     docs = docs.select(F.col(key).cast("long").alias("id"), F.col(column).cast("string").alias("text"))
     first = _first_pass(docs, size)
-    nodes = _nodes(docs, _slot_counts(first), size, percent)
-    postings = _postings(nodes)
-    sets = _sets(docs, nodes, postings, size)
+    nodes, postings = _numbered(_postings(docs, first, size, percent, frequent))
+    sets = _sets(docs, nodes, size)
     labels, links = None, None
     for turn in range(LEADER_ROUNDS + 1):
         pairs = _rest(postings, labels, percent) if turn == LEADER_ROUNDS else _led(postings, labels, turn, percent)
         found = materialise(_verified(pairs, sets, percent))
         links = found if links is None else links.unionByName(found)
         labels = connected_components(links, "a", "b")
-    grouped = nodes.drop("prefix").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = nodes.join(labels, "node", "left").select("n", "s1", "s2", F.coalesce("comp", "node").cast("string").alias("comp"))
+    own = F.concat_ws(":", "n", "s1", "s2")  # sets without postings are components of their own
+    grouped = first.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("least"))
+    grouped = grouped.join(named, ["n", "s1", "s2"], "left").withColumn("comp", F.coalesce("comp", own))
     # The smallest id; where ids are equal or null, the smallest set identity.
     best = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "s1", "s2"))
     of = grouped.groupBy("comp").agg(best.alias("best"))
