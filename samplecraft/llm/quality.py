@@ -4,10 +4,12 @@ Tokens are runs of letters (with all non-ASCII characters), digits, or one kind
 are hashed into ``BUCKETS``: tokens and token pairs in lower case, and runs of one to three token shapes (capitals,
 capitalised, lower case, digits, which mark; whether the token repeats the last one).
 
-1. For each bucket the labelled training documents of each class that have it are counted: all of them, in one pass,
-   summed by task before the shuffle. The smoothed log ratio of the two class shares is the bucket's scale.
-2. The hinge-loss model is fitted by dual coordinate descent to at most about ``FIT_ROWS`` of these documents, picked by
-   a hash of their id; a further part of the sample, ``CALIBRATION_SHARE``, gives the sigmoid from margin to score.
+1. Training uses at most about ``TRAIN_ROWS`` labelled documents, picked among the labels by a hash of the id. As their
+   ids are bounded, they are broadcast, and no text is ever shuffled, whatever the size of either table. For each bucket
+   the documents of each class that have it are counted, by task first; the smoothed log ratio of the two class shares
+   is the bucket's scale.
+2. The hinge-loss model is fitted by dual coordinate descent to about ``FIT_ROWS`` of these documents; a further part,
+   ``CALIBRATION_SHARE``, gives the sigmoid from margin to score.
 3. All documents are scored in one pass, without a shuffle; the model (``BUCKETS`` numbers) is broadcast.
 
 Edge cases: null, empty and wordless texts have no indicators and get the score of the intercept; documents without a
@@ -25,9 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samplecraft.llm.common import U64, byte_class, lower_ascii, materialise, mix, slices, span_hashes, text_bytes
+from samplecraft.llm.common import U64, bounded_sample, byte_class, lower_ascii, materialise, mix, slices, span_hashes, text_bytes
 
 BUCKETS = 1 << 18
+TRAIN_ROWS = 16_000
 FIT_ROWS = 4000
 CALIBRATION_SHARE = 0.25
 EPOCHS = 12
@@ -105,15 +108,12 @@ class Model:
 
 
 def gather(docs: DataFrame, labels: DataFrame, column: str, label: str, key: str) -> DataFrame:
-    """What training needs, in one pass over the labelled documents, as a table in the shared folder: partial counts
-    (``bucket, c0, c1``), and the indicators of the rows to fit (``order, positive, indicators``).
-
-    The join moves each text once; the sample is chosen among the labels, so it needs no pass of its own.
-    """
+    """What training needs, in one pass over the documents, as a table in the shared folder: partial counts
+    (``bucket, c0, c1``), and the indicators of the rows to fit (``order, positive, indicators``)."""
     labels = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("key"), (F.col(label) == 1).alias("positive"))
-    share = min(1.0, FIT_ROWS / max(1, labels.count()))
-    picked = F.pmod(F.xxhash64(F.lit(7), "key"), F.lit(2**31)) < F.lit(int(share * 2**31))
-    rows = docs.select(F.col(key).alias("key"), F.col(column).alias("text")).join(labels, "key")
+    labels = bounded_sample(labels, "key", TRAIN_ROWS)
+    picked = F.pmod(F.xxhash64(F.lit(9), "key"), F.lit(TRAIN_ROWS)) < F.lit(FIT_ROWS)
+    rows = docs.select(F.col(key).alias("key"), F.col(column).alias("text")).join(F.broadcast(labels), "key")
     rows = rows.select("text", "positive", picked.alias("picked"), F.xxhash64("key", "text").alias("order"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +139,7 @@ def gather(docs: DataFrame, labels: DataFrame, column: str, label: str, key: str
 
 
 def log_count_ratios(gathered: DataFrame) -> np.ndarray:
-    """The scale of each bucket, from the counts of all labelled documents."""
+    """The scale of each bucket, from the counts of all training documents."""
     summed = gathered.where("bucket is not null").groupBy("bucket").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
     table = summed.toArrow()  # one row a bucket at most
     shares = np.full((2, BUCKETS), SMOOTH)
