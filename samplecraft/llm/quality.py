@@ -8,8 +8,8 @@ capitalised, lower case, digits, which mark; whether the token repeats the last
    ids are bounded, they are broadcast, and no text is ever shuffled, whatever the size of either table. For each bucket
    the documents of each class that have it are counted, by task first; the smoothed log ratio of the two class shares
    is the bucket's scale.
-2. The hinge-loss model is fitted by dual coordinate descent to about ``FIT_ROWS`` of these documents; a further part,
-   ``CALIBRATION_SHARE``, gives the sigmoid from margin to score.
+2. The hinge-loss model is fitted by dual coordinate descent to about ``FIT_ROWS`` of these documents, and a sigmoid from
+   margin to score to their margins.
 3. All documents are scored in one pass, without a shuffle; the model (``BUCKETS`` numbers) is broadcast.
 
 Edge cases: null, empty and wordless texts have no indicators and get the score of the intercept; documents without a
@@ -32,9 +32,8 @@ from samplecraft.llm.common import U64, bounded_sample, byte_class, lower_ascii,
 BUCKETS = 1 << 18
 TRAIN_ROWS = 16_000
 FIT_ROWS = 4000
-CALIBRATION_SHARE = 0.25
-EPOCHS = 12
-COST = 0.1
+EPOCHS = 30
+COST = 1.0
 SMOOTH = 1.0
 THRESHOLD = 0.3
 
@@ -167,13 +166,14 @@ def descend(rows: list[np.ndarray], values: list[np.ndarray], signs: np.ndarray,
 
 
 def sigmoid_fit(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and offset by Newton steps on smoothed targets."""
+    """Slope and offset by Newton steps on smoothed targets; both classes weigh the same, as in the loss."""
     up, down = labels.sum(), len(labels) - labels.sum()
+    weight = len(labels) / 2 / np.where(labels, up, down)
     goal = np.where(labels, (up + 1) / (up + 2), 1 / (down + 2))
     a, b = 1.0, 0.0
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(a * margins + b, -30, 30)))
-        g, h = p - goal, np.maximum(p * (1 - p), 1e-9)
+        g, h = weight * (p - goal), weight * np.maximum(p * (1 - p), 1e-9)
         ga, gb = (g * margins).sum() + 1e-3 * a, g.sum()
         haa, hab, hbb = (h * margins * margins).sum() + 1e-3, (h * margins).sum(), h.sum() + 1e-9
         det = haa * hbb - hab * hab
@@ -204,14 +204,8 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "text", label: str =
     signs = np.where(labels, 1.0, -1.0)
     # Each class weighs the same in the loss.
     cost = COST * len(labels) / 2 / np.where(labels, labels.sum(), (~labels).sum())
-    held = np.arange(len(rows)) < len(rows) * CALIBRATION_SHARE
-    if not (labels[~held].any() and not labels[~held].all()):
-        held[:] = False
-    fit = np.flatnonzero(~held)
-    w = descend([rows[i] for i in fit], [values[i] for i in fit], signs[fit], cost[fit], BUCKETS)
-    test = np.flatnonzero(held) if held.any() else fit
-    margins = np.array([w[rows[i]] @ values[i] + w[BUCKETS] for i in test])
-    slope, offset = sigmoid_fit(margins, labels[test])
+    w = descend(rows, values, signs, cost, BUCKETS)
+    slope, offset = sigmoid_fit(np.array([w[at] @ v + w[BUCKETS] for at, v in zip(rows, values, strict=True)]), labels)
     return Model(np.stack([w[:BUCKETS] * ratios, ratios * ratios]), float(w[BUCKETS]), slope, offset)
 
 
