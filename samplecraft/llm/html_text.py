@@ -122,7 +122,7 @@ def blocks(page: str) -> list[Block]:
         if m[2] is None:
             continue
         tag = m[2].lower()
-        if tag not in _INLINE:
+        if tag not in _INLINE and tag not in _HIDDEN:
             close()
         elif tag in ("br", "img"):
             add(" ")
@@ -137,6 +137,9 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in _VOID or m[3].endswith("/"):
             continue
+        if tag == "body":  # it ends a head that was not closed
+            hidden -= sum(t in _HIDDEN for t, _ in stack)
+            stack = [x for x in stack if x[0] not in _HIDDEN]
         if tag not in _INLINE and tag not in _HIDDEN:
             # A new block ends an unclosed paragraph, and a list item or cell the one before it.
             ended = _NO_NESTING.get(tag, ("p",))

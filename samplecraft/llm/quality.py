@@ -8,8 +8,8 @@ capitalised, lower case, digits, which mark; whether the token repeats the last
    ids are bounded, they are broadcast, and no text is ever shuffled, whatever the size of either table. For each bucket
    the documents of each class that have it are counted, by task first; the smoothed log ratio of the two class shares
    is the bucket's scale.
-2. The hinge-loss model is fitted by dual coordinate descent to about ``FIT_ROWS`` of these documents, and a sigmoid from
-   margin to score to their margins.
+2. The hinge-loss model is fitted by dual coordinate descent to about ``FIT_ROWS`` of these documents. A sigmoid turns
+   margins into scores: margin 0, where the model is undecided, becomes ``THRESHOLD``; the slope is fitted.
 3. All documents are scored in one pass, without a shuffle; the model (``BUCKETS`` numbers) is broadcast.
 
 Edge cases: null, empty and wordless texts have no indicators and get the score of the intercept; documents without a
@@ -110,8 +110,9 @@ def gather(docs: DataFrame, labels: DataFrame, column: str, label: str, key: str
     """What training needs, in one pass over the documents, as a table in the shared folder: partial counts
     (``bucket, c0, c1``), and the indicators of the rows to fit (``order, positive, indicators``)."""
     labels = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("key"), (F.col(label) == 1).alias("positive"))
+    rows = max(1, min(labels.count(), TRAIN_ROWS))
     labels = bounded_sample(labels, "key", TRAIN_ROWS)
-    picked = F.pmod(F.xxhash64(F.lit(9), "key"), F.lit(TRAIN_ROWS)) < F.lit(FIT_ROWS)
+    picked = F.pmod(F.xxhash64(F.lit(9), "key"), F.lit(rows)) < F.lit(FIT_ROWS)
     rows = docs.select(F.col(key).alias("key"), F.col(column).alias("text")).join(F.broadcast(labels), "key")
     rows = rows.select("text", "positive", picked.alias("picked"), F.xxhash64("key", "text").alias("order"))
 
@@ -165,24 +166,18 @@ def descend(rows: list[np.ndarray], values: list[np.ndarray], signs: np.ndarray,
     return w
 
 
-def sigmoid_fit(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and offset by Newton steps on smoothed targets; both classes weigh the same, as in the loss."""
+def sigmoid_slope(margins: np.ndarray, labels: np.ndarray, offset: float) -> float:
+    """Slope by Newton steps on smoothed targets; both classes weigh the same, as in the loss."""
     up, down = labels.sum(), len(labels) - labels.sum()
     weight = len(labels) / 2 / np.where(labels, up, down)
     goal = np.where(labels, (up + 1) / (up + 2), 1 / (down + 2))
-    a, b = 1.0, 0.0
+    a = 1.0
     for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(a * margins + b, -30, 30)))
-        g, h = weight * (p - goal), weight * np.maximum(p * (1 - p), 1e-9)
-        ga, gb = (g * margins).sum() + 1e-3 * a, g.sum()
-        haa, hab, hbb = (h * margins * margins).sum() + 1e-3, (h * margins).sum(), h.sum() + 1e-9
-        det = haa * hbb - hab * hab
-        if det <= 1e-15:
-            break
-        da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
-        step = min(1.0, 2.0 / max(abs(da), abs(db), 1e-12))
-        a, b = a - step * da, b - step * db
-    return float(max(a, 0.0)), float(b)
+        p = 1 / (1 + np.exp(-np.clip(a * margins + offset, -30, 30)))
+        slope = (weight * (p - goal) * margins).sum() + 1e-3 * a
+        curve = (weight * np.maximum(p * (1 - p), 1e-9) * margins * margins).sum() + 1e-3
+        a -= max(-2.0, min(2.0, slope / curve))
+    return float(max(a, 0.1))
 
 
 def train(docs: DataFrame, labels: DataFrame, column: str = "text", label: str = "quality", key: str = "doc_id") -> Model:
@@ -205,7 +200,8 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "text", label: str =
     # Each class weighs the same in the loss.
     cost = COST * len(labels) / 2 / np.where(labels, labels.sum(), (~labels).sum())
     w = descend(rows, values, signs, cost, BUCKETS)
-    slope, offset = sigmoid_fit(np.array([w[at] @ v + w[BUCKETS] for at, v in zip(rows, values, strict=True)]), labels)
+    offset = float(np.log(THRESHOLD / (1 - THRESHOLD)))
+    slope = sigmoid_slope(np.array([w[at] @ v + w[BUCKETS] for at, v in zip(rows, values, strict=True)]), labels, offset)
     return Model(np.stack([w[:BUCKETS] * ratios, ratios * ratios]), float(w[BUCKETS]), slope, offset)
 
 
