@@ -345,3 +345,49 @@ def array_payload_objects(spark, sf):
     p = shape.parse_payloads(table(spark, sf, "orders").select("o_orderkey", body.alias("body"))).drop("body")
     out = shape.flatten_attrs(shape.payload_objects(p))
     return out.groupBy("o_orderkey").agg(F.count(attr("i")).alias("rows"), F.min(F.size("attrs")).alias("objects"))
+
+
+@query("""
+    SELECT o_orderkey, (o_orderkey % 40 + 1) AS depth, rtrim(repeat('k.', CAST(o_orderkey % 40 + 1 AS INTEGER)), '.') || '.v' AS path,
+           CAST(o_custkey AS VARCHAR) AS value, CAST(o_orderkey AS VARCHAR) AS beside
+    FROM orders
+""")
+def flatten_any_depth(spark, sf):
+    """Objects nested 1 to 40 deep: the leaf keeps its path and value."""
+    depth = (F.col("o_orderkey") % 40 + 1).cast("int")
+    body = F.concat(F.lit('{"id":'), "o_orderkey", F.lit(","), F.substring(F.concat(F.repeat(F.lit('{"k":'), depth), F.lit('{"v":'), "o_custkey", F.repeat(F.lit("}"), depth + 1)), F.lit(2), F.lit(10_000)))
+    p = shape.parse_payloads(table(spark, sf, "orders").select("o_orderkey", depth.cast("bigint").alias("depth"), body.alias("body"))).drop("body")
+    out = shape.to_samples(p)
+    path = F.filter(F.map_keys("attrs"), lambda k: k != "id")[0]
+    return out.select("o_orderkey", "depth", path.alias("path"), F.col("attrs")[path].alias("value"), attr("id").alias("beside"))
+
+
+@query("""
+    SELECT event_id, CAST(event_id * 1000 AS DOUBLE) AS a, CAST(user_id AS DOUBLE) AS b, 'mSamples' AS set_name
+    FROM events
+""")
+def split_arrays_any_depth(spark, sf):
+    """Arrays nested 1 to 40 deep: the innermost one becomes a row."""
+    depth = (F.col("event_id") % 40 + 1).cast("int")
+    body = F.concat(F.lit('{"m":'), F.repeat(F.lit("["), depth), (F.col("event_id") * 1000).cast("string"), F.lit(","), "user_id", F.repeat(F.lit("]"), depth), F.lit("}"))
+    p = shape.parse_payloads(table(spark, sf, "events").select("event_id", body.alias("body"))).drop("body")
+    out = shape.to_samples(p, split_array=True, set_header=["a", "b"])
+    return out.select("event_id", attr("a", "double").alias("a"), attr("b", "double").alias("b"), F.col("event_type").alias("set_name"))
+
+
+@query("""
+    SELECT event_id, CAST(event_id AS VARCHAR) AS id, part FROM events, (VALUES ('x'), ('y')) AS t(part)
+    WHERE part = 'x' OR event_id % 3 = 0
+""")
+def nested_list_payloads(spark, sf):
+    """Lists of lists 1 to 40 deep: every object in them is a payload, bare scalars are none."""
+    depth = (F.col("event_id") % 40 + 1).cast("int")
+
+    def one(part: str) -> F.Column:
+        return F.concat(F.lit('{"id":'), "event_id", F.lit(f',"part":"{part}"}}'))
+
+    second = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(",1,["), one("y"), F.lit("]"))).otherwise(F.lit(""))
+    body = F.concat(F.repeat(F.lit("["), depth), one("x"), second, F.repeat(F.lit("]"), depth))
+    p = shape.parse_payloads(table(spark, sf, "events").select("event_id", body.alias("body"))).drop("body")
+    out = shape.to_samples(shape.payload_objects(p))
+    return out.select("event_id", attr("id").alias("id"), attr("part").alias("part"))

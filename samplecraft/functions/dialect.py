@@ -73,9 +73,22 @@ _TOKEN_RE = re.compile(r"[.,](?:0+|9+)(?!\d)|" + "|".join(re.escape(t) for t in
 
 
 def java_regex(pattern: str) -> str:
-    """Rewrite the RE2 spellings that Java's regex engine rejects."""
-    out = pattern.replace("(?P<", "(?<")
-    return re.sub(r"\[:(\w+):\]", lambda m: _POSIX.get(m[1], m[0]), out)
+    """Rewrite what Java's regex engine rejects in RE2's spelling, or reads otherwise.
+
+    Named groups and POSIX classes are respelled, and only a line feed ends a line. RE2's flag for ungreedy repetition
+    (``U``) has no counterpart and is rejected.
+    """
+    if re.search(r"\(\?[a-zA-Z]*U", pattern):
+        raise ValueError(f"the flag U is not supported: {pattern}")
+
+    def posix(m: re.Match) -> str:
+        known = _POSIX.get(m[2])
+        if known is None:
+            return m[0]
+        return known[0] + known[1].swapcase() + known[2:] if m[1] else known
+
+    out = re.sub(r"\[:(\^?)(\w+):\]", posix, pattern.replace("(?P<", "(?<"))
+    return f"(?d){out}" if re.search(r"[.^$]", out) else out
 
 
 def count_groups(pattern: str) -> int:

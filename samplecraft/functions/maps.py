@@ -43,8 +43,8 @@ def overlay(*layers: Column) -> Column:
 
 
 def has_pair(attrs: Column, test: Callable[[Column, Column], Column]) -> Column:
-    """True if some (key, value) passes the test."""
-    return F.exists(F.map_entries(attrs), lambda e: test(e["key"], e["value"]))
+    """True if some (key, value) passes the test; a null value passes none."""
+    return F.exists(F.map_entries(attrs), lambda e: F.coalesce(test(e["key"], e["value"]), F.lit(False)))
 
 
 def bind(df: DataFrame, expr: Column | str, attrs: str = "attrs") -> DataFrame:

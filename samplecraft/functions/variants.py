@@ -77,18 +77,30 @@ def entry(key: Column, value: Column) -> Column:
     return F.struct(key.alias("key"), value.alias("value"), kind_of(value).alias("kind"))
 
 
-def flat_pairs(
-    v: Column,
-    max_depth: int = 8,
-    sep: str = ".",
-    arrays: bool = False,
-    start: Column | None = None,
-) -> Column:
-    """Nested fields as (dotted path, leaf, kind) entries; empty objects vanish.
+#: Levels that are opened by an expression of their own; whatever lies deeper is opened by a fold.
+_UNROLLED = 4
+#: Turns of the folds. No payload nests deeper than the last: the JSON parser ends at 1,000 levels. The first fold
+#: serves most deep payloads with few turns.
+_TURNS = (32, 1000)
+
+
+def until_done(value: Column, step: Callable[[Column], Column], open_: Callable[[Column], Column], turns: tuple[int, ...] = _TURNS) -> Column:
+    """``step`` again and again while ``open_`` holds, inside the row. Rows that need no turn skip the folds."""
+
+    def folded(n: int) -> Callable[[Column], Column]:
+        turn = lambda acc, _: F.when(open_(acc), step(acc)).otherwise(acc)
+        return lambda now: F.when(open_(now), F.aggregate(F.sequence(F.lit(1), F.lit(n)), now, turn)).otherwise(now)
+
+    for n in turns:
+        value = F.transform(F.array(value), folded(n))[0]
+    return value
+
+
+def flat_pairs(v: Column, sep: str = ".", arrays: bool = False, start: Column | None = None) -> Column:
+    """Nested fields as (dotted path, leaf, kind) entries, however deep; empty objects vanish.
 
     ``arrays=True`` also walks arrays, with the position as a path segment; otherwise an array is a leaf.
-    ``start`` is an array of entries to begin with instead of the fields of ``v``. Below ``max_depth`` levels
-    a value stays whole, as a leaf.
+    ``start`` is an array of entries to begin with instead of the fields of ``v``.
     """
 
     def open_one(e: Column) -> Column:
@@ -106,23 +118,11 @@ def flat_pairs(
     def nested(e: Column) -> Column:
         return (e["kind"] == FIELDS) | (e["kind"] == LIST) if arrays else e["kind"] == FIELDS
 
-    def open_all(level: Column, left: int) -> Column:
-        if not left:
-            return level
-        # bind the level, so that the check and the opening share one evaluation
-        return F.transform(
-            F.array(level),
-            lambda es: F.when(
-                F.exists(es, nested), open_all(F.flatten(F.transform(es, open_one)), left - 1)
-            ).otherwise(es),
-        )[0]
-
-    if start is None:
-        return open_all(F.transform(pairs(v), lambda c: entry(c["key"], c["value"])), max_depth - 1)
-    return open_all(start, max_depth)
+    first = F.transform(pairs(v), lambda c: entry(c["key"], c["value"])) if start is None else start
+    return until_done(first, lambda es: F.flatten(F.transform(es, open_one)), lambda es: F.exists(es, nested))
 
 
-def flat_column(name: str, max_depth: int = 8, unopened: list[str] | None = None) -> Column:
+def flat_column(name: str, unopened: list[str] | None = None) -> Column:
     """``flat_pairs`` of a column, as one SQL expression: much cheaper to build than nested lambdas.
 
     Fields whose own name is in ``unopened`` stay whole.
@@ -136,14 +136,19 @@ def flat_column(name: str, max_depth: int = 8, unopened: list[str] | None = None
         skip = f" AND NOT substring_index(e.key, '.', -1) IN ({listed})"
     opened = f"if(e.kind = 2{skip}, transform({fields.format('e.value')}, c -> {inner}), array(e))"
     nested = f"exists({{}}, e -> e.kind = 2{skip})"
+    expand = f"flatten(transform({{}}, e -> {opened}))"
+    # what is left after the unrolled levels: folds, innermost the one that certainly ends
+    body = f"l{_UNROLLED + len(_TURNS)}"
+    for i in range(_UNROLLED + len(_TURNS), _UNROLLED, -1):
+        before, turns = f"l{i - 1}", _TURNS[i - _UNROLLED - 1]
+        fold = f"aggregate(sequence(1, {turns}), {before}, (a, i) -> if({nested.format('a')}, {expand.format('a')}, a))"
+        body = f"if({nested.format(before)}, transform(array({fold}), l{i} -> {body})[0], {before})"
     # innermost first: each level is bound to a name and opened only if it still holds objects
-    body = f"l{max_depth - 1}"
-    for i in range(max_depth - 1, 0, -1):
-        expand = f"flatten(transform(l{i - 1}, e -> {opened}))"
-        body = f"if({nested.format(f'l{i - 1}')}, transform(array({expand}), l{i} -> {body})[0], l{i - 1})"
+    for i in range(_UNROLLED, 0, -1):
+        before = f"l{i - 1}"
+        body = f"if({nested.format(before)}, transform(array({expand.format(before)}), l{i} -> {body})[0], {before})"
     start = f"transform({fields.format(f'`{name}`')}, c -> {made.format('c.key')})"
-    level = f"transform(array({start}), l0 -> {body})[0]"
-    return F.expr(level)
+    return F.expr(f"transform(array({start}), l0 -> {body})[0]")
 
 
 def text_map(leaf_pairs: Column) -> Column:

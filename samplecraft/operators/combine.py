@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samplecraft.functions import maps
+from samplecraft.functions import maps, scalars
 from samplecraft.functions.rows import each
 from samplecraft.functions.scalars import fill_template
 
@@ -59,17 +59,22 @@ def merge_samples(sources: Iterable[Source], group: Sequence[str] = (), event_ty
     return merged.withColumn("event_type", F.lit(event_type)) if event_type else merged
 
 
+def comparable(text: Column) -> Column:
+    """Form under which keys are compared: numbers by value, with six decimals, all else as it is written."""
+    return F.coalesce(scalars.fixed6(scalars.as_number(text)), text)
+
+
 def latest_by_key(source: Source, key: str) -> DataFrame:
     """One row per key value: of duplicates the last one; ``_key`` and the prefixed attributes."""
     place = F.struct(*source.order)
-    rows = source.df.select(F.col(source.attrs)[key].alias("_key"), place.alias("_place"), source.prefixed().alias("_attrs"))
+    rows = source.df.select(comparable(F.col(source.attrs)[key]).alias("_key"), place.alias("_place"), source.prefixed().alias("_attrs"))
     return rows.filter(F.col("_key").isNotNull()).groupBy("_key").agg(F.max_by("_attrs", "_place").alias("_attrs"))
 
 
 def join_samples(primary: Source, secondaries: Iterable[Source]) -> DataFrame:
     """Left outer join: every primary row, overlaid with the matching row of each secondary.
 
-    A secondary has one join key; it matches if any key of the primary has the same text (a later key of the
+    A secondary has one join key; it matches if any key of the primary has the same number or text (a later key of the
     primary wins a clash). Duplicate secondary keys: the last wins. Secondary attributes override; prefixes
     of both sides apply. Each (secondary, key) pair is its own equi-join, so a hot key is split by
     adaptive execution and a small secondary is broadcast by its measured size.
@@ -79,7 +84,7 @@ def join_samples(primary: Source, secondaries: Iterable[Source]) -> DataFrame:
         right = latest_by_key(secondary, str(secondary.join_key))
         for key in str(primary.join_key).split(","):
             hit = right.select(F.col("_key").alias("_k"), F.col("_attrs").alias("_a"))
-            df = df.join(hit, F.col(primary.attrs)[key.strip()] == F.col("_k"), "left")
+            df = df.join(hit, comparable(F.col(primary.attrs)[key.strip()]) == F.col("_k"), "left")
             df = df.withColumn("_joined", maps.overlay(F.col("_joined"), F.col("_a"))).drop("_k", "_a")
     return df.withColumn(primary.attrs, F.col("_joined")).drop("_joined")
 
@@ -114,7 +119,7 @@ def lookup_fan_out(targets: DataFrame, template: str, sets: Mapping[str, DataFra
     if any(p == "" for p in pieces[1:-1]):
         raise ValueError("two lookups need text between them")
     out = targets.filter(F.col(key).startswith(pieces[0])) if pieces[0] else targets
-    out = out.withColumn("_left", F.substring(F.col(key), len(pieces[0]) + 1, 1 << 30))
+    out = out.withColumn("_left", F.substring(F.col(key), F.lit(len(pieces[0]) + 1), F.length(key)))
     bound: list[str] = []
     for name, after in zip(names, pieces[1:], strict=True):
         column = f"lookup_{name}"
@@ -181,7 +186,7 @@ def dedupe_lookups(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 
     Rows without any of them pass.
     """
-    values = {f"_d{i}": F.col(attrs)[k] for i, k in enumerate(keys)}
+    values = {f"_d{i}": comparable(F.col(attrs)[k]) for i, k in enumerate(keys)}
     names = list(values)
     named = df.withColumns(values)
     has_any = F.coalesce(*names).isNotNull()

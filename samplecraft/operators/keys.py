@@ -30,10 +30,10 @@ def replace_blanks(df: DataFrame, by: str, attrs: str = "attrs") -> DataFrame:
 def camel_key(key: Column) -> Column:
     """``a_b`` -> ``aB``: first letter lowered, underscores removed."""
     head = F.lower(key.substr(1, 1))
-    pieces = F.split(F.substring(key, 2, 1 << 30), "_")
+    pieces = F.split(F.substring(key, F.lit(2), F.length(key)), "_")
     body = F.transform(
         pieces,
-        lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.upper(p.substr(1, 1)), F.substring(p, 2, 1 << 30))),
+        lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.upper(p.substr(1, 1)), F.substring(p, F.lit(2), F.length(p)))),
     )
     return F.concat(head, F.array_join(body, ""))
 

@@ -86,6 +86,7 @@ def change(kind: Column, value: Column, ts_us: Column, before: Column, before_us
     positive = F.when(kind.isin("PRATE", "PDELTA") & (step < 0), None).otherwise(moved)
     return (
         F.when(~kind.isin("RATE", "PRATE", "DELTA", "PDELTA"), value)
+        .when(ts_us.isNull(), None)
         .when(before_us.isNull(), 0.0)
         .when(ts_us == before_us, None)
         .otherwise(positive)

@@ -29,15 +29,15 @@ def parse_payloads(df: DataFrame, body: str = "body", payload: str = "payload")
 
 
 def payload_objects(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """One row per object: arrays are walked (two levels), bare scalars dropped."""
-    p = F.col(payload)
-    inner = F.flatten(
-        F.transform(F.coalesce(V.as_array(p), F.array(p)), lambda x: F.coalesce(V.as_array(x), F.array(x)))
-    )
-    objects = F.filter(inner, V.is_object)
+    """One row per object: arrays are walked, however nested, and bare scalars dropped."""
+    objects = F.filter(V.until_done(F.array(F.col(payload)), _open_arrays, lambda xs: F.exists(xs, V.is_array)), V.is_object)
     return _replace_by_each(df, payload, objects)
 
 
+def _open_arrays(values: Column) -> Column:
+    return F.flatten(F.transform(values, lambda x: F.coalesce(V.as_array(x), F.array(x))))
+
+
 def _replace_by_each(df: DataFrame, payload: str, values: Column) -> DataFrame:
     rest = [F.col(f"`{c}`") for c in df.columns if c != payload]
     return each(df, rest, values, "_one").withColumnRenamed("_one", payload)
@@ -215,14 +215,14 @@ def strip_keys(df: DataFrame, keys: Iterable[str], payload: str = "payload") ->
     return df.withColumn(payload, V.edit_object(F.col(payload), edit))
 
 
-def lazy_flatten(df: DataFrame, keys: Iterable[str], max_depth: int = 8, payload: str = "payload") -> DataFrame:
+def lazy_flatten(df: DataFrame, keys: Iterable[str], payload: str = "payload") -> DataFrame:
     """Turn ``a`` into flat keys ``a.flat.0.k`` of the same row instead of rows of their own.
 
     ``a>b``: an object ``a`` gets all of itself, flattened, under ``b``; in the elements of an array ``a``
     the keys that contain ``b`` are flattened in place.
     """
     for key in keys:
-        change = _lazy_value(key, max_depth)
+        change = _lazy_value(key)
         df = df.withColumn(payload, V.edit_object(F.col(payload), lambda f: F.transform_values(f, change)))  # noqa: B023
     return df
 
@@ -231,22 +231,22 @@ def _value_map(entries: Column) -> Column:
     return F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"], e["value"])))
 
 
-def _lazy_value(key: str, max_depth: int) -> Callable[[Column, Column], Column]:
+def _lazy_value(key: str) -> Callable[[Column, Column], Column]:
     outer, _, inner = key.partition(">")
 
     def without_inner(fields: Column) -> Column:
         return F.map_filter(fields, lambda k, _: k != inner)
 
     def in_element(x: Column) -> Column:
-        flat = F.filter(V.flat_pairs(x, max_depth, arrays=True), lambda e: e["key"].contains(inner))
+        flat = F.filter(V.flat_pairs(x, arrays=True), lambda e: e["key"].contains(inner))
         return V.edit_object(x, lambda f: F.map_concat(without_inner(f), _value_map(flat)))
 
     def value(name: Column, v: Column) -> Column:
         if not inner:
             start = F.array(V.entry(F.lit("flat"), v))
-            flat = V.rebuild(_value_map(V.flat_pairs(v, max_depth, arrays=True, start=start)))
+            flat = V.rebuild(_value_map(V.flat_pairs(v, arrays=True, start=start)))
             return F.when(name == outer, flat).otherwise(v)
-        whole = V.rebuild(_value_map(V.flat_pairs(v, max_depth, arrays=True)))
+        whole = V.rebuild(_value_map(V.flat_pairs(v, arrays=True)))
         in_object = V.edit_object(
             v, lambda f: F.map_concat(without_inner(f), F.create_map(F.lit(inner), whole))
         )
@@ -259,9 +259,9 @@ def _lazy_value(key: str, max_depth: int) -> Callable[[Column, Column], Column]:
 # ---------------------------------------------------------------- flatten and explode
 
 
-def flatten_attrs(df: DataFrame, max_depth: int = 8, payload: str = "payload", attrs: str = "attrs") -> DataFrame:
+def flatten_attrs(df: DataFrame, payload: str = "payload", attrs: str = "attrs") -> DataFrame:
     """Standard flatten of an object into one attribute map; arrays stay as JSON text."""
-    return df.withColumn(attrs, V.text_map(V.flat_column(payload, max_depth))).drop(payload)
+    return df.withColumn(attrs, V.text_map(V.flat_column(payload))).drop(payload)
 
 
 def flatten_columns(df: DataFrame, body: str, schema: T.StructType | str, sep: str = ".") -> DataFrame:
@@ -329,8 +329,6 @@ def to_samples(
     time_value_pairs: bool = False,
     number_style: str = "fixed6",
     scalar_key: str = "value",
-    max_depth: int = 8,
-    array_depth: int = 5,
 ) -> DataFrame:
     """Flatten object payloads and give one row per sample: ``event_type`` (set name), ``sample_ix``, ``attrs``.
 
@@ -355,13 +353,13 @@ def to_samples(
             ),
         )
         df = df.withColumns({"_top": maps.empty(), "_rows": members.cast(_ELEMENTS)})
-        return _emit_rows(df, payload, max_depth, scalar_key, False)
+        return _emit_rows(df, payload, scalar_key, False)
 
-    df = df.withColumn("_flat", V.flat_column(payload, max_depth, list(opened)))
+    df = df.withColumn("_flat", V.flat_column(payload, list(opened)))
     flat = F.col("_flat")
     df = df.withColumns({"_top": F.expr(_TOP), "_arrays": F.expr(_ARRAYS)})
     if split_array:
-        df = _split_arrays(df, list(set_header), leaf_array, number_style, max_depth, array_depth)
+        df = _split_arrays(df, list(set_header), leaf_array, number_style)
     else:
         rows = F.expr(_ARRAY_ROWS).cast(_ELEMENTS)
         if opened:
@@ -374,7 +372,7 @@ def to_samples(
                 "_rows": F.filter("_rows", lambda r: ~r["set_name"].isin([k + "Samples" for k in strip])),
             }
         )
-    return _emit_rows(df.drop("_flat", "_arrays"), payload, max_depth, scalar_key, time_value_pairs)
+    return _emit_rows(df.drop("_flat", "_arrays"), payload, scalar_key, time_value_pairs)
 
 
 def _keyed_rows(flat: Column, opened: Mapping[str, str]) -> Column:
@@ -392,13 +390,13 @@ def _keyed_rows(flat: Column, opened: Mapping[str, str]) -> Column:
     return F.flatten(F.transform(F.filter(flat, lambda e: e["kind"] == V.FIELDS), rows))
 
 
-def _emit_rows(df: DataFrame, payload: str, max_depth: int, scalar_key: str, time_value_pairs: bool) -> DataFrame:
+def _emit_rows(df: DataFrame, payload: str, scalar_key: str, time_value_pairs: bool) -> DataFrame:
     """One row per element, or the scalars alone when there is none."""
     rest = [c for c in df.columns if c not in (payload, "_top", "_rows", "event_type", "sample_ix", "attrs")]
     out = df.select(*rest, "_top", F.explode_outer("_rows").alias("_row"))
     out = out.select(*rest, "_top", "_row", F.col("_row.element").alias("_el"))
     el = F.col("_el")
-    out = out.withColumn("_flat", V.flat_column("_el", max_depth))
+    out = out.withColumn("_flat", V.flat_column("_el"))
     scalar = F.create_map(
         F.when(V.is_array(el), "Samples").otherwise(F.lit(scalar_key)), F.coalesce(V.text(el), F.lit(""))
     )
@@ -435,14 +433,12 @@ def _split_arrays(
     header: list[str],
     leaf_array: bool,
     number_style: str,
-    max_depth: int,
-    array_depth: int,
 ) -> DataFrame:
     """Each innermost array of scalars becomes a row (or, with ``leaf_array``, each scalar does).
 
     Names come from ``header`` by position, else ``<key><position>``; a leaf row uses the first header and
     has ``index``. Objects on the way give dimensions ``key-sub-...`` from all their scalars; entering an
-    object inside an array starts them afresh. ``array_depth`` levels of nesting are opened.
+    object inside an array starts them afresh. Nesting may have any depth.
     """
     render = {"fixed6": scalars.fixed6, "shortest": scalars.shortest}.get(number_style)
 
@@ -486,7 +482,7 @@ def _split_arrays(
 
     def inside(a: Column) -> Column:
         def open_one(x: Column) -> Column:
-            flat = V.flat_pairs(x, max_depth, sep="-")
+            flat = V.flat_pairs(x, sep="-")
             prefixed = F.transform(
                 flat,
                 lambda e: F.struct(F.concat(a["key"], F.lit("-"), e["key"]).alias("key"), e["value"], e["kind"]),
@@ -509,11 +505,11 @@ def _split_arrays(
             e["key"].alias("root"), e["key"].alias("key"), e["value"].alias("value"), maps.empty().alias("dims")
         ),
     )
-    # every level is the same pair of expressions over the column of arrays still to open
-    level_rows = F.flatten(F.transform("_open", rows_of))
-    next_open = F.flatten(F.transform("_open", inside))
-    df = df.withColumn("_open", frontier)
-    names_of_levels = [f"_r{i}" for i in range(array_depth)]
-    for column in names_of_levels:
-        df = df.withColumn(column, level_rows).withColumn("_open", next_open)
-    return df.withColumn("_rows", F.concat(*names_of_levels)).drop("_open", *names_of_levels)
+    # every turn gives the rows of the arrays still open, and opens what is inside them
+    def turn(state: Column) -> Column:
+        rows = F.concat(state["rows"], F.flatten(F.transform(state["open"], rows_of)))
+        return F.struct(F.flatten(F.transform(state["open"], inside)).alias("open"), rows.cast(_ELEMENTS).alias("rows"))
+
+    first = F.struct(frontier.alias("open"), F.array().cast(_ELEMENTS).alias("rows"))
+    done = V.until_done(first, turn, lambda state: F.size(state["open"]) > 0, (6, 1000))
+    return df.withColumn("_rows", done["rows"])

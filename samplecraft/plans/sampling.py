@@ -35,7 +35,6 @@ class SampleSpec:
     leaf_array: bool = False
     set_header: Sequence[str] = ()
     time_value_pairs: bool = False
-    max_depth: int = 8
     global_attributes: Mapping[str, object] = field(default_factory=dict)
     custom_attributes: Mapping[str, object] = field(default_factory=dict)
     to_lower: bool = False
@@ -79,7 +78,7 @@ def payloads_to_rows(df: DataFrame, spec: SampleSpec) -> DataFrame:
     if spec.start_key:
         df = shape.descend(df, spec.start_key, spec.inherit_attributes)
     df = shape.strip_keys(df, spec.strip_keys)
-    df = shape.lazy_flatten(df, spec.lazy_flatten, spec.max_depth)
+    df = shape.lazy_flatten(df, spec.lazy_flatten)
     return shape.to_samples(
         df,
         sample_keys=spec.sample_keys,
@@ -89,7 +88,6 @@ def payloads_to_rows(df: DataFrame, spec: SampleSpec) -> DataFrame:
         set_header=spec.set_header,
         strip=spec.strip_keys,
         time_value_pairs=spec.time_value_pairs,
-        max_depth=spec.max_depth,
     )
 
 

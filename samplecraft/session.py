@@ -6,29 +6,18 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _SETTINGS = {
     # Two keys may become equal after a rename or a merge: the later one wins.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # Text without a zone is UTC, and epoch text is rendered in UTC.
     "spark.sql.session.timeZone": "UTC",
+    # A key that a JSON object repeats has its last value.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
-def spread(df: DataFrame, min_bytes: int = 262_144) -> DataFrame:
-    """Deal the rows of a scan with fewer splits than the cluster has cores out to all cores.
-
-    Parsing a payload costs far more than moving it, and a few unsplittable files would leave most cores
-    idle. Scans with enough splits, which is every large table, and tiny ones are returned as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    plan = df._jdf.queryExecution()
-    if int(str(plan.optimizedPlan().stats().sizeInBytes())) < min_bytes:
-        return df
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 _SHIPPED: set[str] = set()
 
 

@@ -45,27 +45,34 @@ def read_csv_samples(spark: SparkSession, path: str, set_header: Sequence[str] =
 def csv_text_samples(df: DataFrame, set_header: Sequence[str] = (), body: str = "body") -> DataFrame:
     """CSV text in a column -> one sample per record; the first record is the header unless given.
 
-    Records may hold quoted separators. A payload with a record of another width yields no samples, only a
-    row with ``error_msg``.
+    Quoted fields may hold separators and line ends. A record of another width ends the payload: the records before it
+    are samples, and it gives a row with ``error_msg``.
     """
-    lines = F.filter(F.split(F.col(body), "\r?\n", -1), lambda x: x != "")
+    lines = F.transform(F.regexp_extract_all(F.col(body), F.lit(_CSV_RECORD), F.lit(1)), lambda x: F.regexp_replace(x, "\r$", ""))
     rest = [c for c in df.columns if c != body]
-    records = F.transform(lines, _csv_fields)
+    records = F.transform(F.filter(lines, lambda x: x != ""), _csv_fields)
     df = df.select(*rest, records.alias("_records"))
     header = F.array(*[F.lit(h) for h in set_header]) if set_header else F.get("_records", 0)
     data = F.col("_records") if set_header else F.slice("_records", 2, F.greatest(F.size("_records") - 1, F.lit(0)))
     df = df.withColumns({"_head": header, "_data": data})
-    ragged = F.exists("_data", lambda r: F.size(r) != F.size("_head"))
-    error = F.when(ragged, F.lit("record with a wrong number of fields"))
-    rows = F.when(ragged, F.array(F.lit(None).cast("array<string>"))).otherwise(F.col("_data"))
-    df = each(df, [*rest, "_head", error.alias("error_msg")], rows, "_cells", pos="sample_ix")
+    # Cells of good records, null for the first of another width; what follows it is not read.
+    fitted = F.transform("_data", lambda r: F.when(F.size(r) == F.size("_head"), r))
+    bad = F.array_position(F.transform(fitted, lambda r: r.isNull()), True)
+    rows = F.when(bad > 0, F.slice(fitted, F.lit(1), bad.cast("int"))).otherwise(fitted)
+    df = df.select(*rest, "_head", rows.alias("_rows")).select(*rest, "_head", F.posexplode_outer("_rows").alias("sample_ix", "_cells"))
+    df = df.filter(F.col("sample_ix").isNotNull())
+    error = F.when(F.col("_cells").isNull(), F.lit("record with a wrong number of fields"))
     attrs = F.map_from_arrays("_head", "_cells")
-    return df.select(*rest, "sample_ix", F.coalesce(attrs, maps.empty()).alias("attrs"), "error_msg")
+    return df.select(*rest, "sample_ix", F.coalesce(attrs, maps.empty()).alias("attrs"), error.alias("error_msg"))
+
+
+#: A record up to a line end outside quotes; possessive, so that no length of field needs a deep stack.
+_CSV_RECORD = r'([^"\n]*+(?:"[^"]*+"?[^"\n]*+)*+)(?:\n|\z)'
 
 
 def _csv_fields(line: Column) -> Column:
     """Fields of one record: quotes removed, doubled quotes undone."""
-    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'), F.lit(1))
     return F.transform(
         cells,
         lambda c: F.when(
@@ -152,7 +159,7 @@ def parse_xml(df: DataFrame, schema: T.StructType | str, body: str = "body", pay
 
     Attributes are named ``-name`` and mixed text ``#content``.
     """
-    schema = schema if isinstance(schema, str) else schema.simpleString()
+    schema = schema if isinstance(schema, str) else schema.toDDL()
     options = {"attributePrefix": "-", "valueTag": "#content", "mode": "PERMISSIVE"}
     parsed = F.from_xml(F.col(body), schema, options)
     return df.withColumn(payload, F.try_parse_json(F.to_json(parsed)))

@@ -13,7 +13,7 @@ from samplecraft.sources.text import lines_of
 
 # The exposition grammar.
 _SAMPLE = r"^([a-zA-Z_:][a-zA-Z0-9_:]*)\s*(?:\{(.*)\})?\s+(\S+)(?:\s+(-?\d+))?\s*$"
-_LABEL = r'([a-zA-Z_][a-zA-Z0-9_]*)\s*=\s*"((?:[^"\\]|\\.)*)"'
+_LABEL = r'([a-zA-Z_][a-zA-Z0-9_]*+)\s*=\s*"([^"\\]*+(?:\\.[^"\\]*+)*+)"'
 _TYPE = r"^#\s+TYPE\s+(\S+)\s+(\S+)"
 _HELP = r"^#\s+HELP\s+(\S+)\s*(.*)$"
 

@@ -90,7 +90,7 @@ def select_pages(
     ``max_pages_key``); page numbers grow by ``increment``. The stop is a minimum per request, so no request is ever sorted in one task.
     """
     text, number = F.col(body), F.col(page)
-    failed = ~F.col(status).between(200, 299)
+    failed = ~F.coalesce(F.col(status).between(200, 299), F.lit(False))  # no status is no success
     stop_before = F.min(F.when(failed, number))
     aggs = [stop_before.alias("_before"), F.min(number).alias("_first")]
     if payload_key:
