@@ -86,8 +86,7 @@ def metric_positive_rate(spark, sf):
 def metric_rate_and_positive_delta(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "ts", "event_type", "user_id", "value")
     series, width = ["event_type", "user_id"], M.slice_width(ev)
-    out = M.differences(ev, series, kind=F.lit("RATE"), into="r", tie=["event_id"], slice_seconds=width)
-    out = M.differences(out, series, kind=F.lit("PDELTA"), into="p", tie=["event_id"], slice_seconds=width)
+    out = M.differences(ev, series, into={"r": F.lit("RATE"), "p": F.lit("PDELTA")}, tie=["event_id"], slice_seconds=width)
     return out.select("event_id", F.round("r", 9).alias("rate"), F.round("p", 6).alias("pdelta"))
 
 
@@ -172,26 +171,31 @@ def event_payload_shape(spark, sf):
 
 
 @query("""
-    SELECT 'big' AS entity, 'instance' AS entity_type, 5000 AS n, (SELECT count(*) // 5000 FROM lineitem) AS batches, CAST(1 AS BIGINT) AS distinct_ids
-    WHERE (SELECT count(*) // 5000 FROM lineitem) > 0
-    UNION ALL SELECT 'big', 'instance', (SELECT count(*) % 5000 FROM lineitem), 1, 1 WHERE (SELECT count(*) % 5000 FROM lineitem) > 0
-    UNION ALL SELECT 'local', NULL, (SELECT count(*) FROM region), 1, 1
+    WITH big AS (SELECT count(*) AS n, count(DISTINCT (l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS ids, sum(l_partkey) AS parts, sum(l_orderkey) AS orders FROM lineitem)
+    SELECT 'big' AS entity, 'instance' AS entity_type, n AS events, (n + 4999) // 5000 AS batches, least(n, 5000) AS largest,
+           ids AS different, CAST(parts AS BIGINT) AS parts, CAST(orders AS BIGINT) AS orders FROM big
+    UNION ALL SELECT 'local', NULL, count(*), 1, count(*), count(*), NULL, NULL FROM region
 """)
 def batches_per_entity(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     rows = O.with_entity(
         li.select(F.struct("*").alias("r"), F.lit("line").alias("event_type"), attrs_of(part=F.col("l_partkey")).alias("attrs")), "big"
     )
-    rows = O.event_payloads(rows.select(F.to_json("r").alias("id"), "event_type", "attrs", "entity", "entity_type"))
+    rows = O.event_payloads(rows.select(F.to_json("r").alias("id"), "event_type", "attrs", "entity", "entity_type").withColumn("attrs", F.map_concat("attrs", F.create_map(F.lit("id"), "id"))))
     region = O.with_entity(
-        table(spark, sf, "region").select(F.col("r_name").alias("id"), F.lit("region").alias("event_type"), attrs_of(n="r_name").alias("attrs"))
+        table(spark, sf, "region").select(F.col("r_name").alias("id"), F.lit("region").alias("event_type"), attrs_of(n="r_name", id="r_name").alias("attrs"))
     )
     rows = rows.unionByName(O.event_payloads(region))
     out = O.batches(rows, ["id"], ["entity", "entity_type"], size=5000)
-    whole = out.select("entity", "entity_type", "n", "batch_id", (F.size("events") == F.col("n")).cast("bigint").alias("ok"))
-    return whole.groupBy("entity", "entity_type", "n").agg(
-        F.countDistinct("batch_id").alias("batches"), F.min("ok").alias("distinct_ids")
+    # the events themselves, taken out of their batches again
+    sizes = out.groupBy("entity", "entity_type").agg(F.count(F.lit(1)).alias("batches"), F.max("n").alias("largest"))
+    event = F.from_json("event", "eventType string, id string, part string")
+    each = out.select("entity", F.explode("events").alias("event")).select("entity", event.alias("e"), F.regexp_extract("event", "l_orderkey.{1,2}:([0-9]+)", 1).try_cast("bigint").alias("line"))
+    seen = each.groupBy("entity").agg(
+        F.count(F.lit(1)).alias("events"), F.countDistinct("e.id").alias("different"), F.sum(F.col("e.part").try_cast("bigint")).alias("parts"), F.sum("line").alias("orders")
     )
+    return sizes.join(seen, "entity")
+
 
 
 @query("SELECT event_id, 'samplecraft' AS name, '1.0' AS version, event_type AS kind FROM events")

@@ -1,9 +1,9 @@
-"""Structured Streaming runs over the tables, drained once; results are read back from the sink."""
+"""Structured Streaming runs over the tables, drained once; results are read back from the sink.
 
-from __future__ import annotations
+Building one of these queries runs its stream to the end; only the reading back is lazy.
+"""
 
-import tempfile
-import uuid
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,16 +11,11 @@ from pyspark.sql import functions as F
 from catalog.registry import attr, attrs_of, doc, query, table, text
 from samplecraft.operators import combine as C
 from samplecraft.plans.sampling import SampleSpec
+from samplecraft.session import shared_folder
 from samplecraft.sources import prometheus as P
 from samplecraft.streaming import stream as S
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder; a local one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{base.rstrip('/')}/samplecraft-{uuid.uuid4().hex}"
-
-
 def events(spark: SparkSession, sf: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
@@ -28,7 +23,7 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 def drain(spark: SparkSession, df: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream over everything that is there and read the sink back."""
-    folder = work_folder(spark)
+    folder = shared_folder(spark)
     run = (
         df.writeStream.outputMode(mode)
         .format("parquet")
@@ -55,7 +50,7 @@ def stream_stateless_samples(spark, sf):
 
 @query("SELECT event_id, value AS gauge, event_type AS type FROM events")
 def stream_grouped_per_batch(spark, sf):
-    folder = work_folder(spark)
+    folder = shared_folder(spark)
     body = F.concat(F.lit("# TYPE v gauge\n"), text('v{type="', F.col("event_type"), '"} ', F.col("value")))
     payloads = events(spark, sf).select("event_id", body.alias("body"))
     run = (

@@ -93,16 +93,14 @@ def change(kind: Column, value: Column, ts_us: Column, before: Column, before_us
     )
 
 
-def slice_width(df: DataFrame, ts: str = "ts", rows_per_slice: int = 1_000_000) -> int:
+def slice_width(df: DataFrame, ts: str = "ts", rows_per_slice: int = 1_000_000) -> Column:
     """Seconds per slice that put about ``rows_per_slice`` rows, of all series together, into a slice.
 
-    Runs one aggregation over the time column.
+    A scalar subquery over the time column: nothing runs before the query does.
     """
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    seen = df.agg(F.count(us).alias("n"), F.min(us).alias("lo"), F.max(us).alias("hi")).first()
-    if not seen["n"]:
-        return 3600
-    return max(1, (seen["hi"] - seen["lo"]) // 1_000_000 * rows_per_slice // seen["n"])
+    seconds = (F.max(us) - F.min(us)) / 1_000_000 * rows_per_slice / F.count(us)
+    return df.agg(F.greatest(F.lit(1), F.coalesce(seconds, F.lit(3600.0)).cast("bigint"))).scalar()
 
 
 def differences(
@@ -112,20 +110,24 @@ def differences(
     value: str = "value",
     kind: str | Column = "kind",
     tie: Sequence[str] = (),
-    into: str = "reported",
-    slice_seconds: int = 3600,
+    into: str | Mapping[str, str | Column] = "reported",
+    slice_seconds: int | Column = 3600,
 ) -> DataFrame:
     """Differences and rates to the previous sample of the same series.
 
+    ``into`` names the result, or maps several names to their kinds, all from one pass.
+
     A series is cut into time slices that are ordered independently, so a series that holds a large share
     of all rows is spread over as many tasks as it has slices. Only the last sample of each slice travels to
     the first sample of the next one: that carry has one row per series and slice.
     """
     series, tie = list(series), list(tie)
-    kind = F.col(kind) if isinstance(kind, str) else kind
+    wanted = {into: kind} if isinstance(into, str) else dict(into)
+    kinds = {f"_kind{i}": F.col(k) if isinstance(k, str) and k in df.columns else k if isinstance(k, Column) else F.lit(k) for i, k in enumerate(wanted.values())}
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    slice_no = F.floor(us / F.lit(slice_seconds * 1_000_000)).cast("bigint")
-    rows = df.withColumns({"_us": us, "_slice": slice_no, "_v": F.col(value), "_kind": kind})
+    width = slice_seconds if isinstance(slice_seconds, Column) else F.lit(slice_seconds)
+    slice_no = F.floor(us / (width * 1_000_000)).cast("bigint")
+    rows = df.withColumns({"_us": us, "_slice": slice_no, "_v": F.col(value), **kinds})
 
     seen = F.struct("_v", "_us")
     last = rows.groupBy(*series, "_slice").agg(F.max_by(seen, F.struct("_us", *tie)).alias("_last"))
@@ -138,8 +140,8 @@ def differences(
     inside = W.partitionBy(*series, "_slice").orderBy("_us", *tie)
     before = F.col("_before")
     out = whole.withColumn("_before", F.lag(seen).over(inside)).filter(~F.col("_carried"))
-    reported = change(F.col("_kind"), F.col("_v"), F.col("_us"), before["_v"], before["_us"])
-    return out.withColumn(into, reported).drop("_us", "_slice", "_v", "_kind", "_carried", "_before")
+    reported = {n: change(F.col(k), F.col("_v"), F.col("_us"), before["_v"], before["_us"]) for n, k in zip(wanted, kinds, strict=True)}
+    return out.withColumns(reported).drop("_us", "_slice", "_v", *kinds, "_carried", "_before")
 
 
 # ---------------------------------------------------------------- dimensional payloads

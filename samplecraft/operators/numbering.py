@@ -1,65 +1,72 @@
-"""Dense row numbers without putting a whole table or a whole group into one task."""
+"""Dense row numbers without putting a whole table or a whole group into one task.
+
+One lazy plan for tables of every size: rows are cut into slices, each slice is numbered on its own and shifted by the
+number of rows before it. What steers the cut is a scalar subquery that runs as part of the query.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Slices of an ordered numbering: the square of this many.
+_CUTS = 24
 
-def number_rows(
-    df: DataFrame,
-    order: Sequence[str],
-    into: str = "row_no",
-    group: Sequence[str] = (),
-    rows_per_task: int = 1_000_000,
-) -> DataFrame:
+
+def _place(column: str, kind: str) -> Column:
+    """A number that never falls as the column grows; ties are fine, they only share a slice."""
+    c = F.col(f"`{column}`")
+    if kind == "string":
+        head = F.rpad(F.substring(F.hex(F.encode(c, "UTF-8")), 1, 12), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if kind.startswith("timestamp"):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if kind == "date":
+        return F.unix_date(c).cast("double")
+    if kind == "boolean":
+        return c.cast("int").cast("double")
+    if kind.startswith(("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")):
+        return c.cast("double")
+    return F.lit(0.0)
+
+
+def number_rows(df: DataFrame, order: Sequence[str], into: str = "row_no", group: Sequence[str] = ()) -> DataFrame:
     """Number rows 1..n in the given order, per group.
 
-    The rows are counted first. Up to ``rows_per_task`` a plain window does; beyond that the key range is cut
-    at sampled bounds into slices of about that size, each slice is numbered on its own and shifted by the
-    number of rows before it. The bounds only steer the balance, any bounds give the same numbers.
+    The first ordering column is cut at approximate quantiles. The bounds only steer the balance; any bounds give the
+    same numbers.
     """
     order = list(order) or [c for c, t in df.dtypes if not t.startswith(("map", "variant"))]
-    total = df.count()
-    if total <= rows_per_task:
-        keys = [F.col(c) for c in group] or [F.lit(0)]
-        window = W.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(into, F.row_number().over(window))
-    slices = min(4096, -(-total // rows_per_task))
-    sample = df.select(*order).sample(min(1.0, slices * 50 / total), seed=7).sort(*order).collect()
-    bounds = [sample[len(sample) * i // slices] for i in range(1, slices)] if len(sample) >= slices else sample
-    types = dict(df.dtypes)
-    key = F.struct(*order)
-    literal = lambda row: F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in order])
-    return _number_sliced(df, _slice_of(key, bounds, literal), order, into, group)
+    place = _place(order[0], dict(df.dtypes)[order[0]])
+    shares = [k / _CUTS**2 for k in range(1, _CUTS**2)]
+    bounds = df.agg(F.percentile_approx(place, shares, 10_000)).scalar()
+    bounded = df.withColumns({"_place": place, "_bounds": bounds})
+    below = lambda b: b < F.col("_place")
+    # Which run of bounds, then which bound of that run: two short searches instead of one long one.
+    run = F.size(F.filter(F.filter("_bounds", lambda _, i: i % _CUTS == _CUTS - 1), below))
+    bounded = bounded.withColumn("_run", F.greatest(run, F.lit(0)))
+    inside = F.greatest(F.size(F.filter(F.slice("_bounds", F.col("_run") * _CUTS + 1, F.lit(_CUTS - 1)), below)), F.lit(0))
+    sliced = bounded.withColumn("_slice", F.when(F.col("_place").isNull(), F.lit(-1)).otherwise(F.col("_run") * _CUTS + inside))
+    return _number_sliced(sliced.drop("_place", "_bounds", "_run"), order, into, group)
 
 
 def number_any_order(
-    df: DataFrame, key: Sequence[str], into: str = "row_no", group: Sequence[str] = (), slices: int = 1024
+    df: DataFrame, key: Sequence[str], into: str = "row_no", group: Sequence[str] = (), rows_per_slice: int = 100_000
 ) -> DataFrame:
-    """Number rows 1..n per group in a fixed but arbitrary order; lazy, no action.
+    """Number rows 1..n per group in a fixed but arbitrary order.
 
-    ``key`` identifies a row. Rows are spread over ``slices`` by its hash.
+    ``key`` identifies a row. Rows are spread by its hash over as many slices as the table needs.
     """
-    return _number_sliced(df, F.pmod(F.xxhash64(*key), F.lit(slices)), list(key), into, group)
-
-
-def _slice_of(key: Column, bounds: list[Row], literal, base: int = 0) -> Column:
-    """Number of bounds at or below the key, as a balanced decision tree."""
-    if not bounds:
-        return F.lit(base)
-    mid = len(bounds) // 2
-    below = _slice_of(key, bounds[:mid], literal, base)
-    above = _slice_of(key, bounds[mid + 1 :], literal, base + mid + 1)
-    return F.when(key < literal(bounds[mid]), below).otherwise(above)
+    slices = df.agg((F.count(F.lit(1)) / rows_per_slice).cast("bigint") + 1).scalar()
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*key), slices))
+    return _number_sliced(sliced, list(key), into, group)
 
 
-def _number_sliced(df: DataFrame, slice_of: Column, order: Sequence[str], into: str, group: Sequence[str]) -> DataFrame:
+def _number_sliced(sliced: DataFrame, order: Sequence[str], into: str, group: Sequence[str]) -> DataFrame:
     group = list(group)
-    sliced = df.withColumn("_slice", slice_of.cast("int"))
     counts = sliced.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     keys = [F.col(c) for c in group] or [F.lit(0)]
     before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)

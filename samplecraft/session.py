@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -35,6 +36,19 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh folder below ``spark.checkpoint.dir``, which the driver and all executors share.
+
+    A local session may do without the setting; a cluster may not, as executors would not see each other's files.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="samplecraft-")
+    return f"{root.rstrip('/')}/samplecraft-{uuid.uuid4().hex}"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Set the runtime options that the operators need and ship the package; safe to call repeatedly."""
     ship(spark)

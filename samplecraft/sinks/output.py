@@ -44,14 +44,14 @@ def batches(
     entity: Sequence[str] = ("entity",),
     size: int = BATCH_ROWS,
     event: str = "event",
-    slices: int = 1024,
+    rows_per_slice: int = 100_000,
 ) -> DataFrame:
     """At most ``size`` events per batch and entity: ``entity, batch_id, n, events``.
 
-    ``key`` identifies a row. An entity that holds most of the rows is numbered in ``slices`` parallel parts;
-    a collected list never exceeds ``size``.
+    ``key`` identifies a row. An entity that holds most of the rows is numbered in parallel parts of about
+    ``rows_per_slice`` rows; a collected list never exceeds ``size``.
     """
-    numbered = number_any_order(df, key, "_no", entity, slices)
+    numbered = number_any_order(df, key, "_no", entity, rows_per_slice)
     batch = F.floor((F.col("_no") - 1) / size).cast("bigint").alias("batch_id")
     return numbered.groupBy(*entity, batch).agg(
         F.count(F.lit(1)).alias("n"), F.collect_list(event).alias("events")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,17 +60,6 @@ def event_time(df: DataFrame, column: str = "ts", delay: str = "10 minutes") ->
 # ---------------------------------------------------------------- rates and deltas
 
 
-def _report(kind: str, value: float, us: int, before: float | None, before_us: int | None) -> float | None:
-    if kind not in _DIFFERENCE_KINDS:
-        return value
-    if before_us is None:
-        return 0.0
-    step = value - before
-    if us == before_us or (kind.startswith("P") and step < 0):
-        return None
-    return step / ((us - before_us) / 1_000_000) if "RATE" in kind else step
-
-
 def stream_differences(
     df: DataFrame,
     series: Sequence[str] = ("event_type", "namespace", "metric"),
@@ -82,7 +72,8 @@ def stream_differences(
     """Differences and rates against the last value kept per series.
 
     State is one (time, value) per series; it is dropped once the watermark (``delay`` behind the newest
-    sample) is ``ttl_ms`` past it. Samples that are not newer than the stored one are late and dropped.
+    sample) is ``ttl_ms`` past it. Samples older than the stored one are late and dropped; one of equal time reports
+    null, as in a batch.
     Columns: the series, ``ts``, ``value``, ``kind``, ``reported``.
     """
     types = dict(df.dtypes)
@@ -94,8 +85,6 @@ def stream_differences(
         F.col(value).cast("double").alias("value"),
         kind.cast("string").alias("kind"),
     )
-    width = len(series)
-
     def advance(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
@@ -104,22 +93,27 @@ def stream_differences(
             return
         before_us, before = state.get if state.exists else (None, None)
         # a series may arrive in several Arrow batches, in any order
-        samples = sorted(
-            (us, v, k)
-            for b in batches
-            for us, v, k in zip(b["us"].tolist(), b["value"].tolist(), b["kind"].tolist(), strict=True)
-        )
-        out = []
-        for us, v, k in samples:
-            if before_us is not None and us <= before_us:
-                continue
-            out.append((*key, us, v, k, _report(k, v, us, before, before_us)))
-            before_us, before = us, v
+        rows = pd.concat(list(batches)).dropna(subset=["us"]).sort_values(["us", "value"], kind="stable")
         if before_us is not None:
-            state.update((before_us, before))
-            state.setTimeoutTimestamp(max(before_us // 1000 + ttl_ms, state.getCurrentWatermarkMs() + 1))
-        if out:
-            yield pd.DataFrame(out, columns=[*[f"c{i}" for i in range(width)], "us", "value", "kind", "reported"])
+            rows = rows[rows["us"] >= before_us]
+        if not len(rows):
+            return
+        us, v = rows["us"].to_numpy(), rows["value"].to_numpy(float)
+        first_us, first = (us[0], v[0]) if before_us is None else (before_us, before)
+        seconds = np.diff(us, prepend=first_us) / 1_000_000
+        step = np.diff(v, prepend=first)
+        kinds = rows["kind"].fillna("").to_numpy(str)
+        is_rate, is_difference = np.isin(kinds, ("RATE", "PRATE")), np.isin(kinds, _DIFFERENCE_KINDS)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            reported = np.where(is_rate, step / seconds, step)
+        unknown = (seconds == 0) | (np.char.startswith(kinds, "P") & (step < 0))
+        reported = np.where(is_difference, np.where(unknown, np.nan, reported), v)
+        if before_us is None and is_difference[0]:
+            reported[0] = 0.0
+        state.update((int(us[-1]), float(v[-1])))
+        state.setTimeoutTimestamp(max(int(us[-1]) // 1000 + ttl_ms, state.getCurrentWatermarkMs() + 1))
+        columns = {f"c{i}": [k] * len(rows) for i, k in enumerate(key)}
+        yield pd.DataFrame({**columns, "us": us, "value": v, "kind": rows["kind"].to_numpy(), "reported": pd.array(reported, dtype="Float64")})
 
     schema = ", ".join(f"c{i} {types[c]}" for i, c in enumerate(series))
     reported = rows.groupBy(*series).applyInPandasWithState(

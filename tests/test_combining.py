@@ -65,10 +65,16 @@ def test_row_lookup_and_dedupe(spark):
 
 def test_numbering_is_dense_and_ordered(spark):
     df = spark.range(500).withColumn("g", (F.col("id") % 10 < 7).cast("int"))
-    want = N.number_rows(df, ["id"], group=["g"]).collect()
-    got = N.number_rows(df, ["id"], group=["g"], rows_per_task=60).select(*df.columns, "row_no").collect()
-    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
-    loose = N.number_any_order(df, ["id"], group=["g"], slices=7).groupBy("g").agg(
+    ids = {g: sorted(r["id"] for r in df.collect() if r["g"] == g) for g in (0, 1)}
+    want = sorted((i, g, k + 1) for g in ids for k, i in enumerate(ids[g]))
+    assert sorted(tuple(r) for r in N.number_rows(df, ["id"], group=["g"]).select("id", "g", "row_no").collect()) == want
+    words = df.select(F.when(F.col("id") % 50 != 0, F.concat(F.lit("same prefix "), F.lpad(F.col("id").cast("string"), 4, "0"))).alias("w"), "id")
+    ordered = N.number_rows(words, ["w", "id"]).orderBy("row_no").collect()
+    assert [r["row_no"] for r in ordered] == list(range(1, 501))
+    assert [r["id"] for r in ordered] == [r["id"] for r in words.orderBy("w", "id").collect()]
+    plan = N.number_rows(df, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan.split("Subquery")[0]
+    loose = N.number_any_order(df, ["id"], group=["g"], rows_per_slice=70).groupBy("g").agg(
         F.max("row_no"), F.countDistinct("row_no"), F.count(F.lit(1))
     )
     assert all(r[1] == r[2] == r[3] for r in loose.collect())
@@ -100,7 +106,7 @@ def test_change_rules(spark):
 
 def test_batches(spark):
     df = spark.range(25).select("id", F.when(F.col("id") < 20, "hot").otherwise("cold").alias("entity"), F.col("id").cast("string").alias("event"))
-    out = O.batches(df, ["id"], ["entity"], size=8, slices=4).collect()
+    out = O.batches(df, ["id"], ["entity"], size=8, rows_per_slice=7).collect()
     assert sorted((r["entity"], r["batch_id"], r["n"]) for r in out) == [("cold", 0, 5), ("hot", 0, 8), ("hot", 1, 8), ("hot", 2, 4)]
     assert sorted(int(e) for r in out for e in r["events"]) == list(range(25))
 
