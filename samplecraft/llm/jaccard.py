@@ -12,9 +12,9 @@ are 64-bit hashes; a set's identity is its size and two 64-bit sums.
    slot), and its prefix taken: two alike sets share a shingle of their prefixes. A set whose prefix is full of shingles
    that no other set has ends here.
 3. Prefix shingles that two nodes or more have are kept as postings. In each of them every node is held against one
-   leader, and in a second round against another, within the length and positional bounds; a suffix filter then bounds
-   the intersection by bin counts of the whole sets, and what is left is verified on the sets, once a pair.
-4. Whatever two nodes share a posting and are not yet in one component by these links are then held against each
+   leader, within the length and positional bounds; a suffix filter then bounds the intersection by bin counts of the
+   whole sets, and what is left is verified on the sets, once a pair.
+4. Whatever two nodes share a posting and are not yet known to be connected by these links are then held against each
    other, without exception. So a large group of near copies costs a star of links and not all its pairs, and no
    link between components is lost.
 
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samplecraft.llm.common import U64, UNSPACED, find_words, lower_ascii, materialise, mix, pack, ragged, slices, span_hashes, text_bytes, window_hashes
-from samplecraft.llm.components import connected_components
+from samplecraft.llm.components import connected_components, partial_labels
 
 SIZE = 4
 PERCENT = 85
@@ -46,7 +46,6 @@ SLOTS = 1 << 18
 CHUNK = 1 << 12
 BLOOM_BITS = 1 << 26
 BINS = 16
-LEADER_ROUNDS = 2
 #: Shingles whose slot counts more than this, and eight times the mean, are not sent to be counted exactly.
 FREQUENT = 1 << 20
 #: Shingles that a task of one hash range counts.
@@ -377,12 +376,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return close.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
 
 
-def _led(postings: DataFrame, labels: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Candidate pairs of every posting's leader of this turn with the nodes of other components."""
-    held = postings.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")) if labels is not None else postings.withColumn("comp", F.col("node"))
-    lead = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), F.col("node").alias("leader"), F.col("pos").alias("pos_l"), F.col("n").alias("n_l"), F.col("comp").alias("comp_l")))
-    leaders = held.groupBy("t").agg(lead.alias("l")).select("t", "l.leader", "l.pos_l", "l.n_l", "l.comp_l")
-    pairs = held.join(leaders, "t").where((F.col("comp") != F.col("comp_l")) & _near(F.col("n"), F.col("n_l"), F.col("pos"), F.col("pos_l"), percent))
+def _led(postings: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of every posting's leader with its other nodes. The leader is the node of the smallest hash, so
+    postings of one group of near copies mostly have the same one."""
+    lead = F.min(F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("leader"), F.col("pos").alias("pos_l"), F.col("n").alias("n_l")))
+    leaders = postings.groupBy("t").agg(lead.alias("l")).select("t", "l.leader", "l.pos_l", "l.n_l")
+    pairs = postings.join(leaders, "t").where((F.col("node") != F.col("leader")) & _near(F.col("n"), F.col("n_l"), F.col("pos"), F.col("pos_l"), percent))
     return pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
@@ -407,12 +406,9 @@ def classes(docs: DataFrame, column: str = "text", key: str = "doc_id", size: in
     first = _first_pass(docs, size)
     nodes, postings = _numbered(_postings(docs, first, size, percent, frequent))
     sets = _sets(docs, nodes, size)
-    labels, links = None, None
-    for turn in range(LEADER_ROUNDS + 1):
-        pairs = _rest(postings, labels, percent) if turn == LEADER_ROUNDS else _led(postings, labels, turn, percent)
-        found = materialise(_verified(pairs, sets, percent))
-        links = found if links is None else links.unionByName(found)
-        labels = connected_components(links, "a", "b")
+    led = materialise(_verified(_led(postings, percent), sets, percent))
+    rest = materialise(_verified(_rest(postings, partial_labels(led, "a", "b"), percent), sets, percent))
+    labels = connected_components(led.unionByName(rest), "a", "b")
     named = nodes.join(labels, "node", "left").select("n", "s1", "s2", F.coalesce("comp", "node").cast("string").alias("comp"))
     own = F.concat_ws(":", "n", "s1", "s2")  # sets without postings are components of their own
     grouped = first.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("least"))

@@ -138,7 +138,8 @@ def _marked_runs(first: DataFrame) -> DataFrame:
     pairs = F.posexplode(F.arrays_zip("anchors", "contexts")).alias("run", "x")
     rows = first.where("size(anchors) > 0").select("t1", "t2", pairs).select("t1", "t2", "run", F.col("x.anchors").alias("a"), F.col("x.contexts").alias("c"))
     twice = rows.groupBy("a").agg(F.count("*").alias("seen")).where("seen > 1").select("a")
-    held = rows.join(twice, "a").groupBy("a", "c", "t1", "t2", "run").agg(F.count("*").alias("w"))
+    # Dealt anew before the sums, so that the rows of a very common anchor may be split over tasks of the join.
+    held = rows.join(twice, "a").repartition("a", "c", "t1", "t2", "run").groupBy("a", "c", "t1", "t2", "run").agg(F.count("*").alias("w"))
     held = materialise(held)
     contexts = held.groupBy("a", "c").agg(F.sum("w").alias("seen"), F.min(F.struct("t1", "t2", "run")).alias("one"))
     several = contexts.groupBy("a").agg(F.count("*").alias("contexts")).where("contexts > 1").select("a", F.lit(True).alias("several"))
