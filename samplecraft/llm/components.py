@@ -22,14 +22,6 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
 
 
-def partial_labels(links: DataFrame, a: str, b: str) -> DataFrame:
-    """``node, comp`` of all linked nodes, without steps: nodes of equal ``comp`` are connected, not always the reverse."""
-    both = links.select(F.col(a).alias("u"), F.col(b).alias("v")).unionByName(links.select(F.col(b).alias("u"), F.col(a).alias("v")))
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    onward = least.select(F.col("u").alias("m"), F.col("m").alias("comp"))
-    return least.join(onward, "m").select(F.col("u").alias("node"), "comp")
-
-
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     """``node, comp`` of all linked nodes: ``comp`` is the smallest node that links reach.
 

@@ -11,11 +11,11 @@ are 64-bit hashes; a set's identity is its size and two 64-bit sums.
    has returns to its document. So each set can be ordered rare-first (count, then hash; the most frequent last, by
    slot), and its prefix taken: two alike sets share a shingle of their prefixes. A set whose prefix is full of shingles
    that no other set has ends here.
-3. Prefix shingles that two nodes or more have are kept as postings. In each of them every node is held against one
-   leader, within the length and positional bounds; a suffix filter then bounds the intersection by bin counts of the
-   whole sets, and what is left is verified on the sets, once a pair.
-4. Whatever two nodes share a posting and are not yet known to be connected by these links are then held against each
-   other, without exception. So a large group of near copies costs a star of links and not all its pairs, and no
+3. Prefix shingles that two nodes or more have are kept as postings. The nodes of each are dealt into small groups, and
+   pairs of a group are candidates within the length and positional bounds; a suffix filter then bounds the
+   intersection by bin counts of the whole sets, and what is left is verified on the sets, once a pair.
+4. Whatever two nodes share a posting and are not yet in one component by these links are then held against each
+   other, without exception. So a large group of near copies costs a few links a node and not all its pairs, and no
    link between components is lost.
 
 Sets needed for verification come from a third pass, restricted by a Bloom filter of fixed size to documents with
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samplecraft.llm.common import U64, UNSPACED, find_words, lower_ascii, materialise, mix, pack, ragged, slices, span_hashes, text_bytes, window_hashes
-from samplecraft.llm.components import connected_components, partial_labels
+from samplecraft.llm.components import connected_components
 
 SIZE = 4
 PERCENT = 85
@@ -46,6 +46,8 @@ SLOTS = 1 << 18
 CHUNK = 1 << 12
 BLOOM_BITS = 1 << 26
 BINS = 16
+#: Nodes of one posting that are held against each other at first.
+GROUP = 8
 #: Shingles whose slot counts more than this, and eight times the mean, are not sent to be counted exactly.
 FREQUENT = 1 << 20
 #: Shingles that a task of one hash range counts.
@@ -254,8 +256,8 @@ def _prefixes(percent: int):
             absent = n - omitted - shared
             pos = np.arange(len(key)) - begin[row] + absent[row]
             kept = pos < prefix_length(n, percent)[row]
-            columns = (key[kept].view(np.int64), pos[kept], n[row[kept]], s1[row[kept]], s2[row[kept]])
-            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["t", "pos", "n", "s1", "s2"])
+            columns = (key[kept].view(np.int64), pos[kept], n[row[kept]], absent[row[kept]], s1[row[kept]], s2[row[kept]])
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["t", "pos", "n", "own", "s1", "s2"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
@@ -270,7 +272,7 @@ def _prefixes(percent: int):
 
 
 def _postings(docs: DataFrame, first: DataFrame, size: int, percent: int, frequent: int) -> DataFrame:
-    """``t, pos, n, s1, s2``: the prefix shingles that more than one set has."""
+    """``t, pos, n, own, s1, s2``: the prefix shingles that more than one set has; ``own`` are those that no other has."""
     rows = first.where("n > 0")
     total = rows.agg(F.sum("n")).first()[0] or 1
     range_bits = max(0, int(total // RANGE_SHINGLES).bit_length())
@@ -303,18 +305,18 @@ def _postings(docs: DataFrame, first: DataFrame, size: int, percent: int, freque
     equal = docs.mapInArrow(copied, "n long, s1 long, s2 long, shingles binary").groupBy("n", "s1", "s2").agg(F.first("shingles").alias("shingles"))
     units = docs.mapInArrow(alone, _UNITS).unionByName(equal.select("shingles").mapInArrow(grouped, _UNITS))
     shared = units.repartition(max(1, 1 << range_bits), "range").sortWithinPartitions("range").mapInArrow(_counted, _UNITS)
-    prefixes = shared.repartition("unit").sortWithinPartitions("unit").mapInArrow(_prefixes(percent), "t long, pos long, n long, s1 long, s2 long")
+    prefixes = shared.repartition("unit").sortWithinPartitions("unit").mapInArrow(_prefixes(percent), "t long, pos long, n long, own long, s1 long, s2 long")
     return materialise(prefixes)
 
 
 def _numbered(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(nodes: ``node, n, s1, s2``; postings: ``t, node, pos, n``) of shingles that two nodes or more have."""
+    """(nodes: ``node, n, s1, s2``; postings: ``t, node, pos, n, own``) of shingles that two nodes or more have."""
     sets = ["n", "s1", "s2"]
     shared = postings.groupBy("t").agg(F.count("*").alias("sets")).where("sets > 1").select("t")
     kept = materialise(postings.join(shared, "t"))
     # Ids are given as the table is written, and read from it ever after.
     nodes = materialise(kept.select(*sets).distinct().withColumn("node", F.monotonically_increasing_id()))
-    return nodes, materialise(kept.join(nodes, sets).select("t", "node", "pos", "n"))
+    return nodes, materialise(kept.join(nodes, sets).select("t", "node", "pos", "n", "own"))
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -345,13 +347,20 @@ def _least_common(n: F.Column, m: F.Column, percent: int) -> F.Column:
     return F.ceil((n + m) * F.lit(percent) / F.lit(100 + percent))
 
 
-def _near(n: F.Column, m: F.Column, pos_n: F.Column, pos_m: F.Column, percent: int) -> F.Column:
-    """Length bound, and positional bound: what can be common before, at and after two places."""
+def _near(x: dict[str, F.Column], y: dict[str, F.Column], percent: int) -> F.Column:
+    """Length bound, and positional bound: what can be common before, at and after two places. Shingles of a set's own
+    come first in its order and are common with none."""
+    n, m = x["n"], y["n"]
     length = F.least(n, m) * 100 >= F.greatest(n, m) * percent
-    most = F.least(pos_n, pos_m) + 1 + F.least(n - pos_n - 1, m - pos_m - 1)
+    before = F.least(x["pos"] - x["own"], y["pos"] - y["own"])
+    most = before + 1 + F.least(n - x["pos"] - 1, m - y["pos"] - 1)
     return length & (most >= _least_common(n, m, percent))
 
 
+def _named(suffix: str) -> dict[str, F.Column]:
+    return {c: F.col(f"{c}{suffix}") for c in ("pos", "n", "own")}
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of distinct pairs ``a, b`` those whose sets are alike."""
     bins = sets.select("node", "n", "bins")
@@ -376,13 +385,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return close.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
 
 
-def _led(postings: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of every posting's leader with its other nodes. The leader is the node of the smallest hash, so
-    postings of one group of near copies mostly have the same one."""
-    lead = F.min(F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("leader"), F.col("pos").alias("pos_l"), F.col("n").alias("n_l")))
-    leaders = postings.groupBy("t").agg(lead.alias("l")).select("t", "l.leader", "l.pos_l", "l.n_l")
-    pairs = postings.join(leaders, "t").where((F.col("node") != F.col("leader")) & _near(F.col("n"), F.col("n_l"), F.col("pos"), F.col("pos_l"), percent))
-    return pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+def _grouped(postings: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs within small groups: a posting's nodes are dealt by hash into groups of about ``GROUP``.
+
+    Postings of no more nodes are done with this; in larger ones it finds every node a few partners, so that a large
+    group of near copies becomes one component, or nearly."""
+    groups = postings.groupBy("t").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
+    dealt = postings.join(groups, "t").withColumn("part", F.pmod(F.xxhash64("node"), "groups")).drop("groups")
+    other = dealt.select("t", "part", *[F.col(c).alias(f"{c}_x") for c in ("node", "pos", "n", "own")])
+    pairs = dealt.join(other, ["t", "part"]).where((F.col("node") < F.col("node_x")) & _near(_named(""), _named("_x"), percent))
+    return pairs.select(F.col("node").alias("a"), F.col("node_x").alias("b")).distinct()
 
 
 def _rest(postings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -392,10 +404,10 @@ def _rest(postings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     counted = held.groupBy("t", "comp").agg(F.count("*").alias("c"))
     mixed = counted.groupBy("t").agg(F.count("*").alias("comps"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("comps > 1").select("t", "main")
     mixed = held.join(mixed, "t")
-    small = mixed.where("comp != main").select("t", F.col("node").alias("x"), F.col("pos").alias("pos_x"), F.col("n").alias("n_x"), F.col("comp").alias("comp_x"))
-    pairs = small.join(mixed, "t").where((F.col("comp") != F.col("comp_x")) & ((F.col("comp") == F.col("main")) | (F.col("x") < F.col("node"))))
-    pairs = pairs.where(_near(F.col("n"), F.col("n_x"), F.col("pos"), F.col("pos_x"), percent))
-    return pairs.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
+    small = mixed.where("comp != main").select("t", *[F.col(c).alias(f"{c}_x") for c in ("node", "pos", "n", "own", "comp")])
+    pairs = small.join(mixed, "t").where((F.col("comp") != F.col("comp_x")) & ((F.col("comp") == F.col("main")) | (F.col("node_x") < F.col("node"))))
+    pairs = pairs.where(_near(_named(""), _named("_x"), percent))
+    return pairs.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b")).distinct()
 
 
 def classes(docs: DataFrame, column: str = "text", key: str = "doc_id", size: int = SIZE, percent: int = PERCENT, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
@@ -406,9 +418,11 @@ def classes(docs: DataFrame, column: str = "text", key: str = "doc_id", size: in
     first = _first_pass(docs, size)
     nodes, postings = _numbered(_postings(docs, first, size, percent, frequent))
     sets = _sets(docs, nodes, size)
-    led = materialise(_verified(_led(postings, percent), sets, percent))
-    rest = materialise(_verified(_rest(postings, partial_labels(led, "a", "b"), percent), sets, percent))
-    labels = connected_components(led.unionByName(rest), "a", "b")
+    near = materialise(_verified(_grouped(postings, percent), sets, percent))
+    labels = connected_components(near, "a", "b")
+    rest = materialise(_verified(_rest(postings, labels, percent), sets, percent))
+    stars = labels.select(F.col("node").alias("a"), F.col("comp").alias("b"))
+    labels = connected_components(stars.unionByName(rest), "a", "b")
     named = nodes.join(labels, "node", "left").select("n", "s1", "s2", F.coalesce("comp", "node").cast("string").alias("comp"))
     own = F.concat_ws(":", "n", "s1", "s2")  # sets without postings are components of their own
     grouped = first.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("least"))
