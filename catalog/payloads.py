@@ -1,6 +1,7 @@
 """Scans, text payloads and formats."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from catalog.registry import attr, attrs_of, doc, lines, query, table, text
 from samplecraft.operators import combine, shape
@@ -364,3 +365,35 @@ def ingested_events(spark, sf):
     body = doc(kind="event_type", detail=F.from_json("props", "k bigint"))
     out = shape.flatten_attrs(shape.parse_payloads(ev.select("event_id", body.alias("body"))).drop("body"))
     return out.select("event_id", attr("kind").alias("kind"), attr("detail.k", "bigint").alias("k"))
+
+
+@query("SELECT doc_id, CAST(length(text) AS BIGINT) AS n, md5(text) AS digest, CAST(doc_id % 2 AS INTEGER) AS errors FROM documents")
+def csv_whole_documents(spark, sf):
+    """Whole documents as quoted CSV fields with line ends; after every other one a record of another width."""
+    field = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    ragged = F.when(F.col("doc_id") % 2 == 1, F.lit("1,2,3\n9,unread\n")).otherwise(F.lit(""))
+    body = F.concat(F.lit("id,text\n"), F.col("doc_id"), F.lit(","), field, F.lit("\n"), ragged)
+    out = P.csv_text_samples(table(spark, sf, "documents").select("doc_id", body.alias("body")))
+    text = F.max(attr("text"))
+    return out.groupBy("doc_id").agg(
+        F.length(text).cast("bigint").alias("n"), F.md5(F.encode(text, "UTF-8")).alias("digest"), F.count("error_msg").cast("int").alias("errors")
+    )
+
+
+@query("SELECT o_orderkey, o_orderstatus AS status, CAST(o_custkey AS VARCHAR) AS customer FROM orders")
+def json_repeated_keys(spark, sf):
+    """A key that an object repeats has its last value."""
+    body = text('{"status":"?","customer":0,"status":"', F.col("o_orderstatus"), '","customer":', F.col("o_custkey"), "}")
+    p = P.decode_json(table(spark, sf, "orders").select("o_orderkey", body.alias("body")))
+    status, customer = (F.try_variant_get("payload", f"$.{k}", "string") for k in ("status", "customer"))
+    return p.select("o_orderkey", status.alias("status"), customer.alias("customer"))
+
+
+@query("SELECT n_nationkey, n_name AS name, CAST(n_nationkey AS VARCHAR) AS id FROM nation")
+def xml_with_schema_object(spark, sf):
+    """A schema given as an object, with an attribute column."""
+    schema = StructType([StructField("-id", StringType()), StructField("name", StringType())])
+    body = text('<n id="', F.col("n_nationkey"), '"><name>', F.col("n_name"), "</name></n>")
+    p = P.parse_xml(table(spark, sf, "nation").select("n_nationkey", body.alias("body")), schema)
+    name, ident = F.try_variant_get("payload", "$.name", "string"), F.try_variant_get("payload", "$['-id']", "string")
+    return p.select("n_nationkey", name.alias("name"), ident.alias("id"))

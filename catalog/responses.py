@@ -38,7 +38,11 @@ def exposition(spark, sf, go_metrics=True, compat=False):
         "mongo_ops 3",
     )
     ev = table(spark, sf, "events").select("event_id", body.alias("body"))
-    return P.parse_exposition(ev, go_metrics=go_metrics, compat=compat)
+    return P.parse_lines(ev, go_metrics=go_metrics, compat=compat)
+
+
+def exposition_lines(spark, sf, **options):
+    return exposition(spark, sf, **options).select("event_id", F.explode_outer("lines").alias("_line")).select("event_id", "_line.*")
 
 
 _E = "SELECT event_id, event_type AS et, user_id AS u, value AS v, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events"
@@ -63,7 +67,7 @@ _E = "SELECT event_id, event_type AS et, user_id AS u, value AS v, CAST(json_ext
     UNION ALL SELECT event_id, 'mongo_ops', 'UNTYPED', '', NULL, 3, 0 FROM e
 """)
 def exposition_parse(spark, sf):
-    return exposition(spark, sf).select(
+    return exposition_lines(spark, sf).select(
         "event_id",
         "family",
         "type",
@@ -163,7 +167,7 @@ def exposition_full_families(spark, sf):
         ('app_k', 1), ('lat', 4), ('size', 4), ('plain', 1), ('mongo_ops', 1)) AS t(family, n)
 """)
 def exposition_without_go_metrics(spark, sf):
-    return exposition(spark, sf, go_metrics=False).groupBy("family").agg(F.count(F.lit(1)).alias("n"))
+    return exposition_lines(spark, sf, go_metrics=False).groupBy("family").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""
@@ -182,7 +186,7 @@ def exposition_without_go_metrics(spark, sf):
     UNION ALL SELECT event_id, 'size_count', u, NULL, 'histogram', et FROM e
 """)
 def exposition_dimensional_rows(spark, sf):
-    out = P.dimensional_rows(exposition(spark, sf), keep=["event_id"])
+    out = P.dimensional_rows(exposition_lines(spark, sf), keep=["event_id"])
     return out.select(
         "event_id",
         "metric",
@@ -354,3 +358,13 @@ def html_tables(spark, sf):
 """)
 def html_tables_of_pages(spark, sf):
     return W.html_table_samples(table(spark, sf, "pages")).select("page_id", "table_ix")
+
+
+@query("SELECT doc_id, CAST(length(text) AS BIGINT) AS n, md5(text) AS digest FROM documents")
+def exposition_long_labels(spark, sf):
+    """Whole documents as label values: escapes undone, however long."""
+    escaped = F.replace(F.replace(F.replace("text", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit("\n"), F.lit("\\n"))
+    body = F.concat(F.lit('doc{a="1",text="'), escaped, F.lit('"} '), F.col("doc_id"))
+    rows = P.parse_exposition(table(spark, sf, "documents").select("doc_id", body.alias("body")))
+    text = F.col("labels")["text"]
+    return rows.select("doc_id", F.length(text).cast("bigint").alias("n"), F.md5(F.encode(text, "UTF-8")).alias("digest"))

@@ -50,21 +50,10 @@ def stream_stateless_samples(spark, sf):
 
 @query("SELECT event_id, value AS gauge, event_type AS type FROM events")
 def stream_grouped_per_batch(spark, sf):
-    folder = shared_folder(spark)
+    """Exposition text on a plain stream: payloads are put together inside the row."""
     body = F.concat(F.lit("# TYPE v gauge\n"), text('v{type="', F.col("event_type"), '"} ', F.col("value")))
     payloads = events(spark, sf).select("event_id", body.alias("body"))
-    run = (
-        S.per_batch(
-            payloads,
-            lambda batch: P.label_samples(P.parse_exposition(batch), keep=["event_id"]),
-            lambda rows, number: rows.write.mode("overwrite").parquet(f"{folder}/out/batch={number}"),
-        )
-        .option("checkpointLocation", f"{folder}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
-    out = spark.read.parquet(f"{folder}/out")
+    out = drain(spark, P.label_samples(P.parse_lines(payloads)))
     return out.select("event_id", attr("v.gauge", "double").alias("gauge"), attr("type").alias("type"))
 
 

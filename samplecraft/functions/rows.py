@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,3 +24,9 @@ def each(df: DataFrame, keep: Iterable[str | Column], array: Column | str, name:
         return out.filter(F.col(pos).isNotNull())
     out = staged.select(*columns, F.explode_outer("_each").alias(name))
     return out.filter(F.col(name).isNotNull())
+
+
+def grouped(entries: Column, key: str, make: Callable[[Column, Column], Column]) -> Column:
+    """``make(key, entries of it)`` for each key of an array of entries, in order of appearance."""
+    keys = F.array_distinct(F.transform(entries, lambda e: e[key]))
+    return F.transform(keys, lambda k: make(k, F.filter(entries, lambda e: e[key] == k)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from samplecraft.functions import maps
 from samplecraft.functions import variants as V
-from samplecraft.functions.rows import each
+from samplecraft.functions.rows import each, grouped
 from samplecraft.sources.text import lines_of
 
 # What stands in for parts that are missing.
@@ -52,32 +52,31 @@ def bean_samples(
     """One row per bean, or per value of the property ``group_by``: ``bean``, ``domain``, its properties and
     ``<attr> = value``. ``earlier`` names a map column copied into each row.
     """
-    keep = [c for c in df.columns if c not in (payload, earlier)] if keep is None else keep
+    names = [c for c in df.columns if c not in (payload, earlier)] if keep is None else keep
+    rest = [F.col(f"`{c}`") for c in names]
+
+    def entry(e: Column) -> Column:
+        key, value = e["key"], V.text(e["value"])
+        pairs = F.transform(_properties(key), lambda p: F.when(p["key"] == "attr", maps.pair(p["value"], value)).otherwise(p))
+        if group_by:
+            group = F.coalesce(F.get(F.filter(_properties(key), lambda p: p["key"] == group_by), 0)["value"], F.lit(""))
+        else:
+            group = _bean_name(key)
+        return F.struct(group.alias("group"), pairs.alias("pairs"))
+
+    def sample(group: Column, entries: Column) -> Column:
+        whole = group.contains(":")
+        domain = F.when(whole, F.split_part(group, F.lit(":"), F.lit(1))).otherwise(NO_DOMAIN)
+        query = F.when(whole, F.regexp_replace(group, "^[^:]*:", "")).otherwise(NO_QUERY)
+        pairs = F.flatten(F.transform(entries, lambda e: e["pairs"]))
+        found = F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
+        layers = [F.create_map(F.lit("bean"), query, F.lit("domain"), domain)]
+        layers += [F.col("_earlier")] if earlier else []
+        return maps.overlay(*layers, found)
+
     carried = [F.col(earlier).alias("_earlier")] if earlier else []
-    rows = each(df, [*keep, *carried], V.pairs(F.col(payload)), "_e")
-    key, value = F.col("_e.key"), V.text(F.col("_e.value"))
-    if group_by:
-        group = F.coalesce(
-            F.get(F.filter(_properties(key), lambda p: p["key"] == group_by), 0)["value"], F.lit("")
-        )
-    else:
-        group = _bean_name(key)
-    pairs = F.transform(
-        _properties(key),
-        lambda p: F.when(p["key"] == "attr", maps.pair(p["value"], value)).otherwise(p),
-    )
-    grouped = rows.select(*keep, *(["_earlier"] if earlier else []), group.alias("_group"), pairs.alias("_pairs"))
-    aggs = [F.flatten(F.collect_list("_pairs")).alias("_pairs")]
-    if earlier:
-        aggs.append(F.any_value("_earlier").alias("_earlier"))
-    out = grouped.groupBy(*keep, "_group").agg(*aggs)
-    whole = F.col("_group").contains(":")
-    domain = F.when(whole, F.split_part("_group", F.lit(":"), F.lit(1))).otherwise(NO_DOMAIN)
-    query = F.when(whole, F.regexp_replace("_group", "^[^:]*:", "")).otherwise(NO_QUERY)
-    layers = [F.create_map(F.lit("bean"), query, F.lit("domain"), domain)]
-    layers += [F.col("_earlier")] if earlier else []
-    found = F.map_from_entries(F.filter("_pairs", lambda p: p["value"].isNotNull()))
-    return out.select(*keep, maps.overlay(*layers, found).alias("attrs"))
+    staged = df.select(*rest, *carried, F.transform(V.pairs(F.col(payload)), entry).alias("_entries"))
+    return each(staged, rest, grouped(F.col("_entries"), "group", sample), "attrs")
 
 
 def compressed_bean_samples(df: DataFrame, payload: str = "payload") -> DataFrame:

@@ -1,14 +1,15 @@
-"""Prometheus exposition text. Lines are parsed in the row; the sample forms group by payload and labels."""
+"""Prometheus exposition text. Lines are parsed, and put together to samples, inside the row: nothing shuffles, so all
+forms run on streams as they are, and payloads with equal ids stay apart."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samplecraft.functions import maps, scalars
-from samplecraft.functions.rows import each
+from samplecraft.functions.rows import each, grouped
 from samplecraft.sources.text import lines_of
 
 # The exposition grammar.
@@ -37,14 +38,13 @@ def _declared(lines: Column, marker: str, pattern: str) -> Column:
     )
 
 
-def parse_exposition(df: DataFrame, body: str = "body", go_metrics: bool = True, compat: bool = False) -> DataFrame:
-    """One row per sample line: ``line_no, family, type, help, name, labels, value, part``.
+def parse_lines(df: DataFrame, body: str = "body", go_metrics: bool = True, compat: bool = False) -> DataFrame:
+    """Column ``lines`` in place of the text: ``line_no, family, type, help, name, labels, value, part`` of each sample.
 
     ``part`` is ``quantile``, ``bucket``, ``count`` or ``sum`` for the pieces of a summary or histogram and
     null otherwise. ``go_metrics=False`` drops families that start with ``go_`` (``compat``: contain it).
-    Runs on streams as well.
     """
-    rest = [c for c in df.columns if c != body]
+    rest = [F.col(f"`{c}`") for c in df.columns if c != body]
     df = df.select(*rest, F.transform(lines_of(F.col(body)), lambda x: F.rtrim(F.ltrim(x))).alias("_lines"))
     cells = F.transform(
         F.filter(
@@ -56,54 +56,60 @@ def parse_exposition(df: DataFrame, body: str = "body", go_metrics: bool = True,
             x["line_no"], F.split(F.regexp_replace(x["line"], _SAMPLE, "$1\u0001$2\u0001$3"), "\u0001", -1).alias("c")
         ),
     )
+    named = F.transform(
+        F.filter(cells, lambda x: F.size(x["c"]) == 3),
+        lambda x: F.struct(x["line_no"], x["c"][0].alias("name"), _labels(x["c"][1]).alias("labels"), F.lower(x["c"][2]).alias("raw")),
+    )
     declared = [
         _declared(F.col("_lines"), "TYPE", _TYPE).alias("_types"),
         _declared(F.col("_lines"), "HELP", _HELP).alias("_helps"),
     ]
-    df = each(df, [*rest, *declared], F.filter(cells, lambda x: F.size(x["c"]) == 3), "_s")
-    types = F.col("_types")
-    df = df.select(
-        *rest,
-        "_types",
-        "_helps",
-        F.col("_s.line_no").alias("line_no"),
-        F.col("_s.c")[0].alias("name"),
-        _labels(F.col("_s.c")[1]).alias("labels"),
-        F.lower(F.col("_s.c")[2]).alias("_value"),
-    )
-    name = F.col("name")
-    base = F.regexp_replace(name, "_(bucket|count|sum)$", "")
-    base_type = types[base]
-    is_piece = (base != name) & types[name].isNull() & (
-        (base_type == "histogram") | ((base_type == "summary") & ~name.endswith("_bucket"))
-    )
-    df = df.withColumn("family", F.when(F.coalesce(is_piece, F.lit(False)), base).otherwise(name))
+    df = df.select(*rest, *declared, named.alias("_named"))
+    types, helps = F.col("_types"), F.col("_helps")
+
+    def in_family(s: Column) -> Column:
+        name = s["name"]
+        base = F.regexp_replace(name, "_(bucket|count|sum)$", "")
+        base_type = types[base]
+        is_piece = (base != name) & types[name].isNull() & (
+            (base_type == "histogram") | ((base_type == "summary") & ~name.endswith("_bucket"))
+        )
+        family = F.when(F.coalesce(is_piece, F.lit(False)), base).otherwise(name)
+        return F.struct(s["line_no"], name.alias("name"), s["labels"], s["raw"], family.alias("family"))
+
+    def typed(s: Column) -> Column:
+        kind = F.upper(F.coalesce(types[s["family"]], F.lit("untyped")))
+        return F.struct(s["line_no"], s["name"], s["labels"], s["raw"], s["family"], kind.alias("type"))
+
+    def whole(s: Column) -> Column:
+        value = s["raw"]
+        part = F.when(s["name"] != s["family"], F.regexp_extract(s["name"], "_(bucket|count|sum)$", 1)).when(
+            (s["type"] == "SUMMARY") & F.map_contains_key(s["labels"], "quantile"), "quantile"
+        )
+        number = (
+            F.when(value.isin("inf", "+inf"), F.lit(float("inf")))
+            .when(value == "-inf", F.lit(float("-inf")))
+            .when(value == "nan", F.lit(float("nan")))
+            .otherwise(value.try_cast("double"))
+        )
+        text = F.coalesce(helps[s["family"]], F.lit(""))
+        return F.struct(s["line_no"], s["family"], s["type"], text.alias("help"), s["name"], s["labels"], number.alias("value"), part.alias("part"))
+
+    found = F.transform("_named", in_family)
     if not go_metrics:
-        own = F.col("family").contains("go_") if compat else F.col("family").startswith("go_")
-        df = df.filter(~own)
-    kind = F.upper(F.coalesce(types[F.col("family")], F.lit("untyped")))
-    suffix = F.regexp_extract(name, "_(bucket|count|sum)$", 1)
-    part = F.when(name != F.col("family"), suffix).when(
-        (kind == "SUMMARY") & F.map_contains_key("labels", "quantile"), "quantile"
-    )
-    value = F.col("_value")
-    number = (
-        F.when(value.isin("inf", "+inf"), F.lit(float("inf")))
-        .when(value == "-inf", F.lit(float("-inf")))
-        .when(value == "nan", F.lit(float("nan")))
-        .otherwise(F.col("_value").try_cast("double"))
-    )
-    return df.select(
-        *rest,
-        "line_no",
-        "family",
-        kind.alias("type"),
-        F.coalesce(F.col("_helps")[F.col("family")], F.lit("")).alias("help"),
-        "name",
-        "labels",
-        number.alias("value"),
-        part.alias("part"),
-    )
+        found = F.filter(found, lambda s: ~(s["family"].contains("go_") if compat else s["family"].startswith("go_")))
+    return df.select(*rest, F.transform(F.transform(found, typed), whole).alias("lines"))
+
+
+def parse_exposition(df: DataFrame, body: str = "body", go_metrics: bool = True, compat: bool = False) -> DataFrame:
+    """One row per sample line, with the fields of ``parse_lines``."""
+    parsed = parse_lines(df, body, go_metrics, compat)
+    rest = [c for c in parsed.columns if c != "lines"]
+    return each(parsed, [F.col(f"`{c}`") for c in rest], "lines", "_s").select(*[F.col(f"`{c}`") for c in rest], "_s.*")
+
+
+def _kept(parsed: DataFrame, keep: Iterable[str] | None) -> list[Column]:
+    return [F.col(f"`{c}`") for c in (keep if keep is not None else parsed.columns) if c != "lines"]
 
 
 def _label_key(labels: Column) -> Column:
@@ -123,56 +129,61 @@ def _bound(labels: Column, name: str) -> Column:
     return F.coalesce(scalars.fixed6(number), infinite)
 
 
-def _collect(pairs: Column) -> Column:
-    return F.map_from_entries(F.collect_list(pairs))
+def _is_family(line: Column) -> Column:
+    return line["type"].isin("SUMMARY", "HISTOGRAM")
 
 
-def _families(parsed: DataFrame, keep: list[str]) -> DataFrame:
-    """Summaries and histograms put together: one row per family and label set, pieces as attributes."""
-    pieces = parsed.filter(F.col("type").isin("SUMMARY", "HISTOGRAM"))
-    labels, part = F.col("labels"), F.col("part")
-    text = scalars.shortest(F.col("value"))
-    key = (
-        F.when(part == "quantile", _bound(labels, "quantile"))
-        .when(part == "bucket", _bound(labels, "le"))
-        .otherwise(part)
-    )
-    shown = F.when((part == "quantile") & F.isnan("value"), None).otherwise(text)
-    out = pieces.select(*keep, "family", "type", "help", _label_key(_bare(labels)).alias("_lk"), key.alias("_k"), shown.alias("_v"))
-    grouped = out.groupBy(*keep, "family", "type", "help", "_lk").agg(
-        _collect(F.when(F.col("_k").isNotNull() & F.col("_v").isNotNull(), maps.pair(F.col("_k"), F.col("_v")))).alias("_pieces")
-    )
-    zero = maps.literal({"count": "0", "sum": "0"})
-    return grouped.withColumns(
-        {"labels": F.map_from_entries("_lk"), "_pieces": maps.overlay(zero, F.col("_pieces"))}
-    ).drop("_lk")
+def _pieces(wanted: Column) -> Column:
+    """Lines of summaries and histograms as entries: their family and labels, and the piece as key and value."""
+
+    def entry(line: Column) -> Column:
+        labels, part = line["labels"], line["part"]
+        key = (
+            F.when(part == "quantile", _bound(labels, "quantile"))
+            .when(part == "bucket", _bound(labels, "le"))
+            .otherwise(part)
+        )
+        shown = F.when(~((part == "quantile") & F.isnan(line["value"])), scalars.shortest(line["value"]))
+        of = F.struct(line["family"], line["type"], line["help"], _label_key(_bare(labels)).alias("lk"))
+        return F.struct(of.alias("of"), key.alias("k"), shown.alias("v"))
+
+    return F.transform(wanted, entry)
 
 
-def _identity() -> Column:
-    return F.create_map(F.lit("name"), F.col("family"), F.lit("help"), F.col("help"), F.lit("type"), F.col("type"))
+def _put_together(custom: Column) -> Callable[[Column, Column], Column]:
+    def make(of: Column, entries: Column) -> Column:
+        found = F.filter(entries, lambda e: e["k"].isNotNull() & e["v"].isNotNull())
+        pieces = F.map_from_entries(F.transform(found, lambda e: maps.pair(e["k"], e["v"])))
+        zero = maps.literal({"count": "0", "sum": "0"})
+        return maps.overlay(_identity(of), custom, F.map_from_entries(of["lk"]), zero, pieces)
+
+    return make
+
+
+def _identity(of: Column) -> Column:
+    return F.create_map(F.lit("name"), of["family"], F.lit("help"), of["help"], F.lit("type"), of["type"])
 
 
 def raw_samples(
-    parsed: DataFrame, keep: Iterable[str] = ("payload_id",), custom_attributes: Mapping[str, str] | None = None
+    parsed: DataFrame, keep: Iterable[str] | None = None, custom_attributes: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """One row per metric: ``name, help, type``, labels, and ``value`` or ``count``, ``sum`` and the pieces."""
-    keep = list(keep)
-    custom = maps.literal(custom_attributes or {})
-    single = parsed.filter(~F.col("type").isin("SUMMARY", "HISTOGRAM")).select(
-        *keep,
-        maps.overlay(
-            _identity(), custom, F.col("labels"), F.create_map(F.lit("value"), scalars.shortest(F.col("value")))
-        ).alias("attrs"),
-    )
-    grouped = _families(parsed, keep).select(
-        *keep, maps.overlay(_identity(), custom, F.col("labels"), F.col("_pieces")).alias("attrs")
+    """One row per metric: ``name, help, type``, labels, and ``value`` or ``count``, ``sum`` and the pieces.
+
+    This and the other forms take the result of ``parse_lines``; ``keep`` are the columns that come along, all by default.
+    """
+    rest, custom = _kept(parsed, keep), maps.literal(custom_attributes or {})
+    single = F.transform(
+        F.filter("lines", lambda x: ~_is_family(x)),
+        lambda x: maps.overlay(_identity(x), custom, x["labels"], F.create_map(F.lit("value"), scalars.shortest(x["value"]))),
     )
-    return single.unionByName(grouped)
+    staged = parsed.select(*rest, single.alias("_single"), _pieces(F.filter("lines", _is_family)).alias("_pieces"))
+    rows = F.concat("_single", grouped(F.col("_pieces"), "of", _put_together(custom)))
+    return each(staged, rest, rows, "attrs")
 
 
 def label_samples(
     parsed: DataFrame,
-    keep: Iterable[str] = ("payload_id",),
+    keep: Iterable[str] | None = None,
     summary: bool = False,
     histogram: bool = False,
 ) -> DataFrame:
@@ -182,27 +193,30 @@ def label_samples(
     Unlabelled metrics are left to ``flattened_sample``. ``summary`` / ``histogram`` hand those families to
     ``full_family_samples`` instead.
     """
-    keep = list(keep)
-    kind, part = F.col("type"), F.col("part")
-    family = F.col("family")
-    suffix = F.when(kind == "GAUGE", ".gauge").when(kind == "COUNTER", ".counter").otherwise("")
-    key = F.when(
-        kind.isin("SUMMARY", "HISTOGRAM"),
-        F.when(part.isin("count", "sum"), F.concat(family, F.lit("."), F.lower(kind), F.lit("."), part)),
-    ).otherwise(F.concat(family, suffix))
+    rest = _kept(parsed, keep)
     skipped = [t for t, off in (("SUMMARY", summary), ("HISTOGRAM", histogram)) if off]
-    rows = parsed.filter(~kind.isin(skipped)) if skipped else parsed
-    rows = rows.select(
-        *keep, _label_key(_bare(F.col("labels"))).alias("_lk"), key.alias("_k"), scalars.shortest(F.col("value")).alias("_v")
-    ).filter((F.size("_lk") > 0) & F.col("_k").isNotNull())
-    grouped = rows.groupBy(*keep, "_lk").agg(_collect(maps.pair(F.col("_k"), F.col("_v"))).alias("_values"))
-    return grouped.select(*keep, maps.overlay(F.map_from_entries("_lk"), F.col("_values")).alias("attrs"))
+
+    def entry(x: Column) -> Column:
+        kind, part, family = x["type"], x["part"], x["family"]
+        suffix = F.when(kind == "GAUGE", ".gauge").when(kind == "COUNTER", ".counter").otherwise("")
+        key = F.when(
+            _is_family(x),
+            F.when(part.isin("count", "sum"), F.concat(family, F.lit("."), F.lower(kind), F.lit("."), part)),
+        ).otherwise(F.concat(family, suffix))
+        return F.struct(_label_key(_bare(x["labels"])).alias("lk"), key.alias("k"), scalars.shortest(x["value"]).alias("v"))
+
+    lines = F.filter("lines", lambda x: ~x["type"].isin(skipped)) if skipped else F.col("lines")
+    entries = F.filter(F.transform(lines, entry), lambda e: (F.size(e["lk"]) > 0) & e["k"].isNotNull())
+    values = lambda es: F.map_from_entries(F.transform(es, lambda e: maps.pair(e["k"], e["v"])))
+    staged = parsed.select(*rest, entries.alias("_entries"))
+    rows = grouped(F.col("_entries"), "lk", lambda k, es: maps.overlay(F.map_from_entries(k), values(es)))
+    return each(staged, rest, rows, "attrs")
 
 
 def flattened_sample(
     parsed: DataFrame,
     event_type: str,
-    keep: Iterable[str] = ("payload_id",),
+    keep: Iterable[str] | None = None,
     key_merge: Iterable[str] = (),
     custom_attributes: Mapping[str, str] | None = None,
 ) -> DataFrame:
@@ -211,49 +225,48 @@ def flattened_sample(
     ``key_merge`` lists attributes (``name``, ``help``, ``type`` or custom ones); the first that exists is
     appended to the key.
     """
-    keep = list(keep)
-    custom = dict(custom_attributes or {})
-    key = F.col("family")
-    fields = {"name": F.col("family"), "help": F.col("help"), "type": F.col("type")}
-    for merge in key_merge:
-        if merge in custom or merge in fields:
-            key = F.concat(key, F.lit("."), F.lit(custom[merge]) if merge in custom else fields[merge])
-            break
-    rows = parsed.filter(~F.col("type").isin("SUMMARY", "HISTOGRAM") & (F.size("labels") == 0))
-    grouped = rows.groupBy(*keep).agg(
-        _collect(maps.pair(key, scalars.shortest(F.col("value")))).alias("_values")
-    )
-    main = maps.literal({"name": "main"})
-    return grouped.select(
-        *keep,
+    rest, custom = _kept(parsed, keep), dict(custom_attributes or {})
+    merged = next((m for m in key_merge if m in custom or m in ("name", "help", "type")), None)
+
+    def pair(x: Column) -> Column:
+        key = x["family"]
+        if merged:
+            key = F.concat(key, F.lit("."), F.lit(custom[merged]) if merged in custom else x["family" if merged == "name" else merged])
+        return maps.pair(key, scalars.shortest(x["value"]))
+
+    found = F.filter("lines", lambda x: ~_is_family(x) & (F.size(x["labels"]) == 0))
+    staged = parsed.select(*rest, F.transform(found, pair).alias("_found")).filter(F.size("_found") > 0)
+    return staged.select(
+        *rest,
         F.lit(event_type).alias("event_type"),
-        maps.overlay(main, F.col("_values"), maps.literal(custom)).alias("attrs"),
+        maps.overlay(maps.literal({"name": "main"}), F.map_from_entries("_found"), maps.literal(custom)).alias("attrs"),
     )
 
 
 def full_family_samples(
     parsed: DataFrame,
     name: str,
-    keep: Iterable[str] = ("payload_id",),
+    keep: Iterable[str] | None = None,
     summary: bool = True,
     histogram: bool = True,
     custom_attributes: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Summaries and histograms as rows of their own, the event type marked ``Summary`` / ``Histogram``."""
-    keep = list(keep)
+    rest = _kept(parsed, keep)
 
     def event(mark: str) -> str:
         return name.replace("Sample", f"{mark}Sample") if "Sample" in name else f"{name}{mark}Sample"
 
     wanted = [t for t, on in (("SUMMARY", summary), ("HISTOGRAM", histogram)) if on]
-    rows = _families(parsed.filter(F.col("type").isin(wanted)), keep)
-    return rows.select(
-        *keep,
-        F.when(F.col("type") == "SUMMARY", event("Summary")).otherwise(event("Histogram")).alias("event_type"),
-        maps.overlay(
-            _identity(), maps.literal(custom_attributes or {}), F.col("labels"), F.col("_pieces")
-        ).alias("attrs"),
-    )
+    staged = parsed.select(*rest, _pieces(F.filter("lines", lambda x: x["type"].isin(wanted))).alias("_pieces"))
+    put_together = _put_together(maps.literal(custom_attributes or {}))
+
+    def make(of: Column, entries: Column) -> Column:
+        mark = F.when(of["type"] == "SUMMARY", event("Summary")).otherwise(event("Histogram"))
+        return F.struct(mark.alias("event_type"), put_together(of, entries).alias("attrs"))
+
+    rows = each(staged, rest, grouped(F.col("_pieces"), "of", make), "_row")
+    return rows.select(*rest, "_row.event_type", "_row.attrs")
 
 
 def dimensional_rows(

@@ -127,7 +127,11 @@ cargo_tons 4
 
 
 def test_prometheus(spark):
-    parsed = prometheus.parse_exposition(body(spark, EXPOSITION))
+    parsed = prometheus.parse_lines(body(spark, EXPOSITION))
+    for form in (prometheus.raw_samples(parsed), prometheus.label_samples(parsed), prometheus.full_family_samples(parsed, "x")):
+        assert "Exchange" not in form._jdf.queryExecution().executedPlan().toString()
+    twice = prometheus.parse_lines(spark.createDataFrame([(1, 'm{a="x"} 1'), (1, 'm{a="x"} 2')], "payload_id int, body string"))
+    assert sorted(a["m"] for a in attrs(prometheus.label_samples(twice))) == ["1", "2"]
     raw = {a["name"]: a for a in attrs(prometheus.raw_samples(parsed))}
     assert raw["warm"]["value"] == "1.25e+07" and raw["warm"]["type"] == "GAUGE"
     assert raw["go_pause"]["0.000000"] == "0.00025" and "1.000000" not in raw["go_pause"] and raw["go_pause"]["count"] == "4"
@@ -146,6 +150,8 @@ def test_prometheus(spark):
 def test_beans(spark):
     dump = {"Harbour:type=Crane,name=a,attr=max": 5, "Harbour:type=Crane,name=a,attr=on": True, "odd": 1}
     df = beans.parse_bean_text(body(spark, "noise\n" + json.dumps(dump) + "\nmore noise"))
+    out = beans.bean_samples(df.unionByName(df))
+    assert out.count() == 4 and "HashAggregate" not in out._jdf.queryExecution().executedPlan().toString()
     got = sorted(attrs(beans.bean_samples(df)), key=len)
     assert got[-1] == {
         "bean": "type=Crane,name=a", "domain": "Harbour", "Harbour:type": "Crane", "name": "a", "max": "5", "on": "true",
