@@ -1,7 +1,8 @@
 """Time the headline queries, one per operator family; prints one JSON line.
 
 ``BENCH_SF_DIR`` (default ``/root/testdata/sf0.1``) and ``BENCH_CPUS`` (default 8) set tables and cores. The first
-two queries run once unmeasured to warm the JVM up; each query is measured from building the plan to the last row.
+two queries run once unmeasured to warm the JVM up; each query is measured from building the plan to the last row, three
+times, of which the median counts. ``plan`` has the median seconds of building plans alone.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ import json
 import os
 import sys
 import time
+from statistics import median
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +32,9 @@ HEADLINES = [
     "exposition_label_samples",
     "exposition_raw_samples",
     "bean_grouping",
+    "bean_compression",
+    "csv_files_scanned",
+    "stream_rates",
     "response_envelopes",
     "page_sequence_until_empty",
     "html_tables",
@@ -68,20 +73,23 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
 
-    def run(name: str) -> float:
+    def run(name: str) -> tuple[float, float]:
         start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - start
+        df = QUERIES[name](spark, sf_dir)
+        built = time.perf_counter() - start
+        df.write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start, built
 
     for name in HEADLINES[:2]:
         run(name)
-    times = {}
+    times, plans = {}, {}
     for name in HEADLINES:
-        times[name] = round(run(name), 3)
+        runs = [run(name) for _ in range(3)]
+        times[name], plans[name] = (round(median(r[k] for r in runs), 3) for k in (0, 1))
         print(f"{name} {times[name]}", file=sys.stderr)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
-        json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": sf})
+        json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "plan": plans, "sf": sf})
     )
     spark.stop()
 

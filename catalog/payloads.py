@@ -5,6 +5,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from catalog.registry import attr, attrs_of, doc, lines, query, table, text
 from samplecraft.operators import combine, shape
+from samplecraft.session import shared_folder
+from samplecraft.sinks import output
 from samplecraft.sources import payloads as P
 from samplecraft.sources import text as T
 
@@ -320,8 +322,8 @@ def cached_payloads_reused(spark, sf):
     body = text("status=", F.col("o_orderstatus"))
     store = P.Captures()
     store.store("orders", table(spark, sf, "orders").select("o_orderkey", body.alias("body")))
-    kv = T.key_value_samples(store.reuse("orders", persist=False), "=")
-    cols = T.column_samples(store.reuse("orders", persist=False), "=", set_header=["name", "status"])
+    kv = T.key_value_samples(store.reuse("orders"), "=")
+    cols = T.column_samples(store.reuse("orders"), "=", set_header=["name", "status"])
     return combine.union_samples(
         kv.select("o_orderkey", F.lit("kv").alias("via"), attr("status").alias("status")),
         cols.select("o_orderkey", F.lit("columns").alias("via"), attr("status").alias("status")),
@@ -397,3 +399,33 @@ def xml_with_schema_object(spark, sf):
     p = P.parse_xml(table(spark, sf, "nation").select("n_nationkey", body.alias("body")), schema)
     name, ident = F.try_variant_get("payload", "$.name", "string"), F.try_variant_get("payload", "$['-id']", "string")
     return p.select("n_nationkey", name.alias("name"), ident.alias("id"))
+
+
+@query("SELECT n_nationkey AS key, n_name AS name, n_regionkey AS region FROM nation")
+def csv_files_scanned(spark, sf):
+    """Written as CSV into the shared folder and scanned as samples."""
+    folder = f"{shared_folder(spark)}/csv"
+    table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey").write.option("header", True).csv(folder)
+    out = P.read_csv_samples(spark, folder)
+    return out.select(F.col("n_nationkey").cast("int").alias("key"), F.col("n_name").alias("name"), F.col("n_regionkey").cast("int").alias("region"))
+
+
+@query("SELECT c_custkey AS key, c_mktsegment AS segment, c_name AS name, 'customer' AS event_type FROM customer")
+def json_files_scanned(spark, sf):
+    """Samples written as JSON lines, each line scanned as a payload again."""
+    folder = f"{shared_folder(spark)}/json"
+    c = table(spark, sf, "customer").select(F.lit("customer").alias("event_type"), attrs_of(key="c_custkey", segment="c_mktsegment", name="c_name").alias("attrs"))
+    output.write_json(c, folder)
+    payloads = P.decode_json(spark.read.text(folder).select(F.col("value").alias("body"))).drop("body")
+    out = shape.flatten_attrs(payloads)
+    return out.select(attr("key", "bigint").alias("key"), attr("segment").alias("segment"), attr("name").alias("name"), attr("event_type").alias("event_type"))
+
+
+@query("SELECT n_regionkey AS region, n_name AS name FROM nation")
+def sample_table_written(spark, sf):
+    """A table partitioned by event type, read back by type."""
+    folder = f"{shared_folder(spark)}/table"
+    n = table(spark, sf, "nation")
+    output.write_samples(n.select(F.concat(F.lit("region"), "n_regionkey").alias("event_type"), attrs_of(name="n_name").alias("attrs")), folder)
+    back = spark.read.parquet(folder)
+    return back.select(F.substring("event_type", 7, 9).cast("int").alias("region"), attr("name").alias("name"))

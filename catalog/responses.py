@@ -354,10 +354,17 @@ def html_tables(spark, sf):
 
 
 @query("""
-    SELECT page_id, CAST(NULL AS INTEGER) AS table_ix FROM pages WHERE regexp_matches(html, '(?i)<table')
+    SELECT page_id, CAST(t AS INTEGER) AS table_ix, CAST(r AS INTEGER) AS row_ix, 'p' || page_id AS page, page_id * 10 + r AS mark
+    FROM pages, UNNEST(generate_series(0, CAST(page_id % 2 AS INTEGER))) AS a(t), UNNEST(generate_series(0, 1)) AS b(r)
 """)
 def html_tables_of_pages(spark, sf):
-    return W.html_table_samples(table(spark, sf, "pages")).select("page_id", "table_ix")
+    """Whole pages, one or two tables put into each before its end."""
+    row = lambda r: F.concat(F.lit("<tr><td>p"), F.col("page_id"), F.lit("</td><td><b>"), F.col("page_id") * 10 + r, F.lit("</b></td></tr>"))
+    one = F.concat(F.lit("<table><tr><th>Page</th><th>Mark</th></tr>"), row(0), row(1), F.lit("</table>"))
+    tables = F.repeat(one, (F.col("page_id") % 2 + 1).cast("int"))
+    pages = table(spark, sf, "pages").select("page_id", F.replace("html", F.lit("</article>"), F.concat(tables, F.lit("</article>"))).alias("html"))
+    out = W.html_table_samples(pages)
+    return out.select("page_id", "table_ix", "row_ix", attr("Page").alias("page"), attr("Mark", "bigint").alias("mark"))
 
 
 @query("SELECT doc_id, CAST(length(text) AS BIGINT) AS n, md5(text) AS digest FROM documents")

@@ -58,9 +58,13 @@ def held_back_samples(spark, sf):
     return out.groupBy((~F.col("emit")).alias("held")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT least(100, count(*)) AS n FROM events")
+@query("SELECT least(100, count(*)) AS n, least(100, count(*)) AS different, least(100, count(*)) AS known FROM events")
 def event_limit(spark, sf):
-    return E.limit_events(event_rows(spark, sf), 100).agg(F.count(F.lit(1)).alias("n"))
+    """A hundred rows, each a different one of the table's."""
+    limited = E.limit_events(table(spark, sf, "events").select("event_id", "value"), 100)
+    events = table(spark, sf, "events").select("event_id", F.col("value").alias("own"))
+    known = F.count(F.when(F.col("value").eqNullSafe(F.col("own")), 1))
+    return limited.join(events, "event_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("different"), known.alias("known"))
 
 
 @query("""
