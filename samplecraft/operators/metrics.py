@@ -125,7 +125,7 @@ def differences(
     wanted = {into: kind} if isinstance(into, str) else dict(into)
     kinds = {f"_kind{i}": F.col(k) if isinstance(k, str) and k in df.columns else k if isinstance(k, Column) else F.lit(k) for i, k in enumerate(wanted.values())}
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    width = slice_seconds if isinstance(slice_seconds, Column) else F.lit(slice_seconds)
+    width = slice_seconds if isinstance(slice_seconds, Column) else F.lit(slice_seconds).cast("bigint")
     slice_no = F.floor(us / (width * 1_000_000)).cast("bigint")
     rows = df.withColumns({"_us": us, "_slice": slice_no, "_v": F.col(value), **kinds})
 

@@ -16,6 +16,8 @@ _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A key that a JSON object repeats has its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Rows sent to a Python worker at once; texts may be long.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
