@@ -54,7 +54,7 @@ FREQUENT = 1 << 20
 RANGE_SHINGLES = 1 << 20
 #: Bits by which shortened hashes outnumber the shingles; a shingle taken for another only adds a candidate.
 SPARE_BITS = 13
-UNIT_BYTES = 4 << 20
+UNIT_BYTES = 2 << 20
 
 
 def shingle_sets(batch: pa.RecordBatch, column: str, size: int) -> tuple[np.ndarray, np.ndarray]:

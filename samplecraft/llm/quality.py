@@ -34,6 +34,8 @@ TRAIN_ROWS = 16_000
 FIT_ROWS = 4000
 EPOCHS = 30
 COST = 1.0
+#: Bytes of text whose indicators a Python worker holds at once.
+SLICE_BYTES = 1 << 19
 SMOOTH = 1.0
 THRESHOLD = 0.3
 
@@ -120,7 +122,7 @@ def gather(docs: DataFrame, labels: DataFrame, column: str, label: str, key: str
         names = ["bucket", "c0", "c1", "order", "positive", "indicators"]
         types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
         counts = np.zeros((2, BUCKETS), np.int64)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             buckets, offsets = _rows(batch, "text")
             positive = np.array(batch.column(1).to_pylist(), bool)
             of = np.repeat(positive, np.diff(offsets))
@@ -211,7 +213,7 @@ def score(docs: DataFrame, model: Model, column: str = "text", threshold: float
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, column):
+        for batch in slices(batches, column, SLICE_BYTES):
             s = sent.value.scores(*_rows(batch, column))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=[*batch.schema.names, "score", "predicted"])
 
@@ -224,7 +226,7 @@ def keep(docs: DataFrame, model: Model, column: str = "text", threshold: float =
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, column):
+        for batch in slices(batches, column, SLICE_BYTES):
             yield batch.filter(pa.array(sent.value.scores(*_rows(batch, column)) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)
