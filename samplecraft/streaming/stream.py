@@ -18,6 +18,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from samplecraft.functions import maps
 from samplecraft.functions.rows import each
+from samplecraft.operators.combine import comparable
 from samplecraft.plans.sampling import SampleSpec, to_samples
 
 _DIFFERENCE_KINDS = ("RATE", "PRATE", "DELTA", "PDELTA")
@@ -161,7 +162,7 @@ def stream_merge(
 
 def stream_join(df: DataFrame, secondary: DataFrame, key: str, attrs: str = "attrs") -> DataFrame:
     """Left outer join of a sample stream with a static table of ``_key``, ``_attrs`` (``latest_by_key``)."""
-    joined = df.join(secondary, F.col(attrs)[key] == F.col("_key"), "left")
+    joined = df.join(secondary, comparable(F.col(attrs)[key]) == F.col("_key"), "left")
     return joined.withColumn(attrs, maps.overlay(F.col(attrs), F.col("_attrs"))).drop("_key", "_attrs")
 
 
