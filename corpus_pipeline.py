@@ -46,7 +46,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as token shards, and from these a row a document: where it starts, its ids and their checksum."""
     prepare(spark)
-    return token_files.encode_documents(spark, docs.select("doc_id", "text"), tokenizer_path())
+    # Python workers also serve the other stages, so they keep less here.
+    return token_files.encode_documents(spark, docs.select("doc_id", "text"), tokenizer_path(), kept_pieces=150_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -61,7 +61,7 @@ _ODD = re.compile(r" (?:\s|\Z|(?<=\s ))")
 class Encoder:
     """Ids of texts as little-endian bytes."""
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, kept_pieces: int = KEPT_PIECES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -72,6 +72,7 @@ class Encoder:
         for token, k in vocabulary.items():
             self.lengths[k] = len(token)
         self.end = np.array([end_id], self.dtype).tobytes()
+        self.kept_pieces = kept_pieces
         #: Ids by piece, the space that goes before it left out.
         self.known: dict[str, bytes] = {}
 
@@ -102,7 +103,7 @@ class Encoder:
             if parts:
                 wanted.update(parts[1:])
         found = self._encode_pieces([p for p in wanted if p not in self.known])
-        if len(self.known) + len(found) <= KEPT_PIECES:
+        if len(self.known) + len(found) <= self.kept_pieces:
             self.known.update(found)
             found = self.known
         else:
@@ -119,8 +120,8 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, end_id: int) -> Encoder:
-    return Encoder(path, end_id)
+def encoder(path: str, end_id: int, kept_pieces: int) -> Encoder:
+    return Encoder(path, end_id, kept_pieces)
 
 
 class ShardWriter:
@@ -175,7 +176,7 @@ class ShardReader:
 def train_dictionary(docs: DataFrame, path: str, column: str = "text", key: str = "doc_id", end_id: int = END_ID) -> bytes:
     """A dictionary from a bounded sample; empty where there is too little to learn from."""
     sample = bounded_sample(docs.where(F.length(column) <= SAMPLE_CHARS).select(key, column), key, SAMPLE_ROWS)
-    samples = encoder(path, end_id).encode([r[column] for r in sample.collect()])
+    samples = Encoder(path, end_id).encode([r[column] for r in sample.collect()])
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
@@ -183,13 +184,19 @@ def train_dictionary(docs: DataFrame, path: str, column: str = "text", key: str
 
 
 def write_shards(
-    docs: DataFrame, path: str, dictionary: bytes, column: str = "text", key: str = "doc_id", end_id: int = END_ID
+    docs: DataFrame,
+    path: str,
+    dictionary: bytes,
+    column: str = "text",
+    key: str = "doc_id",
+    end_id: int = END_ID,
+    kept_pieces: int = KEPT_PIECES,
 ) -> DataFrame:
     """Rows of ``SHARDS``, in order of ``part`` and ``shard``; ``part_ids_before`` are the ids of earlier shards of the part."""
     name = hashlib.sha256(dictionary).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, enc, count, before = TaskContext.get().partitionId(), encoder(path, end_id), 0, 0
+        part, enc, count, before = TaskContext.get().partitionId(), encoder(path, end_id, kept_pieces), 0, 0
         writer = ShardWriter(enc.dtype.itemsize, dictionary)
 
         def row() -> pa.RecordBatch:
@@ -244,8 +251,11 @@ def read_shards(shards: DataFrame, dictionary: bytes, key: str = "doc_id") -> Da
     return located.mapInArrow(run, f"`{key}` long, start long, n_tokens long, ids_crc32 long")
 
 
-def encode_documents(spark: SparkSession, docs: DataFrame, path: str, column: str = "text", key: str = "doc_id") -> DataFrame:
-    """Write ``docs`` as shards into the shared folder and read them back."""
+def encode_documents(
+    spark: SparkSession, docs: DataFrame, path: str, column: str = "text", key: str = "doc_id", kept_pieces: int = KEPT_PIECES
+) -> DataFrame:
+    """Write ``docs`` as shards into the shared folder and read them back. ``kept_pieces`` bounds what a Python worker
+    keeps from task to task, some 250 bytes a piece."""
     dictionary = train_dictionary(docs, path, column, key)
-    shards = materialise(write_shards(docs, path, dictionary, column, key))
+    shards = materialise(write_shards(docs, path, dictionary, column, key, kept_pieces=kept_pieces))
     return read_shards(shards, dictionary, key)
