@@ -76,6 +76,28 @@ def join_with_secondaries(spark, sf):
     )
 
 
+@query("""
+    SELECT o_orderkey, o_custkey AS cust, coalesce('N' || n_nationkey, 'own') AS name, c_name AS c_name, c_nationkey AS nation
+    FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+    LEFT JOIN nation ON n_nationkey = CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 END
+""")
+def join_with_secondaries_whole(spark, sf):
+    """All customers and nations; orders of other statuses than F and O, and nations of no status, have no partner."""
+    n = F.col("n_nationkey")
+    states = table(spark, sf, "nation").select(
+        "n_nationkey",
+        attrs_of(state=F.when(n == 0, "F").when(n == 1, "O").otherwise(text("N", n)), name=text("N", n)).alias("attrs"),
+    )
+    out = C.join_samples(
+        C.Source(orders(spark, sf), join_key="cust,status"),
+        [C.Source(customers(spark, sf), prefix="c.", join_key="id", order=["c_custkey"]), C.Source(states, join_key="state", order=["n_nationkey"])],
+    )
+    return out.select(
+        "o_orderkey", attr("cust", "bigint").alias("cust"), attr("name").alias("name"),
+        attr("c.name").alias("c_name"), attr("c.nation", "int").alias("nation"),
+    )
+
+
 @query("""
     SELECT c_custkey, last AS order_, (SELECT o_orderstatus FROM orders WHERE o_orderkey = last) AS status
     FROM customer LEFT JOIN (SELECT o_custkey, max(o_orderkey) AS last FROM orders GROUP BY 1) ON o_custkey = c_custkey
@@ -103,6 +125,22 @@ def join_arrays_by_position(spark, sf):
     return out.select("vec_id", attr("index", "int").alias("ix"), attr("x", "double").alias("x"), attr("b.x", "double").alias("y"))
 
 
+@query("""
+    WITH e AS (SELECT vec_id, i - 1 AS ix, round(CAST(embedding[i] AS DOUBLE), 4) AS x
+               FROM embeddings, UNNEST(generate_series(1, len(embedding))) AS u(i))
+    SELECT a.vec_id, CAST(a.ix AS INTEGER) AS ix, a.x AS x, b.x AS y FROM e a
+    JOIN (SELECT ix, arg_max(x, vec_id) AS x FROM e GROUP BY ix) b USING (ix)
+""")
+def join_arrays_by_position_whole(spark, sf):
+    """All vectors as the secondary: of the elements at a position, that of the last vector wins."""
+    e = table(spark, sf, "embeddings").select("vec_id", F.posexplode("embedding").alias("ix", "x"))
+    rows = e.select("vec_id", attrs_of(index="ix", x=F.round(F.col("x").cast("double"), 4)).alias("attrs"))
+    out = C.join_samples(
+        C.Source(rows, join_key="index"), [C.Source(rows, prefix="b.", join_key="index", order=["vec_id"])]
+    )
+    return out.select("vec_id", attr("index", "int").alias("ix"), attr("x", "double").alias("x"), attr("b.x", "double").alias("y"))
+
+
 @query("""
     SELECT DISTINCT o_orderstatus AS state FROM orders UNION SELECT DISTINCT 'p' || substr(o_orderpriority, 1, 1) FROM orders
 """)
@@ -126,6 +164,25 @@ def lookup_fan_out(spark, sf):
     return out.select("o_orderkey", F.col("lookup_cust").alias("cust"), F.col("lookup_state").alias("state"))
 
 
+@query("""
+    SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS cust, o_orderstatus AS state FROM orders
+    WHERE o_custkey IN (SELECT c_custkey FROM customer)
+    UNION ALL SELECT NULL, CAST(c_custkey AS VARCHAR), 'any' FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)
+""")
+def lookup_fan_out_whole(spark, sf):
+    """All orders against all customers and statuses, and all customers against all orders: those without orders have no row."""
+    pages = table(spark, sf, "orders").select(
+        "o_orderkey", text("/c/", F.col("o_custkey"), "/state-", F.col("o_orderstatus"), "/x").alias("payload_id")
+    )
+    known = C.lookup_values(customers(spark, sf), "id")
+    states = table(spark, sf, "orders").select("o_orderstatus").distinct()
+    out = C.lookup_fan_out(pages, "/c/${lookup:cust}/state-${lookup:state}/x", {"cust": known, "state": states})
+    own = table(spark, sf, "customer").select(F.lit(None).cast("bigint").alias("o_orderkey"), text("/c/", F.col("c_custkey"), "/any").alias("payload_id"))
+    ordering = C.lookup_fan_out(own, "/c/${lookup:cust}/any", {"cust": C.lookup_values(orders(spark, sf), "cust")})
+    out = out.unionByName(ordering.withColumn("lookup_state", F.lit("any")))
+    return out.select("o_orderkey", F.col("lookup_cust").alias("cust"), F.col("lookup_state").alias("state"))
+
+
 @query("""
     SELECT o_orderkey, c_custkey AS cust, n_name AS nation FROM orders JOIN customer ON c_custkey = o_custkey
     JOIN nation ON n_nationkey = c_nationkey WHERE o_orderstatus = 'F'
@@ -142,6 +199,21 @@ def row_lookup(spark, sf):
     return out.select(F.col("lookup")["key"].cast("bigint").alias("o_orderkey"), F.col("c_custkey").alias("cust"), F.col("n_name").alias("nation"))
 
 
+@query("""
+    SELECT o_orderkey, c_custkey AS cust, n_name AS nation FROM orders JOIN customer ON c_custkey = o_custkey
+    JOIN nation ON n_nationkey = c_nationkey
+""")
+def row_lookup_whole(spark, sf):
+    """Orders of every status; customers without orders have no row."""
+    both = C.union_samples(orders(spark, sf), customers(spark, sf).select("event_type", "attrs"))
+    nations = table(spark, sf, "nation")
+    targets = table(spark, sf, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        text("cust/", F.col("c_custkey")).alias("payload_id"), "c_custkey", "n_name"
+    )
+    out = C.row_lookup(both, targets, "cust/${lookup.order:cust}", "order")
+    return out.select(F.col("lookup")["key"].cast("bigint").alias("o_orderkey"), F.col("c_custkey").alias("cust"), F.col("n_name").alias("nation"))
+
+
 @query("""
     SELECT min(event_id) AS event_id, user_id AS "user", event_type AS kind FROM events GROUP BY user_id, event_type
 """)
