@@ -4,11 +4,13 @@ Three kinds, leftmost and non-overlapping each: ``assign`` (a keyword, `:` or `=
 ``access`` (`AKIA` and capitals or digits, 18 in all or more), ``hex`` (16 or more of `0-9a-f`).
 
 The text is the first layer. A layer is scanned, and what can be decoded in it is put on the worklist as further layers:
-percent escapes, Unicode escapes (each for the layer as a whole), runs of base64 that decode to text or to compressed
-data, and compressed data. This goes on until nothing new comes; a layer equal to an earlier one of the same place is
-a cycle and not entered again. Every byte of a layer knows the span of the text it stems from, so a finding maps to
-the text by its first and last byte: exactly through escapes, to groups of four characters through base64, and to the
-whole run through compression. A compressed run that opens to more than ``MOST_BYTES`` is not opened further.
+percent escapes, Unicode escapes (each for the layer as a whole), runs of base64, also over several lines, that decode
+to text or to something with compressed data, and compressed data at any place, all members. This goes on until nothing
+new comes; a layer equal to an earlier one of the same place is a cycle and not entered again. Every byte of a layer
+knows the span of the text it stems from, so a finding maps to the text by its first and last byte: exactly through
+escapes, to groups of four characters through base64, and to the whole run through compression. A compressed run that
+opens to more than ``MOST_BYTES`` is scanned to its end in windows of about that size, one at a time; a window begins
+again with what may go on beyond the end of the one before.
 
 Documents are scanned where they are: one pass, no shuffle. Whole batches are first searched for keywords, hex runs and
 possible encodings; only documents with one of them are looked at by themselves.
@@ -21,6 +23,7 @@ columns added here replace columns of the same name.
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -46,7 +49,13 @@ _PERCENT = re.compile(rb"%([0-9A-Fa-f]{2})")
 _UNICODE = re.compile(rb"\\u([0-9A-Fa-f]{4})(?:(?<=\\u[Dd][89ABab]..)\\u([Dd][C-Fc-f][0-9A-Fa-f]{2}))?")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
 _BASE64_BYTES = byte_class((48, 57), (65, 90), (97, 122), (43, 43), (45, 45), (47, 47), (95, 95))
-_COMPRESSED = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
+_LINES = re.compile(
+    rb"(?:(?<=\\[nrt])|(?<![A-Za-z0-9+/_\\-]))[A-Za-z0-9+/_-]{16,}+(?:[\x20\t]*+(?:\r?\n|(?:\\r)?\\n)[\x20\t]*+[A-Za-z0-9+/_-]++)++={0,2}"
+)
+_LINE = re.compile(rb"(?<!\\)[A-Za-z0-9+/_-]+|(?<=\\n)[A-Za-z0-9+/_-]+")
+_COMPRESSED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+_RUN_BYTES = byte_class((48, 57), (65, 90), (97, 122), *((c, c) for c in b"+-/_=%\\\r\n\t"))
+_OVERLAP = 1 << 16
 
 
 @dataclass
@@ -75,20 +84,30 @@ def base_matches(data: bytes) -> list[tuple[int, int, int]]:
     return out
 
 
+def _even(data: bytes, a: int, b: int) -> Layer:
+    """A layer all of whose bytes stem from one span."""
+    return Layer(data, np.broadcast_to(np.int64(a), len(data)), np.broadcast_to(np.int64(b), len(data)))
+
+
 def _replaced(layer: Layer, found: Iterator[re.Match], value) -> Layer | None:
     """The layer with each match replaced by ``value(match)``, all of whose bytes stem from the match."""
     start, end = layer.spans()
+    even = layer.start is not None and not start.strides[0]
     parts, starts, ends, upto = [], [], [], 0
     for m in found:
         new = value(m)
         a, b = m.span()
         parts += [layer.data[upto:a], new]
-        starts += [start[upto:a], np.full(len(new), start[a:b].min())]
-        ends += [end[upto:a], np.full(len(new), end[a:b].max())]
+        if not even:
+            starts += [start[upto:a], np.full(len(new), start[a:b].min())]
+            ends += [end[upto:a], np.full(len(new), end[a:b].max())]
         upto = b
     if not parts:
         return None
-    return Layer(b"".join([*parts, layer.data[upto:]]), np.concatenate([*starts, start[upto:]]), np.concatenate([*ends, end[upto:]]))
+    data = b"".join([*parts, layer.data[upto:]])
+    if even:
+        return _even(data, int(start[0]), int(end[0]))
+    return Layer(data, np.concatenate([*starts, start[upto:]]), np.concatenate([*ends, end[upto:]]))
 
 
 def _code_point(m: re.Match) -> bytes:
@@ -98,17 +117,109 @@ def _code_point(m: re.Match) -> bytes:
     return chr(code).encode("utf-8", "replace")
 
 
-def _opened(data: bytes) -> bytes | None:
-    """Decompressed data, or None if it is none."""
-    try:
-        if data.startswith(b"\x1f\x8b"):
-            stream = zlib.decompressobj(31)
-        else:
-            stream = zlib.decompressobj()
-        out = stream.decompress(data, MOST_BYTES)
-        return out if not stream.unconsumed_tail else None
-    except zlib.error:
-        return None
+def _byte(m: re.Match) -> bytes:
+    code = int(m[1], 16)
+    return bytes([code]) if code < 256 and not m[2] else _code_point(m)
+
+
+class _Opening:
+    """Compressed data from ``at`` on: its pieces, then its ``end`` and whether it was complete."""
+
+    def __init__(self, data: bytes, at: int):
+        self.data, self.at, self.end, self.complete = data, at, at, False
+
+    def _member(self, at: int) -> Iterator[bytes]:
+        stream = zlib.decompressobj(47)
+        size = 256
+        while at < len(self.data) and not stream.eof:
+            rest = self.data[at : at + size]
+            at, size = at + len(rest), 1 << 16
+            while True:
+                out = stream.decompress(rest, 1 << 20)
+                rest = stream.unconsumed_tail
+                if out:
+                    yield out
+                if stream.eof or (not rest and len(out) < 1 << 20):
+                    break
+        self.end, self.complete = at - len(stream.unused_data), stream.eof
+
+    def pieces(self) -> Iterator[bytes]:
+        """Of all members; an error in the first is raised, a later one that cannot be opened ends the data before it."""
+        yield from self._member(self.at)
+        while self.complete and self.data.startswith(b"\x1f\x8b\x08", self.end):
+            before = self.end
+            try:
+                yield from self._member(self.end)
+            except zlib.error:
+                self.end = before
+                return
+
+    def _last(self) -> int:
+        """The end, found without keeping the data."""
+        ahead = _Opening(self.data, self.at)
+        try:
+            for _ in ahead.pieces():
+                pass
+        except zlib.error:
+            return len(self.data)
+        return ahead.end
+
+    def windows(self) -> Iterator[bytes]:
+        """All the data if it is short, else windows that overlap; nothing if it cannot be opened."""
+        kept, size, first = [], 0, True
+        try:
+            for piece in self.pieces():
+                kept.append(piece)
+                size += len(piece)
+                if size >= MOST_BYTES:
+                    window = b"".join(kept)
+                    if first:
+                        self.end = self._last()
+                    yield window
+                    kept, first = [window[_open_from(window) :]], False
+                    # What is carried on grows with the run it holds; the next window has as much again that is new.
+                    size = min(len(kept[0]), MOST_BYTES - len(kept[0]))
+        except zlib.error:
+            if first:
+                return
+        if kept and any(kept):
+            yield b"".join(kept)
+
+
+def _open_from(window: bytes) -> int:
+    """Where that begins which may go on beyond the window: compressed data, base64 over lines, the last bytes."""
+    at = max(0, len(window) - _OVERLAP)
+    stop = len(window)
+    while stop > 0:  # whole lines of base64, from the last one back
+        line = window.rfind(b"\n", 0, stop) + 1
+        body = window[line:stop].strip(b"\x20\t\r")
+        other = np.flatnonzero(~_RUN_BYTES[np.frombuffer(body, np.uint8)].astype(bool))
+        if len(other):
+            at = min(at, window.index(body, line) + int(other[-1]) + 1)
+            break
+        at, stop = min(at, line), line - 1
+        if not body:
+            break
+    for _ in range(2):  # spaces of any length may stand on both sides of the sign between keyword and value
+        if at > 0 and window[at - 1] == 32:
+            at = max(0, len(window[:at].rstrip(b"\x20")) - 16)
+    for m in _COMPRESSED.finditer(window):
+        if m.start() >= at:
+            break
+        opening = _Opening(window, m.start())
+        try:
+            for _ in opening.pieces():
+                pass
+        except zlib.error:
+            continue
+        if not opening.complete:
+            return m.start()
+    return at
+
+
+def _opens(data: bytes) -> bool:
+    """Whether there is compressed data in it."""
+    return any(next(_Opening(data, m.start()).windows(), b"") for m in _COMPRESSED.finditer(data))
 
 
 def _is_text(data: bytes) -> bool:
@@ -119,25 +230,53 @@ def _is_text(data: bytes) -> bool:
     return bool(text) and sum(c.isprintable() or c in "\t\r\n" for c in text) >= 0.95 * len(text)
 
 
+def _plain(raw: bytes) -> bytes | None:
+    """Decoded base64 if it is text or has compressed data."""
+    raw = raw.rstrip(b"=").replace(b"-", b"+").replace(b"_", b"/")
+    if len(raw) % 4 == 1:
+        raw = raw[:-1]
+    plain = base64.b64decode(raw + b"=" * (-len(raw) % 4))
+    return plain if _is_text(plain) or _opens(plain) else None
+
+
+def _joined(data: bytes) -> Iterator[list[tuple[int, int]]]:
+    """Lines of base64 that may be one run: all that follow each other, and lines of equal length with a shorter one
+    before or after them or without."""
+    for m in _LINES.finditer(data):
+        lines = [x.span() for x in _LINE.finditer(data, m.start(), m.end())]
+        n = [b - a for a, b in lines]
+        tried = {(0, len(lines))}
+        i = 0
+        while i < len(lines):
+            j = i + 1
+            while j < len(lines) and n[j] == n[i]:
+                j += 1
+            if n[i] >= 16:
+                tried |= {(a, b) for a in (i, max(0, i - 1)) for b in (j, min(len(lines), j + 1)) if b - a > 1}
+            i = j
+        yield from (lines[a:b] for a, b in sorted(tried) if b - a > 1)
+
+
 def _decoded(layer: Layer) -> Iterator[Layer]:
     data = layer.data
-    if data.startswith(_COMPRESSED):
-        opened = _opened(data)
-        if opened:
-            a, b = layer.span(0, len(data))
-            yield Layer(opened, np.full(len(opened), a), np.full(len(opened), b))
-        return
+    upto = 0
+    for m in _COMPRESSED.finditer(data):
+        if m.start() < upto:
+            continue
+        opening = _Opening(data, m.start())
+        for opened in opening.windows():
+            upto = max(upto, opening.end)
+            yield _even(opened, *layer.span(m.start(), upto))
     if b"%" in data and (new := _replaced(layer, _PERCENT.finditer(data), lambda m: bytes([int(m[1], 16)]))):
         yield new
     if b"\\u" in data and (new := _replaced(layer, _UNICODE.finditer(data), _code_point)):
         yield new
-    start = end = None
+        if (packed := _replaced(layer, _UNICODE.finditer(data), _byte)) and packed.data != new.data and _opens(packed.data):
+            yield packed
+    start, end = layer.spans() if layer.start is not None else (None, None)
     for m in _BASE64.finditer(data):
-        raw = m[0].rstrip(b"=").replace(b"-", b"+").replace(b"_", b"/")
-        if len(raw) % 4 == 1:
-            raw = raw[:-1]
-        plain = base64.b64decode(raw + b"=" * (-len(raw) % 4))
-        if not plain.startswith(_COMPRESSED) and not _is_text(plain):
+        plain = _plain(m[0])
+        if plain is None:
             continue
         if start is None:
             start, end = layer.spans()
@@ -145,21 +284,35 @@ def _decoded(layer: Layer) -> Iterator[Layer]:
         first = m.start() + at // 3 * 4
         last = np.minimum(first + 4, m.end()) - 1
         yield Layer(plain, start[first], end[last])
+    for lines in _joined(data):
+        plain = _plain(b"".join(data[a:b] for a, b in lines))
+        if plain is None:
+            continue
+        if start is None:
+            start, end = layer.spans()
+        place = np.concatenate([np.arange(a, b) for a, b in lines])
+        first = np.arange(len(plain)) // 3 * 4
+        last = np.minimum(first + 4, len(place)) - 1
+        yield Layer(plain, start[place[first]], end[place[last]])
 
 
 def all_matches(data: bytes) -> list[tuple[int, int, int]]:
     """(start, kind, end) in the text, of the text and of all layers below it."""
-    found, work, seen = set(), [Layer(data)], {(data, 0)}
+    found, work, seen = set(), [iter([Layer(data)])], {(hashlib.sha256(data).digest(), 0)}
     while work:
-        layer = work.pop()
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        if layer.start is not None:
+            mark = (hashlib.sha256(layer.data).digest(), int(layer.start[0]) if len(layer.data) else 0)
+            if not layer.data or mark in seen:
+                continue
+            seen.add(mark)
         for a, kind, b in base_matches(layer.data):
             s, e = layer.span(a, b)
             found.add((s, kind, e))
-        for new in _decoded(layer):
-            mark = (new.data, int(new.start[0]) if len(new.data) else 0)
-            if new.data and mark not in seen:
-                seen.add(mark)
-                work.append(new)
+        work.append(_decoded(layer))
     return sorted(found)
 
 
@@ -167,7 +320,7 @@ def _suspects(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Rows that may hold a finding or an encoded layer."""
     raw, low = data.tobytes(), lower_ascii(data).tobytes()
     at: list[int] = []
-    for text, words in ((low, _KEYWORDS), (raw, (b"AKIA", b"\\u")), (raw, (b"\x1f\x8b",))):
+    for text, words in ((low, _KEYWORDS), (raw, (b"AKIA", b"\\u")), (raw, (b"\x1f\x8b", b"x\x01", b"x^"))):
         for w in words:
             k = text.find(w)
             while k >= 0:
