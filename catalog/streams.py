@@ -5,6 +5,8 @@ Building one of these queries runs its stream to the end; only the reading back
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,18 +23,21 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
 
 
-def drain(spark: SparkSession, df: DataFrame, mode: str = "append") -> DataFrame:
-    """Run a stream over everything that is there and read the sink back."""
+def drain(spark: SparkSession, df: DataFrame, mode: str = "append", close: Callable[[], None] | None = None) -> DataFrame:
+    """Run a stream over everything that is there, then over what ``close`` adds, and read the sink back."""
     folder = shared_folder(spark)
-    run = (
-        df.writeStream.outputMode(mode)
-        .format("parquet")
-        .option("checkpointLocation", f"{folder}/state")
-        .option("path", f"{folder}/out")
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
+    for more in (None, close) if close else (None,):
+        if more:
+            more()
+        run = (
+            df.writeStream.outputMode(mode)
+            .format("parquet")
+            .option("checkpointLocation", f"{folder}/state")
+            .option("path", f"{folder}/out")
+            .trigger(availableNow=True)
+            .start()
+        )
+        run.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{folder}/out")
 
 
@@ -103,3 +108,20 @@ def stream_merge_by_window(spark, sf):
         F.unix_seconds("window.start").alias("day"), "kind", attr("user", "bigint").alias("last_user"),
         attr("event", "bigint").alias("last_event"), F.size("attrs").alias("keys"),
     )
+
+
+@query("""
+    SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS day, event_type AS kind, arg_max(user_id, ts) AS last_user,
+           arg_max(event_id, ts) AS last_event, CAST(count(DISTINCT event_type) + 1 AS INTEGER) AS keys
+    FROM events GROUP BY date_trunc('day', ts), event_type
+""")
+def stream_merge_every_window(spark, sf):
+    """All days, the last one too: a closing event, which the result leaves out, moves the watermark past it."""
+    source, folder = events(spark, sf), f"{shared_folder(spark)}/closing"
+    ev = S.event_time(S.with_closing(source, folder), delay="0 seconds")
+    ev = ev.select("ts", F.col("event_type").alias("kind"), attrs_of(user="user_id", event="event_id").alias("attrs"))
+    rows = drain(spark, S.stream_merge(ev, "1 day", ["kind"]), close=lambda: S.close(source, folder))
+    return rows.select(
+        F.unix_seconds("window.start").alias("day"), "kind", attr("user", "bigint").alias("last_user"),
+        attr("event", "bigint").alias("last_event"), F.size("attrs").alias("keys"),
+    )

@@ -58,6 +58,23 @@ def event_time(df: DataFrame, column: str = "ts", delay: str = "10 minutes") ->
     return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
 
 
+def with_closing(df: DataFrame, folder: str) -> DataFrame:
+    """The stream and a source beside it that is empty until ``close``; set the watermark on the result."""
+    spark = df.sparkSession
+    spark.createDataFrame([], df.schema).write.mode("append").parquet(folder)
+    return df.unionByName(spark.readStream.schema(df.schema).parquet(folder))
+
+
+def close(df: DataFrame, folder: str, ts: str = "ts") -> None:
+    """Write the closing event for ``with_closing(df, folder)``: all null but for a time beyond all others.
+
+    Run the drained query once more after it: the watermark passes every window, and the last ones are delivered. The
+    event's own window stays open, so the result leaves it out. The query takes no events after that.
+    """
+    columns = [F.lit("9999-01-01" if f.name == ts else None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+    df.sparkSession.range(1).select(*columns).write.mode("append").parquet(folder)
+
+
 # ---------------------------------------------------------------- rates and deltas
 
 
