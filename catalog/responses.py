@@ -375,3 +375,31 @@ def exposition_long_labels(spark, sf):
     rows = P.parse_exposition(table(spark, sf, "documents").select("doc_id", body.alias("body")))
     text = F.col("labels")["text"]
     return rows.select("doc_id", F.length(text).cast("bigint").alias("n"), F.md5(F.encode(text, "UTF-8")).alias("digest"))
+
+
+@query("""
+    WITH e AS (SELECT event_id, event_type AS et, value AS v FROM events)
+    SELECT event_id, 'my.metric' AS name, 'GAUGE' AS type, 'a b' AS label, et AS label_value, v AS value, CAST(NULL AS VARCHAR) AS error FROM e
+    UNION ALL SELECT event_id, 'plain', 'UNTYPED', 'a.b', et || '"}', v, NULL FROM e
+    UNION ALL SELECT event_id, 'my "own", x="y"', 'UNTYPED', NULL, NULL, event_id, NULL FROM e
+    UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, NULL, 'no sample: open{a="' || et || '} 1' FROM e
+    UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, NULL, 'no sample: {"two","names"} ' || event_id FROM e
+    UNION ALL SELECT event_id, 'word', 'UNTYPED', NULL, NULL, NULL, 'no number: none' FROM e
+""")
+def exposition_quoted_and_bad(spark, sf):
+    """Quoted names of metrics and labels, and lines that are no samples, of every event."""
+    et, v = F.col("event_type"), F.col("value")
+    body = lines(
+        '# TYPE "my.metric" gauge',
+        text('{"my.metric","a b"="', et, '"} ', v),
+        text('plain{ "a.b" = "', et, '\\"}", } ', v, " 1700000000000"),
+        text('{"my \\"own\\", x=\\"y\\""} ', F.col("event_id")),
+        text('open{a="', et, "} 1"),
+        text('{"two","names"} ', F.col("event_id")),
+        "word None",
+    )
+    rows = P.parse_exposition(table(spark, sf, "events").select("event_id", body.alias("body")), go_metrics=False)
+    return rows.select(
+        "event_id", "name", "type", F.try_element_at(F.map_keys("labels"), F.lit(1)).alias("label"),
+        F.try_element_at(F.map_values("labels"), F.lit(1)).alias("label_value"), "value", "error",
+    )

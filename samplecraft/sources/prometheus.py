@@ -13,10 +13,20 @@ from samplecraft.functions.rows import each, grouped
 from samplecraft.sources.text import lines_of
 
 # The exposition grammar.
-_SAMPLE = r"^([a-zA-Z_:][a-zA-Z0-9_:]*)\s*(?:\{(.*)\})?\s+(\S+)(?:\s+(-?\d+))?\s*$"
-_LABEL = r'([a-zA-Z_][a-zA-Z0-9_]*+)\s*=\s*"([^"\\]*+(?:\\.[^"\\]*+)*+)"'
-_TYPE = r"^#\s+TYPE\s+(\S+)\s+(\S+)"
-_HELP = r"^#\s+HELP\s+(\S+)\s*(.*)$"
+_TEXT = r'[^"\\]*+(?:\\.[^"\\]*+)*+'
+_KEY = rf'[a-zA-Z_][a-zA-Z0-9_]*+|"{_TEXT}"'
+_PAIR = rf'(?:{_KEY})\s*+=\s*+"{_TEXT}"'
+_NEXT = r"\s*+(?:,\s*+|(?=\}))"
+_SAMPLE = (
+    rf"^(?:([a-zA-Z_:][a-zA-Z0-9_:]*+)(?:\s*+\{{\s*+((?:{_PAIR}{_NEXT})*+)\}}\s*+|\s++)"
+    rf'|\{{\s*+((?:(?:{_PAIR}|"{_TEXT}"){_NEXT})++)\}}\s*+)'
+    r"(\S++)(?:\s++(-?\d++))?\s*+$"
+)
+# \G: each match begins where the one before ended, so nothing inside a quoted text is taken for a label.
+_LABEL = rf'\G(?:({_KEY})\s*+=\s*+"({_TEXT})"|("{_TEXT}"))\s*+,?+\s*+'
+_NAME = rf'("{_TEXT}"|\S+)'
+_TYPE = rf"^#\s+TYPE\s+{_NAME}\s+(\S+)"
+_HELP = rf"^#\s+HELP\s+{_NAME}\s*(.*)$"
 
 
 def _unescape(text: Column) -> Column:
@@ -25,21 +35,42 @@ def _unescape(text: Column) -> Column:
 
 
 def _labels(text: Column) -> Column:
-    """Label map of the text between the braces."""
+    """Label map of the text between the braces of a line that has its name before them."""
     names = F.regexp_extract_all(text, F.lit(_LABEL), F.lit(1))
     values = F.regexp_extract_all(text, F.lit(_LABEL), F.lit(2))
-    return F.map_from_arrays(names, F.transform(values, _unescape))
+    return F.map_from_arrays(F.transform(names, _unquote), F.transform(values, _unescape))
+
+
+def _unquote(name: Column) -> Column:
+    return F.when(name.startswith('"'), _unescape(F.substring(name, F.lit(2), F.length(name) - 2))).otherwise(name)
+
+
+def _inner_names(text: Column) -> Column:
+    """Quoted names among the labels, which stand without a value."""
+    return F.filter(F.regexp_extract_all(text, F.lit(_LABEL), F.lit(3)), lambda x: x != "")
+
+
+def _inner_labels(text: Column) -> Column:
+    names = F.regexp_extract_all(text, F.lit(_LABEL), F.lit(1))
+    values = F.regexp_extract_all(text, F.lit(_LABEL), F.lit(2))
+    pairs = F.zip_with(names, values, lambda n, v: maps.pair(n, v))
+    labels = F.filter(pairs, lambda p: p["key"] != "")
+    return F.map_from_entries(F.transform(labels, lambda p: maps.pair(_unquote(p["key"]), _unescape(p["value"]))))
 
 
 def _declared(lines: Column, marker: str, pattern: str) -> Column:
     hits = F.filter(lines, lambda x: x.startswith("#") & x.rlike(pattern))
     return F.map_from_entries(
-        F.transform(hits, lambda x: maps.pair(F.regexp_extract(x, pattern, 1), F.regexp_extract(x, pattern, 2)))
+        F.transform(hits, lambda x: maps.pair(_unquote(F.regexp_extract(x, pattern, 1)), F.regexp_extract(x, pattern, 2)))
     )
 
 
 def parse_lines(df: DataFrame, body: str = "body", go_metrics: bool = True, compat: bool = False) -> DataFrame:
-    """Column ``lines`` in place of the text: ``line_no, family, type, help, name, labels, value, part`` of each sample.
+    """Column ``lines`` in place of the text: ``line_no, family, type, help, name, labels, value, part, error`` of each sample.
+
+    Names and label names may be quoted, a quoted name stands among the labels. A line that is no sample is an entry with
+    ``line_no`` and ``error``, all else null; one whose value is no number has its fields and ``error``. The forms below take
+    no notice of entries without a type.
 
     ``part`` is ``quantile``, ``bucket``, ``count`` or ``sum`` for the pieces of a summary or histogram and
     null otherwise. ``go_metrics=False`` drops families that start with ``go_`` (``compat``: contain it).
@@ -53,13 +84,28 @@ def parse_lines(df: DataFrame, body: str = "body", go_metrics: bool = True, comp
         ),
         # one regex pass per line: its groups, separated by a character no line holds
         lambda x: F.struct(
-            x["line_no"], F.split(F.regexp_replace(x["line"], _SAMPLE, "$1\u0001$2\u0001$3"), "\u0001", -1).alias("c")
+            x["line_no"], F.split(F.regexp_replace(x["line"], _SAMPLE, "$1\u0001$2\u0001$3\u0001$4"), "\u0001", -1).alias("c"), x["line"]
         ),
     )
-    named = F.transform(
-        F.filter(cells, lambda x: F.size(x["c"]) == 3),
-        lambda x: F.struct(x["line_no"], x["c"][0].alias("name"), _labels(x["c"][1]).alias("labels"), F.lower(x["c"][2]).alias("raw")),
-    )
+
+    # in steps, as each reads the one before several times
+    def with_inner(x: Column) -> Column:
+        c = x["c"]
+        inner = F.when((F.size(c) == 4) & (c[0] == ""), _inner_names(c[2]))
+        return F.struct(x["line_no"], x["line"], x["c"], ((F.size(c) == 4) & (c[0] != "")).alias("bare"), inner.alias("inner"))
+
+    def with_name(x: Column) -> Column:
+        name = F.when(x["bare"], x["c"][0]).when(F.size(x["inner"]) == 1, F.nullif(_unquote(x["inner"][0]), F.lit("")))
+        return F.struct(x["line_no"], x["line"], x["c"], x["bare"], name.alias("name"))
+
+    def read(x: Column) -> Column:
+        c, known = x["c"], x["name"].isNotNull()
+        labels = F.when(x["bare"], _labels(c[1])).when(known, _inner_labels(c[2]))
+        error = F.when(~known, F.concat(F.lit("no sample: "), x["line"]))
+        return F.struct(x["line_no"], x["name"], labels.alias("labels"), F.when(known, F.lower(c[3])).alias("raw"), error.alias("error"))
+
+    cells = F.transform(F.transform(cells, with_inner), with_name)
+    named = F.transform(cells, read)
     declared = [
         _declared(F.col("_lines"), "TYPE", _TYPE).alias("_types"),
         _declared(F.col("_lines"), "HELP", _HELP).alias("_helps"),
@@ -75,11 +121,11 @@ def parse_lines(df: DataFrame, body: str = "body", go_metrics: bool = True, comp
             (base_type == "histogram") | ((base_type == "summary") & ~name.endswith("_bucket"))
         )
         family = F.when(F.coalesce(is_piece, F.lit(False)), base).otherwise(name)
-        return F.struct(s["line_no"], name.alias("name"), s["labels"], s["raw"], family.alias("family"))
+        return F.struct(s["line_no"], name.alias("name"), s["labels"], s["raw"], s["error"], family.alias("family"))
 
     def typed(s: Column) -> Column:
-        kind = F.upper(F.coalesce(types[s["family"]], F.lit("untyped")))
-        return F.struct(s["line_no"], s["name"], s["labels"], s["raw"], s["family"], kind.alias("type"))
+        kind = F.when(s["error"].isNull(), F.upper(F.coalesce(types[s["family"]], F.lit("untyped"))))
+        return F.struct(s["line_no"], s["name"], s["labels"], s["raw"], s["error"], s["family"], kind.alias("type"))
 
     def whole(s: Column) -> Column:
         value = s["raw"]
@@ -92,12 +138,16 @@ def parse_lines(df: DataFrame, body: str = "body", go_metrics: bool = True, comp
             .when(value == "nan", F.lit(float("nan")))
             .otherwise(value.try_cast("double"))
         )
-        text = F.coalesce(helps[s["family"]], F.lit(""))
-        return F.struct(s["line_no"], s["family"], s["type"], text.alias("help"), s["name"], s["labels"], number.alias("value"), part.alias("part"))
+        text = F.when(s["error"].isNull(), F.coalesce(helps[s["family"]], F.lit("")))
+        error = F.coalesce(s["error"], F.when(number.isNull(), F.concat(F.lit("no number: "), value)))
+        return F.struct(
+            s["line_no"], s["family"], s["type"], text.alias("help"), s["name"], s["labels"], number.alias("value"), part.alias("part"), error.alias("error")
+        )
 
     found = F.transform("_named", in_family)
     if not go_metrics:
-        found = F.filter(found, lambda s: ~(s["family"].contains("go_") if compat else s["family"].startswith("go_")))
+        go = lambda s: s["family"].contains("go_") if compat else s["family"].startswith("go_")
+        found = F.filter(found, lambda s: s["error"].isNotNull() | ~go(s))
     return df.select(*rest, F.transform(F.transform(found, typed), whole).alias("lines"))
 
 
@@ -130,6 +180,7 @@ def _bound(labels: Column, name: str) -> Column:
 
 
 def _is_family(line: Column) -> Column:
+    """Null for a line that is no sample, so that neither side takes it."""
     return line["type"].isin("SUMMARY", "HISTOGRAM")
 
 
@@ -205,7 +256,7 @@ def label_samples(
         ).otherwise(F.concat(family, suffix))
         return F.struct(_label_key(_bare(x["labels"])).alias("lk"), key.alias("k"), scalars.shortest(x["value"]).alias("v"))
 
-    lines = F.filter("lines", lambda x: ~x["type"].isin(skipped)) if skipped else F.col("lines")
+    lines = F.filter("lines", lambda x: x["type"].isNotNull() & ~x["type"].isin(skipped))
     entries = F.filter(F.transform(lines, entry), lambda e: (F.size(e["lk"]) > 0) & e["k"].isNotNull())
     values = lambda es: F.map_from_entries(F.transform(es, lambda e: maps.pair(e["k"], e["v"])))
     staged = parsed.select(*rest, entries.alias("_entries"))
