@@ -182,3 +182,16 @@ def ragged(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """Rows of values as lists."""
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
 
+
+
+def spaced(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of words end to end, each followed by one blank, and where each word starts (one more entry than
+    words)."""
+    lengths = last - first + 1
+    at = np.concatenate([[0], np.cumsum(lengths)])
+    take = np.arange(at[-1]) + np.repeat(first - at[:-1], lengths)
+    blanks = at[1:] - 1
+    take[blanks] = 0
+    out = data[take] if len(data) else np.zeros(0, np.uint8)
+    out[blanks] = 0x20
+    return out, at

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samplecraft import prepare
-from samplecraft.llm import decontaminate, html_text, jaccard, mix, nearest, quality, secrets, suffixes, token_files, warc
+from samplecraft.llm import decontaminate, fill_middle, html_text, jaccard, mix, nearest, periods, quality, secrets, simhash, suffixes, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,3 +108,67 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """The words of each text joined by one blank; in one document of ten they repeat from a word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split(F.col("text"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    docs = docs.select("doc_id", words.alias("w"), h.alias("h"), F.floor(h / 10).alias("g"), F.size(words).alias("n"))
+    start = (F.col("g") % F.col("n")).cast("int")
+    period = (F.lit(1) + F.floor((F.col("n") - start) / (3 + F.col("g") % 8))).cast("int")
+    left = F.col("n") - start
+    cycle = F.flatten(F.array_repeat(F.slice("w", start + 1, period), F.ceil(left / period).cast("int")))
+    made = F.concat(F.slice("w", F.lit(1), start), F.slice(cycle, F.lit(1), left))
+    repeated = F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), made).otherwise(F.col("w"))
+    return docs.select("doc_id", F.array_join(repeated, " ").alias("text"))
+
+
+@query
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.find(with_planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    found = found.withColumn("best", best)
+    length, period = F.col("best.length"), -F.col("best.period")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_middle.restored(), 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+ORACLES["op13_fill_middle"] = """
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents
+), cut AS (
+    SELECT *, ('0x' || substr(d, 1, 8))::BIGINT % (n + 1) AS x, ('0x' || substr(d, 9, 8))::BIGINT % (n + 1) AS y,
+        t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || substr(d, 17, 8))::BIGINT % 100 >= 90 AS plain,
+        ('0x' || substr(d, 25, 8))::BIGINT % 100 < 20 AS spm
+    FROM drawn
+), parts AS (
+    SELECT *, least(x, y) AS a, greatest(x, y) AS b, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, substring(t, b + 1) AS suf FROM cut
+)
+SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+    CASE WHEN NOT plain THEN a END AS prefix_chars, CASE WHEN NOT plain THEN b - a END AS middle_chars,
+    sha256(CASE WHEN plain THEN t WHEN spm THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE '<P>' || pre || '<S>' || suf || '<M>' || mid END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM parts
+"""
