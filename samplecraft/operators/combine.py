@@ -38,11 +38,11 @@ def union_samples(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def merge_samples(sources: Iterable[Source], group: Sequence[str] = (), event_type: str | None = None) -> DataFrame:
-    """All rows collapse into one sample per group; a later source, and in it a later row, wins a key.
+def merged_entries(sources: Iterable[Source], group: Sequence[str] = ()) -> DataFrame:
+    """The merge in long form: ``group, key, value``, one row a key; a later source, and in it a later row, wins a key.
 
-    One aggregation picks the winner of every key with map-side combining, so even a merge into a single row
-    only shuffles one candidate per key and task; the second just assembles the winners.
+    One aggregation with map-side combining, so only one candidate per key and task is shuffled. Keys may come from the
+    data, a million of one group never meet in one value or task.
     """
     group, parts = list(group), []
     for no, source in enumerate(sources):
@@ -52,13 +52,20 @@ def merge_samples(sources: Iterable[Source], group: Sequence[str] = (), event_ty
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    winners = rows.groupBy(*group, F.col("_e.key").alias("_k")).agg(F.max_by("_e.value", "_place").alias("_v"))
-    merged = winners.groupBy(*group).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("_k").alias("key"), F.col("_v").alias("value")))).alias("attrs")
-    )
+    return rows.groupBy(*group, F.col("_e.key").alias("key")).agg(F.max_by("_e.value", "_place").alias("value"))
+
+
+def assembled(entries: DataFrame, group: Sequence[str] = (), event_type: str | None = None) -> DataFrame:
+    """Long form to one sample per group, whose ``attrs`` hold all its keys."""
+    merged = entries.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("attrs"))
     return merged.withColumn("event_type", F.lit(event_type)) if event_type else merged
 
 
+def merge_samples(sources: Iterable[Source], group: Sequence[str] = (), event_type: str | None = None) -> DataFrame:
+    """All rows collapse into one sample per group. Where keys come from the data, prefer ``merged_entries``."""
+    return assembled(merged_entries(sources, group), group, event_type)
+
+
 def comparable(text: Column) -> Column:
     """Form under which keys are compared: numbers by value, with six decimals, all else as it is written."""
     return F.coalesce(scalars.fixed6(scalars.as_number(text)), text)
@@ -105,10 +112,11 @@ _SLOT = re.compile(r"\$\{lookup:(.*?)\}")
 def lookup_fan_out(targets: DataFrame, template: str, sets: Mapping[str, DataFrame], key: str = "payload_id") -> DataFrame:
     """Rows of ``targets`` whose key is the template filled with some combination of the named sets.
 
-    ``.../${lookup:a}/${lookup:b}`` stands for the product of the sets, but the product is never built: each
-    key is taken apart along the template and every part is checked against its set. Adds one
-    ``lookup_<name>`` column per set. A template with an unknown set has no rows. Two slots need text
-    between them.
+    ``.../${lookup:a}/${lookup:b}`` stands for the product of the sets, but the product is never built: each key is
+    taken apart along the template and every part is checked against its set. A slot that is followed by text is cut at
+    each place where the text occurs, one that is followed by another slot at each length that a value of its set has.
+    A key that can be taken apart in several ways is in the result once for each, as in the product. Adds one
+    ``lookup_<name>`` column per set. A template with an unknown set has no rows.
     """
     names = _SLOT.findall(template)
     if not names:
@@ -116,47 +124,57 @@ def lookup_fan_out(targets: DataFrame, template: str, sets: Mapping[str, DataFra
     if any(n not in sets for n in names):
         return targets.limit(0)
     pieces = _SLOT.split(template)[::2]
-    if any(p == "" for p in pieces[1:-1]):
-        raise ValueError("two lookups need text between them")
+    values = {n: sets[n].select(F.col(sets[n].columns[0]).cast("string").alias("_v")).where("_v IS NOT NULL").distinct() for n in dict.fromkeys(names)}
     out = targets.filter(F.col(key).startswith(pieces[0])) if pieces[0] else targets
     out = out.withColumn("_left", F.substring(F.col(key), F.lit(len(pieces[0]) + 1), F.length(key)))
     bound: list[str] = []
-    for name, after in zip(names, pieces[1:], strict=True):
-        column = f"lookup_{name}"
-        if name in bound and not after:
-            out = out.filter(F.col("_left") == F.col(column)).withColumn("_left", F.lit(""))
-            continue
+    for no, (name, after) in enumerate(zip(names, pieces[1:], strict=True)):
+        column, last = f"lookup_{name}", no == len(names) - 1
         if name in bound:
-            start = F.concat(F.col(column), F.lit(after))
+            start = F.concat(F.col(f"`{column}`"), F.lit(after))
             out = out.filter(F.startswith("_left", start)).withColumn(
                 "_left", F.substring("_left", F.length(start) + 1, F.length("_left"))
             )
             continue
         bound.append(name)
-        if after and (name, after) == (names[-1], pieces[-1]) and len(bound) == len(set(names)):
-            # closing literal: only the split at the very end of the key fits
-            out = out.filter(F.endswith("_left", F.lit(after))).withColumn(
-                column, F.substring("_left", F.lit(1), F.length("_left") - len(after))
-            ).withColumn("_left", F.lit(""))
-        elif after:
-            # every place where the literal occurs is a candidate; the set decides
-            parts = F.split("_left", "\\Q" + after + "\\E", -1)
-            cuts = F.transform(
-                F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))),
-                lambda i: F.struct(
-                    F.array_join(F.slice(parts, F.lit(1), i), after).alias("part"),
-                    F.array_join(F.slice(parts, i + 1, F.size(parts)), after).alias("left"),
-                ),
+        if last:
+            # only the split at the very end of the key fits
+            out = out.filter(F.endswith("_left", F.lit(after))).withColumns(
+                {column: F.substring("_left", F.lit(1), F.length("_left") - len(after)), "_left": F.lit("")}
             )
-            out = each(out.filter(F.contains("_left", F.lit(after))), ["*"], cuts, "_cut")
-            out = out.withColumns({column: F.col("_cut.part"), "_left": F.col("_cut.left")}).drop("_cut")
+        elif after:
+            out = _cut(out, column, _cuts_at_text(after))
         else:
-            out = out.withColumn(column, F.col("_left")).withColumn("_left", F.lit(""))
-        values = sets[name].select(F.col(sets[name].columns[0]).cast("string").alias("_v")).distinct()
-        out = out.join(values, F.col(column) == F.col("_v"), "left_semi")
+            lengths = values[name].agg(F.collect_set(F.length("_v"))).scalar()
+            out = _cut(out.withColumn("_lengths", lengths), column, _cuts_at_lengths(F.col("_lengths"))).drop("_lengths")
+        out = out.join(values[name], F.col(f"`{column}`") == F.col("_v"), "left_semi")
     return out.filter(F.col("_left") == "").drop("_left")
 
 
+def _cut(df: DataFrame, column: str, cuts: Column) -> DataFrame:
+    """One row for each way to cut ``_left`` into a part and the rest."""
+    out = each(df, ["*"], cuts, "_cut")
+    return out.withColumns({column: F.col("_cut.part"), "_left": F.col("_cut.left")}).drop("_cut")
+
+
+def _cuts_at_text(after: str) -> Column:
+    """Every place where the text occurs, one within another included."""
+    size = len(after)
+    places = F.filter(F.sequence(F.lit(1), F.greatest(F.length("_left") - size + 1, F.lit(1))), lambda i: F.substring("_left", i, F.lit(size)) == after)
+    return F.transform(
+        places,
+        lambda i: F.struct(F.substring("_left", F.lit(1), i - 1).alias("part"), F.substring("_left", i + size, F.length("_left")).alias("left")),
+    )
+
+
+def _cuts_at_lengths(lengths: Column) -> Column:
+    """After as many characters as some value has; of use are no more lengths than the key has characters."""
+    return F.transform(
+        F.filter(lengths, lambda n: n <= F.length("_left")),
+        lambda n: F.struct(F.substring("_left", F.lit(1), n).alias("part"), F.substring("_left", n + 1, F.length("_left")).alias("left")),
+    )
+
+
 def row_lookup(
     samples: DataFrame,
     targets: DataFrame,

@@ -91,8 +91,8 @@ def payloads_to_rows(df: DataFrame, spec: SampleSpec) -> DataFrame:
     )
 
 
-def rows_to_samples(df: DataFrame, spec: SampleSpec) -> DataFrame:
-    """The row part, on any frame with ``attrs`` (and ``event_type`` where a payload names it)."""
+def keyed_rows(df: DataFrame, spec: SampleSpec) -> DataFrame:
+    """Keys and values, up to the new attributes: all rows, as lookups, variables and saved rows see them."""
     df = keys.name_events(df, spec.name, spec.event_type, merging=spec.merge is not None)
     df = keys.custom_attributes(df, spec.global_attributes, spec.custom_attributes)
     df = filters.limit_events(df, spec.event_limit)
@@ -125,7 +125,11 @@ def rows_to_samples(df: DataFrame, spec: SampleSpec) -> DataFrame:
         df = df.withColumn("attrs", maps.overlay(F.col("attrs"), F.col("_made"))).drop("_made")
     df = keys.keep_keys(df, spec.keep_keys)
     df = keys.rename_samples(df, spec.rename_samples)
-    df = keys.add_attributes(df, spec.add_attribute)
+    return keys.add_attributes(df, spec.add_attribute)
+
+
+def selected_rows(df: DataFrame, spec: SampleSpec) -> DataFrame:
+    """What follows: hold back, filters, formulas, base URL, removed keys, prefix."""
     if spec.ignore_output:
         return filters.hold_back(df)
     df = filters.filter_samples(
@@ -143,8 +147,16 @@ def rows_to_samples(df: DataFrame, spec: SampleSpec) -> DataFrame:
     return df if spec.merge else keys.prefix_keys(df, spec.prefix)
 
 
+def rows_to_samples(df: DataFrame, spec: SampleSpec) -> DataFrame:
+    """The row part, on any frame with ``attrs`` (and ``event_type`` where a payload names it)."""
+    return selected_rows(keyed_rows(df, spec), spec)
+
+
+def parsed(df: DataFrame) -> DataFrame:
+    """JSON text in ``body``, unless there is a ``payload`` already."""
+    return df if "payload" in df.columns else shape.parse_payloads(df).drop("body")
+
+
 def to_samples(df: DataFrame, spec: SampleSpec) -> DataFrame:
     """Payloads (``payload``, or JSON text in ``body``) to samples."""
-    if "payload" not in df.columns:
-        df = shape.parse_payloads(df).drop("body")
-    return rows_to_samples(payloads_to_rows(df, spec), spec)
+    return rows_to_samples(payloads_to_rows(parsed(df), spec), spec)

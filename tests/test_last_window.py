@@ -13,6 +13,6 @@ def test_hot_day(spark, tmp_path):
     hot = events.filter(F.to_date("ts") == day)
     hot.coalesce(1).write.parquet(f"{tmp_path}/made")
     shutil.copy(next((tmp_path / "made").glob("part-*")), tmp_path / "events.parquet")
-    got = QUERIES["stream_merge_every_window"](spark, str(tmp_path)).collect()
+    got = QUERIES["stream_merge_by_window"](spark, str(tmp_path)).collect()
     want = {r["event_type"]: r["last"] for r in hot.groupBy("event_type").agg(F.max_by("event_id", "ts").alias("last")).collect()}
     assert want and {r["kind"]: r["last_event"] for r in got} == want and len(got) == len(want)

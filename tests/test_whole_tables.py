@@ -8,18 +8,18 @@ from catalog import QUERIES
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["join_with_secondaries_whole", "lookup_fan_out_whole", "row_lookup_whole"])
+@pytest.mark.parametrize("name", ["join_with_secondaries", "lookup_fan_out", "row_lookup"])
 def test_every_order_once(spark, name):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     got = QUERIES[name](spark, SF).filter("o_orderkey IS NOT NULL")
     assert got.count() == orders.count() == got.select("o_orderkey").distinct().count()
-    if name == "join_with_secondaries_whole":
+    if name == "join_with_secondaries":
         assert got.filter("c_name IS NULL").isEmpty()
         assert {r["name"] for r in got.select("name").distinct().collect()} == {"N0", "N1", "own"}
 
 
 def test_secondary_of_all_vectors(spark):
-    got = QUERIES["join_arrays_by_position_whole"](spark, SF)
+    got = QUERIES["join_arrays_by_position"](spark, SF)
     last = got.agg(F.max("vec_id")).first()[0]
     assert got.filter((F.col("vec_id") == last) & ~F.col("x").eqNullSafe(F.col("y"))).isEmpty()
     assert not got.filter((F.col("vec_id") == 0) & (F.col("x") != F.col("y"))).isEmpty()
