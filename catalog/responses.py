@@ -1,12 +1,15 @@
 """Exposition text, bean dumps, responses, page sequences and HTML tables."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog.registry import attr, attrs_of, doc, lines, query, table, text
 from samplecraft.operators import shape
+from samplecraft.operators.numbering import number_rows
 from samplecraft.sources import beans as B
 from samplecraft.sources import prometheus as P
 from samplecraft.sources import web as W
+from samplecraft.sources.pages import chain_pages, next_page
 
 
 def exposition(spark, sf, go_metrics=True, compat=False):
@@ -322,6 +325,68 @@ def page_sequence_up_to_max(spark, sf):
     return out.select("conv_id", "turn", W.page_number_key(F.col("body"), "pages").cast("int").alias("pages"))
 
 
+# A page for each event; a user's pages follow each other by the digest of their ids. Errors were not captured.
+_CHAIN = """
+    WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY md5(CAST(event_id AS VARCHAR))) AS n FROM events),
+    s AS (SELECT user_id, min(CASE WHEN event_type = 'error' AND n > 3 THEN n END) AS lost FROM e GROUP BY user_id)
+"""
+
+
+def linked_pages(spark, sf):
+    e = table(spark, sf, "events")
+    w = Window.partitionBy("user_id").orderBy(F.md5(F.col("event_id").cast("string")))
+    url = lambda i: text("/u/", F.col("user_id"), "/", i)
+    e = e.withColumns({"n": F.row_number().over(w), "after": F.lead("event_id").over(w), "start": F.first("event_id").over(w)})
+    # the last page leads back to the first
+    following = F.coalesce(F.col("after"), F.col("start"))
+    e = e.select("user_id", "event_id", "event_type", "n", "after", url(F.col("event_id")).alias("url"), url(following).alias("next"), F.lit(200).alias("status"))
+    return e.where("event_type != 'error' OR n <= 3")
+
+
+@query(_CHAIN + """
+    SELECT user_id, event_id, n AS page_no FROM e JOIN s USING (user_id) WHERE lost IS NULL OR n < lost
+""")
+def page_chain_by_next_link(spark, sf):
+    """Links in the bodies, pages in no order, loops, lost pages and pages behind them."""
+    p = linked_pages(spark, sf)
+    path = F.substring("next", F.lit(2), F.length("next"))
+    p = p.select("user_id", "event_id", "n", "url", "status", doc(items=F.array("event_type"), links=F.struct(path.alias("next"))).alias("body"))
+    out = chain_pages(p, next_page(F.col("body"), link_key="next", host="/"), F.col("n") == 1, request="user_id")
+    return out.select("user_id", "event_id", "page_no")
+
+
+@query(_CHAIN + """
+    , c AS (SELECT user_id, min(CASE WHEN event_id % 7 = 0 THEN n END) AS bad, min(CASE WHEN event_id % 11 = 0 THEN n END) AS empty FROM e GROUP BY user_id)
+    SELECT user_id, event_id, n AS page_no FROM e JOIN s USING (user_id) JOIN c USING (user_id)
+    WHERE (lost IS NULL OR n < lost) AND (bad IS NULL OR n < bad) AND (empty IS NULL OR n <= empty) AND n <= 9
+""")
+def page_chain_by_cursor(spark, sf):
+    """Cursors put into a template with the body's limit; failed and empty pages end a chain, and so does the ninth."""
+    p = linked_pages(spark, sf)
+    bad, empty = F.col("event_id") % 7 == 0, F.col("event_id") % 11 == 0
+    items = F.when(empty, F.array().cast("array<string>")).otherwise(F.array("event_type"))
+    cursor = F.regexp_extract("next", r"(\d+)$", 1)
+    body = doc(items=items, cursor=cursor, size=F.lit(25), total=F.lit(9))
+    url = lambda c: F.concat(c, F.lit("?n=25"))
+    p = p.select("user_id", "event_id", "n", url(F.col("url")).alias("url"), F.when(bad, 503).otherwise(200).alias("status"), body.alias("body"))
+    following = F.replace(next_page(F.col("body"), cursor_key="cursor", template="/u/{}/${page}?n=${limit}", limit_key="size"), F.lit("{}"), F.col("user_id").cast("string"))
+    out = chain_pages(p, following, F.col("n") == 1, request="user_id", payload_key="items", max_pages_key="total")
+    return out.select("user_id", "event_id", "page_no")
+
+
+@query("""
+    SELECT event_id, row_number() OVER (ORDER BY md5(CAST(event_id AS VARCHAR))) AS page_no FROM events
+""")
+def page_chain_by_link_header(spark, sf):
+    """One request with all pages, in one chain by the links of their headers."""
+    e = table(spark, sf, "events").select("event_id", F.md5(F.col("event_id").cast("string")).alias("place"))
+    e = number_rows(e, ["place"], "n")
+    after = text('<https://h/', F.col("n") + 1, '>; rel="next", <https://h/1>; rel="first"')
+    p = e.select("event_id", F.lit("all").alias("request_id"), text("https://h/", F.col("n")).alias("url"), F.lit(200).alias("status"), doc(id="event_id").alias("body"), after.alias("link"))
+    out = chain_pages(p, next_page(F.col("body"), link_header=F.col("link")), F.col("url") == "https://h/1")
+    return out.select("event_id", "page_no")
+
+
 @query("""
     SELECT o_orderkey, CAST(0 AS INTEGER) AS table_ix, CAST(i - 1 AS INTEGER) AS row_ix, CAST(i AS BIGINT) AS no_,
            trim(regexp_replace(o_orderpriority, '[-]', ' ', 'g')) AS priority,
