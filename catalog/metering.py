@@ -67,7 +67,7 @@ _LAG = """
 """)
 def metric_delta(spark, sf):
     rows = series_rows(spark, sf, "value", "DELTA")
-    out = M.differences(rows, slice_seconds=M.slice_width(table(spark, sf, "events")))
+    out = M.differences(rows)
     return out.select("event_id", F.round("reported", 6).alias("delta"))
 
 
@@ -85,8 +85,7 @@ def metric_positive_rate(spark, sf):
 """)
 def metric_rate_and_positive_delta(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "ts", "event_type", "user_id", "value")
-    series, width = ["event_type", "user_id"], M.slice_width(ev)
-    out = M.differences(ev, series, into={"r": F.lit("RATE"), "p": F.lit("PDELTA")}, tie=["event_id"], slice_seconds=width)
+    out = M.differences(ev, ["event_type", "user_id"], into={"r": F.lit("RATE"), "p": F.lit("PDELTA")}, tie=["event_id"])
     return out.select("event_id", F.round("r", 9).alias("rate"), F.round("p", 6).alias("pdelta"))
 
 

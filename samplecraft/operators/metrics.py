@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from samplecraft.functions import maps, scalars
 from samplecraft.functions.rows import each
+from samplecraft.operators.numbering import in_ranges
 
 KINDS = ("RATE", "PRATE", "DELTA", "PDELTA", "ATTRIBUTE")
 
@@ -93,16 +94,6 @@ def change(kind: Column, value: Column, ts_us: Column, before: Column, before_us
     )
 
 
-def slice_width(df: DataFrame, ts: str = "ts", rows_per_slice: int = 1_000_000) -> Column:
-    """Seconds per slice that put about ``rows_per_slice`` rows, of all series together, into a slice.
-
-    A scalar subquery over the time column: nothing runs before the query does.
-    """
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
-    seconds = (F.max(us) - F.min(us)) / 1_000_000 * rows_per_slice / F.count(us)
-    return df.agg(F.greatest(F.lit(1), F.coalesce(seconds, F.lit(3600.0)).cast("bigint"))).scalar()
-
-
 def differences(
     df: DataFrame,
     series: Sequence[str] = ("event_type", "namespace", "metric"),
@@ -111,23 +102,26 @@ def differences(
     kind: str | Column = "kind",
     tie: Sequence[str] = (),
     into: str | Mapping[str, str | Column] = "reported",
-    slice_seconds: int | Column = 3600,
+    slice_seconds: int | None = None,
 ) -> DataFrame:
     """Differences and rates to the previous sample of the same series.
 
     ``into`` names the result, or maps several names to their kinds, all from one pass.
 
-    A series is cut into time slices that are ordered independently, so a series that holds a large share
-    of all rows is spread over as many tasks as it has slices. Only the last sample of each slice travels to
-    the first sample of the next one: that carry has one row per series and slice.
+    Rows are dealt into ranges of series, time and tie (see ``numbering``), so a series that holds most rows is
+    spread over many tasks, and so is a second that holds most of its rows. Only the last sample of each range travels
+    to the first one of its series in the next: that carry has one row per series and range. With ``slice_seconds``, series are cut
+    into time slices of that width instead and nothing is written in between; a burst then stays in one slice.
     """
     series, tie = list(series), list(tie)
     wanted = {into: kind} if isinstance(into, str) else dict(into)
     kinds = {f"_kind{i}": F.col(k) if isinstance(k, str) and k in df.columns else k if isinstance(k, Column) else F.lit(k) for i, k in enumerate(wanted.values())}
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    width = slice_seconds if isinstance(slice_seconds, Column) else F.lit(slice_seconds).cast("bigint")
-    slice_no = F.floor(us / (width * 1_000_000)).cast("bigint")
-    rows = df.withColumns({"_us": us, "_slice": slice_no, "_v": F.col(value), **kinds})
+    rows = df.withColumns({"_us": us, "_v": F.col(value), **kinds})
+    if slice_seconds is None:
+        rows = in_ranges(rows, [*series, "_us", *tie]).drop("_at").withColumnRenamed("_range", "_slice")
+    else:
+        rows = rows.withColumn("_slice", F.floor(F.col("_us") / (slice_seconds * 1_000_000)).cast("bigint"))
 
     seen = F.struct("_v", "_us")
     last = rows.groupBy(*series, "_slice").agg(F.max_by(seen, F.struct("_us", *tie)).alias("_last"))

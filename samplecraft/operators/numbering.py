@@ -1,56 +1,54 @@
-"""Dense row numbers without putting a whole table or a whole group into one task.
+"""Dense row numbers without putting a whole table, a hot value or a whole group into one task.
 
-One lazy plan for tables of every size: rows are cut into slices, each slice is numbered on its own and shifted by the
-number of rows before it. What steers the cut is a scalar subquery that runs as part of the query.
+The input is evaluated once, into a table in the shared folder. Rows are then dealt into ranges of the whole ordering
+key, the last part of which tells any two rows apart, so neither a common prefix nor a hot value makes a large range.
+There are as many ranges as the square root of the rows asks for, so both their number and their size stay workable: a
+hundred thousand ranges of ten million rows for 10^12.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Slices of an ordered numbering: the square of this many.
-_CUTS = 24
+from samplecraft.session import written
 
+#: Ranges for 10,000 rows.
+_RANGES = 10
 
-def _place(column: str, kind: str) -> Column:
-    """A number that never falls as the column grows; ties are fine, they only share a slice."""
-    c = F.col(f"`{column}`")
-    if kind == "string":
-        head = F.rpad(F.substring(F.hex(F.encode(c, "UTF-8")), 1, 12), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if kind.startswith("timestamp"):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if kind == "date":
-        return F.unix_date(c).cast("double")
-    if kind == "boolean":
-        return c.cast("int").cast("double")
-    if kind.startswith(("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")):
-        return c.cast("double")
-    return F.lit(0.0)
 
+def in_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` as a table, with the number of a row's range (``_range``) and its place there (``_at``): by these two, rows
+    are in the given order, nulls first; equal ones stand in any order."""
+    held = written(df.withColumn("_tie", F.monotonically_increasing_id()))
+    ranges = max(1, round(_RANGES * (held.count() / 10_000) ** 0.5))
+    keys = [F.col(f"`{c}`") for c in (*order, "_tie")]
+    dealt = held.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id())
+    # the number of the partition stands above the 33 bits of the place in it
+    places = {"_range": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))}
+    return written(dealt.withColumns(places).drop("_tie", "_id"))
 
-def number_rows(df: DataFrame, order: Sequence[str], into: str = "row_no", group: Sequence[str] = ()) -> DataFrame:
-    """Number rows 1..n in the given order, per group.
 
-    The first ordering column is cut at approximate quantiles. The bounds only steer the balance; any bounds give the
-    same numbers.
-    """
+def number_rows(df: DataFrame, order: Sequence[str], into: str = "row_no", group: Sequence[str] = ()) -> DataFrame:
+    """Number rows 1..n in the given order, per group."""
     order = list(order) or [c for c, t in df.dtypes if not t.startswith(("map", "variant"))]
-    place = _place(order[0], dict(df.dtypes)[order[0]])
-    shares = [k / _CUTS**2 for k in range(1, _CUTS**2)]
-    bounds = df.agg(F.percentile_approx(place, shares, 10_000)).scalar()
-    bounded = df.withColumns({"_place": place, "_bounds": bounds})
-    below = lambda b: b < F.col("_place")
-    # Which run of bounds, then which bound of that run: two short searches instead of one long one.
-    run = F.size(F.filter(F.filter("_bounds", lambda _, i: i % _CUTS == _CUTS - 1), below))
-    bounded = bounded.withColumn("_run", F.greatest(run, F.lit(0)))
-    inside = F.greatest(F.size(F.filter(F.slice("_bounds", F.col("_run") * _CUTS + 1, F.lit(_CUTS - 1)), below)), F.lit(0))
-    sliced = bounded.withColumn("_slice", F.when(F.col("_place").isNull(), F.lit(-1)).otherwise(F.col("_run") * _CUTS + inside))
-    return _number_sliced(sliced.drop("_place", "_bounds", "_run"), order, into, group)
+    group = list(group)
+    dealt = in_ranges(df, [*group, *order])
+    spans = dealt.groupBy(*group, "_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy(*([F.col(f"`{c}`") for c in group] or [F.lit(0)])).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    # one row for each range and group in it
+    shift = (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1 - F.col("_first")).alias("_shift")
+    keys = [*group, "_range"]
+    spans = spans.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keys)], shift)
+    same = F.lit(True)
+    for i, c in enumerate(keys):
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"_k{i}"))
+    # without groups there are no more rows than ranges
+    shifted = dealt.join(spans if group else F.broadcast(spans), same)
+    return shifted.withColumn(into, F.col("_at") + F.col("_shift")).select(*df.columns, into)
 
 
 def number_any_order(
@@ -60,9 +58,9 @@ def number_any_order(
 
     ``key`` identifies a row. Rows are spread by its hash over as many slices as the table needs.
     """
-    slices = df.agg((F.count(F.lit(1)) / rows_per_slice).cast("bigint") + 1).scalar()
-    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*key), slices))
-    return _number_sliced(sliced, list(key), into, group)
+    held = written(df)
+    slices = held.count() // rows_per_slice + 1
+    return _number_sliced(held.withColumn("_slice", F.pmod(F.xxhash64(*key), F.lit(slices))), list(key), into, group)
 
 
 def _number_sliced(sliced: DataFrame, order: Sequence[str], into: str, group: Sequence[str]) -> DataFrame:

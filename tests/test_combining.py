@@ -1,5 +1,6 @@
 import itertools
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from samplecraft.operators import combine as C
@@ -72,20 +73,48 @@ def test_numbering_is_dense_and_ordered(spark):
     ordered = N.number_rows(words, ["w", "id"]).orderBy("row_no").collect()
     assert [r["row_no"] for r in ordered] == list(range(1, 501))
     assert [r["id"] for r in ordered] == [r["id"] for r in words.orderBy("w", "id").collect()]
-    plan = N.number_rows(df, ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan.split("Subquery")[0]
     loose = N.number_any_order(df, ["id"], group=["g"], rows_per_slice=70).groupBy("g").agg(
         F.max("row_no"), F.countDistinct("row_no"), F.count(F.lit(1))
     )
     assert all(r[1] == r[2] == r[3] for r in loose.collect())
 
 
+def test_ranges_are_even(spark):
+    """Common prefixes, a value that half of the rows share and exact copies."""
+    k = F.col("id")
+    head = F.when(k % 2 == 0, F.lit("https://one.host.example/path/")).otherwise(F.concat(F.lit("https://one.host.example/path/"), F.sha2(k.cast("string"), 256)))
+    df = spark.range(120_000).select(head.alias("url"), F.when(k % 4 == 0, F.lit(None)).otherwise(k % 1000).alias("n"), k)
+    for order in (["url", "n"], ["url"], ["n", "url"]):
+        dealt = N.in_ranges(df, order)
+        sizes = sorted(r["count"] for r in dealt.groupBy("_range").count().collect())
+        assert len(sizes) > 25 and sizes[-1] < 2 * sizes[len(sizes) // 2] and sum(sizes) == 120_000
+        numbers = N.number_rows(df, order)
+        assert numbers.agg(F.min("row_no"), F.max("row_no"), F.countDistinct("row_no")).first() == (1, 120_000, 120_000)
+        w = Window.orderBy("row_no")
+        fell = F.lag(F.struct(*order)).over(w) > F.struct(*order)
+        assert numbers.select(fell.alias("fell")).where("fell").isEmpty()
+    assert N.number_rows(df.limit(0), ["url"]).isEmpty()
+
+
+def test_bursts_are_even(spark):
+    """Half of all rows are within one second of one series."""
+    k = F.col("id")
+    burst = k % 2 == 0
+    us = F.when(burst, 10**9 + k * 7 % 900_000).otherwise(k * 1_000_000)
+    df = spark.range(60_000).select(F.timestamp_micros(us).alias("ts"), F.when(burst, "hot").otherwise(F.concat(F.lit("s"), k % 20)).alias("s"), (k * 7919 % 101).cast("double").alias("value"), "id")
+    got = M.differences(df, ["s"], kind=F.lit("DELTA"), tie=["id"])
+    want = M.differences(df, ["s"], kind=F.lit("DELTA"), tie=["id"], slice_seconds=10**7)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    sizes = sorted(r["count"] for r in N.in_ranges(df, ["s", "ts", "id"]).groupBy("_range").count().collect())
+    assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
 def test_differences_do_not_depend_on_the_slices(spark):
     df = spark.range(300).select(
         F.timestamp_seconds(F.col("id") * 37).alias("ts"), F.lit("hot").alias("s"), ((F.col("id") * 7919) % 101).cast("double").alias("value")
     )
     results = []
-    for seconds in (60, 1000, 10**6):
+    for seconds in (60, 10**6, None):
         out = M.differences(df, ["s"], kind=F.lit("RATE"), slice_seconds=seconds)
         results.append([r["reported"] for r in out.orderBy("ts").collect()])
     assert results[0] == results[1] == results[2]
