@@ -9,6 +9,7 @@ from samplecraft.session import shared_folder
 from samplecraft.sinks import output
 from samplecraft.sources import payloads as P
 from samplecraft.sources import text as T
+from samplecraft.sources import xml as X
 
 
 @query("""
@@ -429,3 +430,45 @@ def sample_table_written(spark, sf):
     output.write_samples(n.select(F.concat(F.lit("region"), "n_regionkey").alias("event_type"), attrs_of(name="n_name").alias("attrs")), folder)
     back = spark.read.parquet(folder)
     return back.select(F.substring("event_type", 7, 9).cast("int").alias("region"), attr("name").alias("name"))
+
+
+@query("""
+    SELECT c_custkey AS id, 'customer' AS kind, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation, CAST(NULL AS VARCHAR) AS note, 0 AS ix FROM customer
+    UNION ALL SELECT o_orderkey, 'lineSample', o_orderstatus, CAST(i AS VARCHAR), NULL, CAST(i AS INTEGER)
+    FROM orders, (VALUES (0), (1)) AS t(i) WHERE o_orderkey % 2 = 0
+    UNION ALL SELECT o_orderkey, 'order', o_orderstatus, '0', 'see ' || o_custkey || ' & more', 0 FROM orders WHERE o_orderkey % 2 = 1
+    UNION ALL SELECT s_suppkey, 'error', NULL, NULL, NULL, 0 FROM supplier
+""")
+def xml_any_shape(spark, sf):
+    """Documents of differing shape without a schema: attributes, one or two elements of a name, mixed text, namespaces, and some that are no XML."""
+    c, o, s = (table(spark, sf, n) for n in ("customer", "orders", "supplier"))
+    one = text('<?xml version="1.0"?><x:c xmlns:x="urn:c" id="', F.col("c_custkey"), '"><x:name>', F.col("c_name"), '</x:name><at nation="', F.col("c_nationkey"), '"/></x:c>')
+    head = text('<o id="', F.col("o_orderkey"), '"><status>', F.col("o_orderstatus"), "</status>")
+    lines_ = text(head, '<line no="0"><k>a</k></line><line no="1"/></o>')
+    mixed = text(head, '<line no="0"/><note>see <b>', F.col("o_custkey"), "</b> &amp; <![CDATA[more]]></note></o>")
+    docs = c.select(F.col("c_custkey").alias("id"), one.alias("body")).unionByName(
+        o.select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 2 == 0, lines_).otherwise(mixed).alias("body"))
+    ).unionByName(s.select(F.col("s_suppkey").alias("id"), text("<s><name>", F.col("s_name"), "</s>").alias("body")))
+    p = X.parse_any_xml(docs).drop("body")
+    good, bad = p.where("payload IS NOT NULL"), p.where("payload IS NULL")
+    rows = shape.to_samples(shape.descend(shape.payload_objects(good), ["o"]))
+    kind = F.when(F.col("event_type").isNotNull(), F.replace("event_type", F.lit("Samples"), F.lit("Sample"))).when(attr("c.-id").isNotNull(), "customer").otherwise("order")
+    # the pieces of mixed text around an element are joined
+    note = F.when(attr("note.b").isNotNull(), F.replace(attr("note.#content"), F.lit("see "), F.concat(F.lit("see "), attr("note.b"), F.lit(" "))))
+    found = rows.select(
+        "id", kind.alias("kind"), F.coalesce(attr("c.name"), attr("status")).alias("name"),
+        F.coalesce(attr("c.at.-nation"), attr("-no"), attr("line.-no")).alias("nation"), note.alias("note"), F.col("sample_ix").cast("int").alias("ix"),
+    )
+    none = F.lit(None).cast("string")
+    return found.unionByName(bad.select("id", F.lit("error").alias("kind"), none.alias("name"), none.alias("nation"), none.alias("note"), F.lit(0).alias("ix")))
+
+
+@query("SELECT n_nationkey AS key, n_name AS name, n_regionkey AS region FROM nation")
+def xml_files_scanned(spark, sf):
+    """Written as XML files into the shared folder and scanned, a payload for each row element."""
+    folder = f"{shared_folder(spark)}/xml"
+    n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("-key"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))
+    n.write.format("xml").option("rowTag", "nation").option("rootTag", "nations").option("attributePrefix", "-").save(folder)
+    p = P.read_xml(spark, folder, "nation", "`-key` int, name string, region int")
+    cell = lambda k, t: F.try_variant_get("payload", f"$['{k}']", t)
+    return p.select(cell("-key", "int").alias("key"), cell("name", "string").alias("name"), cell("region", "int").alias("region"))
