@@ -86,7 +86,7 @@ def change(kind: Column, value: Column, ts_us: Column, before: Column, before_us
     moved = F.when(kind.isin("RATE", "PRATE"), F.try_divide(step, seconds)).otherwise(step)
     positive = F.when(kind.isin("PRATE", "PDELTA") & (step < 0), None).otherwise(moved)
     return (
-        F.when(~kind.isin("RATE", "PRATE", "DELTA", "PDELTA"), value)
+        F.when(~F.coalesce(kind.isin("RATE", "PRATE", "DELTA", "PDELTA"), F.lit(False)), value)
         .when(ts_us.isNull(), None)
         .when(before_us.isNull(), 0.0)
         .when(ts_us == before_us, None)

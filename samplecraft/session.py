@@ -17,6 +17,8 @@ _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A key that a JSON object repeats has its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # State of streams on disk below the executors, not in their heaps; some operators need it.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Rows sent to a Python worker at once; texts may be long.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }

@@ -7,21 +7,23 @@ payload is always whole. Rates, merges, joins and de-duplication keep bounded st
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from samplecraft.functions import maps
 from samplecraft.functions.rows import each
 from samplecraft.operators.combine import comparable
 from samplecraft.plans.sampling import SampleSpec, to_samples
+from samplecraft.streaming import series as state
 
-_DIFFERENCE_KINDS = ("RATE", "PRATE", "DELTA", "PDELTA")
+
+
+# The worker that prepares a stateful operator beside the driver does not see shipped packages.
+cloudpickle.register_pickle_by_value(state)
 
 
 def payload_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet", files_per_trigger: int = 0) -> DataFrame:
@@ -86,67 +88,35 @@ def stream_differences(
     kind: str | Column = "kind",
     ttl_ms: int = 24 * 3600 * 1000,
     delay: str = "10 minutes",
+    buckets: int = 1024,
 ) -> DataFrame:
     """Differences and rates against the last value kept per series.
 
     State is one (time, value) per series; it is dropped once the watermark (``delay`` behind the newest
     sample) is ``ttl_ms`` past it. Samples older than the stored one are late and dropped; one of equal time reports
-    null, as in a batch.
-    Columns: the series, ``ts``, ``value``, ``kind``, ``reported``.
+    null, as in a batch. Columns: the series, ``ts``, ``value``, ``kind``, ``reported``.
+
+    Series are dealt into ``buckets``, each with one state, and all series of a bucket advance together in arrays: 24
+    bytes for a row of the micro-batch (which ``files_per_trigger`` bounds) and some 60 for a live series of the bucket. A timer
+    wakes a bucket that no samples reach when the oldest of its series is due.
     """
-    types = dict(df.dtypes)
     kind = F.col(kind) if isinstance(kind, str) else kind
-    rows = event_time(df, ts, delay).select(
-        *series,
-        ts,
+    named = F.struct(*[F.col(f"`{c}`") for c in series])
+    rows = event_time(df, ts, delay).where(F.col(ts).isNotNull()).select(
+        F.pmod(F.xxhash64(named), F.lit(buckets)).alias("bucket"),
+        # null fields stay, so that the text is the series
+        F.to_json(named, {"ignoreNullFields": "false"}).alias("series"),
+        F.col(ts).alias("at"),
         F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
         F.col(value).cast("double").alias("value"),
-        kind.cast("string").alias("kind"),
+        F.coalesce(kind.cast("string"), F.lit("")).alias("kind"),
     )
-    def advance(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        before_us, before = state.get if state.exists else (None, None)
-        # a series may arrive in several Arrow batches, in any order
-        rows = pd.concat(list(batches)).dropna(subset=["us"]).sort_values(["us", "value"], kind="stable")
-        if before_us is not None:
-            rows = rows[rows["us"] >= before_us]
-        if not len(rows):
-            return
-        us, v = rows["us"].to_numpy(), rows["value"].to_numpy(float)
-        first_us, first = (us[0], v[0]) if before_us is None else (before_us, before)
-        seconds = np.diff(us, prepend=first_us) / 1_000_000
-        step = np.diff(v, prepend=first)
-        kinds = rows["kind"].fillna("").to_numpy(str)
-        is_rate, is_difference = np.isin(kinds, ("RATE", "PRATE")), np.isin(kinds, _DIFFERENCE_KINDS)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            reported = np.where(is_rate, step / seconds, step)
-        unknown = (seconds == 0) | (np.char.startswith(kinds, "P") & (step < 0))
-        reported = np.where(is_difference, np.where(unknown, np.nan, reported), v)
-        if before_us is None and is_difference[0]:
-            reported[0] = 0.0
-        state.update((int(us[-1]), float(v[-1])))
-        state.setTimeoutTimestamp(max(int(us[-1]) // 1000 + ttl_ms, state.getCurrentWatermarkMs() + 1))
-        columns = {f"c{i}": [k] * len(rows) for i, k in enumerate(key)}
-        yield pd.DataFrame({**columns, "us": us, "value": v, "kind": rows["kind"].to_numpy(), "reported": pd.array(reported, dtype="Float64")})
-
-    schema = ", ".join(f"c{i} {types[c]}" for i, c in enumerate(series))
-    reported = rows.groupBy(*series).applyInPandasWithState(
-        advance,
-        f"{schema}, us bigint, value double, kind string, reported double",
-        "us bigint, value double",
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
+    out = rows.groupBy("bucket").transformWithStateInPandas(
+        state.SeriesDifferences(ttl_ms), "series string, us bigint, value double, kind string, reported double", "append", "EventTime"
     )
-    return reported.select(
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(series)],
-        F.timestamp_micros("us").alias(ts),
-        "value",
-        "kind",
-        "reported",
+    types = ", ".join(f"`{c}` {dict(df.dtypes)[c]}" for c in series)
+    return out.withColumn("series", F.from_json("series", types)).select(
+        *[F.col("series")[c].alias(c) for c in series], F.timestamp_micros("us").alias(ts), "value", F.nullif("kind", F.lit("")).alias("kind"), "reported"
     )
 
 
