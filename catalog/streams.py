@@ -108,3 +108,24 @@ def stream_merge_by_window(spark, sf):
         F.unix_seconds("window.start").alias("day"), "kind", attr("user", "bigint").alias("last_user"),
         attr("event", "bigint").alias("last_event"), F.size("attrs").alias("keys"),
     )
+
+
+@query("""
+    WITH c AS (SELECT * FROM events WHERE event_type = 'click'), p AS (SELECT * FROM events WHERE event_type = 'purchase')
+    SELECT c.event_id, c.user_id AS "user", p.event_id AS bought, epoch_us(p.ts) - epoch_us(c.ts) AS after_us
+    FROM c LEFT JOIN p ON p.user_id = c.user_id AND p.ts >= c.ts AND p.ts <= c.ts + INTERVAL 2 DAY
+""")
+def stream_stream_join(spark, sf):
+    """Clicks with the purchases of the same user within two days, both as streams; clicks without any come last."""
+    source, folder = events(spark, sf), f"{shared_folder(spark)}/closing"
+    ev = S.event_time(S.with_closing(source, folder), delay="1 hour")
+    # The condition names the time, so that the closing event passes the watermarks before it is left out.
+    of = lambda kind: ev.where(F.when(F.col("ts").isNotNull(), F.col("event_type")) == kind)
+    rows = attrs_of(user="user_id", event="event_id")
+    out = S.stream_interval_join(
+        of("click").select("ts", "event_id", rows.alias("attrs")), of("purchase").select("ts", rows.alias("attrs")), "user", "user", "2 DAYS", prefix="p."
+    )
+    done = drain(spark, out, close=lambda: S.close(source, folder))
+    return done.select(
+        "event_id", attr("user", "bigint").alias("user"), attr("p.event", "bigint").alias("bought"), (F.unix_micros("partner_ts") - F.unix_micros("ts")).alias("after_us")
+    )

@@ -153,6 +153,35 @@ def stream_join(df: DataFrame, secondary: DataFrame, key: str, attrs: str = "att
     return joined.withColumn(attrs, maps.overlay(F.col(attrs), F.col("_attrs"))).drop("_key", "_attrs")
 
 
+def stream_interval_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    right_key: str,
+    within: str,
+    ts: str = "ts",
+    how: str = "left",
+    prefix: str = "",
+    attrs: str = "attrs",
+) -> DataFrame:
+    """Samples of one stream with those of another that have the same key at most ``within`` later.
+
+    Both streams need a watermark on ``ts``. A sample is in the result once for each partner, whose attributes (with
+    ``prefix``) override its own and whose time is ``partner_ts``. With ``how="left"`` one without partners follows when
+    both watermarks say that none can come any more. Either side is held for ``within`` and the delays only. Keys are
+    compared as in the batch join; a null key has no partners.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"a stream is joined inner or left: {how}")
+    mine = left.withColumn("_key", comparable(F.col(attrs)[key]))
+    theirs = F.transform_keys(attrs, lambda k, _: F.concat(F.lit(prefix), k)) if prefix else F.col(attrs)
+    right = right.select(comparable(F.col(attrs)[right_key]).alias("_other"), F.col(ts).alias("partner_ts"), theirs.alias("_attrs"))
+    after = F.col("partner_ts")
+    near = (F.col("_key") == F.col("_other")) & (after >= F.col(ts)) & (after <= F.col(ts) + F.expr(f"INTERVAL {within}"))
+    joined = mine.join(right, near, "left_outer" if how == "left" else "inner")
+    return joined.withColumn(attrs, maps.overlay(F.col(attrs), F.col("_attrs"))).drop("_key", "_other", "_attrs")
+
+
 def stream_dedupe(df: DataFrame, keys: Sequence[str], attrs: str = "attrs") -> DataFrame:
     """First row per attribute values within the watermark delay."""
     named = df.withColumns({f"_d{i}": F.col(attrs)[k] for i, k in enumerate(keys)})

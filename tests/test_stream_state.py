@@ -106,3 +106,43 @@ def test_a_hot_series_takes_bounded_memory():
     grown = (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024
     assert sum(sizes) == 1_000_000 and max(sizes) <= processor.most and grown < 300
     assert processor._stored()["us"].tolist() == [999_999]
+
+
+ROW = "id int, ts timestamp, attrs map<string,string>"
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_streams_join_within_an_interval(spark, tmp_path, how):
+    draw = random.Random(8)
+    sides = {}
+    for side in "lr":
+        batches, n = [], 0
+        for b in range(3):
+            rows = []
+            for _ in range(40):
+                # some are late within the delay, some keys are null, numbers are written in two ways
+                t = b * 100 + draw.randrange(100) - draw.choice([0, 0, 30])
+                key = draw.choice(["1", "1.0", "x", "y", None])
+                rows.append((n, at(t), {"key": key, side: str(n)}))
+                n += 1
+            batches.append(rows)
+        batches.append([(-1, at(10**6), {"key": "closing"})])
+        batches.append([(-2, at(2 * 10**6), {"key": "closing too"})])
+        sides[side] = batches
+    streams = {s: S.event_time(parts(spark, b, tmp_path / s, ROW), delay="60 seconds") for s, b in sides.items()}
+    out = S.stream_interval_join(streams["l"], streams["r"], "key", "key", "20 SECONDS", how=how, prefix="p.")
+    got, query = run(out, tmp_path)
+    number = lambda k: "1" if k == "1.0" else k
+    left, right = ([r for b in sides[s] for r in b if r[0] >= 0] for s in "lr")
+    want = []
+    for n, t, a in left:
+        near = [r for r in right if a["key"] and number(r[2]["key"]) == number(a["key"]) and t <= r[1] <= t + datetime.timedelta(seconds=20)]
+        want += [(n, r[0]) for r in near]
+        if not near and how == "left":
+            want.append((n, None))
+    rows = [(r["id"], r["attrs"].get("p.r")) for r in got.where("id >= 0").collect()]
+    assert sorted(map(repr, rows)) == sorted(repr((n, None if m is None else str(m))) for n, m in want)
+    # What both watermarks have passed is gone.
+    state = query.recentProgress[-1]["stateOperators"]
+    held = sum(s["numRowsTotal"] for s in state)
+    assert held <= 4 < max(sum(s["numRowsTotal"] for s in p["stateOperators"]) for p in query.recentProgress)
