@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from catalog.registry import attr, attrs_of, doc, lines, query, table, text
-from samplecraft.operators import combine, shape
+from samplecraft.operators import combine, metrics, shape
 from samplecraft.session import shared_folder
 from samplecraft.sinks import output
 from samplecraft.sources import payloads as P
+from samplecraft.sources import records as R
 from samplecraft.sources import text as T
 from samplecraft.sources import xml as X
 
@@ -472,3 +473,50 @@ def xml_files_scanned(spark, sf):
     p = P.read_xml(spark, folder, "nation", "`-key` int, name string, region int")
     cell = lambda k, t: F.try_variant_get("payload", f"$['{k}']", t)
     return p.select(cell("-key", "int").alias("key"), cell("name", "string").alias("name"), cell("region", "int").alias("region"))
+
+
+@query("""
+    SELECT o_orderkey AS key, o_custkey AS cust, 'a,"b" ]}' || o_orderstatus AS note FROM orders UNION ALL SELECT c_custkey, NULL, c_name FROM customer
+""")
+def json_array_in_one_file(spark, sf):
+    """Two files, each one array of all rows: every element is a payload, read by as many tasks as the files have blocks."""
+    folder = f"{shared_folder(spark)}/arrays"
+    o = table(spark, sf, "orders").select(doc(key="o_orderkey", cust="o_custkey", note=text('a,"b" ]}', F.col("o_orderstatus"))).alias("value"))
+    c = table(spark, sf, "customer").select(doc(key="c_custkey", note="c_name").alias("value"))
+    for name, rows in (("orders", o), ("customers", c)):
+        # an element a line, the brackets on lines of their own
+        framed = rows.coalesce(1).select(F.concat(F.when(F.monotonically_increasing_id() == 0, F.lit("[\n")).otherwise(F.lit(", ")), "value").alias("value"))
+        end = spark.range(1).coalesce(1).select(F.lit("]").alias("value"))
+        framed.unionByName(end).coalesce(1).write.text(f"{folder}/{name}")
+    p = R.read_json_array(spark, [f"{folder}/orders", f"{folder}/customers"])
+    cell = lambda k, t: F.try_variant_get("payload", f"$.{k}", t)
+    return p.select(cell("key", "bigint").alias("key"), cell("cust", "bigint").alias("cust"), cell("note", "string").alias("note"))
+
+
+@query("""
+    SELECT doc_id, length(text) AS n, md5(text) AS digest FROM documents WHERE text IS NOT NULL
+""")
+def csv_quoted_in_one_file(spark, sf):
+    """All documents as quoted fields of one CSV file, with their separators, quotes and line ends."""
+    folder = f"{shared_folder(spark)}/quoted"
+    d = table(spark, sf, "documents").where("text IS NOT NULL")
+    line = text(F.col("doc_id"), ',"', F.replace("text", F.lit('"'), F.lit('""')), '"')
+    d.select(line.alias("value")).coalesce(1).write.text(folder)
+    out = R.read_csv_records(spark, folder, ["doc_id", "text"])
+    return out.select(attr("doc_id", "bigint").alias("doc_id"), F.length(attr("text")).cast("bigint").alias("n"), F.md5(F.encode(attr("text"), "UTF-8")).alias("digest"))
+
+
+@query("""
+    SELECT event_type, count(*) AS rows, count(*) AS samples FROM events GROUP BY event_type
+    UNION ALL SELECT 'all', count(*), count(*) FROM events
+""")
+def observed_counters(spark, sf):
+    """Rows counted beside the action that writes them, and counted from what was written."""
+    folder = f"{shared_folder(spark)}/counted"
+    ev = table(spark, sf, "events").select("event_type", attrs_of(user="user_id").alias("attrs"))
+    seen, counter = metrics.observe_counts(ev)
+    output.write_samples(seen, folder)
+    back = spark.read.parquet(folder)
+    by_type = metrics.run_counters(back)
+    every = back.agg(F.count(F.lit(1)).alias("samples")).select(F.lit("all").alias("event_type"), F.lit(counter.get["rows"]).cast("bigint").alias("rows"), "samples")
+    return by_type.select("event_type", F.col("samples").alias("rows"), "samples").unionByName(every)

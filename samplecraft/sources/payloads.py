@@ -50,7 +50,7 @@ def csv_text_samples(df: DataFrame, set_header: Sequence[str] = (), body: str =
     """
     lines = F.transform(F.regexp_extract_all(F.col(body), F.lit(_CSV_RECORD), F.lit(1)), lambda x: F.regexp_replace(x, "\r$", ""))
     rest = [c for c in df.columns if c != body]
-    records = F.transform(F.filter(lines, lambda x: x != ""), _csv_fields)
+    records = F.transform(F.filter(lines, lambda x: x != ""), csv_fields)
     df = df.select(*rest, records.alias("_records"))
     header = F.array(*[F.lit(h) for h in set_header]) if set_header else F.get("_records", 0)
     data = F.col("_records") if set_header else F.slice("_records", 2, F.greatest(F.size("_records") - 1, F.lit(0)))
@@ -70,7 +70,7 @@ def csv_text_samples(df: DataFrame, set_header: Sequence[str] = (), body: str =
 _CSV_RECORD = r'([^"\n]*+(?:"[^"]*+"?[^"\n]*+)*+)(?:\n|\z)'
 
 
-def _csv_fields(line: Column) -> Column:
+def csv_fields(line: Column) -> Column:
     """Fields of one record: quotes removed, doubled quotes undone."""
     cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'), F.lit(1))
     return F.transform(
