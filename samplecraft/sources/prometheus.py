@@ -113,42 +113,50 @@ def parse_lines(df: DataFrame, body: str = "body", go_metrics: bool = True, comp
     df = df.select(*rest, *declared, named.alias("_named"))
     types, helps = F.col("_types"), F.col("_helps")
 
-    def in_family(s: Column) -> Column:
+    # In steps again: what a step names once, the next may read several times.
+    kept = ("line_no", "name", "labels", "raw", "error")
+
+    def with_suffix(s: Column) -> Column:
         name = s["name"]
-        base = F.regexp_replace(name, "_(bucket|count|sum)$", "")
-        base_type = types[base]
-        is_piece = (base != name) & types[name].isNull() & (
-            (base_type == "histogram") | ((base_type == "summary") & ~name.endswith("_bucket"))
-        )
-        family = F.when(F.coalesce(is_piece, F.lit(False)), base).otherwise(name)
-        return F.struct(s["line_no"], name.alias("name"), s["labels"], s["raw"], s["error"], family.alias("family"))
+        suffix = F.when(name.endswith("_bucket"), "bucket").when(name.endswith("_count"), "count").when(name.endswith("_sum"), "sum")
+        return F.struct(*[s[c].alias(c) for c in kept], suffix.alias("suffix"), types[name].alias("own"))
+
+    def with_base(s: Column) -> Column:
+        piece = s["suffix"].isNotNull() & s["own"].isNull()
+        base = F.when(piece, F.substring(s["name"], F.lit(1), F.length(s["name"]) - F.length(s["suffix"]) - 1))
+        return F.struct(*[s[c].alias(c) for c in (*kept, "suffix", "own")], base.alias("base"))
 
-    def typed(s: Column) -> Column:
-        kind = F.when(s["error"].isNull(), F.upper(F.coalesce(types[s["family"]], F.lit("untyped"))))
-        return F.struct(s["line_no"], s["name"], s["labels"], s["raw"], s["error"], s["family"], kind.alias("type"))
+    def with_kind(s: Column) -> Column:
+        return F.struct(*[s[c].alias(c) for c in (*kept, "suffix", "own", "base")], F.when(s["base"].isNotNull(), types[s["base"]]).alias("kind"))
+
+    def in_family(s: Column) -> Column:
+        piece = (s["kind"] == "histogram") | ((s["kind"] == "summary") & (s["suffix"] != "bucket"))
+        known = F.coalesce(piece, F.lit(False))
+        kind = F.when(s["error"].isNull(), F.upper(F.coalesce(F.when(known, s["kind"]).otherwise(s["own"]), F.lit("untyped"))))
+        family = F.when(known, s["base"]).otherwise(s["name"])
+        return F.struct(*[s[c].alias(c) for c in kept], family.alias("family"), kind.alias("type"), F.when(known, s["suffix"]).alias("suffix"))
 
     def whole(s: Column) -> Column:
         value = s["raw"]
-        part = F.when(s["name"] != s["family"], F.regexp_extract(s["name"], "_(bucket|count|sum)$", 1)).when(
-            (s["type"] == "SUMMARY") & F.map_contains_key(s["labels"], "quantile"), "quantile"
-        )
-        number = (
-            F.when(value.isin("inf", "+inf"), F.lit(float("inf")))
-            .when(value == "-inf", F.lit(float("-inf")))
-            .when(value == "nan", F.lit(float("nan")))
-            .otherwise(value.try_cast("double"))
+        part = F.coalesce(s["suffix"], F.when((s["type"] == "SUMMARY") & F.map_contains_key(s["labels"], "quantile"), "quantile"))
+        number = F.coalesce(
+            value.try_cast("double"),
+            F.when(value.isin("inf", "+inf"), F.lit(float("inf"))).when(value == "-inf", F.lit(float("-inf"))).when(value == "nan", F.lit(float("nan"))),
         )
         text = F.when(s["error"].isNull(), F.coalesce(helps[s["family"]], F.lit("")))
-        error = F.coalesce(s["error"], F.when(number.isNull(), F.concat(F.lit("no number: "), value)))
         return F.struct(
-            s["line_no"], s["family"], s["type"], text.alias("help"), s["name"], s["labels"], number.alias("value"), part.alias("part"), error.alias("error")
+            s["line_no"], s["family"], s["type"], text.alias("help"), s["name"], s["labels"], number.alias("value"), part.alias("part"), s["error"], value.alias("raw")
         )
 
-    found = F.transform("_named", in_family)
+    def judged(s: Column) -> Column:
+        error = F.coalesce(s["error"], F.when(s["value"].isNull(), F.concat(F.lit("no number: "), s["raw"])))
+        return F.struct(*[s[c].alias(c) for c in ("line_no", "family", "type", "help", "name", "labels", "value", "part")], error.alias("error"))
+
+    found = F.transform(F.transform(F.transform(F.transform("_named", with_suffix), with_base), with_kind), in_family)
     if not go_metrics:
         go = lambda s: s["family"].contains("go_") if compat else s["family"].startswith("go_")
         found = F.filter(found, lambda s: s["error"].isNotNull() | ~go(s))
-    return df.select(*rest, F.transform(F.transform(found, typed), whole).alias("lines"))
+    return df.select(*rest, F.transform(F.transform(found, whole), judged).alias("lines"))
 
 
 def parse_exposition(df: DataFrame, body: str = "body", go_metrics: bool = True, compat: bool = False) -> DataFrame:

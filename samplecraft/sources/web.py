@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,19 +114,45 @@ def select_pages(
 # ---------------------------------------------------------------- HTML tables
 
 
-class _Tables(HTMLParser):
+# Comments, elements whose content is no markup, tags with their attributes, declarations. Nothing in it backtracks.
+_TOKEN = re.compile(
+    r"<!--(?s:.*?)(?:-->|\Z)|<(script|style)\b[^>]*+>((?s:.*?))(?:</\1\s*>|\Z)"
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*+>""",
+    re.IGNORECASE,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+
+
+class _Tables:
     """Collects tables: header cells, rows of data cells, attributes."""
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.tables: list[dict] = []
         self.open: list[list] = []  # open cells: [kind, text, holds a table, table, row]
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def feed(self, html: str) -> None:
+        at = 0
+        for m in _TOKEN.finditer(html):
+            if self.open and m.start() > at:
+                self.handle_data(unescape(html[at : m.start()]))
+            at = m.end()
+            raw, shut, name, attributes = m.group(2, 3, 4, 5)
+            if name:
+                tag = name.lower()
+                if tag in ("table", "tr", "td", "th"):
+                    self.handle_endtag(tag) if shut else self.handle_starttag(tag, attributes)
+            elif raw and self.open:
+                self.handle_data(raw)
+        if self.open:
+            self.handle_data(unescape(html[at:]))
+        self._close(0)
+
+    def handle_starttag(self, tag: str, attributes: str) -> None:
         if tag == "table":
             for cell in self.open:
                 cell[2] = True
-            self.tables.append({"attrs": {k: v or "" for k, v in attrs}, "head": [], "rows": [], "depth": len(self.open)})
+            attrs = {k.lower(): unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(attributes)} if attributes else {}
+            self.tables.append({"attrs": attrs, "head": [], "rows": [], "depth": len(self.open)})
         if not self.tables:
             return
         here = self.tables[-1]
@@ -156,17 +183,27 @@ class _Tables(HTMLParser):
             row[at] = "TableElement" if nested and kind == "td" else _clean(text)
 
 
+class _Blanks(dict):
+    """Translation of whitespace and punctuation to blanks, filled as characters occur."""
+
+    def __missing__(self, code: int) -> int:
+        c = chr(code)
+        self[code] = 0x20 if c.isspace() or unicodedata.category(c)[0] == "P" else code
+        return self[code]
+
+
+_BLANKS = _Blanks()
+
+
 def _clean(text: str) -> str:
     """Whitespace and punctuation become blanks."""
-    return "".join(" " if c.isspace() or unicodedata.category(c)[0] == "P" else c for c in text).strip()
+    return text.translate(_BLANKS).strip()
 
 
 def _table_rows(html: str) -> Iterator[tuple[int, int, dict[str, str]]]:
     """(table index, row index, attributes) of every data row of a page."""
     parser = _Tables()
     parser.feed(html)
-    parser.close()
-    parser._close(0)
     for table_ix, table in enumerate(parser.tables):
         rows = [r for r in table["rows"] if r]
         width = max([len(table["head"])] + [len(r) for r in rows])
@@ -189,20 +226,21 @@ def html_table_samples(df: DataFrame, page_id: str = "page_id", html: str = "htm
     pages = df.select(page_id, html).filter(F.col(html).rlike("(?i)<table"))
     id_type = dict(pages.dtypes)[page_id]
 
-    columns = [page_id, "table_ix", "row_ix", "cells"]
-
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out: list[tuple] = []
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for pid, text in zip(batch[page_id], batch[html], strict=True):
-                out.extend((pid, t, r, cells) for t, r, cells in _table_rows(text))
-                if len(out) >= _ROWS_OUT:
-                    yield pd.DataFrame(out, columns=columns)
-                    out = []
-        yield pd.DataFrame(out, columns=columns)
+            at, found = [], []
+            for k, text in enumerate(batch.column(1)):
+                for row in _table_rows(text.as_py()):
+                    at.append(k)
+                    found.append(row)
+                if len(found) >= _ROWS_OUT or k == batch.num_rows - 1:
+                    tables, rows, cells = zip(*found, strict=True) if found else ((), (), ())
+                    columns = [pa.array(tables, pa.int32()), pa.array(rows, pa.int32()), pa.array([list(c.items()) for c in cells], pa.map_(pa.string(), pa.string()))]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *columns], names=[page_id, "table_ix", "row_ix", "cells"])
+                    at, found = [], []
 
     schema = f"`{page_id}` {id_type}, table_ix int, row_ix int, cells map<string,string>"
-    rows = pages.mapInPandas(extract, schema)
+    rows = pages.mapInArrow(extract, schema)
     return rows.select(
         page_id, "table_ix", "row_ix", F.lit("tableSamples").alias("event_type"), maps.drop_nulls(F.col("cells")).alias("attrs")
     )
