@@ -15,8 +15,8 @@ are 64-bit hashes; a set's identity is its size and two 64-bit sums.
    pairs of a group are candidates within the length and positional bounds; a suffix filter then bounds the
    intersection by bin counts of the whole sets, and what is left is verified on the sets, once a pair.
 4. Whatever two nodes share a posting and are not yet in one component by these links are then held against each
-   other, without exception. So a large group of near copies costs a few links a node and not all its pairs, and no
-   link between components is lost.
+   other, without exception, at the first posting they share. So a large group of near copies costs a few links a node
+   and not all its pairs, and no link between components is lost.
 
 Sets needed for verification come from a third pass, restricted by a Bloom filter of fixed size to documents with
 postings; another tells step 2 which documents may have equals and must be grouped first. Components are found by
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from samplecraft.llm.common import U64, UNSPACED, find_words, lower_ascii, materialise, mix, pack, ragged, slices, span_hashes, text_bytes, window_hashes
@@ -48,6 +49,8 @@ BLOOM_BITS = 1 << 26
 BINS = 16
 #: Nodes of one posting that are held against each other at first.
 GROUP = 8
+#: Shingles before a posting by which it is told whether a pair has met already.
+KNOWN = 64
 #: Shingles whose slot counts more than this, and eight times the mean, are not sent to be counted exactly.
 FREQUENT = 1 << 20
 #: Shingles that a task of one hash range counts.
@@ -397,16 +400,33 @@ def _grouped(postings: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("node").alias("a"), F.col("node_x").alias("b")).distinct()
 
 
-def _rest(postings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _with_prior(postings: DataFrame, known: int) -> DataFrame:
+    """Postings with the first ``known`` of the rarer shingles that their node has in common with others (``prior``), and
+    whether these are all (``exact``)."""
+    ranked = postings.withColumn("i", F.row_number().over(W.partitionBy("node").orderBy("pos")))
+    heads = ranked.where(F.col("i") <= known).groupBy("node").agg(F.sort_array(F.collect_list(F.struct("i", "t"))).alias("head"))
+    prior = F.slice(F.col("head.t"), F.lit(1), F.least(F.col("i") - 1, F.lit(known)))
+    return ranked.join(heads, "node").select("t", "node", "pos", "n", "own", prior.alias("prior"), (F.col("i") <= known + 1).alias("exact"))
+
+
+def _rest(postings: DataFrame, labels: DataFrame, percent: int, known: int = KNOWN) -> DataFrame:
     """Candidate pairs of all nodes that share a posting across components. Within a posting, nodes outside its
-    largest component are held against all others, so that a component's own pairs are never formed."""
+    largest component are held against all others, so that a component's own pairs are never formed.
+
+    A pair is made at its first common posting alone. There nothing before is common, so what can be common is at most
+    what follows both places. Where more than ``known`` shingles come before, a pair may come again, never be missed."""
     held = postings.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     counted = held.groupBy("t", "comp").agg(F.count("*").alias("c"))
     mixed = counted.groupBy("t").agg(F.count("*").alias("comps"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("comps > 1").select("t", "main")
-    mixed = held.join(mixed, "t")
-    small = mixed.where("comp != main").select("t", *[F.col(c).alias(f"{c}_x") for c in ("node", "pos", "n", "own", "comp")])
-    pairs = small.join(mixed, "t").where((F.col("comp") != F.col("comp_x")) & ((F.col("comp") == F.col("main")) | (F.col("node_x") < F.col("node"))))
-    pairs = pairs.where(_near(_named(""), _named("_x"), percent))
+    nodes = held.join(mixed, "t", "left_semi").select("node", "comp").distinct()
+    rows = _with_prior(postings.join(nodes, "node", "left_semi"), known).join(mixed, "t").join(nodes, "node")
+    rows = materialise(rows)
+    columns = ("node", "pos", "n", "own", "prior", "exact", "comp")
+    small = rows.where("comp != main").select("t", *[F.col(c).alias(f"{c}_x") for c in columns])
+    pairs = small.join(rows, "t").where((F.col("comp") != F.col("comp_x")) & ((F.col("comp") == F.col("main")) | (F.col("node_x") < F.col("node"))))
+    after = F.least(F.col("n") - F.col("pos"), F.col("n_x") - F.col("pos_x")) >= _least_common(F.col("n"), F.col("n_x"), percent)
+    near = _near(_named(""), _named("_x"), percent) & (after | ~F.col("exact") | ~F.col("exact_x"))
+    pairs = pairs.where(near & ~F.arrays_overlap("prior", "prior_x"))
     return pairs.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b")).distinct()
 
 
