@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from samplecraft.llm.common import bounded_sample, materialise, slices
+from samplecraft.llm.common import bounded_sample, materialise, slices, text_bytes
 
 END_ID = 2
 SHARD_BYTES = 8 << 20
@@ -73,50 +73,70 @@ class Encoder:
             self.lengths[k] = len(token)
         self.end = np.array([end_id], self.dtype).tobytes()
         self.kept_pieces = kept_pieces
-        #: Ids by piece, the space that goes before it left out.
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
-
-    def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces with a space before each, encoded as one text and cut where their bytes end."""
-        out = {}
-        for k in range(0, len(pieces), 16_384):
-            part = pieces[k : k + 16_384]
-            ids = self._ids(" " + " ".join(part))
-            ends = np.cumsum([len(p.encode()) + 1 for p in part])
+        #: Number of each kept piece, whose ids are ``flat[at[k] : at[k + 1]]``.
+        self.known: dict[bytes, int] = {}
+        self.flat, self.at = np.zeros(1 << 16, self.dtype), np.zeros(1 << 16, np.int64)
+
+    def _add(self, first: int, ids: np.ndarray, ends: np.ndarray) -> None:
+        """Pieces from number ``first`` on, whose ids end at ``ends``."""
+        start = int(self.at[first])
+        while len(self.flat) < start + len(ids):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while len(self.at) < first + len(ends) + 1:
+            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
+        self.flat[start : start + len(ids)] = ids
+        self.at[first + 1 : first + 1 + len(ends)] = start + ends
+
+    def _encode_words(self, first: int, words: list[bytes]) -> None:
+        """Pieces that begin with a space, encoded as one text and cut where their bytes end."""
+        for k in range(0, len(words), 16_384):
+            part = words[k : k + 16_384]
+            ids = np.array(self.tokenizer.encode_batch_fast([b"".join(part).decode()], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.cumsum([len(w) for w in part])
             reached = np.cumsum(self.lengths[ids])
-            cuts = np.searchsorted(reached, ends)
-            if len(ids) and not np.array_equal(reached[cuts], ends):
+            cuts = np.minimum(np.searchsorted(reached, ends), len(ids) - 1)
+            if not np.array_equal(reached[cuts], ends):
                 raise ValueError("tokens do not end where pieces do")
-            raw, width = ids.tobytes(), self.dtype.itemsize
-            at = [0, *((cuts + 1) * width).tolist()]
-            out.update((p, raw[x:y]) for p, x, y in zip(part, at, at[1:], strict=False))
-        return out
+            self._add(first + k, ids, cuts + 1)
+
+    def _encode_texts(self, first: int, texts: list[bytes]) -> None:
+        """First pieces of texts, and texts that are not cut, in one call."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+        self._add(first, np.array([i for ids in found for i in ids], self.dtype), np.cumsum([len(ids) for ids in found]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """A text is encoded whole where white space meets white space, else by its pieces between spaces."""
-        cut = [None if t[:1] == " " or _ODD.search(t) else t.split(" ") for t in texts]
-        wanted: set[str] = set()
-        for parts in cut:
-            if parts:
-                wanted.update(parts[1:])
-        found = self._encode_pieces([p for p in wanted if p not in self.known])
-        if len(self.known) + len(found) <= self.kept_pieces:
-            self.known.update(found)
-            found = self.known
-        else:
-            found |= {p: self.known[p] for p in wanted if p in self.known}
-        out = []
-        for text, parts in zip(texts, cut, strict=True):
-            if parts is None:
-                ids = self._ids(text).tobytes()
-            else:
-                first = self._ids(parts[0]).tobytes() if parts[0] else b""
-                ids = first + b"".join(map(found.__getitem__, parts[1:]))
-            out.append(ids + self.end)
-        return out
+        """A text is encoded whole where white space meets white space, else by its pieces, each of which but the first
+        begins with the space before it. Each different piece of the texts is looked up once."""
+        odd = np.array([t[:1] == " " or _ODD.search(t) is not None for t in texts], bool)
+        data, offsets = text_bytes(pa.array(texts, pa.large_string()).cast(pa.large_binary()))
+        begins = data == 0x20
+        for k in np.flatnonzero(odd).tolist():
+            begins[offsets[k] : offsets[k + 1]] = False
+        begins[offsets[offsets < len(data)]] = True
+        bounds = np.append(np.flatnonzero(begins), len(data))
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)])
+        coded = pieces.dictionary_encode()
+        different, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        place = np.searchsorted(bounds, offsets)
+        whole = np.zeros(len(different), bool)
+        whole[which[place[:-1][np.diff(offsets) > 0]]] = True  # first pieces, odd texts among them
+        number = np.array([self.known.get(p, -1) for p in different], np.int64)
+        missing = np.flatnonzero(number < 0)
+        words, others = missing[~whole[missing]], missing[whole[missing]]
+        kept = len(self.known)
+        for part, encode in ((words, self._encode_words), (others, self._encode_texts)):
+            if len(part):
+                encode(kept + (len(words) if part is others else 0), [different[k] for k in part.tolist()])
+        number[words], number[others] = kept + np.arange(len(words)), kept + len(words) + np.arange(len(others))
+        if kept + len(words) <= self.kept_pieces:
+            self.known.update(zip((different[k] for k in words.tolist()), range(kept, kept + len(words)), strict=True))
+        number = number[which]
+        sizes = self.at[number + 1] - self.at[number]
+        until = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.flat[np.arange(until[-1]) + np.repeat(self.at[number] - until[:-1], sizes)].tobytes()
+        width = self.dtype.itemsize
+        ends = (until[place] * width).tolist()
+        return [ids[x:y] + self.end for x, y in zip(ends, ends[1:])]
 
 
 @lru_cache(maxsize=2)
