@@ -12,7 +12,7 @@ The dictionary is trained on the serialised id arrays of about ``SAMPLE_ROWS`` d
 characters, picked by hash; where that is too little for training, frames use no dictionary. The index gives short
 documents by themselves: ``ShardReader.ids(k)`` decompresses one frame.
 
-Documents go in ascending key order (null first, equal keys by a hash of the text) over range partitions; a shard ends
+Documents go in ascending key order (null first, equal keys by a hash of the text), or one that is given, over range partitions; a shard ends
 after ``SHARD_BYTES`` of frames. ``start`` counts the ids of all documents before one.
 
 Ids are those of ``Tokenizer.encode`` on the whole text. The tokenizer (byte-level BPE with the usual split pattern) cuts
@@ -28,14 +28,14 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from samplecraft.llm.common import bounded_sample, materialise, slices, text_bytes
@@ -211,6 +211,7 @@ def write_shards(
     key: str = "doc_id",
     end_id: int = END_ID,
     kept_pieces: int = KEPT_PIECES,
+    order: Sequence[Column] = (),
 ) -> DataFrame:
     """Rows of ``SHARDS``, in order of ``part`` and ``shard``; ``part_ids_before`` are the ids of earlier shards of the part."""
     name = hashlib.sha256(dictionary).hexdigest()
@@ -237,9 +238,10 @@ def write_shards(
         if writer.index:
             yield row()
 
-    narrow = docs.select(F.col(key).cast("long").alias("key"), F.col(column).alias("text"))
-    tie = F.xxhash64("key", "text")
-    ordered = narrow.repartitionByRange("key", tie).sortWithinPartitions("key", tie)
+    named = [c.alias(f"o{i}") for i, c in enumerate(order)]
+    narrow = docs.select(F.col(key).cast("long").alias("key"), F.col(column).alias("text"), *named)
+    places = [F.col(f"o{i}") for i in range(len(named))] or [F.col("key"), F.xxhash64("key", "text")]
+    ordered = narrow.repartitionByRange(*places).sortWithinPartitions(*places).select("key", "text")
     return ordered.mapInArrow(run, SHARDS)
 
 
@@ -272,10 +274,16 @@ def read_shards(shards: DataFrame, dictionary: bytes, key: str = "doc_id") -> Da
 
 
 def encode_documents(
-    spark: SparkSession, docs: DataFrame, path: str, column: str = "text", key: str = "doc_id", kept_pieces: int = KEPT_PIECES
+    spark: SparkSession,
+    docs: DataFrame,
+    path: str,
+    column: str = "text",
+    key: str = "doc_id",
+    kept_pieces: int = KEPT_PIECES,
+    order: Sequence[Column] = (),
 ) -> DataFrame:
     """Write ``docs`` as shards into the shared folder and read them back. ``kept_pieces`` bounds what a Python worker
-    keeps from task to task, some 250 bytes a piece."""
+    keeps from task to task, some 250 bytes a piece; ``order`` is another one than by key."""
     dictionary = train_dictionary(docs, path, column, key)
-    shards = materialise(write_shards(docs, path, dictionary, column, key, kept_pieces=kept_pieces))
+    shards = materialise(write_shards(docs, path, dictionary, column, key, kept_pieces=kept_pieces, order=order))
     return read_shards(shards, dictionary, key)
