@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from samplecraft import prepare
 from samplecraft.llm import decontaminate, jaccard, mix, quality, token_files
@@ -44,10 +46,19 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as token shards, and from these a row a document: where it starts, its ids and their checksum."""
+    """The documents as token shards, and from these a row a document: where it starts, its ids and their checksum.
+
+    Shards follow the order of the table they are read from, which is the training order that the mix wrote. Documents
+    that come from no files, and so have no order, go by key.
+    """
     prepare(spark)
+    place = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    try:
+        docs.select(*place)
+    except AnalysisException:
+        place = []
     # Python workers also serve the other stages, so they keep less here.
-    return token_files.encode_documents(spark, docs.select("doc_id", "text"), tokenizer_path(), kept_pieces=150_000)
+    return token_files.encode_documents(spark, docs, tokenizer_path(), kept_pieces=150_000, order=place)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
