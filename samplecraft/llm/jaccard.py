@@ -14,8 +14,8 @@ are 64-bit hashes; a set's identity is its size and two 64-bit sums.
 3. Prefix shingles that two nodes or more have are kept as postings. The nodes of each are dealt into small groups, and
    pairs of a group are candidates within the length and positional bounds; a suffix filter then bounds the
    intersection by bin counts of the whole sets, and what is left is verified on the sets, once a pair.
-4. Whatever two nodes share a posting and are not yet in one component by these links are then held against each
-   other, without exception, at the first posting they share. So a large group of near copies costs a few links a node
+4. What is outside a posting's largest component by these links meets a few nodes of that. Whatever two nodes share a
+   posting and are still not in one component are then held against each other, without exception, at the first posting they share. So a large group of near copies costs a few links a node
    and not all its pairs, and no link between components is lost.
 
 Sets needed for verification come from a third pass, restricted by a Bloom filter of fixed size to documents with
@@ -49,6 +49,10 @@ BLOOM_BITS = 1 << 26
 BINS = 16
 #: Nodes of one posting that are held against each other at first.
 GROUP = 8
+#: Ways in which the nodes of larger postings are dealt.
+DEALS = 4
+#: How often what is outside a posting's largest component meets other nodes of it before all.
+TIMES = 2
 #: Shingles before a posting by which it is told whether a pair has met already.
 KNOWN = 64
 #: Shingles whose slot counts more than this, and eight times the mean, are not sent to be counted exactly.
@@ -388,13 +392,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return close.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
 
 
-def _grouped(postings: DataFrame, percent: int) -> DataFrame:
+def _grouped(postings: DataFrame, percent: int, deals: int = DEALS) -> DataFrame:
     """Candidate pairs within small groups: a posting's nodes are dealt by hash into groups of about ``GROUP``.
 
     Postings of no more nodes are done with this; in larger ones it finds every node a few partners, so that a large
-    group of near copies becomes one component, or nearly."""
-    groups = postings.groupBy("t").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
-    dealt = postings.join(groups, "t").withColumn("part", F.pmod(F.xxhash64("node"), "groups")).drop("groups")
+    group of near copies becomes one component, or nearly. There are ``deals`` ways to deal for each power of two of
+    groups, so however many postings two nodes share, a node meets some ``deals * GROUP`` partners."""
+    groups = postings.groupBy("t").agg(F.expr(f"shiftleft(1L, cast(ceil(log2(ceil(count(*) / {GROUP}))) as int))").alias("groups"))
+    deal = F.when(F.col("groups") > 1, F.pmod(F.xxhash64("t"), F.lit(deals))).otherwise(F.lit(0))
+    dealt = postings.join(groups, "t").withColumn("part", F.pmod(F.xxhash64("node", deal), "groups")).drop("groups")
     other = dealt.select("t", "part", *[F.col(c).alias(f"{c}_x") for c in ("node", "pos", "n", "own")])
     pairs = dealt.join(other, ["t", "part"]).where((F.col("node") < F.col("node_x")) & _near(_named(""), _named("_x"), percent))
     return pairs.select(F.col("node").alias("a"), F.col("node_x").alias("b")).distinct()
@@ -409,18 +415,35 @@ def _with_prior(postings: DataFrame, known: int) -> DataFrame:
     return ranked.join(heads, "node").select("t", "node", "pos", "n", "own", prior.alias("prior"), (F.col("i") <= known + 1).alias("exact"))
 
 
-def _rest(postings: DataFrame, labels: DataFrame, percent: int, known: int = KNOWN) -> DataFrame:
+def _apart(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """Postings of several components: ``comp`` of each node, the largest component ``main`` and its nodes ``inside``."""
+    held = postings.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    counted = held.groupBy("t", "comp").agg(F.count("*").alias("c"))
+    largest = F.max(F.struct("c", "comp"))
+    mixed = counted.groupBy("t").agg(F.count("*").alias("comps"), largest.alias("l")).where("comps > 1")
+    return materialise(held.join(mixed.select("t", F.col("l.comp").alias("main"), F.col("l.c").alias("inside")), "t"))
+
+
+def _partners(apart: DataFrame, percent: int, time: int, deals: int = DEALS) -> DataFrame:
+    """Candidate pairs of each node outside the largest component of a posting with about ``GROUP`` nodes of it, so that
+    most of what a few random partners missed is linked before the rest is held against all."""
+    groups = F.greatest(F.lit(1), F.expr(f"shiftleft(1L, cast(floor(log2(inside / {GROUP})) as int))"))
+    deal = F.pmod(F.xxhash64("t"), F.lit(deals)) + time * deals
+    dealt = apart.where(F.col("inside") > 1).withColumn("part", F.pmod(F.xxhash64("node", deal), groups))
+    columns = ("node", "pos", "n", "own")
+    outside = dealt.where("comp != main").select("t", "part", *[F.col(c).alias(f"{c}_x") for c in columns])
+    pairs = dealt.where("comp = main").join(outside, ["t", "part"]).where(_near(_named(""), _named("_x"), percent))
+    return pairs.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b")).distinct()
+
+
+def _rest(postings: DataFrame, apart: DataFrame, percent: int, known: int = KNOWN) -> DataFrame:
     """Candidate pairs of all nodes that share a posting across components. Within a posting, nodes outside its
     largest component are held against all others, so that a component's own pairs are never formed.
 
     A pair is made at its first common posting alone. There nothing before is common, so what can be common is at most
     what follows both places. Where more than ``known`` shingles come before, a pair may come again, never be missed."""
-    held = postings.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    counted = held.groupBy("t", "comp").agg(F.count("*").alias("c"))
-    mixed = counted.groupBy("t").agg(F.count("*").alias("comps"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("comps > 1").select("t", "main")
-    nodes = held.join(mixed, "t", "left_semi").select("node", "comp").distinct()
-    rows = _with_prior(postings.join(nodes, "node", "left_semi"), known).join(mixed, "t").join(nodes, "node")
-    rows = materialise(rows)
+    prior = _with_prior(postings.join(apart.select("node").distinct(), "node", "left_semi"), known)
+    rows = materialise(prior.join(apart.select("t", "node", "comp", "main"), ["t", "node"]))
     columns = ("node", "pos", "n", "own", "prior", "exact", "comp")
     small = rows.where("comp != main").select("t", *[F.col(c).alias(f"{c}_x") for c in columns])
     pairs = small.join(rows, "t").where((F.col("comp") != F.col("comp_x")) & ((F.col("comp") == F.col("main")) | (F.col("node_x") < F.col("node"))))
@@ -430,6 +453,12 @@ def _rest(postings: DataFrame, labels: DataFrame, percent: int, known: int = KNO
     return pairs.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b")).distinct()
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components with more links between their nodes."""
+    stars = labels.select(F.col("node").alias("a"), F.col("comp").alias("b"))
+    return connected_components(stars.unionByName(links), "a", "b")
+
+
 def classes(docs: DataFrame, column: str = "text", key: str = "doc_id", size: int = SIZE, percent: int = PERCENT, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
     """(documents: ``id, n, s1, s2``; distinct sets: ``n, s1, s2, least, comp, component_id, chosen``).
 
@@ -440,9 +469,9 @@ def classes(docs: DataFrame, column: str = "text", key: str = "doc_id", size: in
     sets = _sets(docs, nodes, size)
     near = materialise(_verified(_grouped(postings, percent), sets, percent))
     labels = connected_components(near, "a", "b")
-    rest = materialise(_verified(_rest(postings, labels, percent), sets, percent))
-    stars = labels.select(F.col("node").alias("a"), F.col("comp").alias("b"))
-    labels = connected_components(stars.unionByName(rest), "a", "b")
+    for time in range(1, TIMES + 1):
+        labels = _joined(labels, materialise(_verified(_partners(_apart(postings, labels), percent, time), sets, percent)))
+    labels = _joined(labels, materialise(_verified(_rest(postings, _apart(postings, labels), percent), sets, percent)))
     named = nodes.join(labels, "node", "left").select("n", "s1", "s2", F.coalesce("comp", "node").cast("string").alias("comp"))
     own = F.concat_ws(":", "n", "s1", "s2")  # sets without postings are components of their own
     grouped = first.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("least"))

@@ -47,7 +47,7 @@ SAMPLE_CHARS = 20_000
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 #: Pieces of text whose ids a Python worker keeps.
-KEPT_PIECES = 900_000
+KEPT_PIECES = 2_000_000
 
 MAGIC = b"SCTOK1\0"
 INDEX = np.dtype([("keyed", "u1"), ("key", "<i8"), ("ids", "<u8"), ("offset", "<u8")])
@@ -283,7 +283,7 @@ def encode_documents(
     order: Sequence[Column] = (),
 ) -> DataFrame:
     """Write ``docs`` as shards into the shared folder and read them back. ``kept_pieces`` bounds what a Python worker
-    keeps from task to task, some 250 bytes a piece; ``order`` is another one than by key."""
+    keeps from task to task, some 170 bytes a piece; ``order`` is another one than by key."""
     dictionary = train_dictionary(docs, path, column, key)
     shards = materialise(write_shards(docs, path, dictionary, column, key, kept_pieces=kept_pieces, order=order))
     return read_shards(shards, dictionary, key)
