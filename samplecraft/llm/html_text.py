@@ -34,6 +34,8 @@ from samplecraft.llm.common import UNSPACED, bounded_sample, find_words, lower_a
 
 TRAIN_PAGES = 200
 VARIANTS = 3
+#: Blocks of a long page that a varied training page holds.
+WINDOW = 80
 NAMES = 2048
 WORDS = 64
 HIDDEN = 24
@@ -42,11 +44,15 @@ BATCH = 32
 
 # Element classes of HTML.
 _INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr "
+    # formulas and drawings within a line, and what stands in their elements
+    "math mrow mi mn mo ms mtext mfrac msup msub msubsup msqrt mroot mover munder munderover mstyle mpadded semantics annotation svg g text tspan path".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_HIDDEN = frozenset("script style head title noscript template svg math iframe object textarea select option".split())
-_RAW = frozenset("script style textarea title iframe noscript".split())
+_HIDDEN = frozenset("script style head title template iframe textarea select option".split())
+_RAW = frozenset("script style textarea title iframe".split())
+#: Elements that may stand in a head; any other ends it.
+_IN_HEAD = frozenset("base link meta title style script noscript template".split())
 _NO_NESTING = {
     "p": ("p",),
     "li": ("li",),
@@ -79,7 +85,10 @@ Block = tuple[tuple[str, ...], str, float]
 
 @lru_cache(maxsize=50_000)
 def _names(tag: str, attributes: str) -> tuple[str, ...]:
-    """Names an element puts on the path: its tag, and the words of its class, id and role."""
+    """Names an element puts on the path: its tag, and the words of its class, id and role; of ``html`` and ``body``, whose
+    names say something about the whole page and nothing about a block, the tag alone."""
+    if tag in ("html", "body"):
+        return (f"<{tag}>",)
     split = [re.sub(r"(?<=[a-z])(?=[A-Z])", " ", "".join(m)) for m in _NAMED.findall(attributes)] if "=" in attributes else []
     return (f"<{tag}>", *[w for s in split for w in _PARTS.findall(s.lower())])
 
@@ -137,9 +146,11 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in _VOID or m[3].endswith("/"):
             continue
-        if tag == "body":  # it ends a head that was not closed
-            hidden -= sum(t in _HIDDEN for t, _ in stack)
-            stack = [x for x in stack if x[0] not in _HIDDEN]
+        if tag not in _IN_HEAD and any(t == "head" for t, _ in stack):  # a head that was not closed ends here
+            at_head = next(k for k, (t, _) in enumerate(stack) if t == "head")
+            hidden -= sum(t in _HIDDEN for t, _ in stack[at_head:])
+            links -= sum(t == "a" for t, _ in stack[at_head:])
+            del stack[at_head:]
         if tag not in _INLINE and tag not in _HIDDEN:
             # A new block ends an unclosed paragraph, and a list item or cell the one before it.
             ended = _NO_NESTING.get(tag, ("p",))
@@ -352,13 +363,15 @@ def varied(pages: list[list[Block]], seed: int = 6) -> list[list[Block]]:
 
     for page in pages:
         for _ in range(VARIANTS):
-            new: list[Block] = []
             frame = f"<{pick(_NEUTRAL_TAGS)}>"
-            for names, text, link in page[:80]:
-                if r.random() < 0.15:
-                    new += group()
-                new.append((tuple(frame if n == "<article>" else n for n in names), text, link))
-            out.append(new + (group() if r.random() < 0.5 else []))
+            # the whole page, in windows if it is long
+            for at in range(0, len(page), WINDOW):
+                new: list[Block] = []
+                for names, text, link in page[at : at + WINDOW]:
+                    if r.random() < 0.15:
+                        new += group()
+                    new.append((tuple(frame if n == "<article>" else n for n in names), text, link))
+                out.append(new + (group() if r.random() < 0.5 else []))
     return out
 
 

@@ -1,7 +1,8 @@
 """Approximate nearest neighbours: inverted lists scanned by column blocks, with early abandoning by hypothesis tests.
 
 Vectors are dealt to lists by their nearest centroid (k-means on at most about ``SAMPLE_ROWS`` vectors, picked by hash).
-A query probes as many lists, nearest centroid first, as give ``SAMPLE_RECALL`` of the true neighbours on that sample.
+A query probes as many lists, nearest centroid first, as give ``SAMPLE_RECALL`` of the true neighbours on that sample, and
+more until they hold k vectors besides its own.
 Within a list vectors and queries are turned by one random orthogonal matrix; the squared distance is summed block of
 columns by block, and after each block a candidate is given up when its partial distance, scaled to all columns, lies so
 far above the distance of the k-th best so far that the hypothesis "it is among the k nearest" is rejected. What
@@ -13,8 +14,7 @@ k best are taken.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do those whose
 length is not the most common one; of rows with the same id the smallest vector counts; a query's own id is never its
-neighbour; equal distances go by the smaller id; fewer candidates than k are all returned where all lists are probed,
-which is the case for tables of at most ``SMALL`` vectors; an empty table gives an empty result; extra columns play no
+neighbour; equal distances go by the smaller id; fewer candidates than k are all returned; an empty table gives an empty result; extra columns play no
 part.
 """
 
@@ -67,8 +67,9 @@ def fit(rows: DataFrame, total: int, k: int) -> Index:
     rng = np.random.default_rng(11)
     turn = np.linalg.qr(rng.standard_normal((sample.shape[1],) * 2))[0]
     lists = int(min(MOST_LISTS, max(1, np.sqrt(total) / 4))) if total > SMALL else 1
-    lists = min(lists, len(np.unique(sample, axis=0)))
-    centroids = sample[rng.choice(len(sample), lists, replace=False)]
+    different = np.unique(sample, axis=0)  # a vector that many rows share is drawn once
+    lists = min(lists, len(different))
+    centroids = different[rng.choice(len(different), lists, replace=False)]
     for _ in range(10):
         nearest = _squares(sample, centroids).argmin(1)
         sums = np.zeros_like(centroids)
@@ -86,8 +87,9 @@ def fit(rows: DataFrame, total: int, k: int) -> Index:
     return Index(centroids, turn, min(lists, probes))
 
 
-def _near_lists(rows: DataFrame, index: Index, count: int) -> DataFrame:
-    """``id, v, list``: a row for each of the ``count`` nearest lists."""
+def _near_lists(rows: DataFrame, index: Index, count: int, sizes: np.ndarray | None = None, least: int = 0) -> DataFrame:
+    """``id, v, list``: a row for each of the ``count`` nearest lists, and of more where these hold fewer than ``least``
+    vectors."""
     sent = rows.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,9 +97,13 @@ def _near_lists(rows: DataFrame, index: Index, count: int) -> DataFrame:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
                 v = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
-                lists = np.argsort(_squares(v, sent.value.centroids), axis=1, kind="stable")[:, :count]
-                again = pa.array(np.repeat(np.arange(batch.num_rows), lists.shape[1]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(again), batch.column(1).take(again), pa.array(lists.ravel().astype(np.int32))], names=["id", "v", "list"])
+                lists = np.argsort(_squares(v, sent.value.centroids), axis=1, kind="stable")
+                wanted = np.full(batch.num_rows, count)
+                if sizes is not None:
+                    wanted = np.maximum(wanted, (np.cumsum(sizes[lists], axis=1) < least).sum(1) + 1)
+                taken = np.arange(lists.shape[1]) < wanted[:, None]
+                again = pa.array(np.nonzero(taken)[0])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(again), batch.column(1).take(again), pa.array(lists[taken].astype(np.int32))], names=["id", "v", "list"])
 
     return rows.select("id", "v").mapInArrow(run, "id long, v array<double>, list int")
 
@@ -110,26 +116,26 @@ def scan_part(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queri
     slack = 1e-9 * (1 + float((vectors * vectors).sum(1).max()))
     out = []
     for own, query, q in zip(query_ids.tolist(), queries, asked, strict=True):
-        # The first vectors are measured in full: their k-th best is the bound for the rest.
-        first = min(len(ids), 4 * k + 1)
-        d = ((vectors[:first] - query) ** 2).sum(1)
-        d[ids[:first] == own] = np.inf
-        bound = np.partition(d, k - 1)[k - 1] if first >= k else np.inf
-        alive = np.arange(first, len(ids))
-        partial = np.zeros(len(alive))
-        for n, block in enumerate(blocks):
-            if not len(alive):
-                break
-            partial += ((block[alive] - q[n * BLOCK : n * BLOCK + block.shape[1]]) ** 2).sum(1)
-            seen = min(width, (n + 1) * BLOCK)
-            if np.isfinite(bound):
+        # Rows are visited in groups; the k-th best of those before is the bound for the next.
+        rows, exact, bound, at, size = np.zeros(0, np.int64), np.zeros(0), np.inf, 0, 4 * k + 1
+        while at < len(ids):
+            alive = np.arange(at, min(at + size, len(ids)))
+            at, size = at + size, 4 * size
+            partial = np.zeros(len(alive))
+            for n, block in enumerate(blocks) if np.isfinite(bound) else ():
+                if not len(alive):
+                    break
+                partial += ((block[alive] - q[n * BLOCK : n * BLOCK + block.shape[1]]) ** 2).sum(1)
+                seen = min(width, (n + 1) * BLOCK)
                 kept = partial * (width / seen) <= bound * (1 + STRICT / np.sqrt(seen)) ** 2 + slack
                 alive, partial = alive[kept], partial[kept]
-        rows = np.concatenate([np.arange(first), alive])
-        rows = rows[ids[rows] != own]
-        exact = np.sqrt(((vectors[rows] - query) ** 2).sum(1))
-        best = np.lexsort((ids[rows], exact))[:k]
-        out += [(own, int(i), float(x)) for i, x in zip(ids[rows][best], exact[best], strict=True)]
+            alive = alive[ids[alive] != own]
+            rows = np.concatenate([rows, alive])
+            exact = np.concatenate([exact, np.sqrt(((vectors[alive] - query) ** 2).sum(1))])
+            best = np.lexsort((ids[rows], exact))[:k]
+            rows, exact = rows[best], exact[best]
+            bound = exact[-1] ** 2 if len(rows) == k else np.inf
+        out += [(own, int(i), float(x)) for i, x in zip(ids[rows], exact, strict=True)]
     return out
 
 
@@ -152,7 +158,10 @@ def search(vectors: DataFrame, wanted: F.Column, k: int = 10, key: str = "vec_id
     part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     query_part = F.pmod(F.xxhash64("id", F.lit(3)), F.col("query_parts")).cast("int")
     stored = dealt.join(sizes, "list").select("list", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("query_parts") - 1)).alias("query_part"), "id", "v")
-    asked = _near_lists(rows.where(wanted), index, index.probes).join(sizes, "list")
+    held = np.zeros(len(index.centroids), np.int64)
+    for r in dealt.groupBy("list").count().collect():  # one row a list
+        held[r["list"]] = r["count"]
+    asked = _near_lists(rows.where(wanted), index, index.probes, held, k + 1).join(sizes, "list")
     asked = asked.select("list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), query_part.alias("query_part"), "id", "v")
     sent = vectors.sparkSession.sparkContext.broadcast(index.turn)
 

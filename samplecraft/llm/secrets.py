@@ -4,8 +4,9 @@ Three kinds, leftmost and non-overlapping each: ``assign`` (a keyword, `:` or `=
 ``access`` (`AKIA` and capitals or digits, 18 in all or more), ``hex`` (16 or more of `0-9a-f`).
 
 The text is the first layer. A layer is scanned, and what can be decoded in it is put on the worklist as further layers:
-percent escapes, Unicode escapes (each for the layer as a whole), runs of base64, also over several lines, that decode
-to text or to something with compressed data, and compressed data at any place, all members. This goes on until nothing
+percent escapes (four and more levels at once), Unicode escapes (each for the layer as a whole), runs of base64 at all
+four alignments that decode to text, to text of two-byte letters, to bytes with a finding or to compressed data (with
+or without a head), base64 over several lines, and compressed data at any place, all members. This goes on until nothing
 new comes; a layer equal to an earlier one of the same place is a cycle and not entered again. Every byte of a layer
 knows the span of the text it stems from, so a finding maps to the text by its first and last byte: exactly through
 escapes, to groups of four characters through base64, and to the whole run through compression. A compressed run that
@@ -23,6 +24,7 @@ columns added here replace columns of the same name.
 from __future__ import annotations
 
 import base64
+import bz2
 import hashlib
 import re
 import zlib
@@ -46,6 +48,8 @@ _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _HEX_BYTES = byte_class((48, 57), (97, 102))
 
 _PERCENT = re.compile(rb"%([0-9A-Fa-f]{2})")
+_DEEP = re.compile(rb"%(?:25){4}")
+_NESTED = re.compile(rb"%(?:25)*([0-9A-Fa-f]{2})")
 _UNICODE = re.compile(rb"\\u([0-9A-Fa-f]{4})(?:(?<=\\u[Dd][89ABab]..)\\u([Dd][C-Fc-f][0-9A-Fa-f]{2}))?")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
 _BASE64_BYTES = byte_class((48, 57), (65, 90), (97, 122), (43, 43), (45, 45), (47, 47), (95, 95))
@@ -232,11 +236,36 @@ def _is_text(data: bytes) -> bool:
 
 def _plain(raw: bytes) -> bytes | None:
     """Decoded base64 if it is text or has compressed data."""
+    plain = _unpacked(raw)
+    return plain if _is_text(plain) or _opens(plain) else None
+
+
+def _unpacked(raw: bytes) -> bytes:
+    """Decoded base64 of either alphabet."""
     raw = raw.rstrip(b"=").replace(b"-", b"+").replace(b"_", b"/")
     if len(raw) % 4 == 1:
         raw = raw[:-1]
-    plain = base64.b64decode(raw + b"=" * (-len(raw) % 4))
-    return plain if _is_text(plain) or _opens(plain) else None
+    return base64.b64decode(raw + b"=" * (-len(raw) % 4))
+
+
+def _after_slashes(run: bytes) -> Iterator[int]:
+    at = run.find(b"/") + 1
+    while at:
+        yield at
+        at = run.find(b"/", at) + 1
+
+
+def _inflated(raw: bytes, at: int) -> bytes:
+    """A deflate stream without a head, or a bzip2 stream, that fills the data from a place on and opens to text."""
+    rest = memoryview(raw)[at:]
+    for stream in (zlib.decompressobj(-15), *([bz2.BZ2Decompressor()] if rest[:3] == b"BZh" else [])):
+        try:
+            out = stream.decompress(rest, MOST_BYTES)
+        except (zlib.error, OSError, ValueError, EOFError):
+            continue
+        if stream.eof and len(stream.unused_data) < 3 and _is_text(out):
+            return out
+    return b""
 
 
 def _joined(data: bytes) -> Iterator[list[tuple[int, int]]]:
@@ -267,23 +296,36 @@ def _decoded(layer: Layer) -> Iterator[Layer]:
         for opened in opening.windows():
             upto = max(upto, opening.end)
             yield _even(opened, *layer.span(m.start(), upto))
-    if b"%" in data and (new := _replaced(layer, _PERCENT.finditer(data), lambda m: bytes([int(m[1], 16)]))):
-        yield new
+    if b"%" in data:
+        # Escapes of escapes of escapes are undone at once: a layer for each level would copy all the rest each time.
+        pattern = _NESTED if _DEEP.search(data) else _PERCENT
+        if new := _replaced(layer, pattern.finditer(data), lambda m: bytes([int(m[1], 16)])):
+            yield new
     if b"\\u" in data and (new := _replaced(layer, _UNICODE.finditer(data), _code_point)):
         yield new
         if (packed := _replaced(layer, _UNICODE.finditer(data), _byte)) and packed.data != new.data and _opens(packed.data):
             yield packed
     start, end = layer.spans() if layer.start is not None else (None, None)
     for m in _BASE64.finditer(data):
-        plain = _plain(m[0])
-        if plain is None:
-            continue
-        if start is None:
-            start, end = layer.spans()
-        at = np.arange(len(plain))
-        first = m.start() + at // 3 * 4
-        last = np.minimum(first + 4, m.end()) - 1
-        yield Layer(plain, start[first], end[last])
+        # What stands before the run, as a path or a word, may be of base64 letters too: all four alignments are read.
+        for shift in range(4):
+            raw = _unpacked(m[0][shift:])
+            plain = raw if raw and (_is_text(raw) or base_matches(raw) or _opens(raw)) else None
+            kept = np.flatnonzero(np.frombuffer(raw, np.uint8)) if plain is None and raw.count(0) * 3 > len(raw) else None
+            # a stream without a head begins where the run does, or after a slash in it
+            begins = [0, *((x - shift) // 4 * 3 for x in _after_slashes(m[0]) if x > shift and (x - shift) % 4 == 0)] if plain is None and kept is None else []
+            inflated = next(((b, out) for b in begins if (out := _inflated(raw, b))), None)
+            if plain is None and kept is None and not inflated:
+                continue
+            if start is None:
+                start, end = layer.spans()
+            if inflated:
+                yield _even(inflated[1], int(start[m.start() + shift + inflated[0] // 3 * 4]), int(end[m.end() - 1]))
+                continue
+            at = np.arange(len(raw)) if kept is None else kept  # of two-byte letters the ones that are not zero
+            first = m.start() + shift + at // 3 * 4
+            last = np.minimum(first + 4, m.end()) - 1
+            yield Layer(plain if kept is None else raw.replace(b"\0", b""), start[first], end[last])
     for lines in _joined(data):
         plain = _plain(b"".join(data[a:b] for a, b in lines))
         if plain is None:
@@ -298,14 +340,14 @@ def _decoded(layer: Layer) -> Iterator[Layer]:
 
 def all_matches(data: bytes) -> list[tuple[int, int, int]]:
     """(start, kind, end) in the text, of the text and of all layers below it."""
-    found, work, seen = set(), [iter([Layer(data)])], {(hashlib.sha256(data).digest(), 0)}
+    found, work, seen = set(), [iter([Layer(data)])], {(hashlib.sha256(data).digest(), 0, len(data))}
     while work:
         layer = next(work[-1], None)
         if layer is None:
             work.pop()
             continue
         if layer.start is not None:
-            mark = (hashlib.sha256(layer.data).digest(), int(layer.start[0]) if len(layer.data) else 0)
+            mark = (hashlib.sha256(layer.data).digest(), int(layer.start[0]), int(layer.end[-1])) if layer.data else ()
             if not layer.data or mark in seen:
                 continue
             seen.add(mark)
