@@ -212,6 +212,7 @@ def write_shards(
     end_id: int = END_ID,
     kept_pieces: int = KEPT_PIECES,
     order: Sequence[Column] = (),
+    stay: bool = True,
 ) -> DataFrame:
     """Rows of ``SHARDS``, in order of ``part`` and ``shard``; ``part_ids_before`` are the ids of earlier shards of the part."""
     name = hashlib.sha256(dictionary).hexdigest()
@@ -237,6 +238,9 @@ def write_shards(
                     yield row()
         if writer.index:
             yield row()
+        if not stay:
+            encoder.cache_clear()
+            pa.default_memory_pool().release_unused()
 
     named = [c.alias(f"o{i}") for i, c in enumerate(order)]
     narrow = docs.select(F.col(key).cast("long").alias("key"), F.col(column).alias("text"), *named)
@@ -281,9 +285,10 @@ def encode_documents(
     key: str = "doc_id",
     kept_pieces: int = KEPT_PIECES,
     order: Sequence[Column] = (),
+    stay: bool = True,
 ) -> DataFrame:
     """Write ``docs`` as shards into the shared folder and read them back. ``kept_pieces`` bounds what a Python worker
-    keeps from task to task, some 170 bytes a piece; ``order`` is another one than by key."""
+    keeps from task to task, some 170 bytes a piece; without ``stay`` it keeps nothing beyond a task. ``order`` is another one than by key."""
     dictionary = train_dictionary(docs, path, column, key)
-    shards = materialise(write_shards(docs, path, dictionary, column, key, kept_pieces=kept_pieces, order=order))
+    shards = materialise(write_shards(docs, path, dictionary, column, key, kept_pieces=kept_pieces, order=order, stay=stay))
     return read_shards(shards, dictionary, key)
