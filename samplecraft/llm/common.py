@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -66,8 +68,15 @@ def text_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Return what the C library and Arrow hold of freed memory, so that idle workers do not weigh on other stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the text of a piece has about ``most`` bytes, one row at least."""
+    """Cut batches so that the text of a piece has about ``most`` bytes, one row at least. Ends with ``give_back``."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -79,6 +88,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20)
             upto = min(max(upto, at + 1), batch.num_rows)
             yield batch.slice(at, upto - at)
             at = upto
+    give_back()
 
 
 def byte_class(*ranges: tuple[int, int]) -> np.ndarray:

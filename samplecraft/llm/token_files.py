@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from samplecraft.llm.common import bounded_sample, materialise, slices, text_bytes
+from samplecraft.llm.common import bounded_sample, give_back, materialise, slices, text_bytes
 
 END_ID = 2
 SHARD_BYTES = 8 << 20
@@ -240,7 +240,8 @@ def write_shards(
             yield row()
         if not stay:
             encoder.cache_clear()
-            pa.default_memory_pool().release_unused()
+            del enc, writer
+            give_back()
 
     named = [c.alias(f"o{i}") for i, c in enumerate(order)]
     narrow = docs.select(F.col(key).cast("long").alias("key"), F.col(column).alias("text"), *named)
