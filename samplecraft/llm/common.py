@@ -35,6 +35,7 @@ def materialise(df: DataFrame, partitions: int | None = None) -> DataFrame:
     costs nothing that was written. The table stays until the owner of the folder clears it after the run."""
     spark, path = df.sparkSession, shared_folder(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
+    give_back()
     back = spark.read.schema(df.schema).parquet(path)
     return back.repartition(partitions) if partitions else back
 
@@ -69,7 +70,8 @@ def text_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def give_back() -> None:
-    """Return what the C library and Arrow hold of freed memory, so that idle workers do not weigh on other stages."""
+    """Return what the C library and Arrow hold of freed memory, so that idle workers, and the driver between
+    jobs, do not weigh on other stages."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
         ctypes.CDLL(None).malloc_trim(0)

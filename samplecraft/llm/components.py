@@ -22,17 +22,21 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether no node has two smaller ones, or a smaller and a larger one. One shuffle and one job tell."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    ends = ends.unionByName(links.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    nodes = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return nodes.agg(F.max((F.col("down") > 1) | ((F.col("down") > 0) & (F.col("up") > 0)))).first()[0] is not True
+
+
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     """``node, comp`` of all linked nodes: ``comp`` is the smallest node that links reach.
 
     Steps end when all links are stars, which for n nodes is after about log(n)^2 of them; each is written to the shared
     folder, and only whether a link is no star's comes back to the driver.
     """
-    now = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u != v").distinct()
-    while True:
-        now = materialise(_star(_star(now, True), False))
-        inner = now.select("v").distinct().join(now.select(F.col("u").alias("v")), "v", "left_semi").select("v")
-        several = now.groupBy("u").count().where("count > 1").select(F.col("u").alias("v"))
-        if inner.unionByName(several).isEmpty():
-            break
+    now = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u != v")
+    while not _are_stars(now := materialise(_star(_star(now, True), False))):
+        pass
     return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())

@@ -454,9 +454,14 @@ def _rest(postings: DataFrame, apart: DataFrame, percent: int, known: int = KNOW
 
 
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Components with more links between their nodes."""
-    stars = labels.select(F.col("node").alias("a"), F.col("comp").alias("b"))
-    return connected_components(stars.unionByName(links), "a", "b")
+    """Components with more links between their nodes. The steps see one link for any two components that links join."""
+    for end in ("a", "b"):
+        links = links.join(labels.select(F.col("node").alias(end), F.col("comp").alias(f"of_{end}")), end, "left")
+    ends = [F.coalesce(f"of_{end}", end).alias(end) for end in ("a", "b")]
+    merged = connected_components(materialise(links.select(*ends).where("a != b").distinct()), "a", "b")
+    renamed = labels.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("new")), "comp", "left")
+    added = merged.join(labels, "node", "left_anti").select("node", "comp")
+    return materialise(renamed.select("node", F.coalesce("new", "comp").alias("comp")).unionByName(added))
 
 
 def classes(docs: DataFrame, column: str = "text", key: str = "doc_id", size: int = SIZE, percent: int = PERCENT, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
