@@ -172,3 +172,39 @@ SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' EN
     sha256(t) AS restored_sha256
 FROM parts
 """
+
+ORACLES["op1_decontaminate"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w, least(13, len(w)) AS size FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+), windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS words FROM b, unnest(range(1, len(w) - size + 2)) AS u(i) WHERE size > 0
+), places AS (
+    SELECT r, i, size, array_to_string(w[i:i + size - 1], ' ') AS words FROM d, (SELECT DISTINCT size FROM windows) AS sizes, unnest(range(1, len(w) - size + 2)) AS u(i)
+), found AS (
+    SELECT r, i, size, item_id FROM places JOIN windows USING (size, words)
+), hit AS (
+    SELECT r, count(DISTINCT i + k) AS n_hit FROM (SELECT DISTINCT r, i, size FROM found), unnest(range(size)) AS u(k) GROUP BY r
+), items AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM found) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""
+
+#: The identifier is a name-based UUID of version 5 in the namespace of addresses, over key, address, date and digest.
+ORACLES["op9_warc"] = r"""
+WITH p AS (
+    SELECT page_id, coalesce(nullif(url, ''), '-') AS address, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+    SELECT payload_digest, min(page_id) AS keeper FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+), named AS (
+    SELECT *, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(concat(coalesce(page_id::VARCHAR, 'None'), ' ', address, ' 20240101000000 ', payload_digest))) AS h FROM p LEFT JOIN firsts USING (payload_digest)
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest, CASE WHEN keeper IS NULL OR page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id != keeper THEN keeper END AS refers_to,
+    '<urn:uuid:' || concat_ws('-', substr(h, 1, 8), substr(h, 9, 4), '5' || substr(h, 14, 3), substr('89ab', (('0x' || substr(h, 17, 1))::INTEGER % 4) + 1, 1) || substr(h, 18, 3), substr(h, 21, 12)) || '>' AS record_id
+FROM named
+"""

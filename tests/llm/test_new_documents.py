@@ -311,10 +311,12 @@ def test_cuts(texts, h1, h2):
         assert x[k] - offsets[k] == len(t[:a].encode()) and y[k] - offsets[k] == len(t[:b].encode())
 
 
-def test_fill_middle_sql(spark):
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
-    want = con.execute(ORACLES["op13_fill_middle"])
+    for t in ("documents", "benchmark", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    want = con.execute(ORACLES[name])
     names = [d[0] for d in want.description]
-    got = [tuple(r[c] for c in names) for r in QUERIES["op13_fill_middle"](spark, SF).collect()]
+    got = [tuple(r[c] for c in names) for r in QUERIES[name](spark, SF).collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, want.fetchall()))
