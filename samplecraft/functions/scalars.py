@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ast
 import re
+import string
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column
@@ -31,13 +32,19 @@ def as_number(text: Column) -> Column:
     return F.when(text.rlike(_MAYBE_HUGE), F.when(F.abs(number) < float("inf"), number)).otherwise(number)
 
 
+def lowered(text: Column) -> Column:
+    """``lower``, which costs many times the checks, called only for letters that plain translation does not do."""
+    plain = F.when(text.rlike("[A-Z]"), F.translate(text, string.ascii_uppercase, string.ascii_lowercase)).otherwise(text)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.lower(text)).otherwise(plain)
+
+
 def metric_value(text: Column, dimensional: bool = False) -> Column:
     """The double a sample value is reported as, null if it stays an attribute.
 
     ``inf`` and ``nan`` spellings are attributes; ``-inf`` and ``-infinity`` are numbers. Dimensional
     payloads exclude ``infinity`` only.
     """
-    low = F.lower(text)
+    low = lowered(text)
     value = F.when(low.isin("-inf", "-infinity"), F.lit(float("-inf")))
     if dimensional:
         value = value.when(low.isin("inf", "+inf", "+infinity"), F.lit(float("inf")))

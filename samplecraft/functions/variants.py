@@ -79,21 +79,19 @@ def entry(key: Column, value: Column) -> Column:
 
 #: Levels that are opened by an expression of their own; whatever lies deeper is opened by a fold.
 _UNROLLED = 4
-#: Turns of the folds. No payload nests deeper than the last: the JSON parser ends at 1,000 levels. The first fold
-#: serves most deep payloads with few turns.
-_TURNS = (32, 1000)
+#: Turns of folds in each other, which stop asking one level up: 1,024 in all, as no payload nests deeper than the JSON
+#: parser's 1,000 levels, and a value that is done asks few more times, whatever its depth.
+_TURNS = (4, 4, 4, 4, 4)
 
 
-def until_done(value: Column, step: Callable[[Column], Column], open_: Callable[[Column], Column], turns: tuple[int, ...] = _TURNS) -> Column:
+def until_done(value: Column, step: Callable[[Column], Column], open_: Callable[[Column], Column]) -> Column:
     """``step`` again and again while ``open_`` holds, inside the row. Rows that need no turn skip the folds."""
 
-    def folded(n: int) -> Callable[[Column], Column]:
-        turn = lambda acc, _: F.when(open_(acc), step(acc)).otherwise(acc)
-        return lambda now: F.when(open_(now), F.aggregate(F.sequence(F.lit(1), F.lit(n)), now, turn)).otherwise(now)
+    def turned(level: int) -> Callable[[Column], Column]:
+        more = step if level == 0 else lambda now: F.aggregate(F.sequence(F.lit(1), F.lit(_TURNS[level - 1])), now, lambda acc, _: turned(level - 1)(acc))
+        return lambda now: F.when(open_(now), more(now)).otherwise(now)
 
-    for n in turns:
-        value = F.transform(F.array(value), folded(n))[0]
-    return value
+    return F.transform(F.array(value), turned(len(_TURNS)))[0]
 
 
 def flat_pairs(v: Column, sep: str = ".", arrays: bool = False, start: Column | None = None) -> Column:
@@ -137,12 +135,12 @@ def flat_column(name: str, unopened: list[str] | None = None) -> Column:
     opened = f"if(e.kind = 2{skip}, transform({fields.format('e.value')}, c -> {inner}), array(e))"
     nested = f"exists({{}}, e -> e.kind = 2{skip})"
     expand = f"flatten(transform({{}}, e -> {opened}))"
-    # what is left after the unrolled levels: folds, innermost the one that certainly ends
-    body = f"l{_UNROLLED + len(_TURNS)}"
-    for i in range(_UNROLLED + len(_TURNS), _UNROLLED, -1):
-        before, turns = f"l{i - 1}", _TURNS[i - _UNROLLED - 1]
-        fold = f"aggregate(sequence(1, {turns}), {before}, (a, i) -> if({nested.format('a')}, {expand.format('a')}, a))"
-        body = f"if({nested.format(before)}, transform(array({fold}), l{i} -> {body})[0], {before})"
+    # what is left after the unrolled levels: folds in each other
+    last = f"l{_UNROLLED}"
+    body = f"if({nested.format('a0')}, {expand.format('a0')}, a0)"
+    for i, turns in enumerate(_TURNS, 1):
+        now = last if i == len(_TURNS) else f"a{i}"
+        body = f"if({nested.format(now)}, aggregate(sequence(1, {turns}), {now}, (a{i - 1}, i) -> {body}), {now})"
     # innermost first: each level is bound to a name and opened only if it still holds objects
     for i in range(_UNROLLED, 0, -1):
         before = f"l{i - 1}"

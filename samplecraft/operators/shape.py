@@ -511,5 +511,5 @@ def _split_arrays(
         return F.struct(F.flatten(F.transform(state["open"], inside)).alias("open"), rows.cast(_ELEMENTS).alias("rows"))
 
     first = F.struct(frontier.alias("open"), F.array().cast(_ELEMENTS).alias("rows"))
-    done = V.until_done(first, turn, lambda state: F.size(state["open"]) > 0, (6, 1000))
+    done = V.until_done(first, turn, lambda state: F.size(state["open"]) > 0)
     return df.withColumn("_rows", done["rows"])

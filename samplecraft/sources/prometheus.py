@@ -58,6 +58,19 @@ def _inner_labels(text: Column) -> Column:
     return F.map_from_entries(F.transform(labels, lambda p: maps.pair(_unquote(p["key"]), _unescape(p["value"]))))
 
 
+#: The types of the grammar as they are reported, and as dimensional rows name them.
+_KINDS = ("counter", "gauge", "histogram", "summary", "untyped")
+
+
+def _shown(kind: Column) -> Column:
+    """Upper case; the known words without the call, which costs many times the checks."""
+    return F.coalesce(*[F.when(kind == k, F.lit(k.upper())) for k in _KINDS], F.upper(kind))
+
+
+def _named(kind: Column) -> Column:
+    return F.coalesce(*[F.when(kind == k.upper(), F.lit(k)) for k in _KINDS], F.lower(kind))
+
+
 def _declared(lines: Column, marker: str, pattern: str) -> Column:
     hits = F.filter(lines, lambda x: x.startswith("#") & x.rlike(pattern))
     return F.map_from_entries(
@@ -65,6 +78,25 @@ def _declared(lines: Column, marker: str, pattern: str) -> Column:
     )
 
 
+def _families(types: Column, helps: Column) -> Column:
+    """What the name of a sample says: its family, the type and help of that, and the part of a summary or histogram. A name
+    that is declared itself is no part of another."""
+
+    def named(name: Column, e: Column, part: Column) -> Column:
+        of = F.struct(e["key"].alias("family"), _shown(e["value"]).alias("type"), F.coalesce(helps[e["key"]], F.lit("")).alias("help"), part.cast("string").alias("part"))
+        return F.struct(name.alias("key"), of.alias("value"))
+
+    def pieces(e: Column) -> Column:
+        ends = F.when(e["value"] == "histogram", F.array(*map(F.lit, ("bucket", "count", "sum")))).when(e["value"] == "summary", F.array(*map(F.lit, ("count", "sum"))))
+        made = F.transform(ends, lambda part: named(F.concat(e["key"], F.lit("_"), part), e, part))
+        return F.concat(F.coalesce(made, F.array()), F.array(named(e["key"], e, F.lit(None))))
+
+    found = F.flatten(F.transform(F.map_entries(types), pieces))
+    own = F.filter(found, lambda e: e["value"]["part"].isNull())
+    part = F.filter(found, lambda e: e["value"]["part"].isNotNull())
+    return F.map_from_entries(F.concat(part, own))
+
+
 def parse_lines(df: DataFrame, body: str = "body", go_metrics: bool = True, compat: bool = False) -> DataFrame:
     """Column ``lines`` in place of the text: ``line_no, family, type, help, name, labels, value, part, error`` of each sample.
 
@@ -88,75 +120,55 @@ def parse_lines(df: DataFrame, body: str = "body", go_metrics: bool = True, comp
         ),
     )
 
-    # in steps, as each reads the one before several times
-    def with_inner(x: Column) -> Column:
-        c = x["c"]
-        inner = F.when((F.size(c) == 4) & (c[0] == ""), _inner_names(c[2]))
-        return F.struct(x["line_no"], x["line"], x["c"], ((F.size(c) == 4) & (c[0] != "")).alias("bare"), inner.alias("inner"))
-
+    # In steps: what a step names once, the next may read several times. Few of them, as each copies its result.
     def with_name(x: Column) -> Column:
-        name = F.when(x["bare"], x["c"][0]).when(F.size(x["inner"]) == 1, F.nullif(_unquote(x["inner"][0]), F.lit("")))
-        return F.struct(x["line_no"], x["line"], x["c"], x["bare"], name.alias("name"))
+        c = x["c"]
+        bare = (F.size(c) == 4) & (c[0] != "")
+        one = lambda inner: F.when(F.size(inner) == 1, F.nullif(_unquote(inner[0]), F.lit("")))
+        name = F.when(bare, c[0]).when(F.size(c) == 4, F.transform(F.array(_inner_names(c[2])), one)[0])
+        return F.struct(x["line_no"], x["line"], c.alias("c"), bare.alias("bare"), name.alias("name"))
 
     def read(x: Column) -> Column:
         c, known = x["c"], x["name"].isNotNull()
-        labels = F.when(x["bare"], _labels(c[1])).when(known, _inner_labels(c[2]))
+        labels = F.when(x["bare"], F.when(c[1] == "", maps.empty()).otherwise(_labels(c[1]))).when(known, _inner_labels(c[2]))
+        # named twice, so that the map stays a column of the step before and is not made again for each line
+        of = F.when(F.size("_families") > 0, F.col("_families")[x["name"]])
         error = F.when(~known, F.concat(F.lit("no sample: "), x["line"]))
-        return F.struct(x["line_no"], x["name"], labels.alias("labels"), F.when(known, F.lower(c[3])).alias("raw"), error.alias("error"))
-
-    cells = F.transform(F.transform(cells, with_inner), with_name)
-    named = F.transform(cells, read)
-    declared = [
-        _declared(F.col("_lines"), "TYPE", _TYPE).alias("_types"),
-        _declared(F.col("_lines"), "HELP", _HELP).alias("_helps"),
-    ]
-    df = df.select(*rest, *declared, named.alias("_named"))
-    types, helps = F.col("_types"), F.col("_helps")
-
-    # In steps again: what a step names once, the next may read several times.
-    kept = ("line_no", "name", "labels", "raw", "error")
-
-    def with_suffix(s: Column) -> Column:
-        name = s["name"]
-        suffix = F.when(name.endswith("_bucket"), "bucket").when(name.endswith("_count"), "count").when(name.endswith("_sum"), "sum")
-        return F.struct(*[s[c].alias(c) for c in kept], suffix.alias("suffix"), types[name].alias("own"))
-
-    def with_base(s: Column) -> Column:
-        piece = s["suffix"].isNotNull() & s["own"].isNull()
-        base = F.when(piece, F.substring(s["name"], F.lit(1), F.length(s["name"]) - F.length(s["suffix"]) - 1))
-        return F.struct(*[s[c].alias(c) for c in (*kept, "suffix", "own")], base.alias("base"))
-
-    def with_kind(s: Column) -> Column:
-        return F.struct(*[s[c].alias(c) for c in (*kept, "suffix", "own", "base")], F.when(s["base"].isNotNull(), types[s["base"]]).alias("kind"))
-
-    def in_family(s: Column) -> Column:
-        piece = (s["kind"] == "histogram") | ((s["kind"] == "summary") & (s["suffix"] != "bucket"))
-        known = F.coalesce(piece, F.lit(False))
-        kind = F.when(s["error"].isNull(), F.upper(F.coalesce(F.when(known, s["kind"]).otherwise(s["own"]), F.lit("untyped"))))
-        family = F.when(known, s["base"]).otherwise(s["name"])
-        return F.struct(*[s[c].alias(c) for c in kept], family.alias("family"), kind.alias("type"), F.when(known, s["suffix"]).alias("suffix"))
+        raw = F.when(known, scalars.lowered(c[3]))
+        return F.struct(x["line_no"], x["name"], labels.alias("labels"), of.alias("of"), raw.alias("raw"), error.alias("error"))
 
     def whole(s: Column) -> Column:
-        value = s["raw"]
-        part = F.coalesce(s["suffix"], F.when((s["type"] == "SUMMARY") & F.map_contains_key(s["labels"], "quantile"), "quantile"))
-        number = F.coalesce(
-            value.try_cast("double"),
-            F.when(value.isin("inf", "+inf"), F.lit(float("inf"))).when(value == "-inf", F.lit(float("-inf"))).when(value == "nan", F.lit(float("nan"))),
+        value, of = s["raw"], s["of"]
+        part = F.coalesce(of["part"], F.when((of["type"] == "SUMMARY") & F.map_contains_key(s["labels"], "quantile"), "quantile"))
+        # the cast would raise, and catch, an exception for each of these words
+        number = (
+            F.when(value.isin("inf", "+inf"), F.lit(float("inf")))
+            .when(value == "-inf", F.lit(float("-inf")))
+            .when(value == "nan", F.lit(float("nan")))
+            .otherwise(value.try_cast("double"))
         )
-        text = F.when(s["error"].isNull(), F.coalesce(helps[s["family"]], F.lit("")))
+        family = F.coalesce(of["family"], s["name"])
+        kind = F.coalesce(of["type"], F.when(s["error"].isNull(), "UNTYPED"))
+        text = F.coalesce(of["help"], F.when(s["error"].isNull(), F.coalesce(F.col("_helps")[s["name"]], F.lit(""))))
+        no_number = F.when(value.isNotNull() & number.isNull(), F.concat(F.lit("no number: "), value))
+        error = F.coalesce(s["error"], no_number)
         return F.struct(
-            s["line_no"], s["family"], s["type"], text.alias("help"), s["name"], s["labels"], number.alias("value"), part.alias("part"), s["error"], value.alias("raw")
+            s["line_no"], family.alias("family"), kind.alias("type"), text.alias("help"), s["name"], s["labels"],
+            number.alias("value"), part.alias("part"), error.alias("error"),
         )
 
-    def judged(s: Column) -> Column:
-        error = F.coalesce(s["error"], F.when(s["value"].isNull(), F.concat(F.lit("no number: "), s["raw"])))
-        return F.struct(*[s[c].alias(c) for c in ("line_no", "family", "type", "help", "name", "labels", "value", "part")], error.alias("error"))
-
-    found = F.transform(F.transform(F.transform(F.transform("_named", with_suffix), with_base), with_kind), in_family)
+    declared = [
+        _declared(F.col("_lines"), "TYPE", _TYPE).alias("_types"),
+        _declared(F.col("_lines"), "HELP", _HELP).alias("_helps"),
+    ]
+    df = df.select(*rest, "_lines", *declared)
+    df = df.select(*rest, "_lines", "_helps", _families(F.col("_types"), F.col("_helps")).alias("_families"))
+    found = F.transform(F.transform(cells, with_name), read)
     if not go_metrics:
-        go = lambda s: s["family"].contains("go_") if compat else s["family"].startswith("go_")
+        family = lambda s: F.coalesce(s["of"]["family"], s["name"])
+        go = lambda s: family(s).contains("go_") if compat else family(s).startswith("go_")
         found = F.filter(found, lambda s: s["error"].isNotNull() | ~go(s))
-    return df.select(*rest, F.transform(F.transform(found, whole), judged).alias("lines"))
+    return df.select(*rest, F.transform(found, whole).alias("lines"))
 
 
 def parse_exposition(df: DataFrame, body: str = "body", go_metrics: bool = True, compat: bool = False) -> DataFrame:
@@ -172,7 +184,7 @@ def _kept(parsed: DataFrame, keep: Iterable[str] | None) -> list[Column]:
 
 def _label_key(labels: Column) -> Column:
     """Groupable form of a label map, independent of the order in the text."""
-    return F.array_sort(F.map_entries(labels))
+    return F.sort_array(F.map_entries(labels))
 
 
 def _bare(labels: Column) -> Column:
@@ -183,7 +195,7 @@ def _bound(labels: Column, name: str) -> Column:
     """``le`` or ``quantile`` with six decimals, infinities as they are written."""
     raw = labels[name]
     number = scalars.as_number(raw)
-    infinite = F.when(F.lower(raw).isin("inf", "+inf"), "+Inf").when(F.lower(raw) == "-inf", "-Inf").otherwise("NaN")
+    infinite = F.when(scalars.lowered(raw).isin("inf", "+inf"), "+Inf").when(scalars.lowered(raw) == "-inf", "-Inf").otherwise("NaN")
     return F.coalesce(scalars.fixed6(number), infinite)
 
 
@@ -260,7 +272,7 @@ def label_samples(
         suffix = F.when(kind == "GAUGE", ".gauge").when(kind == "COUNTER", ".counter").otherwise("")
         key = F.when(
             _is_family(x),
-            F.when(part.isin("count", "sum"), F.concat(family, F.lit("."), F.lower(kind), F.lit("."), part)),
+            F.when(part.isin("count", "sum"), F.concat(family, F.lit("."), _named(kind), F.lit("."), part)),
         ).otherwise(F.concat(family, suffix))
         return F.struct(_label_key(_bare(x["labels"])).alias("lk"), key.alias("k"), scalars.shortest(x["value"]).alias("v"))
 
@@ -294,12 +306,11 @@ def flattened_sample(
         return maps.pair(key, scalars.shortest(x["value"]))
 
     found = F.filter("lines", lambda x: ~_is_family(x) & (F.size(x["labels"]) == 0))
-    staged = parsed.select(*rest, F.transform(found, pair).alias("_found")).filter(F.size("_found") > 0)
-    return staged.select(
-        *rest,
-        F.lit(event_type).alias("event_type"),
-        maps.overlay(maps.literal({"name": "main"}), F.map_from_entries("_found"), maps.literal(custom)).alias("attrs"),
-    )
+    staged = parsed.select(*rest, F.transform(found, pair).alias("_found"))
+    attrs = maps.overlay(maps.literal({"name": "main"}), F.map_from_entries("_found"), maps.literal(custom))
+    # A filter on the size would be pushed below the steps of the parser, as one expression that holds all of them in each other.
+    rows = each(staged, rest, F.when(F.size("_found") > 0, F.array(attrs)), "attrs")
+    return rows.select(*rest, F.lit(event_type).alias("event_type"), "attrs")
 
 
 def full_family_samples(
@@ -348,7 +359,7 @@ def dimensional_rows(
         F.create_map(F.lit("help"), F.col("help")),
         maps.literal(custom_attributes or {}),
         _bare(labels),
-        F.create_map(F.lit("prometheusType"), F.lower(kind)),
+        F.create_map(F.lit("prometheusType"), _named(kind)),
     )
     rows = parsed.filter(kind.isin("GAUGE", "COUNTER", "SUMMARY", "HISTOGRAM"))
     rows = rows.filter(~((part == "quantile") & F.isnan("value")) | part.isNull())

@@ -26,3 +26,14 @@ def test_lines(spark):
     assert {r["attrs"]["name"] for r in prometheus.raw_samples(lines).collect()} == {"my.count", "m", "no"}
     assert prometheus.label_samples(lines).count() == 2
     assert prometheus.flattened_sample(lines, "e").count() == 1
+
+
+def test_flattened_sample_parses_a_payload_once(spark):
+    """No step of the parser stands in a filter below, where each would hold copies of those before it."""
+    body = "# TYPE up gauge\nup 1\nplain NaN\nwide +Inf\nword None"
+    df = spark.createDataFrame([(1, body), (2, "# HELP up x"), (3, 'up{a="b"} 1')], "id int, body string")
+    out = prometheus.flattened_sample(prometheus.parse_lines(df), "scrape", keep=["id"])
+    filters = [step for step in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in step]
+    assert len(filters) == 1 and "isnotnull(attrs" in filters[0]
+    rows = {r["id"]: r["attrs"] for r in out.collect()}
+    assert rows == {1: {"name": "main", "up": "1", "plain": "NaN", "wide": "+Inf", "word": None}}
