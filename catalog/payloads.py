@@ -1,5 +1,6 @@
 """Scans, text payloads and formats."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -479,15 +480,25 @@ def xml_files_scanned(spark, sf):
     SELECT o_orderkey AS key, o_custkey AS cust, 'a,"b" ]}' || o_orderstatus AS note FROM orders UNION ALL SELECT c_custkey, NULL, c_name FROM customer
 """)
 def json_array_in_one_file(spark, sf):
-    """Two files, each one array of all rows: every element is a payload, read by as many tasks as the files have blocks."""
+    """Two tables, a file for each task that reads them, each one array of all its rows: every element is a payload, read by as
+    many tasks as the files have blocks."""
     folder = f"{shared_folder(spark)}/arrays"
     o = table(spark, sf, "orders").select(doc(key="o_orderkey", cust="o_custkey", note=text('a,"b" ]}', F.col("o_orderstatus"))).alias("value"))
     c = table(spark, sf, "customer").select(doc(key="c_custkey", note="c_name").alias("value"))
+
+    def closed(batches):
+        """The rows of a task, and behind them the bracket that ends their array."""
+        held = None
+        for held in batches:
+            yield held
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(["]"], held.schema.field(0).type)], schema=held.schema)
+
     for name, rows in (("orders", o), ("customers", c)):
         # an element a line, the brackets on lines of their own
-        framed = rows.coalesce(1).select(F.concat(F.when(F.monotonically_increasing_id() == 0, F.lit("[\n")).otherwise(F.lit(", ")), "value").alias("value"))
-        end = spark.range(1).coalesce(1).select(F.lit("]").alias("value"))
-        framed.unionByName(end).coalesce(1).write.text(f"{folder}/{name}")
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        begun = rows.select(F.concat(F.when(place == 0, F.lit("[\n")).otherwise(F.lit(", ")), "value").alias("value"))
+        begun.mapInArrow(closed, "value string").write.text(f"{folder}/{name}")
     p = R.read_json_array(spark, [f"{folder}/orders", f"{folder}/customers"])
     cell = lambda k, t: F.try_variant_get("payload", f"$.{k}", t)
     return p.select(cell("key", "bigint").alias("key"), cell("cust", "bigint").alias("cust"), cell("note", "string").alias("note"))
@@ -497,11 +508,12 @@ def json_array_in_one_file(spark, sf):
     SELECT doc_id, length(text) AS n, md5(text) AS digest FROM documents WHERE text IS NOT NULL
 """)
 def csv_quoted_in_one_file(spark, sf):
-    """All documents as quoted fields of one CSV file, with their separators, quotes and line ends."""
+    """All documents as quoted fields of CSV files, with their separators, quotes and line ends: a file for each task that
+    reads the table, cut again into blocks as it is read."""
     folder = f"{shared_folder(spark)}/quoted"
     d = table(spark, sf, "documents").where("text IS NOT NULL")
     line = text(F.col("doc_id"), ',"', F.replace("text", F.lit('"'), F.lit('""')), '"')
-    d.select(line.alias("value")).coalesce(1).write.text(folder)
+    d.select(line.alias("value")).write.text(folder)
     out = R.read_csv_records(spark, folder, ["doc_id", "text"])
     return out.select(attr("doc_id", "bigint").alias("doc_id"), F.length(attr("text")).cast("bigint").alias("n"), F.md5(F.encode(attr("text"), "UTF-8")).alias("digest"))
 
