@@ -1,8 +1,10 @@
 import json
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
+from samplecraft.functions import variants as V
 from samplecraft.operators import shape
 
 
@@ -203,3 +205,11 @@ def test_no_exchange_in_shape(spark):
     df = shape.to_samples(shape.strip_keys(payloads(spark, {"a": [1]}), ["b"]))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_turns_reach_any_depth_and_few_are_idle(spark):
+    assert math.prod(V._TURNS) >= 1000 and sum(V._TURNS) <= 64
+    n = F.col("id")
+    counted = V.until_done(F.struct(F.lit(0).alias("i"), n.alias("n")), lambda s: F.struct((s["i"] + 1).alias("i"), s["n"]), lambda s: s["i"] < s["n"])
+    rows = spark.createDataFrame([(0,), (1,), (4,), (37,), (1000,)], "id int").select("id", counted["i"].alias("i")).collect()
+    assert [r["i"] for r in rows] == [r["id"] for r in rows]
