@@ -62,7 +62,7 @@ def chain_pages(
     has been at. Pages that no link leads to are not in the result, nor are requests without a first page. Of captures of one address the
     least by body counts.
 
-    Only addresses take part: after one pass over the bodies the pages 2^k links ahead are joined with themselves,
+    Only numbers of pages take part: after one pass over the bodies and one match of their addresses the pages 2^k links ahead are joined with themselves,
     and the pages reached so far with them, which doubles both; so a chain of a million links takes twenty rounds, and
     one request with most of the pages is spread like many.
     """
@@ -81,21 +81,22 @@ def chain_pages(
     ).where("p IS NOT NULL AND r IS NOT NULL")
     facts = ["q", "first", "most", "capture", "good"]
     known = known.groupBy("r", "p").agg(F.min_by(F.struct(*facts), F.struct("capture", "good", "first", F.coalesce("q", F.lit("")))).alias("x"))
-    known = written(known.select("r", "p", "x.*").where("good"))
+    # addresses are matched once; from here on a page is a number
+    known = written(known.select("r", "p", "x.*").where("good").withColumn("page", F.monotonically_increasing_id()))
 
-    pages = known.select("r", F.col("p").alias("q"))
-    ahead = known.where("q IS NOT NULL AND p != q").select("r", "p", "q").join(pages, ["r", "q"], "left_semi").select("r", "p", "q")
-    reached = known.where("first").groupBy("r").agg(F.min("p").alias("p")).select("r", "p", F.lit(1).cast("bigint").alias("n"))
+    pages = known.select("r", F.col("p").alias("q"), F.col("page").alias("to"))
+    ahead = known.where("q IS NOT NULL AND p != q").select("r", "q", "page").join(pages, ["r", "q"]).select("page", "to")
+    reached = known.where("first").groupBy("r").agg(F.min_by("page", "p").alias("page")).select("page", F.lit(1).cast("bigint").alias("n"))
     reached, count, step = written(reached), -1, 1
     while (now := reached.count()) != count:
         count = now
         ahead = written(ahead)
-        more = reached.join(ahead, ["r", "p"]).select("r", F.col("q").alias("p"), (F.col("n") + step).alias("n"))
-        reached = written(reached.unionByName(more).groupBy("r", "p").agg(F.min("n").alias("n")))
-        beyond = ahead.select("r", F.col("p").alias("q"), F.col("q").alias("far"))
-        ahead = ahead.join(beyond, ["r", "q"]).select("r", "p", F.col("far").alias("q"))
+        more = reached.join(ahead, "page").select(F.col("to").alias("page"), (F.col("n") + step).alias("n"))
+        reached = written(reached.unionByName(more).groupBy("page").agg(F.min("n").alias("n")))
+        beyond = ahead.select(F.col("page").alias("to"), F.col("to").alias("far"))
+        ahead = ahead.join(beyond, "to").select("page", F.col("far").alias("to"))
         step *= 2
-    reached = reached.join(known.select("r", "p", "capture", "most"), ["r", "p"])
+    reached = reached.join(known.select("page", "r", "p", "capture", "most"), "page")
     if max_pages or max_pages_key:
         most = reached.where("n = 1").select("r", F.col("most").alias("limit"))
         reached = reached.join(most, "r").where("limit IS NULL OR n <= limit").drop("limit")
