@@ -225,10 +225,11 @@ def read_csv_records(spark: SparkSession, path: str | Sequence[str], set_header:
     else:
         # one row a file
         heads = cells.groupBy("file").agg(F.min_by("cells", place).alias("head"), F.min(place).alias("_at"))
-        cells = cells.join(heads, "file").where(place > F.col("_at")).drop("_at")
+        cells = cells.join(F.broadcast(heads), "file").where(place > F.col("_at")).drop("_at")
     fits = F.size("cells") == F.size("head")
+    # one row a file, sent to the records: by file these would all meet in one task
     ends = cells.where(~fits).groupBy(F.col("file").alias("_f")).agg(F.min(place).alias("_end"))
-    kept = cells.join(ends, F.col("file") == F.col("_f"), "left").where(F.col("_end").isNull() | (place <= F.col("_end")))
+    kept = cells.join(F.broadcast(ends), F.col("file") == F.col("_f"), "left").where(F.col("_end").isNull() | (place <= F.col("_end")))
     attrs = F.when(fits, F.map_from_arrays("head", "cells")).otherwise(maps.empty())
     error = F.when(~fits, F.lit("record with a wrong number of fields"))
     return kept.select("file", "block", "ix", attrs.alias("attrs"), error.alias("error_msg"))

@@ -79,3 +79,14 @@ def test_quoted_csv(spark, tmp_path, tiny_blocks, size, end):
     assert other == [({"p": "1", "q": "2"}, False), ({}, True)]
     given = R.read_csv_records(spark, str(tmp_path / "b.csv"), ["x", "y"])
     assert [dict(r["attrs"]) for r in given.orderBy("block", "ix").collect()] == [{"x": "p", "y": "q"}, {"x": "1", "y": "2"}, {}]
+
+
+def test_records_of_a_file_are_not_dealt_by_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k,v\n1,"x,\ny"\n2,z\n3\n4,w\n')
+    for header in ([], ["k", "v"]):
+        out = R.read_csv_records(spark, str(tmp_path), header)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        rows = [r["attrs"] for r in out.orderBy("block", "ix").collect()]
+        head = [{"k": "k", "v": "v"}] if header else []
+        assert rows == [*head, {"k": "1", "v": "x,\ny"}, {"k": "2", "v": "z"}, {}]
