@@ -2,20 +2,20 @@
 
 from pyspark.sql import functions as F
 
-from catalog.registry import attr, attrs_of, query, table, text
+from catalog.registry import attr, attrs_of, query, spread_table, table, text
 from samplecraft.functions import maps
 from samplecraft.operators import combine as C
 
 
 def customers(spark, sf):
-    return table(spark, sf, "customer").select(
+    return spread_table(spark, sf, "customer").select(
         "c_custkey", F.lit("customer").alias("event_type"),
         attrs_of(id="c_custkey", name="c_name", nation="c_nationkey", balance="c_acctbal").alias("attrs"),
     )
 
 
 def orders(spark, sf):
-    return table(spark, sf, "orders").select(
+    return spread_table(spark, sf, "orders").select(
         "o_orderkey", F.lit("order").alias("event_type"),
         attrs_of(key="o_orderkey", cust="o_custkey", status="o_orderstatus", name=F.lit("own")).alias("attrs"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samplecraft import prepare
+from samplecraft.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same rows, dealt to many tasks, for what costs much time a row."""
+    return spread(table(spark, sf_dir, name))
+
+
 def attr(key: str, cast: str | None = None) -> Column:
     value = F.col("attrs")[key]
     return value.try_cast(cast) if cast else value

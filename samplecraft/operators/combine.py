@@ -83,17 +83,55 @@ def join_samples(primary: Source, secondaries: Iterable[Source]) -> DataFrame:
 
     A secondary has one join key; it matches if any key of the primary has the same number or text (a later key of the
     primary wins a clash). Duplicate secondary keys: the last wins. Secondary attributes override; prefixes
-    of both sides apply. Each (secondary, key) pair is its own equi-join, so a hot key is split by
-    adaptive execution and a small secondary is broadcast by its measured size.
+    of both sides apply. Each (secondary, key) pair is its own equi-join. The primary's rows are counted by key:
+    a secondary brings only rows that some key meets, which are broadcast if their measured size is small, and the rows of
+    a key that has many are joined in parts, each with its own copy of the one row it meets.
     """
-    df = primary.df.withColumn("_joined", primary.prefixed())
+    keys = [k.strip() for k in str(primary.join_key).split(",")]
+    names = {key: f"_key{i}" for i, key in enumerate(dict.fromkeys(keys))}
+    columns = [primary.prefixed().alias(c) if c == primary.attrs else F.col(f"`{c}`") for c in primary.df.columns]
+    df = primary.df.select(*columns, *[comparable(F.col(primary.attrs)[key]).alias(name) for key, name in names.items()])
+    sizes = {name: df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("_key")).agg(F.count("*").alias("_n")) for name in names.values()}
+    if not df.isStreaming:
+        df = _dealt(df, sizes, primary.attrs)
     for secondary in secondaries:
-        right = latest_by_key(secondary, str(secondary.join_key))
-        for key in str(primary.join_key).split(","):
-            hit = right.select(F.col("_key").alias("_k"), F.col("_attrs").alias("_a"))
-            df = df.join(hit, comparable(F.col(primary.attrs)[key.strip()]) == F.col("_k"), "left")
-            df = df.withColumn("_joined", maps.overlay(F.col("_joined"), F.col("_a"))).drop("_k", "_a")
-    return df.withColumn(primary.attrs, F.col("_joined")).drop("_joined")
+        latest = latest_by_key(secondary, str(secondary.join_key))
+        for key in keys:
+            name = names[key]
+            if df.isStreaming:
+                hit = latest.select(F.col("_key").alias("_k"), F.col("_attrs").alias("_a"))
+                df = df.join(hit, F.col(name) == F.col("_k"), "left").drop("_k")
+            else:
+                parts = F.explode(F.sequence(F.lit(0), _parts(F.col("_n")) - 1))
+                hit = latest.join(sizes[name], "_key").select(F.col("_key").alias("_k"), F.col("_attrs").alias("_a"), parts.alias("_p"))
+                df = df.join(hit, (F.col(name) == F.col("_k")) & (F.col(f"_part{name}") == F.col("_p")), "left").drop("_k", "_p")
+            df = df.withColumn(primary.attrs, maps.overlay(F.col(primary.attrs), F.col("_a"))).drop("_a")
+    return df.select(*[F.col(f"`{c}`") for c in primary.df.columns])
+
+
+#: Rows of one key that are joined together; a key that has more is dealt into parts.
+KEY_ROWS = 20_000
+#: Parts of the rows without a key.
+_KEYLESS = 1_000
+
+
+def _parts(rows: Column) -> Column:
+    return F.ceil(rows / KEY_ROWS).cast("int")
+
+
+def _dealt(df: DataFrame, sizes: Mapping[str, DataFrame], attrs: str) -> DataFrame:
+    """``_part<key>``: which part of its key's rows a row belongs to, by a hash of the row.
+
+    No more keys than one for each ``KEY_ROWS`` rows have parts, so these are few whatever the rows are.
+    """
+    plain = [f"`{c}`" for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind and not c.startswith("_key")]
+    place = F.xxhash64(*plain, F.map_entries(attrs))
+    df = df.withColumn("_place", place)
+    for name, counted in sizes.items():
+        large = counted.where(F.col("_n") > KEY_ROWS).select(F.col("_key").alias("_k"), _parts(F.col("_n")).alias("_of"))
+        of = F.when(F.col(name).isNull(), _KEYLESS).otherwise(F.coalesce("_of", F.lit(1)))
+        df = df.join(F.broadcast(large), F.col(name) == F.col("_k"), "left").withColumn(f"_part{name}", F.pmod("_place", of).cast("int")).drop("_k", "_of")
+    return df.drop("_place")
 
 
 # ---------------------------------------------------------------- lookups
