@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog.registry import attr, doc, query, table
+from catalog.registry import attr, doc, query, spread_table, table
 from samplecraft.operators import shape
 
 
@@ -17,7 +17,7 @@ def order_documents(spark, sf):
         "array(o_orderstatus, concat('t', i)) AS marks, struct(i * 2 AS half, 'z' AS halfway) AS half))"
     )
     return payloads(
-        table(spark, sf, "orders"),
+        spread_table(spark, sf, "orders"),
         "o_orderkey",
         status="o_orderstatus",
         customer=F.struct(
@@ -107,7 +107,7 @@ def arrays_to_samples(spark, sf):
 def parent_wins_broadcast(spark, sf):
     rows = F.expr("transform(sequence(1, o_orderkey % 4 + 1), i -> struct(i AS line, 'own' AS status))")
     p = payloads(
-        table(spark, sf, "orders"), "o_orderkey", status="o_orderstatus", cust="o_custkey", rows=rows,
+        spread_table(spark, sf, "orders"), "o_orderkey", status="o_orderstatus", cust="o_custkey", rows=rows,
         n=F.col("o_orderkey") % 4 + 1,
     )
     out = shape.to_samples(p)
@@ -289,7 +289,7 @@ def split_nested_arrays(spark, sf):
         F.lit('{"data":[[{"status":"'), F.col("o_orderstatus"), F.lit('","unit":{"priority":"'), F.col("o_orderpriority"),
         F.lit('"},"rows":'), rows, F.lit("}]]}"),
     )
-    p = shape.parse_payloads(table(spark, sf, "orders").select("o_orderkey", inner.alias("body"))).drop("body")
+    p = shape.parse_payloads(spread_table(spark, sf, "orders").select("o_orderkey", inner.alias("body"))).drop("body")
     out = shape.to_samples(p, split_array=True, set_header=["t", "v"])
     return out.select(
         "o_orderkey",
@@ -326,7 +326,7 @@ def time_value_pairs(spark, sf):
         F.lit('"],['), seconds + 1, F.lit('.5,"'), F.col("value") + 1, F.lit('"]]},{"metric":{"job":"one"},"value":['), seconds,
         F.lit('.25,"'), F.col("user_id"), F.lit('"]}]}'),
     )
-    p = shape.parse_payloads(table(spark, sf, "events").select("event_id", body.alias("body"))).drop("body")
+    p = shape.parse_payloads(spread_table(spark, sf, "events").select("event_id", body.alias("body"))).drop("body")
     out = shape.to_samples(p, time_value_pairs=True)
     return out.select(
         "event_id",
@@ -342,7 +342,7 @@ def time_value_pairs(spark, sf):
 """)
 def array_payload_objects(spark, sf):
     body = F.expr("concat('[1,', array_join(transform(sequence(1, o_orderkey % 4 + 1), i -> concat('{\"i\":', i, '}')), ','), ']')")
-    p = shape.parse_payloads(table(spark, sf, "orders").select("o_orderkey", body.alias("body"))).drop("body")
+    p = shape.parse_payloads(spread_table(spark, sf, "orders").select("o_orderkey", body.alias("body"))).drop("body")
     out = shape.flatten_attrs(shape.payload_objects(p))
     return out.groupBy("o_orderkey").agg(F.count(attr("i")).alias("rows"), F.min(F.size("attrs")).alias("objects"))
 
@@ -356,7 +356,7 @@ def flatten_any_depth(spark, sf):
     """Objects nested 1 to 40 deep: the leaf keeps its path and value."""
     depth = (F.col("o_orderkey") % 40 + 1).cast("int")
     body = F.concat(F.lit('{"id":'), "o_orderkey", F.lit(","), F.substring(F.concat(F.repeat(F.lit('{"k":'), depth), F.lit('{"v":'), "o_custkey", F.repeat(F.lit("}"), depth + 1)), F.lit(2), F.lit(10_000)))
-    p = shape.parse_payloads(table(spark, sf, "orders").select("o_orderkey", depth.cast("bigint").alias("depth"), body.alias("body"))).drop("body")
+    p = shape.parse_payloads(spread_table(spark, sf, "orders").select("o_orderkey", depth.cast("bigint").alias("depth"), body.alias("body"))).drop("body")
     out = shape.to_samples(p)
     path = F.filter(F.map_keys("attrs"), lambda k: k != "id")[0]
     return out.select("o_orderkey", "depth", path.alias("path"), F.col("attrs")[path].alias("value"), attr("id").alias("beside"))
@@ -370,7 +370,7 @@ def split_arrays_any_depth(spark, sf):
     """Arrays nested 1 to 40 deep: the innermost one becomes a row."""
     depth = (F.col("event_id") % 40 + 1).cast("int")
     body = F.concat(F.lit('{"m":'), F.repeat(F.lit("["), depth), (F.col("event_id") * 1000).cast("string"), F.lit(","), "user_id", F.repeat(F.lit("]"), depth), F.lit("}"))
-    p = shape.parse_payloads(table(spark, sf, "events").select("event_id", body.alias("body"))).drop("body")
+    p = shape.parse_payloads(spread_table(spark, sf, "events").select("event_id", body.alias("body"))).drop("body")
     out = shape.to_samples(p, split_array=True, set_header=["a", "b"])
     return out.select("event_id", attr("a", "double").alias("a"), attr("b", "double").alias("b"), F.col("event_type").alias("set_name"))
 
@@ -388,6 +388,6 @@ def nested_list_payloads(spark, sf):
 
     second = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(",1,["), one("y"), F.lit("]"))).otherwise(F.lit(""))
     body = F.concat(F.repeat(F.lit("["), depth), one("x"), second, F.repeat(F.lit("]"), depth))
-    p = shape.parse_payloads(table(spark, sf, "events").select("event_id", body.alias("body"))).drop("body")
+    p = shape.parse_payloads(spread_table(spark, sf, "events").select("event_id", body.alias("body"))).drop("body")
     out = shape.to_samples(shape.payload_objects(p))
     return out.select("event_id", attr("id").alias("id"), attr("part").alias("part"))
