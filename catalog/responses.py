@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from catalog.registry import attr, attrs_of, doc, lines, query, table, text
+from catalog.registry import attr, attrs_of, doc, lines, query, spread_table, table, text
 from samplecraft.operators import shape
 from samplecraft.operators.numbering import number_rows
 from samplecraft.sources import beans as B
@@ -405,7 +405,7 @@ def html_tables(spark, sf):
         F.array_join(rows, "\n"),
         F.lit("</table><p>x</p><table><tr><td>only</td></tr></table></body></html>"),
     )
-    out = W.html_table_samples(table(spark, sf, "orders").select("o_orderkey", html.alias("html")), "o_orderkey")
+    out = W.html_table_samples(spread_table(spark, sf, "orders").select("o_orderkey", html.alias("html")), "o_orderkey")
     return out.select(
         "o_orderkey",
         "table_ix",
@@ -427,7 +427,7 @@ def html_tables_of_pages(spark, sf):
     row = lambda r: F.concat(F.lit("<tr><td>p"), F.col("page_id"), F.lit("</td><td><b>"), F.col("page_id") * 10 + r, F.lit("</b></td></tr>"))
     one = F.concat(F.lit("<table><tr><th>Page</th><th>Mark</th></tr>"), row(0), row(1), F.lit("</table>"))
     tables = F.repeat(one, (F.col("page_id") % 2 + 1).cast("int"))
-    pages = table(spark, sf, "pages").select("page_id", F.replace("html", F.lit("</article>"), F.concat(tables, F.lit("</article>"))).alias("html"))
+    pages = spread_table(spark, sf, "pages").select("page_id", F.replace("html", F.lit("</article>"), F.concat(tables, F.lit("</article>"))).alias("html"))
     out = W.html_table_samples(pages)
     return out.select("page_id", "table_ix", "row_ix", attr("Page").alias("page"), attr("Mark", "bigint").alias("mark"))
 
