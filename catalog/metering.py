@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog.registry import attr, attrs_of, query, table
+from catalog.registry import attr, attrs_of, query, spread_table, table
 from samplecraft.operators import metrics as M
 from samplecraft.sinks import output as O
 
@@ -91,7 +91,7 @@ def metric_rate_and_positive_delta(spark, sf):
 
 def line_samples(spark, sf):
     """Line items as samples; numbers as they are written."""
-    li = table(spark, sf, "lineitem")
+    li = spread_table(spark, sf, "lineitem")
     return li.select(
         "l_orderkey", "l_linenumber", "l_partkey",
         attrs_of(
