@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog.registry import attr, doc, query, table, text
+from catalog.registry import attr, doc, query, spread_table, table, text
 from samplecraft.operators import combine as C
 from samplecraft.plans.sampling import SampleSpec
 from samplecraft.plans.sources import SourcePlan, SourceSpec, run_sources
@@ -19,13 +19,13 @@ def nations(spark, sf):
 
 
 def customers(spark, sf):
-    c = table(spark, sf, "customer")
+    c = spread_table(spark, sf, "customer")
     body = doc(id="c_custkey", name="c_name", home="c_nationkey", balance="c_acctbal")
     return c.select(text("/nations/", F.col("c_nationkey"), "/customers").alias("payload_id"), body.alias("body"), F.col("c_custkey").alias("cust"))
 
 
 def orders(spark, sf):
-    o = table(spark, sf, "orders")
+    o = spread_table(spark, sf, "orders")
     body = doc(key="o_orderkey", cust="o_custkey", status="o_orderstatus")
     return o.select(F.lpad(F.col("o_orderkey").cast("string"), 20, "0").alias("payload_id"), body.alias("body"), F.col("o_custkey").alias("cust"))
 
