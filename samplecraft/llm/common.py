@@ -30,10 +30,24 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, partitions: int | None = None) -> DataFrame:
+#: Small rows that one task writes at least, where their number is known.
+FILE_ROWS = 100_000
+
+
+def files_for(rows: int) -> int:
+    """Files for so many small rows."""
+    return max(1, -(-rows // FILE_ROWS))
+
+
+def materialise(df: DataFrame, partitions: int | None = None, files: int | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: lineage is cut, and a lost executor
-    costs nothing that was written. The table stays until the owner of the folder clears it after the run."""
+    costs nothing that was written. The table stays until the owner of the folder clears it after the run.
+
+    ``files`` bounds the files of small tables: on a local file system each costs several processes that the executor
+    starts to set permissions, and a start counts the executor's memory twice for a moment.
+    """
     spark, path = df.sparkSession, shared_folder(df.sparkSession)
+    df = df.coalesce(files) if files else df
     df.write.option("compression", "zstd").parquet(path)
     give_back()
     back = spark.read.schema(df.schema).parquet(path)

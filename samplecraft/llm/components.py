@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samplecraft.llm.common import materialise
+from samplecraft.llm.common import files_for, materialise
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -34,9 +34,10 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     """``node, comp`` of all linked nodes: ``comp`` is the smallest node that links reach.
 
     Steps end when all links are stars, which for n nodes is after about log(n)^2 of them; each is written to the shared
-    folder, and only whether a link is no star's comes back to the driver.
+    folder, and only how many links there are and whether one is no star's comes back to the driver. A step
+    reads its links several times, so these should have been written before.
     """
     now = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u != v")
-    while not _are_stars(now := materialise(_star(_star(now, True), False))):
+    while not _are_stars(now := materialise(_star(_star(now, True), False), files=files_for(now.count()))):
         pass
     return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())

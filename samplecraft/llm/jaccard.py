@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from samplecraft.llm.common import U64, UNSPACED, find_words, lower_ascii, materialise, mix, pack, ragged, slices, span_hashes, text_bytes, window_hashes
+from samplecraft.llm.common import U64, UNSPACED, files_for, find_words, lower_ascii, materialise, mix, pack, ragged, slices, span_hashes, text_bytes, window_hashes
 from samplecraft.llm.components import connected_components
 
 SIZE = 4
@@ -322,7 +322,7 @@ def _numbered(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = postings.groupBy("t").agg(F.count("*").alias("sets")).where("sets > 1").select("t")
     kept = materialise(postings.join(shared, "t"))
     # Ids are given as the table is written, and read from it ever after.
-    nodes = materialise(kept.select(*sets).distinct().withColumn("node", F.monotonically_increasing_id()))
+    nodes = materialise(kept.select(*sets).distinct().withColumn("node", F.monotonically_increasing_id()), files=files_for(kept.count()))
     return nodes, materialise(kept.join(nodes, sets).select("t", "node", "pos", "n", "own"))
 
 
@@ -455,13 +455,14 @@ def _rest(postings: DataFrame, apart: DataFrame, percent: int, known: int = KNOW
 
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Components with more links between their nodes. The steps see one link for any two components that links join."""
+    rows = links.count()
     for end in ("a", "b"):
         links = links.join(labels.select(F.col("node").alias(end), F.col("comp").alias(f"of_{end}")), end, "left")
     ends = [F.coalesce(f"of_{end}", end).alias(end) for end in ("a", "b")]
-    merged = connected_components(materialise(links.select(*ends).where("a != b").distinct()), "a", "b")
+    merged = connected_components(materialise(links.select(*ends).where("a != b").distinct(), files=files_for(rows)), "a", "b")
     renamed = labels.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("new")), "comp", "left")
     added = merged.join(labels, "node", "left_anti").select("node", "comp")
-    return materialise(renamed.select("node", F.coalesce("new", "comp").alias("comp")).unionByName(added))
+    return materialise(renamed.select("node", F.coalesce("new", "comp").alias("comp")).unionByName(added), files=files_for(labels.count() + 2 * rows))
 
 
 def classes(docs: DataFrame, column: str = "text", key: str = "doc_id", size: int = SIZE, percent: int = PERCENT, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samplecraft.llm.common import U64, UNSPACED, find_words, lower_ascii, materialise, slices, spaced, text_bytes
+from samplecraft.llm.common import U64, UNSPACED, files_for, find_words, lower_ascii, materialise, slices, spaced, text_bytes
 from samplecraft.llm.components import connected_components
 
 SIZE = 3
@@ -123,16 +123,16 @@ def _ball(value: Column, bits: int, low: int = 0) -> Column:
     return F.transform(F.sequence(F.lit(low), F.lit(low + bits - 1)), lambda i: value.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)))
 
 
-def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
+def links(prints: DataFrame, bucket: int = BUCKET, files: int | None = None) -> DataFrame:
     """``a, b``: links of distinct fingerprints (column ``fingerprint``) at distances up to two, or of both to a third."""
     f = F.col("fingerprint")
-    cut = materialise(prints.select(f.alias("f"), F.shiftrightunsigned(f, 32).alias("high"), f.bitwiseAND(F.lit(0xFFFFFFFF)).alias("low")))
+    cut = materialise(prints.select(f.alias("f"), F.shiftrightunsigned(f, 32).alias("high"), f.bitwiseAND(F.lit(0xFFFFFFFF)).alias("low")), files=files)
     high = cut.groupBy("high").agg(F.count("*").alias("c"))
     low = cut.groupBy("low").agg(F.count("*").alias("c"))
 
     # The smaller value of each pair probes.
     probes = high.select("high", "c", F.explode(F.filter(_ball(F.col("high"), 32), lambda v: v > F.col("high"))).alias("other"))
-    hits = materialise(probes.join(high.select(F.col("high").alias("other"), F.col("c").alias("c_other")), "other"))
+    hits = materialise(probes.join(high.select(F.col("high").alias("other"), F.col("c").alias("c_other")), "other"), files=files)
     heavy = F.greatest("c", "c_other") > bucket
 
     def within(value: str, few: DataFrame) -> DataFrame:
@@ -158,8 +158,9 @@ def classes(docs: DataFrame, column: str = "text", key: str = "doc_id", size: in
     """A row a document: key, ``fingerprint`` (16 lowercase hex digits) and ``component_id``, the smallest id that links
     reach."""
     rows = materialise(fingerprints(docs, column, key, size, seed))
-    prints = materialise(rows.groupBy("fingerprint").agg(F.min("id").alias("least")))
-    labels = connected_components(links(prints, bucket), "a", "b").withColumnRenamed("node", "fingerprint")
+    files = files_for(rows.count())
+    prints = materialise(rows.groupBy("fingerprint").agg(F.min("id").alias("least")), files=files)
+    labels = connected_components(materialise(links(prints, bucket, files), files=files), "a", "b").withColumnRenamed("node", "fingerprint")
     named = prints.join(labels, "fingerprint", "left").withColumn("comp", F.coalesce("comp", "fingerprint"))
     named = named.join(named.groupBy("comp").agg(F.min("least").alias("component_id")), "comp").select("fingerprint", "component_id")
     shown = F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint")
