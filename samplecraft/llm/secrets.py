@@ -248,6 +248,16 @@ def _unpacked(raw: bytes) -> bytes:
     return base64.b64decode(raw + b"=" * (-len(raw) % 4))
 
 
+_BZIP2 = re.compile(rb"BZh[1-9]1AY&SY")
+
+
+def _heads(raw: bytes) -> list[int]:
+    """Where a bzip2 stream, or a zlib stream of any window, may begin."""
+    a = np.frombuffer(raw, np.uint8).astype(np.int32)
+    zlib_heads = np.flatnonzero((a[:-1] & 15 == 8) & (a[:-1] < 128) & ((a[:-1] * 256 + a[1:]) % 31 == 0))
+    return [m.start() for m in _BZIP2.finditer(raw)] + zlib_heads.tolist()
+
+
 def _after_slashes(run: bytes) -> Iterator[int]:
     at = run.find(b"/") + 1
     while at:
@@ -256,9 +266,9 @@ def _after_slashes(run: bytes) -> Iterator[int]:
 
 
 def _inflated(raw: bytes, at: int) -> bytes:
-    """A deflate stream without a head, or a bzip2 stream, that fills the data from a place on and opens to text."""
+    """A deflate stream without a head, a zlib stream or a bzip2 stream that fills the data from a place on and opens to text."""
     rest = memoryview(raw)[at:]
-    for stream in (zlib.decompressobj(-15), *([bz2.BZ2Decompressor()] if rest[:3] == b"BZh" else [])):
+    for stream in (zlib.decompressobj(-15), zlib.decompressobj(), *([bz2.BZ2Decompressor()] if rest[:3] == b"BZh" else [])):
         try:
             out = stream.decompress(rest, MOST_BYTES)
         except (zlib.error, OSError, ValueError, EOFError):
@@ -314,6 +324,8 @@ def _decoded(layer: Layer) -> Iterator[Layer]:
             kept = np.flatnonzero(np.frombuffer(raw, np.uint8)) if plain is None and raw.count(0) * 3 > len(raw) else None
             # a stream without a head begins where the run does, or after a slash in it
             begins = [0, *((x - shift) // 4 * 3 for x in _after_slashes(m[0]) if x > shift and (x - shift) % 4 == 0)] if plain is None and kept is None else []
+            # bzip2 and zlib streams have one, and begin wherever that stands
+            begins += _heads(raw) if begins else []
             inflated = next(((b, out) for b in begins if (out := _inflated(raw, b))), None)
             if plain is None and kept is None and not inflated:
                 continue
