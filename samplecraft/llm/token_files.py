@@ -16,8 +16,9 @@ Documents go in ascending key order (null first, equal keys by a hash of the tex
 after ``SHARD_BYTES`` of frames. ``start`` counts the ids of all documents before one.
 
 Ids are those of ``Tokenizer.encode`` on the whole text. The tokenizer (byte-level BPE with the usual split pattern) cuts
-text before a single space that stands between other characters, so most texts are cut there first, a bounded memory
-of pieces saves encoding the same again, and new pieces are encoded together.
+text before a single space that stands between other characters, and between an ASCII letter and ASCII punctuation, so most
+texts are cut there first, a bounded memory of pieces saves encoding the same again, and new pieces are encoded together.
+Texts that hold a token which the tokenizer finds before it cuts (``<|endoftext|>``) are encoded whole.
 
 Edge cases: null and empty texts have the end id only; repeated rows are documents of their own; an empty table gives
 empty shards and an empty reading; extra columns play no part.
@@ -30,6 +31,7 @@ import re
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from samplecraft.llm.common import bounded_sample, give_back, materialise, slices, text_bytes
+from samplecraft.llm.common import bounded_sample, byte_class, give_back, materialise, slices, text_bytes
 
 END_ID = 2
 SHARD_BYTES = 8 << 20
@@ -56,6 +58,9 @@ SHARDS = "part int, shard int, documents long, ids long, part_ids_before long, d
 
 #: White space next to a space, or at an end of the text: there the rule above does not say where to cut.
 _ODD = re.compile(r" (?:\s|\Z|(?<=\s ))")
+#: A run of letters ends before punctuation, whatever stands before or after.
+_LETTER = byte_class((0x41, 0x5A), (0x61, 0x7A))
+_PUNCTUATION = byte_class((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
 
 
 class Encoder:
@@ -66,6 +71,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
+        #: Tokens that are found in the text before it is cut.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if max([end_id, *vocabulary.values()]) < 1 << 16 else "<u4")
         #: Bytes of text that a token stands for: the vocabulary writes each as one character.
         self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -100,16 +107,17 @@ class Encoder:
             self._add(first + k, ids, cuts + 1)
 
     def _encode_texts(self, first: int, texts: list[bytes]) -> None:
-        """First pieces of texts, and texts that are not cut, in one call."""
+        """Pieces that begin otherwise, and texts that are not cut, in one call."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
         self._add(first, np.array([i for ids in found for i in ids], self.dtype), np.cumsum([len(ids) for ids in found]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """A text is encoded whole where white space meets white space, else by its pieces, each of which but the first
-        begins with the space before it. Each different piece of the texts is looked up once."""
-        odd = np.array([t[:1] == " " or _ODD.search(t) is not None for t in texts], bool)
+        """A text is encoded whole where white space meets white space or a token is found before cutting, else by its
+        pieces, which begin with the space before them or with punctuation. Each different piece of the texts is looked up once."""
+        odd = np.array([t[:1] == " " or _ODD.search(t) is not None or any(a in t for a in self.added) for t in texts], bool)
         data, offsets = text_bytes(pa.array(texts, pa.large_string()).cast(pa.large_binary()))
         begins = data == 0x20
+        begins[1:] |= _LETTER[data[:-1]] & _PUNCTUATION[data[1:]]
         for k in np.flatnonzero(odd).tolist():
             begins[offsets[k] : offsets[k + 1]] = False
         begins[offsets[offsets < len(data)]] = True
@@ -120,16 +128,18 @@ class Encoder:
         place = np.searchsorted(bounds, offsets)
         whole = np.zeros(len(different), bool)
         whole[which[place[:-1][np.diff(offsets) > 0]]] = True  # first pieces, odd texts among them
-        number = np.array([self.known.get(p, -1) for p in different], np.int64)
+        number = np.fromiter(map(self.known.get, different, repeat(-1)), np.int64, len(different))
         missing = np.flatnonzero(number < 0)
-        words, others = missing[~whole[missing]], missing[whole[missing]]
-        kept = len(self.known)
+        spaced = np.array([different[k][:1] == b" " for k in missing.tolist()], bool)
+        first = whole[missing]
+        words, others = missing[spaced & ~first], np.concatenate([missing[~spaced & ~first], missing[first]])
+        kept, new = len(self.known), np.concatenate([words, others[: len(missing) - len(words) - first.sum()]])
         for part, encode in ((words, self._encode_words), (others, self._encode_texts)):
             if len(part):
                 encode(kept + (len(words) if part is others else 0), [different[k] for k in part.tolist()])
         number[words], number[others] = kept + np.arange(len(words)), kept + len(words) + np.arange(len(others))
-        if kept + len(words) <= self.kept_pieces:
-            self.known.update(zip((different[k] for k in words.tolist()), range(kept, kept + len(words)), strict=True))
+        if kept + len(new) <= self.kept_pieces:
+            self.known.update(zip((different[k] for k in new.tolist()), range(kept, kept + len(new)), strict=True))
         number = number[which]
         sizes = self.at[number + 1] - self.at[number]
         until = np.concatenate([[0], np.cumsum(sizes)])
