@@ -39,6 +39,12 @@ def files_for(rows: int) -> int:
     return max(1, -(-rows // FILE_ROWS))
 
 
+def tasks_for(spark: SparkSession, rows: int, each: int) -> int:
+    """Tasks that write a table made from so many rows: some for each core, and one for ``each`` rows at least. More
+    partitions than that only make small files."""
+    return max(2 * spark.sparkContext.defaultParallelism, -(-rows // each))
+
+
 def materialise(df: DataFrame, partitions: int | None = None, files: int | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: lineage is cut, and a lost executor
     costs nothing that was written. The table stays until the owner of the folder clears it after the run.

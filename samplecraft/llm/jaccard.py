@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from samplecraft.llm.common import U64, UNSPACED, files_for, find_words, lower_ascii, materialise, mix, pack, ragged, slices, span_hashes, text_bytes, window_hashes
+from samplecraft.llm.common import U64, UNSPACED, files_for, find_words, lower_ascii, materialise, mix, pack, ragged, slices, span_hashes, tasks_for, text_bytes, window_hashes
 from samplecraft.llm.components import connected_components
 
 SIZE = 4
@@ -62,6 +62,9 @@ RANGE_SHINGLES = 1 << 20
 #: Bits by which shortened hashes outnumber the shingles; a shingle taken for another only adds a candidate.
 SPARE_BITS = 13
 UNIT_BYTES = 2 << 20
+#: Shingles, postings (or pairs made from them) and documents for which a table has a task at least, where it has more
+#: shuffle partitions than that.
+TASK_SHINGLES, TASK_POSTINGS, TASK_DOCS = 1 << 18, 5000, 1000
 
 
 def shingle_sets(batch: pa.RecordBatch, column: str, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -313,17 +316,18 @@ def _postings(docs: DataFrame, first: DataFrame, size: int, percent: int, freque
     units = docs.mapInArrow(alone, _UNITS).unionByName(equal.select("shingles").mapInArrow(grouped, _UNITS))
     shared = units.repartition(max(1, 1 << range_bits), "range").sortWithinPartitions("range").mapInArrow(_counted, _UNITS)
     prefixes = shared.repartition("unit").sortWithinPartitions("unit").mapInArrow(_prefixes(percent), "t long, pos long, n long, own long, s1 long, s2 long")
-    return materialise(prefixes)
+    return materialise(prefixes, files=tasks_for(docs.sparkSession, total, TASK_SHINGLES))
 
 
 def _numbered(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes: ``node, n, s1, s2``; postings: ``t, node, pos, n, own``) of shingles that two nodes or more have."""
     sets = ["n", "s1", "s2"]
     shared = postings.groupBy("t").agg(F.count("*").alias("sets")).where("sets > 1").select("t")
-    kept = materialise(postings.join(shared, "t"))
+    files = tasks_for(postings.sparkSession, postings.count(), TASK_POSTINGS)
+    kept = materialise(postings.join(shared, "t"), files=files)
     # Ids are given as the table is written, and read from it ever after.
     nodes = materialise(kept.select(*sets).distinct().withColumn("node", F.monotonically_increasing_id()), files=files_for(kept.count()))
-    return nodes, materialise(kept.join(nodes, sets).select("t", "node", "pos", "n", "own"))
+    return nodes, materialise(kept.join(nodes, sets).select("t", "node", "pos", "n", "own"), files=files)
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -346,7 +350,8 @@ def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
 
     rows = docs.mapInArrow(run, "n long, s1 long, s2 long, bins array<int>, shingles binary")
     rows = rows.groupBy("n", "s1", "s2").agg(F.first("bins").alias("bins"), F.first("shingles").alias("shingles"))
-    return materialise(rows.join(nodes, ["n", "s1", "s2"]).select("node", "n", "bins", "shingles"))
+    files = tasks_for(docs.sparkSession, nodes.count(), TASK_DOCS)
+    return materialise(rows.join(nodes, ["n", "s1", "s2"]).select("node", "n", "bins", "shingles"), files=files)
 
 
 def _least_common(n: F.Column, m: F.Column, percent: int) -> F.Column:
@@ -415,13 +420,13 @@ def _with_prior(postings: DataFrame, known: int) -> DataFrame:
     return ranked.join(heads, "node").select("t", "node", "pos", "n", "own", prior.alias("prior"), (F.col("i") <= known + 1).alias("exact"))
 
 
-def _apart(postings: DataFrame, labels: DataFrame) -> DataFrame:
+def _apart(postings: DataFrame, labels: DataFrame, files: int | None = None) -> DataFrame:
     """Postings of several components: ``comp`` of each node, the largest component ``main`` and its nodes ``inside``."""
     held = postings.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     counted = held.groupBy("t", "comp").agg(F.count("*").alias("c"))
     largest = F.max(F.struct("c", "comp"))
     mixed = counted.groupBy("t").agg(F.count("*").alias("comps"), largest.alias("l")).where("comps > 1")
-    return materialise(held.join(mixed.select("t", F.col("l.comp").alias("main"), F.col("l.c").alias("inside")), "t"))
+    return materialise(held.join(mixed.select("t", F.col("l.comp").alias("main"), F.col("l.c").alias("inside")), "t"), files=files)
 
 
 def _partners(apart: DataFrame, percent: int, time: int, deals: int = DEALS) -> DataFrame:
@@ -436,14 +441,14 @@ def _partners(apart: DataFrame, percent: int, time: int, deals: int = DEALS) ->
     return pairs.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b")).distinct()
 
 
-def _rest(postings: DataFrame, apart: DataFrame, percent: int, known: int = KNOWN) -> DataFrame:
+def _rest(postings: DataFrame, apart: DataFrame, percent: int, known: int = KNOWN, files: int | None = None) -> DataFrame:
     """Candidate pairs of all nodes that share a posting across components. Within a posting, nodes outside its
     largest component are held against all others, so that a component's own pairs are never formed.
 
     A pair is made at its first common posting alone. There nothing before is common, so what can be common is at most
     what follows both places. Where more than ``known`` shingles come before, a pair may come again, never be missed."""
     prior = _with_prior(postings.join(apart.select("node").distinct(), "node", "left_semi"), known)
-    rows = materialise(prior.join(apart.select("t", "node", "comp", "main"), ["t", "node"]))
+    rows = materialise(prior.join(apart.select("t", "node", "comp", "main"), ["t", "node"]), files=files)
     columns = ("node", "pos", "n", "own", "prior", "exact", "comp")
     small = rows.where("comp != main").select("t", *[F.col(c).alias(f"{c}_x") for c in columns])
     pairs = small.join(rows, "t").where((F.col("comp") != F.col("comp_x")) & ((F.col("comp") == F.col("main")) | (F.col("node_x") < F.col("node"))))
@@ -473,11 +478,12 @@ def classes(docs: DataFrame, column: str = "text", key: str = "doc_id", size: in
     first = _first_pass(docs, size)
     nodes, postings = _numbered(_postings(docs, first, size, percent, frequent))
     sets = _sets(docs, nodes, size)
-    near = materialise(_verified(_grouped(postings, percent), sets, percent))
+    files = tasks_for(docs.sparkSession, postings.count(), TASK_POSTINGS)
+    near = materialise(_verified(_grouped(postings, percent), sets, percent), files=files)
     labels = connected_components(near, "a", "b")
     for time in range(1, TIMES + 1):
-        labels = _joined(labels, materialise(_verified(_partners(_apart(postings, labels), percent, time), sets, percent)))
-    labels = _joined(labels, materialise(_verified(_rest(postings, _apart(postings, labels), percent), sets, percent)))
+        labels = _joined(labels, materialise(_verified(_partners(_apart(postings, labels, files), percent, time), sets, percent), files=files))
+    labels = _joined(labels, materialise(_verified(_rest(postings, _apart(postings, labels, files), percent, files=files), sets, percent), files=files))
     named = nodes.join(labels, "node", "left").select("n", "s1", "s2", F.coalesce("comp", "node").cast("string").alias("comp"))
     own = F.concat_ws(":", "n", "s1", "s2")  # sets without postings are components of their own
     grouped = first.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("least"))
@@ -500,7 +506,7 @@ def join(docs: DataFrame, column: str = "text", key: str = "doc_id", size: int =
 
 def keep_one(docs: DataFrame, column: str = "text", key: str = "doc_id", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """One document of each component, that of the smallest id, and all documents with empty sets."""
-    _, sets = classes(docs, column, key, size, percent)
+    rows, sets = classes(docs, column, key, size, percent)
     chosen = sets.where("chosen").select(F.col("n").alias("__n"), F.col("s1").alias("__s1"), F.col("s2").alias("__s2"), F.col("least").alias("__least"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -514,4 +520,5 @@ def keep_one(docs: DataFrame, column: str = "text", key: str = "doc_id", size: i
     same_id = F.col(f"`{key}`").cast("long").eqNullSafe(F.col("__least"))
     kept = marked.where("__n > 0").join(chosen.withColumnsRenamed({c: f"{c}_" for c in ("__n", "__s1", "__s2")}), (F.col("__n") == F.col("__n_")) & (F.col("__s1") == F.col("__s1_")) & (F.col("__s2") == F.col("__s2_")) & same_id, "left_semi")
     kept = kept.dropDuplicates(["__n", "__s1", "__s2"])  # equal sets under one id: one row
-    return kept.unionByName(marked.where("__n = 0")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    every = kept.unionByName(marked.where("__n = 0")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return every.coalesce(tasks_for(docs.sparkSession, rows.count(), TASK_DOCS))

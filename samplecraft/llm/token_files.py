@@ -36,11 +36,10 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from samplecraft.llm.common import bounded_sample, byte_class, give_back, materialise, slices, text_bytes
+from samplecraft.llm.common import bounded_sample, byte_class, give_back, materialise, slices, tasks_for, text_bytes
 
 END_ID = 2
 SHARD_BYTES = 8 << 20
@@ -50,6 +49,8 @@ DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 #: Pieces of text whose ids a Python worker keeps.
 KEPT_PIECES = 2_000_000
+#: Documents for which there is a file of shards at least, where there are more range partitions than that.
+FILE_DOCS = 2000
 
 MAGIC = b"SCTOK1\0"
 INDEX = np.dtype([("keyed", "u1"), ("key", "<i8"), ("ids", "<u8"), ("offset", "<u8")])
@@ -228,7 +229,7 @@ def write_shards(
     name = hashlib.sha256(dictionary).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, enc, count, before = TaskContext.get().partitionId(), encoder(path, end_id, kept_pieces), 0, 0
+        part, enc, count, before = 0, encoder(path, end_id, kept_pieces), 0, 0
         writer = ShardWriter(enc.dtype.itemsize, dictionary)
 
         def row() -> pa.RecordBatch:
@@ -242,6 +243,7 @@ def write_shards(
 
         for batch in slices(batches, "text"):
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
+            part = batch.column(2)[0].as_py()
             for k, ids in zip(batch.column(0).to_pylist(), enc.encode(texts), strict=True):
                 writer.add(k, ids)
                 if writer.size >= SHARD_BYTES:
@@ -256,7 +258,7 @@ def write_shards(
     named = [c.alias(f"o{i}") for i, c in enumerate(order)]
     narrow = docs.select(F.col(key).cast("long").alias("key"), F.col(column).alias("text"), *named)
     places = [F.col(f"o{i}") for i in range(len(named))] or [F.col("key"), F.xxhash64("key", "text")]
-    ordered = narrow.repartitionByRange(*places).sortWithinPartitions(*places).select("key", "text")
+    ordered = narrow.repartitionByRange(*places).sortWithinPartitions(*places).select("key", "text", F.spark_partition_id().alias("part"))
     return ordered.mapInArrow(run, SHARDS)
 
 
@@ -301,5 +303,7 @@ def encode_documents(
     """Write ``docs`` as shards into the shared folder and read them back. ``kept_pieces`` bounds what a Python worker
     keeps from task to task, some 170 bytes a piece; without ``stay`` it keeps nothing beyond a task. ``order`` is another one than by key."""
     dictionary = train_dictionary(docs, path, column, key)
-    shards = materialise(write_shards(docs, path, dictionary, column, key, kept_pieces=kept_pieces, order=order, stay=stay))
+    shards = write_shards(docs, path, dictionary, column, key, kept_pieces=kept_pieces, order=order, stay=stay)
+    # A file may hold shards of several range partitions, each of which knows its own number.
+    shards = materialise(shards, files=tasks_for(spark, docs.count(), FILE_DOCS))
     return read_shards(shards, dictionary, key)
