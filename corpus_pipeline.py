@@ -57,7 +57,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
         docs.select(*place)
     except AnalysisException:
         place = []
-    # Python workers also serve the other stages, so they keep less here, and nothing beyond a task.
+    # Python workers also serve the other stages, so they keep less here, and only the tokenizer beyond a task.
     return token_files.encode_documents(spark, docs, tokenizer_path(), kept_pieces=150_000, order=place, stay=False)
 
 

@@ -90,8 +90,9 @@ def text_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def give_back() -> None:
-    """Return what the C library and Arrow hold of freed memory, so that idle workers, and the driver between
-    jobs, do not weigh on other stages."""
+    """Return what the C library and Arrow hold of freed memory, and the powers kept for hashes, so that idle workers,
+    and the driver between jobs, do not weigh on other stages."""
+    _POWERS.clear()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
         ctypes.CDLL(None).malloc_trim(0)
@@ -156,7 +157,7 @@ _POWERS: dict[str, np.ndarray] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2^64, kept for the next call."""
+    """Powers of an odd base and of its inverse modulo 2^64, kept for the next call of a task."""
     if "up" not in _POWERS or len(_POWERS["up"]) < n:
         size = 1 << max(16, int(n - 1).bit_length())
         for name, base in (("up", _BASE), ("down", _INVERSE)):

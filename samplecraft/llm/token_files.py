@@ -27,6 +27,7 @@ empty shards and an empty reading; extra columns play no part.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import zlib
 from collections.abc import Iterator, Sequence
@@ -81,6 +82,10 @@ class Encoder:
             self.lengths[k] = len(token)
         self.end = np.array([end_id], self.dtype).tobytes()
         self.kept_pieces = kept_pieces
+        self.forget()
+
+    def forget(self) -> None:
+        """Keep no pieces; the tokenizer stays."""
         #: Number of each kept piece, whose ids are ``flat[at[k] : at[k + 1]]``.
         self.known: dict[bytes, int] = {}
         self.flat, self.at = np.zeros(1 << 16, self.dtype), np.zeros(1 << 16, np.int64)
@@ -150,6 +155,7 @@ class Encoder:
         return [ids[x:y] + self.end for x, y in zip(ends, ends[1:])]
 
 
+# A tokenizer that has encoded gives some MB less back than it took, so a worker makes one and not one for each task.
 @lru_cache(maxsize=2)
 def encoder(path: str, end_id: int, kept_pieces: int) -> Encoder:
     return Encoder(path, end_id, kept_pieces)
@@ -179,7 +185,8 @@ class ShardWriter:
 
 
 class ShardReader:
-    def __init__(self, data: bytes, dictionary: bytes):
+    def __init__(self, data: bytes | memoryview, dictionary: bytes):
+        data = memoryview(data).cast("B")
         if data[: len(MAGIC)] != MAGIC:
             raise ValueError("not a token shard")
         self.dtype = np.dtype("<u2" if data[len(MAGIC)] == 2 else "<u4")
@@ -189,7 +196,7 @@ class ShardReader:
         self.frames_end = len(data) - 8 - n * INDEX.itemsize
         self.index = np.frombuffer(data, INDEX, n, self.frames_end)
         self.ends = np.append(self.index["offset"][1:], np.uint64(self.frames_end))
-        self.data = memoryview(data)
+        self.data = data
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         self.decompressor = zstandard.ZstdDecompressor(dict_data=shared)
 
@@ -229,17 +236,20 @@ def write_shards(
     name = hashlib.sha256(dictionary).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; each thread would hold memory
         part, enc, count, before = 0, encoder(path, end_id, kept_pieces), 0, 0
         writer = ShardWriter(enc.dtype.itemsize, dictionary)
 
         def row() -> pa.RecordBatch:
             nonlocal count, before
             documents, ids, data = writer.take()
-            values = [part, count, documents, ids, before, name, data]
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+            values = [part, count, documents, ids, before, name]
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
             names = ["part", "shard", "documents", "ids", "part_ids_before", "dictionary", "data"]
             count, before = count + 1, before + ids
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=names)
+            ends = pa.py_buffer(np.array([0, len(data)], np.int32))
+            shard = pa.BinaryArray.from_buffers(pa.binary(), 1, [None, ends, pa.py_buffer(data)])  # not copied
+            return pa.RecordBatch.from_arrays([*(pa.array([v], t) for v, t in zip(values, types, strict=True)), shard], names=names)
 
         for batch in slices(batches, "text"):
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
@@ -251,8 +261,8 @@ def write_shards(
         if writer.index:
             yield row()
         if not stay:
-            encoder.cache_clear()
-            del enc, writer
+            enc.forget()
+            del writer
             give_back()
 
     named = [c.alias(f"o{i}") for i, c in enumerate(order)]
@@ -271,18 +281,21 @@ def read_shards(shards: DataFrame, dictionary: bytes, key: str = "doc_id") -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data, start in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                reader = ShardReader(data.as_py(), dictionary)
-                ids = [reader.ids(k) for k in range(len(reader))]
-                n = np.array([len(x) for x in ids], np.int64)
+                reader = ShardReader(memoryview(data.as_buffer()), dictionary)
+                n, crc = np.zeros(len(reader), np.int64), np.zeros(len(reader), np.int64)
+                for k in range(len(reader)):  # one document's ids at a time
+                    ids = reader.ids(k)
+                    n[k], crc[k] = len(ids), zlib.crc32(ids.astype("<u4"))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([reader.key(k) for k in range(len(reader))], pa.int64()),
                         pa.array(start + np.cumsum(n) - n),
                         pa.array(n),
-                        pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
+                        pa.array(crc),
                     ],
                     names=[key, "start", "n_tokens", "ids_crc32"],
                 )
+        give_back()
 
     # ``parts`` has one row for each task of the writing job, so both the window and the broadcast are bounded by that.
     located = shards.select("part", "part_ids_before", "data").join(F.broadcast(parts), "part")
@@ -301,7 +314,7 @@ def encode_documents(
     stay: bool = True,
 ) -> DataFrame:
     """Write ``docs`` as shards into the shared folder and read them back. ``kept_pieces`` bounds what a Python worker
-    keeps from task to task, some 170 bytes a piece; without ``stay`` it keeps nothing beyond a task. ``order`` is another one than by key."""
+    keeps from task to task, some 170 bytes a piece; without ``stay`` it keeps nothing but the tokenizer beyond a task. ``order`` is another one than by key."""
     dictionary = train_dictionary(docs, path, column, key)
     shards = write_shards(docs, path, dictionary, column, key, kept_pieces=kept_pieces, order=order, stay=stay)
     # A file may hold shards of several range partitions, each of which knows its own number.
