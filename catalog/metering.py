@@ -117,15 +117,16 @@ def dimensional_payloads(spark, sf):
         },
         fixed={"integration_name": "x"},
     )
-    pick = lambda name: F.get(F.filter("metrics", lambda m: m["name"] == name), 0)
+    pick = lambda name: F.get("metrics", F.array_position(F.col("metrics")["name"], name) - 1)
+    out = out.withColumns({"_qty": pick("qty"), "_price": pick("price")})
     return out.select(
         "l_orderkey", "l_linenumber", "l_partkey",
         F.col("common_attributes")["flag"].alias("flag"),
-        pick("qty")["value"].alias("qty"),
-        pick("qty")["interval_ms"].cast("bigint").alias("qty_interval"),
-        pick("qty")["type"].alias("qty_type"),
-        pick("price")["summary"]["sum"].alias("sum_"),
-        pick("price")["summary"]["min"].alias("min_"),
+        F.col("_qty")["value"].alias("qty"),
+        F.col("_qty")["interval_ms"].cast("bigint").alias("qty_interval"),
+        F.col("_qty")["type"].alias("qty_type"),
+        F.col("_price")["summary"]["sum"].alias("sum_"),
+        F.col("_price")["summary"]["min"].alias("min_"),
         F.size("metrics").alias("metrics"),
         F.col("common_attributes")["odd"].alias("odd"),
     )

@@ -21,6 +21,9 @@ from samplecraft.functions.dialect import (
 PLUCK = r"[+-]?([0-9]*\.?[0-9]+|[0-9]+\.?[0-9]*)([eE][+-]?[0-9]+)?"
 _MAYBE_HUGE = r"[eE]\+?[0-9]{3}|[0-9]{309}"
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+#: Numbers that are finite by their length, and what any other text that has a value begins with.
+_FINITE = r"^[+-]?(?:[0-9]{1,200}(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]{1,2})?$"
+_MAYBE_VALUE = r"^(?:[+-]?[0-9.]|[+-]?[iI][nN][fF]|[nN][aA][nN])"
 
 
 # ---------------------------------------------------------------- numbers
@@ -42,7 +45,8 @@ def metric_value(text: Column, dimensional: bool = False) -> Column:
     """The double a sample value is reported as, null if it stays an attribute.
 
     ``inf`` and ``nan`` spellings are attributes; ``-inf`` and ``-infinity`` are numbers. Dimensional
-    payloads exclude ``infinity`` only.
+    payloads exclude ``infinity`` only. Most texts are settled by one pattern; lambdas, which are interpreted, would
+    try all of them on each value.
     """
     low = lowered(text)
     value = F.when(low.isin("-inf", "-infinity"), F.lit(float("-inf")))
@@ -51,7 +55,8 @@ def metric_value(text: Column, dimensional: bool = False) -> Column:
         value = value.when(low == "nan", F.lit(float("nan")))
     else:
         value = value.when(low == "+infinity", F.lit(float("inf")))
-    return value.otherwise(as_number(text))
+    value = value.otherwise(as_number(text))
+    return F.when(text.rlike(_FINITE), text.try_cast("double")).when(text.rlike(_MAYBE_VALUE), value)
 
 
 def fixed6(number: Column) -> Column:

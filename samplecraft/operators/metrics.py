@@ -163,14 +163,11 @@ def dimensional_payload(
     """
     counts, summaries = dict(counts or {}), dict(summaries or {})
     source = F.transform_keys(attrs, lambda k, _: F.concat(F.lit(prefix), k)) if prefix else F.col(attrs)
-    numbered = F.transform(
-        F.map_entries("_a"),
-        lambda e: F.struct(e["key"], e["value"], scalars.metric_value(e["value"], dimensional=True).alias("n")),
-    )
-    df = df.withColumn("_a", source).withColumn("_cells", numbered)
-    text = F.map_from_entries(
-        F.transform(F.filter("_cells", lambda c: c["n"].isNull()), lambda c: maps.pair(c["key"], c["value"]))
-    )
+    df = df.withColumn("_a", source)
+    df = df.withColumn("_n", F.transform(F.map_values("_a"), lambda v: scalars.metric_value(v, dimensional=True)))
+    keys, texts, number_at = F.map_keys("_a"), F.map_values("_a"), lambda i: F.get("_n", i)
+    is_text = lambda _, i: number_at(i).isNull()
+    text = F.map_from_arrays(F.filter(keys, is_text), F.filter(texts, is_text))
     parts = {s: {m: str(r[m]) for m in ("min", "max", "sum", "count") if m in r} for s, r in summaries.items()}
     claimed = [k for p in parts.values() for k in p.values() if k not in counts]
 
@@ -181,46 +178,41 @@ def dimensional_payload(
         return out
 
     nothing = F.lit(None).cast("struct<min:double,max:double,sum:double,count:double>")
-    singles = F.transform(
-        F.filter("_cells", lambda c: c["n"].isNotNull() & ~c["key"].isin(claimed)),
-        lambda c: F.struct(
-            c["key"].alias("name"),
-            F.when(c["key"].isin(list(counts)), "count").otherwise("gauge").alias("type"),
-            c["n"].alias("value"),
+    single = lambda k, i: F.when(
+        number_at(i).isNotNull() & ~k.isin(claimed),
+        F.struct(
+            k.alias("name"),
+            F.when(k.isin(list(counts)), "count").otherwise("gauge").alias("type"),
+            number_at(i).alias("value"),
             nothing.alias("summary"),
-            interval_of(c["key"]).alias("interval_ms"),
+            interval_of(k).alias("interval_ms"),
         ),
-    ).cast(_METRICS)
-    number = lambda key: scalars.metric_value(F.col("_a")[key], dimensional=True)
-    built = []
+    )
+    singles = F.filter(F.transform(keys, single), lambda m: m.isNotNull())
+    found = []
     for name, rule in summaries.items():
         every = scalars.as_number(F.lit(str(rule.get("interval", ""))))
         if len(parts[name]) < 4 or any(k in counts for k in parts[name].values()):
             continue
-        values = {m: number(k) for m, k in parts[name].items()}
+        values = {m: number_at(F.array_position(keys, k) - 1) for m, k in parts[name].items()}
         complete = every.isNotNull()
         for v in values.values():
             complete = complete & v.isNotNull()
-        built.append(
-            F.when(
-                complete,
-                F.struct(
-                    F.lit(name).alias("name"),
-                    F.lit("summary").alias("type"),
-                    F.lit(None).cast("double").alias("value"),
-                    F.struct(*[values[m].alias(m) for m in ("min", "max", "sum", "count")]).alias("summary"),
-                    every.alias("interval_ms"),
-                ),
-            )
+        metric = F.struct(
+            F.lit(name).alias("name"),
+            F.lit("summary").alias("type"),
+            F.lit(None).cast("double").alias("value"),
+            F.struct(*[values[m].alias(m) for m in ("min", "max", "sum", "count")]).alias("summary"),
+            every.alias("interval_ms"),
         )
-    found = F.filter(F.array(*built), lambda m: m.isNotNull()).cast(_METRICS) if built else F.array().cast(_METRICS)
+        found.append(F.when(complete, F.array(metric)).otherwise(F.array().cast(_METRICS)))
     now = F.unix_millis(F.current_timestamp()) if timestamp_ms is None else timestamp_ms
-    rest = [c for c in df.columns if c not in (attrs, "_a", "_cells")]
+    rest = [c for c in df.columns if c not in (attrs, "_a", "_n")]
     return df.select(
         *rest,
         now.alias("timestamp_ms"),
         maps.overlay(maps.literal(fixed or {}), text).alias("common_attributes"),
-        F.concat(singles, found).alias("metrics"),
+        F.concat(singles, F.array().cast(_METRICS), *found).alias("metrics"),
     )
 
 
